@@ -107,6 +107,9 @@ class Index:
     posting_segment: np.ndarray
     posting_place: np.ndarray
     filter: np.ndarray
+    allowed: np.ndarray
+    half: np.ndarray
+    bound: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple[int, str]]) -> Index:
@@ -128,11 +131,26 @@ class Index:
         hashes, first = np.unique(every[order], return_index=True)
         marks = np.zeros(1 << FILTER_BITS, bool)
         marks[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        ids = np.array([r[0] for r in rows], np.int64)
-        return cls(ids, np.array(owner, np.int64), segments, hashes, np.append(first, len(every)), segment[order].astype(np.int32), place[order].astype(np.int32), marks)
+        allowed = np.array([budget(len(s)) for s in segments], np.int64)
+        return cls(
+            items=np.array([r[0] for r in rows], np.int64),
+            segment_item=np.array(owner, np.int64),
+            segments=segments,
+            hashes=hashes,
+            first=np.append(first, len(every)),
+            posting_segment=segment[order].astype(np.int32),
+            posting_place=place[order].astype(np.int32),
+            filter=marks,
+            allowed=allowed,
+            half=1 << np.ceil(np.log2(np.maximum(allowed, 1))).astype(np.int64),
+            bound=np.maximum(np.array([len(s) for s in segments], np.int64) + 1 - Q * (allowed + 1), 1),
+        )
 
     def matches(self, text: str | None) -> list[list[int]]:
-        """[item_id, start, end, edits, segments] of each item found in a whole text, in code points."""
+        """[item_id, start, end, edits, segments] of each item found in a whole text, in code points.
+
+        The leftmost match of each segment counts.
+        """
         codes, at = letters(text)
         h = grams(codes)
         if not len(h) or not len(self.hashes):
@@ -146,34 +164,39 @@ class Index:
         counts = self.first[found + 1] - self.first[found]
         rows = np.repeat(self.first[found] - np.append(0, np.cumsum(counts)[:-1]), counts) + np.arange(counts.sum())
         segment = self.posting_segment[rows].astype(np.int64)
-        diagonal = np.repeat(spots, counts) - self.posting_place[rows]
-        lengths = np.array([len(s) for s in self.segments])[segment]
-        allowed = np.minimum((ERROR_RATE * lengths).astype(int), np.maximum((0.9 * lengths - Q + 1) / Q, 0).astype(int))
-        half = 1 << np.ceil(np.log2(np.maximum(allowed, 1))).astype(np.int64)
-        band = diagonal // half
-        # each q-gram counts in the two bands that cover its diagonal
-        keys = np.concatenate([segment << 40 | (band + (1 << 32)), segment << 40 | (band - 1 + (1 << 32))])
-        bands, n = np.unique(keys, return_counts=True)
+        place = self.posting_place[rows].astype(np.int64)
+        diagonal = np.repeat(spots, counts) - place
+        band = diagonal // self.half[segment]
+        # a q-gram counts in the two bands that cover its diagonal, once for each place in the segment
+        keys = (segment << 40) + (1 << 32) + band
+        seen = np.unique(np.concatenate([keys << 7 | place, (keys - 1) << 7 | place]))
+        bands, n = np.unique(seen >> 7, return_counts=True)
         best: dict[int, list[int]] = {}
-        for key in bands[n >= np.maximum(self._bound(bands >> 40), 1)]:
+        done: set[int] = set()
+        for key in bands[n >= self.bound[bands >> 40]]:
             s = int(key >> 40)
-            pattern = self.segments[s]
-            k = budget(len(pattern))
-            step = 1 << int(np.ceil(np.log2(max(k, 1))))
-            lo = (int(key & ((1 << 40) - 1)) - (1 << 32)) * step
-            if (found_at := aligned(pattern, codes, lo - k, 2 * step + 2 * k, k)) is None:
+            if s in done:
                 continue
-            edits, start, end = found_at
-            if end <= start:
+            k, half = int(self.allowed[s]), int(self.half[s])
+            lo = (int(key & ((1 << 40) - 1)) - (1 << 32)) * half
+            spot = aligned(self.segments[s], codes, lo - k, 2 * half + 2 * k, k)
+            if spot is None or spot[2] <= spot[1]:
                 continue
-            start, end, item = int(at[start]), int(at[end - 1]) + 1, int(self.items[self.segment_item[s]])
-            old = best.get(item)
-            best[item] = [item, min(start, old[1]), max(end, old[2]), min(edits, old[3]), old[4] | {s}] if old else [item, start, end, edits, {s}]
-        return [[*b[:4], len(b[4])] for _, b in sorted(best.items())]
+            done.add(s)
+            edits, start, end = spot[0], int(at[spot[1]]), int(at[spot[2] - 1]) + 1
+            item = int(self.items[self.segment_item[s]])
+            old = best.get(item, [item, start, end, edits, 0])
+            best[item] = [item, min(start, old[1]), max(end, old[2]), min(edits, old[3]), old[4] + 1]
+        return [best[i] for i in sorted(best)]
+
 
-    def _bound(self, segment: np.ndarray) -> np.ndarray:
-        lengths = np.array([len(self.segments[int(s)]) for s in segment])
-        return lengths + 1 - Q * (np.array([budget(int(m)) for m in lengths]) + 1)
+def _matcher(held):
+    @F.pandas_udf("array<array<bigint>>")
+    def matches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([held.value.matches(t) for t in texts], dtype="object")
+
+    return matches
 
 
 def found_items(docs: DataFrame, benchmark: DataFrame) -> Column:
@@ -187,19 +210,14 @@ def found_items(docs: DataFrame, benchmark: DataFrame) -> Column:
         rows = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i).distinct().collect()]
         held = spark.sparkContext.broadcast(Index.of(sorted(rows)))
 
-        @F.pandas_udf("array<array<bigint>>")
-        def matches(batches: Iterator[pd.Series], held=held) -> Iterator[pd.Series]:
-            for texts in batches:
-                yield pd.Series([held.value.matches(t) for t in texts], dtype="object")
-
-        columns.append(matches(F.col("text")))
+        columns.append(_matcher(held)(F.col("text")))
     return columns[0] if len(columns) == 1 else F.concat(*columns)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start, end, edits, segments): one row for each item found in a text.
 
-    ``start`` and ``end`` cover the matching parts in code points of the text, ``edits`` is the
+    ``start`` and ``end`` cover the leftmost match of each matching segment, in code points of the text, ``edits`` is the
     fewest of any matching segment. Null and empty texts, and items with fewer than eight letters
     or digits, match nothing; equal items each match; repeated rows give repeated rows.
     """
