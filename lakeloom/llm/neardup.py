@@ -1,20 +1,24 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
-A document's signature has 64 components of 8 bits each, taken from 64 min-wise hashes of its
+A document's signature has 128 components of 8 bits each, taken from 128 min-wise hashes of its
 distinct word shingles. The first 32 components are cut into 8 chunks of 4. Two signatures that
 differ in at most 15 of those components differ in at most one component of some chunk
 (pigeonhole), so each chunk is filed once for every component left out of it: 32 keys find all
 pairs within that distance for certain. At a similarity of 0.75 a pair is missed with
-probability 2e-5, more similar ones less. Keys use the full 64-bit components, so unlike texts rarely meet.
+probability 2e-5, more similar ones less. Keys use 32 bits of each component, so unlike texts rarely meet.
 
 Pairs under a key are not all written out, which one large group would make quadratic:
 
 1. documents with equal shingle sets form a class; only its smallest id goes on;
 2. each key links its members to its smallest and largest member, and components of the
-   confirmed links are found;
-3. keys whose members are still in several components are compared in blocks of bounded size,
-   across components only and never within a key's largest component; pairs whose 64
-   components differ in at most 31 places (missed at 0.75: 1e-5) go on.
+   confirmed links are found; while that joins many, keys whose members are still in several
+   components do the same with a few other members;
+3. members of keys that are still in several components gather around the component that is the
+   largest in most of their keys, and are compared there on their full sets in blocks of bounded
+   size, across components only; one link to a component is enough;
+4. what else still meets under a key, in different components and different gatherings, is
+   compared in blocks likewise, by signatures first: pairs whose 128 components differ in at
+   most 53 places (missed at 0.75: 1e-5) go on.
 
 Every link is confirmed on the full shingle sets. Pairs left out are between members that are
 already in one component, so components are those of all links.
@@ -34,10 +38,12 @@ from .common import WordHashes, connected_components, gram_hashes, hashes_of, mi
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 75
-COMPONENTS = 64
+COMPONENTS = 128
 CHUNKS, CHUNK = 8, 4
-SIGNATURE_DISTANCE = 31
-BLOCK = 512
+SIGNATURE_DISTANCE = 53
+BLOCK = 256
+#: Members that each open key compares with in a round, and the most rounds of it.
+PIVOTS, ROUNDS = 4, 4
 
 _SIGNED = "doc_id long, n_shingles long, set_hi long, set_lo long, signature binary, keys array<long>"
 
@@ -48,10 +54,10 @@ def shingle_set(text: str | None, cache: WordHashes, k: int = SHINGLE_WORDS) ->
 
 
 def minima(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
-    low = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(shingles), 2048):
-        np.minimum(low, (shingles[i : i + 2048, None] * factors + shifts).min(0), out=low)
-    return low
+    x, low = (shingles >> np.uint64(32)).astype(np.uint32), np.full(len(factors), np.iinfo(np.uint32).max, np.uint32)
+    for i in range(0, len(x), 1024):
+        np.minimum(low, (x[None, i : i + 1024] * factors[:, None] + shifts[:, None]).min(1), out=low)
+    return low.astype(np.uint64)
 
 
 def chunk_keys(low: np.ndarray) -> np.ndarray:
@@ -64,7 +70,7 @@ def chunk_keys(low: np.ndarray) -> np.ndarray:
 
 def _sign(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, factors, shifts = WordHashes(), odd_numbers(COMPONENTS, 1), odd_numbers(COMPONENTS, 2)
+        cache, (factors, shifts) = WordHashes(), (odd_numbers(COMPONENTS, i).astype(np.uint32) for i in (1, 2))
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -83,36 +89,62 @@ def _sign(k: int):
     return run
 
 
-def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by cell; a cell has at most two blocks, so little is held at a time."""
+def _by_cell(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by ``columns``; a cell has two blocks at most, so little is held at a time."""
     held: list[pd.DataFrame] = []
+    for batch in batches:
+        frame = pd.concat([*held, batch], ignore_index=True)
+        cell = frame[columns].to_numpy()
+        edges = [0, *(np.flatnonzero(np.any(cell[1:] != cell[:-1], 1)) + 1), len(frame)]
+        parts = [frame.iloc[lo:hi] for lo, hi in zip(edges, edges[1:], strict=False) if hi > lo]
+        held = parts[-1:]
+        yield from parts[:-1]
+    yield from held
+
 
-    def pairs(cell: pd.DataFrame) -> pd.DataFrame | None:
+def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of a key whose signatures are near, across components and gatherings."""
+    for cell in _by_cell(batches, ["key", "cell"]):
         sig = np.frombuffer(b"".join(cell["signature"]), np.uint8).reshape(len(cell), -1)
-        ids, comp, n = cell["id"].to_numpy(), cell["component"].to_numpy(), cell["n_shingles"].to_numpy()
+        ids, comp, home, n = (cell[c].to_numpy() for c in ("id", "component", "home", "n_shingles"))
         found = []
         for i in range(len(cell) - 1):
-            j = i + 1 + np.flatnonzero(comp[i + 1 :] != comp[i])
+            j = i + 1 + np.flatnonzero((comp[i + 1 :] != comp[i]) & (home[i + 1 :] != home[i]))
             j = j[100 * np.minimum(n[j], n[i]) >= SIMILARITY_PERCENT * np.maximum(n[j], n[i])]
             j = j[(sig[j] != sig[i]).sum(1) <= SIGNATURE_DISTANCE]
             if len(j):
                 found.append(np.stack([np.minimum(ids[j], ids[i]), np.maximum(ids[j], ids[i])], 1))
-        return pd.DataFrame(np.concatenate(found), columns=["a", "b"]) if found else None
+        if found:
+            yield pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
-    def cells(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        edges = np.flatnonzero(np.any(frame[["key", "cell"]].to_numpy()[1:] != frame[["key", "cell"]].to_numpy()[:-1], 1)) + 1
-        edges = [0, *edges, len(frame)]
-        for lo, hi in zip(edges, edges[1:], strict=False):
-            yield frame.iloc[lo:hi]
 
-    for batch in batches:
-        *done, last = cells(pd.concat([*held, batch], ignore_index=True))
-        held = [last]
-        out = [p for c in done if len(c) > 1 and (p := pairs(c)) is not None]
-        if out:
-            yield pd.concat(out)
-    if held and len(held[0]) > 1 and (p := pairs(held[0])) is not None:
-        yield p
+def _gathered(k: int, percent: int):
+    """Links of a gathering's cells on full sets: for each member, one to each other component."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = WordHashes()
+        for cell in _by_cell(batches, ["home", "cell"]):
+            comp, ids = cell["component"].to_numpy(), cell["id"].to_numpy()
+            if (comp == comp[0]).all():
+                continue
+            sets = [shingle_set(t, cache, k) for t in cell["text"]]
+            n = np.array([len(s) for s in sets])
+            every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+            order = np.argsort(every, kind="stable")
+            every, owner = every[order], owner[order]
+            found = []
+            for i in np.flatnonzero(comp != cell["home"].iloc[0]):
+                lo, hi = np.searchsorted(every, sets[i], "left"), np.searchsorted(every, sets[i], "right")
+                size = hi - lo
+                rows = np.repeat(lo - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
+                both = np.bincount(owner[rows], minlength=len(sets))
+                j = np.flatnonzero((100 * both >= percent * (n + n[i] - both)) & (comp != comp[i]))
+                j = j[np.unique(comp[j], return_index=True)[1]]
+                found += [(min(ids[i], x), max(ids[i], x)) for x in ids[j]]
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"])
+
+    return run
 
 
 def _linked(k: int, percent: int):
@@ -140,6 +172,28 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int, name: st
     return written(with_texts.mapInPandas(_linked(k, percent), "a long, b long"), name)
 
 
+def _in_cells(rows: DataFrame, giant: str, columns: list[str]) -> DataFrame:
+    """Deal the rows of each group to cells of at most two blocks, so that each pair shares one.
+
+    ``n_giant`` of the group's ``total`` rows are of its largest component ``giant``; pairs within that need no cell.
+    """
+    blocks = rows.withColumn("rest_blocks", F.ceil((F.col("total") - F.col("n_giant")) / F.lit(BLOCK))).withColumn(
+        "giant_blocks", F.greatest(F.ceil(F.col("n_giant") / F.lit(BLOCK)), F.lit(1))
+    )
+    block = F.expr(f"if(component = {giant}, rest_blocks + pmod(xxhash64(id), giant_blocks), pmod(xxhash64(id), rest_blocks))")
+    cell = F.expr(f"""case when rest_blocks = 1 and giant_blocks = 1 then array(0L)
+        when component = {giant} then transform(sequence(0L, rest_blocks - 1), x -> x * 1000000000L + block)
+        else transform(sequence(0L, rest_blocks + giant_blocks - 1), x -> least(block, x) * 1000000000L + greatest(block, x)) end""")
+    return blocks.withColumn("block", block).select(*columns, F.explode(cell).alias("cell"))
+
+
+def _open_rows(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, id, component) of the keys whose members are in several components."""
+    placed = buckets.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    return placed.join(several, "key", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one row per row of ``docs`` (doc_id, text, ...).
 
@@ -174,39 +228,67 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = SIMI
         .distinct()
     )
     signatures = leaders.select("id", "n_shingles", "signature")
-    star = near_by_signature(star, signatures, percent)
-    links = confirmed(star, texts, k, percent, "links")
+    signatures = leaders.select("id", "n_shingles", "signature")
+    links = confirmed(near_by_signature(star, signatures, percent), texts, k, percent, "links")
     first = connected_components(links, "first")
-    placed = buckets.select("key", "id").join(first, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    placed = written(placed, "placed")
-    counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    open_keys = (
-        counts.groupBy("key")
-        .agg(F.max_by("component", F.struct("n", "component")).alias("giant"), F.sum("n").alias("total"), F.max("n").alias("n_giant"))
-        .where("total > n_giant")
-        .select(
-            "key",
-            "giant",
-            F.ceil((F.col("total") - F.col("n_giant")) / F.lit(BLOCK)).alias("rest_blocks"),
-            F.ceil(F.col("n_giant") / F.lit(BLOCK)).alias("giant_blocks"),
+    placed = written(_open_rows(buckets, first), "placed")
+    for turn in range(ROUNDS):
+        seeds = np.random.default_rng(turn).integers(0, 1 << 62, PIVOTS)
+        pivots = placed.groupBy("key").agg(F.array(*[F.min(F.expr(f"id ^ {s}")).bitwiseXOR(F.lit(int(s))) for s in seeds]).alias("pivots"))
+        tried = (
+            placed.join(pivots, "key")
+            .select(F.col("id").alias("a"), "component", F.explode("pivots").alias("b"))
+            .distinct()
+            .join(first.select(F.col("id").alias("b"), F.col("component").alias("other")), "b", "left")
+            .where("component <> coalesce(other, b)")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            .distinct()
         )
+        links = confirmed(near_by_signature(tried, signatures, percent), texts, k, percent, "links")
+        found = links.count()
+        if not found:
+            break
+        first = connected_components(links.union(first.select("id", "component")), "first")
+        rows_before = placed.count()
+        placed = written(_open_rows(placed.select("key", "id"), first), "placed")
+        if placed.count() > 0.8 * rows_before:
+            break
+    # the largest component of each open key, and of the keys of each member
+    counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    open_keys = counts.groupBy("key").agg(
+        F.max("n").alias("n_giant"), F.sum("n").alias("total"), F.max_by("component", F.struct("n", "component")).alias("giant")
+    )
+    members = placed.join(open_keys, "key")
+    homes = (
+        members.groupBy("id", "component", "giant")
+        .agg(F.count("*").alias("n"))
+        .groupBy("id", "component")
+        .agg(F.max_by("giant", F.struct("n", "giant")).alias("home"))
+    )
+    homes = written(homes, "homes")
+    sizes = homes.groupBy("home").agg(F.count_if(F.col("component") == F.col("home")).alias("n_giant"), F.count("*").alias("total"))
+    gathered = _in_cells(homes.join(sizes.where("total > n_giant"), "home"), "home", ["home", "id", "component"])
+    close = (
+        gathered.join(texts, "id")
+        .repartition("home", "cell")
+        .sortWithinPartitions("home", "cell")
+        .select("home", "cell", "id", "component", "text")
+        .mapInPandas(_gathered(k, percent), "a long, b long")
     )
-    members = placed.join(open_keys, "key").join(signatures, "id")
-    block = F.expr("if(component = giant, rest_blocks + pmod(xxhash64(id), giant_blocks), pmod(xxhash64(id), rest_blocks))")
-    cell = "struct(least(block, x) as lo, greatest(block, x) as hi)"
-    others = f"""case when rest_blocks = 1 and giant_blocks = 1 then array(0L)
-        when component = giant then transform(sequence(0L, rest_blocks - 1), x -> x * 1000000000L + block)
-        else transform(sequence(0L, rest_blocks + giant_blocks - 1), x -> {cell}.lo * 1000000000L + {cell}.hi) end"""
-    cells = members.withColumn("block", block).select("key", "id", "component", "n_shingles", "signature", F.explode(F.expr(others)).alias("cell"))
+    apart = members.join(homes.select("id", "home"), "id")
+    mixed = apart.groupBy("key").agg(F.min("home").alias("lo"), F.max("home").alias("hi")).where("lo <> hi").select("key")
+    cells = _in_cells(apart.join(mixed, "key", "left_semi"), "giant", ["key", "id", "component", "home"])
     late = (
-        cells.repartition("key", "cell")
+        cells.join(signatures, "id")
+        .repartition("key", "cell")
         .sortWithinPartitions("key", "cell")
-        .select("key", "cell", "id", "component", "n_shingles", "signature")
+        .select("key", "cell", "id", "component", "home", "n_shingles", "signature")
         .mapInPandas(_compare, "a long, b long")
         .distinct()
     )
+    close = written(close, "close-links")
     more = confirmed(late, texts, k, percent, "more-links")
-    components = connected_components(links.union(more).union(first.select("id", "component")), "all")
+    components = connected_components(more.union(close).union(first.select("id", "component")), "all")
     by_class = classes.join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "set_hi", "set_lo", F.coalesce("component", "doc_id").alias("component")
     )
