@@ -30,6 +30,10 @@ def _zipped(array: str, by: int, f) -> Column:
     return F.zip_with(F.slice(F.col(array), F.lit(1), n), F.slice(F.col(array), F.lit(1 + by), n), f)
 
 
+def _rolled(power: int):
+    return lambda x, y: (x * F.lit(power) + y) % PRIME
+
+
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """``df`` with packed fingerprints (hash << 31 | PRIME - position) of ``text``, by position.
 
@@ -43,12 +47,12 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     df = df.withColumn(h, F.when(F.size(h) < K, F.when(F.size(h) > 0, F.array_repeat(whole, F.lit(K))).otherwise(F.col(h))).otherwise(F.col(h)))
     gram = h
     while n < K:
-        df = df.withColumn(f"{h}{n}", _zipped(gram, n, lambda x, y, p=power: (x * F.lit(p) + y) % PRIME))
+        df = df.withColumn(f"{h}{n}", _zipped(gram, n, _rolled(power)))
         gram, n, power = f"{h}{n}", 2 * n, power * power % PRIME
     df = df.withColumn(packed, F.transform(gram, lambda x, i: x * F.lit(1 << 31) + (F.lit(PRIME) - i)))
     low, n = packed, 1
     while n < W:
-        df = df.withColumn(f"{packed}{n}", _zipped(low, n, F.least))
+        df = df.withColumn(f"{packed}{n}", _zipped(low, n, lambda x, y: F.least(x, y)))
         low, n = f"{packed}{n}", 2 * n
     one = F.when(F.size(packed) > 0, F.array(F.array_min(packed))).otherwise(F.col(packed))
     df = df.withColumn(name, F.when(F.size(packed) >= W, F.array_distinct(low)).otherwise(one))
