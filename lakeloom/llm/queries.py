@@ -12,6 +12,7 @@ from .neardup import near_duplicates
 from .pii import personal_data
 from .quality import quality_scores
 from .secrets import findings
+from .suffixes import repeated_passages
 from .toxicity import toxicity_scores
 from .winnow import fingerprints
 
@@ -32,6 +33,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_mixing,
         op2_secret_scan,
         op3_pii,
+        op4_suffix_dedup,
         op6_quality,
         op7_toxicity,
         op8_winnowing,
