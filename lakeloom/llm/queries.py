@@ -14,6 +14,7 @@ from .quality import quality_scores
 from .secrets import findings
 from .suffixes import repeated_passages
 from .toxicity import toxicity_scores
+from .warc import archived
 from .winnow import fingerprints
 
 
@@ -37,6 +38,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_secret_scan,
         op3_pii,
         op4_suffix_dedup,
+        op5_warc,
         op6_quality,
         op7_toxicity,
         op8_winnowing,
@@ -72,4 +78,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc": """
+        with sized as (
+            select page_id, coalesce(html, '') as payload, octet_length(encode(coalesce(html, ''))) as n from pages
+        ),
+        named as (
+            select *, case when n >= 1000 and page_id is not null then max(page_id) over (partition by payload) end as newest from sized
+        )
+        select page_id, n::bigint as payload_bytes, sha1(payload) as payload_digest,
+            case when newest <> page_id then 'revisit' else 'response' end as record_type,
+            case when newest <> page_id then newest end as refers_to
+        from named
+    """,
+}
