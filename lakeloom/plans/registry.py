@@ -2,22 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .catalog import ORACLE_SQL, QUERIES, query
+from . import commerce, dimensions, engagement, identities, primitives, qualities, texts  # noqa: F401  they register their queries
 
-from pyspark.sql import DataFrame, SparkSession
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES", "query"]
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
 FLAGSHIP = "latest_event_per_user"
-
-
-def query(sql: str | None = None):
-    """Register a function (spark, sf_dir) under its own name, with its SQL if there is one."""
-
-    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
