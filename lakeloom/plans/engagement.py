@@ -160,9 +160,11 @@ def risk_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    select strftime(date_trunc('week', ts), '%Y-%m-%d') as week, event_type, count(*) as n, count(distinct user_id) as users, round(sum(value), 2) as total, round(avg(value), 4) as mean from events group by all
+    select strftime(date_trunc('week', ts), '%Y-%m-%d') as week, event_type, count(*) as n, count(distinct user_id) as users, sum(value::decimal(18, 2))::double as total, sum(value::decimal(18, 2))::double / count(*) as mean from events group by all
 """)
 def chart_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The aggregates that charts use, at week grain."""
     week = F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd")
-    return table(spark, sf_dir, "events").groupBy(week.alias("week"), "event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"), F.round(F.sum("value"), 2).alias("total"), F.round(F.avg("value"), 4).alias("mean"))
+    # sums of decimals are exact, whatever the order of the rows
+    total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
+    return table(spark, sf_dir, "events").groupBy(week.alias("week"), "event_type").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"), total.alias("total"), (total / F.count("*")).alias("mean"))

@@ -155,7 +155,7 @@ def null_safe_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    select l_returnflag, l_linestatus, round(sum(l_quantity), 2) as sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) as sum_disc_price,
+    select l_returnflag, l_linestatus, round(sum(l_quantity), 2) as sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 4) as sum_disc_price,
         round(avg(l_discount), 6) as avg_disc, count(*) as n, count(distinct l_suppkey) as n_suppliers, count(distinct case when l_discount > 0.05 then l_partkey end) as n_discounted_parts,
         count(*) filter (where l_quantity > 25) as n_large, min(l_shipdate)::date::varchar as first_ship, bool_or(l_tax > 0.079) as any_high_tax,
         sum(l_quantity) filter (where l_tax = 0) as untaxed_qty, round(100.0 * count(*) filter (where l_quantity > 25) / nullif(count(*), 0), 1) as pct_large
@@ -165,7 +165,7 @@ def conditional_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     large = F.count_if(F.col("l_quantity") > 25)
     return table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
         F.round(F.sum("l_quantity"), 2).alias("sum_qty"),
-        F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("sum_disc_price"),
+        F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4).alias("sum_disc_price"),
         F.round(F.avg("l_discount"), 6).alias("avg_disc"),
         F.count("*").alias("n"),
         F.count_distinct("l_suppkey").alias("n_suppliers"),
