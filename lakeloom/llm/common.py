@@ -51,8 +51,9 @@ def remove(spark: SparkSession, *tables: DataFrame) -> None:
 
 
 def pick(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns, also where the input holds others with clashing case or dots."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+    """The named columns, also where the input holds others whose names differ in case alone."""
+    by_place = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return by_place.select(*[F.col(f"c{df.columns.index(c)}").alias(c) for c in columns])
 
 
 class WordHashes(dict):
