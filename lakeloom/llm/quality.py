@@ -2,8 +2,9 @@
 
 Each word has a sparse random index vector made from its hash. A word's context vector is the sum
 of the index vectors of its neighbours over the sample that the classifier is fitted to; rare
-and unseen words share the context of their shape (case, digits, punctuation). A document is the
-mean of its words' vectors. A two-layer numpy network, whose probabilities are calibrated by a
+and unseen words share the context of their shape (case, digits, punctuation). A document is pooled
+to the mean of its words' vectors, their spread about it in each dimension, the mean's length and
+the share of words that repeat the one before: monotonous text has a long mean and little spread. A two-layer numpy network, whose probabilities are calibrated by a
 temperature fitted to sample rows that it was not trained on, scores every whole text.
 """
 
@@ -24,6 +25,7 @@ from .common import pick
 from .labelled import Sample, is_held_out, labelled_sample
 
 DIMENSIONS, NONZERO, WINDOW, HIDDEN = 128, 8, 2, 32
+POOLED = 2 * DIMENSIONS + 2
 #: A word with fewer occurrences in the sample goes by its shape.
 LEAST = 5
 SAMPLE_ROWS, SAMPLE_CHARS = 2500, 20_000
@@ -68,12 +70,15 @@ class Quality:
         return np.array([i if (i := get(t)) is not None else rows.get(shape(t), 0) for t in tokens(text)], np.int64)
 
     def pooled(self, text: str | None) -> np.ndarray:
-        """The mean word vector; zeros for a text without words."""
+        """Mean, spread, length of the mean and share of repeats; zeros for a text without words."""
         ids = self.ids(text)
         if not len(ids):
-            return np.zeros(DIMENSIONS, np.float32)
+            return np.zeros(POOLED, np.float32)
         at, n = np.unique(ids, return_counts=True)
-        return (n.astype(np.float32) @ self.vectors[at]) / len(ids)
+        share, rows = (n / len(ids)).astype(np.float32), self.vectors[at]
+        mean = share @ rows
+        spread = np.sqrt(np.maximum(share @ (rows * rows) - mean * mean, 0))
+        return np.concatenate([mean, spread, [np.linalg.norm(mean), np.mean(ids[1:] == ids[:-1]) if len(ids) > 1 else 0]], dtype=np.float32)
 
     def scores(self, pooled: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-(_forward(self.layers, pooled)[1] / self.temperature + self.bias)))
@@ -103,10 +108,10 @@ def _vectors(texts: list[str]) -> tuple[dict[str, int], np.ndarray]:
     return rows, (context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-6)).astype(np.float32)
 
 
-def fit(sample: Sample, epochs: int = 60, rate: float = 0.005, l2: float = 1e-3, seed: int = 3) -> Quality:
+def fit(sample: Sample, epochs: int = 30, rate: float = 0.005, l2: float = 1e-3, seed: int = 3) -> Quality:
     """Fit to the sample; one without both classes gives a model that scores every text alike."""
     if not sample.usable:
-        layers = [np.zeros(DIMENSIONS), np.ones(DIMENSIONS), np.zeros((DIMENSIONS, 1)), np.zeros(1), np.zeros(1), np.zeros(1)]
+        layers = [np.zeros(POOLED), np.ones(POOLED), np.zeros((POOLED, 1)), np.zeros(1), np.zeros(1), np.zeros(1)]
         return Quality({}, np.zeros((1, DIMENSIONS), np.float32), layers, 1.0, 0.0)
     rows, vectors = _vectors(sample.texts)
     model = Quality(rows, vectors, [], 1.0, 0.0)
@@ -116,7 +121,7 @@ def fit(sample: Sample, epochs: int = 60, rate: float = 0.005, l2: float = 1e-3,
     share = y[~aside].mean()
     weight = np.where(y == 1, sample.prior / max(y.mean(), 1e-9), (1 - sample.prior) / max(1 - y.mean(), 1e-9))
     mean, std = x[~aside].mean(0), x[~aside].std(0) + 1e-4
-    w1 = rng.normal(0, 1 / np.sqrt(DIMENSIONS), (DIMENSIONS, HIDDEN))
+    w1 = rng.normal(0, 1 / np.sqrt(POOLED), (POOLED, HIDDEN))
     params = [w1, np.zeros(HIDDEN), rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.array([np.log((share + 1e-3) / (1 - share + 1e-3))])]
     m, v, step = [0 * p for p in params], [0 * p for p in params], 0
     train = np.flatnonzero(~aside)
