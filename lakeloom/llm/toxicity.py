@@ -1,6 +1,6 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-The presence of an n-gram (3 to 5 characters of the lower-cased text) counts as its log-count
+The presence of an n-gram (4 to 7 characters of the lower-cased text) counts as its log-count
 ratio between toxic and other texts; a logistic regression on these values is fitted to a
 bounded labelled sample and scores every whole text in the tasks.
 """
@@ -19,8 +19,8 @@ from .common import pick
 from .labelled import Sample, is_held_out, labelled_sample
 
 BITS = 20
-LENGTHS = (3, 4, 5)
-FEATURES = 3000
+LENGTHS = (4, 5, 6, 7)
+FEATURES = 2000
 #: The fit takes this many rows of each class at most, of texts up to so many characters.
 SAMPLE_ROWS, SAMPLE_CHARS = 3000, 20_000
 THRESHOLD = 0.5
@@ -56,7 +56,7 @@ class Toxicity:
         return float(1 / (1 + np.exp(-(self.bias + self.weights[self.features(text)].sum()))))
 
 
-def fit(sample: Sample, features: int = FEATURES, alpha: float = 0.5, l2: float = 2.0, rounds: int = 200) -> Toxicity:
+def fit(sample: Sample, features: int = FEATURES, alpha: float = 0.5, l2: float = 1.0, rounds: int = 200) -> Toxicity:
     """Naive Bayes ratios, then logistic regression by gradient steps with Adam.
 
     A sample without both classes gives a model that scores every text 0.
