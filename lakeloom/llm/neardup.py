@@ -228,7 +228,6 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = SIMI
         .distinct()
     )
     signatures = leaders.select("id", "n_shingles", "signature")
-    signatures = leaders.select("id", "n_shingles", "signature")
     links = confirmed(near_by_signature(star, signatures, percent), texts, k, percent, "links")
     first = connected_components(links, "first")
     placed = written(_open_rows(buckets, first), "placed")
