@@ -108,8 +108,11 @@ def _vectors(texts: list[str]) -> tuple[dict[str, int], np.ndarray]:
     return rows, (context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-6)).astype(np.float32)
 
 
-def fit(sample: Sample, epochs: int = 30, rate: float = 0.005, l2: float = 1e-3, seed: int = 3) -> Quality:
-    """Fit to the sample; one without both classes gives a model that scores every text alike."""
+def fit(sample: Sample, epochs: int = 30, rate: float = 0.005, decay: float = 8.0, seed: int = 3) -> Quality:
+    """Fit to the sample; one without both classes gives a model that scores every text alike.
+
+    ``decay`` is the weights' penalty beside that of all rows together, so it fades as the sample grows.
+    """
     if not sample.usable:
         layers = [np.zeros(POOLED), np.ones(POOLED), np.zeros((POOLED, 1)), np.zeros(1), np.zeros(1), np.zeros(1)]
         return Quality({}, np.zeros((1, DIMENSIONS), np.float32), layers, 1.0, 0.0)
@@ -123,7 +126,7 @@ def fit(sample: Sample, epochs: int = 30, rate: float = 0.005, l2: float = 1e-3,
     mean, std = x[~aside].mean(0), x[~aside].std(0) + 1e-4
     w1 = rng.normal(0, 1 / np.sqrt(POOLED), (POOLED, HIDDEN))
     params = [w1, np.zeros(HIDDEN), rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.array([np.log((share + 1e-3) / (1 - share + 1e-3))])]
-    m, v, step = [0 * p for p in params], [0 * p for p in params], 0
+    m, v, step, l2 = [0 * p for p in params], [0 * p for p in params], 0, decay / len(y)
     train = np.flatnonzero(~aside)
     for _ in range(epochs):
         for part in np.array_split(rng.permutation(train), max(1, len(train) // 64)):
