@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lakeloom.llm import quality, secrets, toxicity
 from lakeloom.llm.labelled import labelled_sample
 
-BIG = "/root/testdata/sf0.01"
+#: The smaller tables have too few rows of the rarer class in the held-out fold.
+BIG = "/root/testdata/sf0.1"
 
 
 def area(rows):
@@ -17,7 +18,7 @@ def area(rows):
     return sum((a > b) + (a == b) / 2 for a in ones for b in zeros) / (len(ones) * len(zeros))
 
 
-@pytest.mark.parametrize("score,label,least", [(toxicity.toxicity_scores, "toxic", 0.97), (quality.quality_scores, "quality", 0.95)])
+@pytest.mark.parametrize("score,label,least", [(toxicity.toxicity_scores, "toxic", 0.98), (quality.quality_scores, "quality", 0.98)])
 def test_held_out(spark, score, label, least):
     docs, labels = (spark.read.parquet(f"{BIG}/{n}.parquet") for n in ("documents", "labels"))
     out = score(docs, labels).join(labels, "doc_id").where("held_out").select("score", label, "predicted").collect()
