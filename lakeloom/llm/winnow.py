@@ -24,21 +24,25 @@ BASE = 1_000_003
 NO_ID = -(1 << 63)
 
 
-def _zipped(array: str, by: int, f) -> Column:
-    """f of each element and the one ``by`` places on, as far as both go."""
-    n = F.greatest(F.size(array) - by, F.lit(0))
-    return F.zip_with(F.slice(F.col(array), F.lit(1), n), F.slice(F.col(array), F.lit(1 + by), n), f)
+def _with_next(array: str, by: int, f) -> Column:
+    """f of each element, the one ``by`` places on (null beyond the end) and the place."""
+    return F.transform(array, lambda x, i: f(x, F.get(F.col(array), i + by), i))
 
 
 def _rolled(power: int):
-    return lambda x, y: (x * F.lit(power) + y) % PRIME
+    return lambda x, y, i: (x * F.lit(power) + y) % PRIME
+
+
+def _packed(power: int):
+    return lambda x, y, i: (x * F.lit(power) + y) % PRIME * F.lit(1 << 31) + (F.lit(PRIME) - i)
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """``df`` with packed fingerprints (hash << 31 | PRIME - position) of ``text``, by position.
 
     Null and wordless texts have none; fewer tokens than K make one gram of them all, fewer grams
-    than W one window. Each step is a column of its own, so nothing is computed twice.
+    than W one window. Each step is a column of its own, so nothing is computed twice. What reaches
+    beyond the last gram is null, which a minimum passes over; windows that do so are cut off at the end.
     """
     h, packed, n, power = f"{name}_h", f"{name}_p", 1, BASE
     tokens = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN), F.lit(0))
@@ -46,16 +50,17 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     whole = F.aggregate(h, F.lit(7).cast("long"), lambda a, x: (a * BASE + x) % PRIME)
     df = df.withColumn(h, F.when(F.size(h) < K, F.when(F.size(h) > 0, F.array_repeat(whole, F.lit(K))).otherwise(F.col(h))).otherwise(F.col(h)))
     gram = h
-    while n < K:
-        df = df.withColumn(f"{h}{n}", _zipped(gram, n, _rolled(power)))
+    while 2 * n < K:
+        df = df.withColumn(f"{h}{n}", _with_next(gram, n, _rolled(power)))
         gram, n, power = f"{h}{n}", 2 * n, power * power % PRIME
-    df = df.withColumn(packed, F.transform(gram, lambda x, i: x * F.lit(1 << 31) + (F.lit(PRIME) - i)))
+    df = df.withColumn(packed, _with_next(gram, n, _packed(power)))
     low, n = packed, 1
     while n < W:
-        df = df.withColumn(f"{packed}{n}", _zipped(low, n, lambda x, y: F.least(x, y)))
+        df = df.withColumn(f"{packed}{n}", _with_next(low, n, lambda x, y, i: F.least(x, y)))
         low, n = f"{packed}{n}", 2 * n
-    one = F.when(F.size(packed) > 0, F.array(F.array_min(packed))).otherwise(F.col(packed))
-    df = df.withColumn(name, F.when(F.size(packed) >= W, F.array_distinct(low)).otherwise(one))
+    windows = F.size(h) - (K + W - 2)
+    one = F.when(F.size(h) > 0, F.array(F.array_min(packed))).otherwise(F.slice(packed, 1, 0))
+    df = df.withColumn(name, F.when(windows > 0, F.array_distinct(F.slice(F.col(low), F.lit(1), windows))).otherwise(one))
     return df.drop(*[c for c in df.columns if c.startswith((f"{name}_h", f"{name}_p"))])
 
 
@@ -98,17 +103,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     null text counts as empty, a null doc_id as the least id. A single document follows itself.
     """
     docs = pick(docs, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    # the one shuffle of whole texts; both joins below read it
-    texts = docs.groupBy("id").agg(F.min("text").alias("text"))
+    # the one shuffle of whole texts, with their fingerprints; both joins below read it
+    texts = with_fingerprint(docs, "text", "own").groupBy("id").agg(F.min(F.struct("text", "own")).alias("least")).select("id", "least.text", "least.own")
     asked = followers(docs.groupBy("id").agg(F.max(F.length("text")).alias("n")))
     asked = asked.select(F.col("id").alias("for_id"), F.col("next_id").alias("id"), F.expr("n div 4").cast("int").alias("most"))
-    lent = with_fingerprint(texts.join(asked, "id"), "text", "next")
-    lent = lent.select(F.col("for_id").alias("id"), F.expr("left(text, most)").alias("lent"), hash_set(F.col("next")).alias("next"))
+    lent = texts.join(asked, "id").select(F.col("for_id").alias("id"), F.expr("left(text, most)").alias("lent"), hash_set(F.col("own")).alias("next"))
     rows = texts.join(lent, "id").withColumn("n_chars", F.length("text").cast("long"))
     tail = F.expr("cast(n_chars div 4 as int)")
     rows = rows.withColumn("edited", F.concat(F.expr("left(text, cast(n_chars as int) - cast(n_chars div 4 as int))"), F.left(F.col("lent"), tail)))
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
-    rows = with_fingerprint(with_fingerprint(rows, "text", "own"), "edited", "changed")
+    rows = with_fingerprint(rows, "edited", "changed")
     rows = rows.withColumn("own_set", hash_set(F.col("own"))).withColumn("changed_set", hash_set(F.col("changed")))
     rows = rows.withColumn("both_edited", F.size(F.array_intersect("own_set", "changed_set"))).withColumn("both_next", F.size(F.array_intersect("own_set", "next")))
     return rows.select(
