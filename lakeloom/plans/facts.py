@@ -38,11 +38,11 @@ def enrollment_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     with c as (
-        select 'edx' as source, event_id as id, case when event_id % 9 <> 0 then user_id end as who, event_id % 13 as run, ts from events where event_type = 'purchase'
-        union all select 'micro', event_id, case when event_id % 7 <> 0 then user_id end, event_id % 13, ts from events where event_type = 'click'
+        select 'campus' as source, event_id as id, case when event_id % 9 <> 0 then user_id end as who, event_id % 13 as run, ts from events where event_type = 'purchase'
+        union all select 'partner', event_id, case when event_id % 7 <> 0 then user_id end, event_id % 13, ts from events where event_type = 'click'
     )
     select source, id, who, run from c
-    qualify row_number() over (partition by case when who is not null then 'k|' || who || '|' || run else 'i|' || source || '|' || id end order by case source when 'edx' then 0 else 1 end, ts desc nulls last, id) = 1
+    qualify row_number() over (partition by case when who is not null then 'k|' || who || '|' || run else 'i|' || source || '|' || id end order by case source when 'campus' then 0 else 1 end, ts desc nulls last, id) = 1
 """)
 def certificates_across_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One certificate for each person and run, from the preferred source; those of unknown people by their own id."""
@@ -52,8 +52,8 @@ def certificates_across_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         who = F.when(F.col("event_id") % known != 0, F.col("user_id"))
         return events.where(F.col("event_type") == kind).select(F.lit(source).alias("source"), F.col("event_id").alias("id"), who.alias("who"), (F.col("event_id") % 13).alias("run"), "ts")
 
-    rows = of("purchase", "edx", 9).unionByName(of("click", "micro", 7))
-    return facts.across_sources(rows, ["who", "run"], "id", "source", ["edx", "micro"], "ts", "id").select("source", "id", "who", "run")
+    rows = of("purchase", "campus", 9).unionByName(of("click", "partner", 7))
+    return facts.across_sources(rows, ["who", "run"], "id", "source", ["campus", "partner"], "ts", "id").select("source", "id", "who", "run")
 
 
 @query("""

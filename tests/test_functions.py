@@ -49,11 +49,11 @@ def test_null_and_empty_have_other_digests(spark):
 
 
 def test_course_ids(spark):
-    v1 = "course-v1:MITx+6.00+1T2024"
-    rows = [(v1,), ("MITx/6.00/1T2024",)]
-    assert values(spark, "s string", rows, course_ids.to_slashes("s")) == ["MITx/6.00/1T2024"] * 2
+    v1 = "course-v1:OrgX+6.00+1T2024"
+    rows = [(v1,), ("OrgX/6.00/1T2024",)]
+    assert values(spark, "s string", rows, course_ids.to_slashes("s")) == ["OrgX/6.00/1T2024"] * 2
     assert values(spark, "s string", rows, course_ids.to_v1("s")) == [v1] * 2
-    assert values(spark, "s string", rows, course_ids.without_run("s")) == ["course-v1:MITx+6.00", "MITx/6.00"]
+    assert values(spark, "s string", rows, course_ids.without_run("s")) == ["course-v1:OrgX+6.00", "OrgX/6.00"]
     assert values(spark, "s string", rows, course_ids.run_tag("s")) == ["1T2024"] * 2
     events = [('{"course_id": "%s"}' % v1, "x", "y"), ('{"course_id": ""}', f"/courses/{v1}/about", None), (None, "/courses/a/b/c/x", None), (None, "page", f"http://h/courses/{v1}/?q")]
     found = values(spark, "c string, t string, p string", events, course_ids.course_of_event("c", "t", "p"))
