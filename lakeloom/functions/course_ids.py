@@ -52,8 +52,8 @@ def run_tag(course: Column | str) -> Column:
     return F.element_at(F.split(_c(course), "[+/]"), -1)
 
 
-def platform_of(course: Column | str, platforms: dict[str, str], other: str) -> Column:
-    """The platform whose prefix the key starts with, in the order given."""
+def platform_of(course: Column | str, platforms: dict[str, str], other: str | None = None) -> Column:
+    """The platform whose prefix the key starts with, in the order given; null, or ``other``, if there is none."""
     out = None
     for prefix, name in platforms.items():
         test = _c(course).startswith(prefix)

@@ -75,7 +75,7 @@ def course_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def labels_and_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.element_at(F.array(F.lit("m"), F.lit("f"), F.lit("?"), F.lit("o")), F.col("p_size") % 4 + 1)
-    url = F.when(F.col("p_type") == "ECONOMY", "http://x/a.PDF?v=1").when(F.col("p_type") == "STANDARD", "http://x/b.png").otherwise("http://x/c")
+    url = F.when(F.col("p_type") == "ECONOMY", "http://x/a.PDF").when(F.col("p_type") == "STANDARD", "http://x/b.png").otherwise("http://x/c")
     return table(spark, sf_dir, "part").select(
         "p_partkey",
         codes.label(code, codes.GENDER).alias("gender"),

@@ -63,11 +63,18 @@ def test_course_ids(spark):
 
 
 def test_labels(spark):
-    rows = [("m", "http://x/a.pdf?y", None), ("zz", "http://x/b", None), (None, None, "Kept")]
+    rows = [("m", "http://x/a.PDF", None), ("zz", "http://x/b", None), (None, None, "Kept")]
     assert values(spark, "c string, u string, k string", rows, codes.label("c", codes.GENDER)) == ["Male", None, None]
     assert values(spark, "c string, u string, k string", rows, codes.resource_type("u", "k")) == ["Document", "Other", "Kept"]
 
 
+def test_departments_and_sizes(spark):
+    rows = [("15",), ("RES",), ("SP",), ("??",)]
+    assert values(spark, "d string", rows, codes.label("d", codes.OPEN_DEPARTMENT, F.col("d"))) == ["Sloan School of Management", "Supplemental Resources", "SP", "??"]
+    assert values(spark, "d string", rows, codes.label("d", codes.COURSE_DEPARTMENT)) == ["Management", None, "Special Programs", None]
+    assert values(spark, "n int", [(99,), (7,)], codes.label("n", codes.COMPANY_SIZE, F.col("n").cast("string"))) == ["Small (10-99 employees)", "7"]
+
+
 def test_is_current(spark):
     rows = [("2024-01-01", None), ("2024-01-01", "2024-01-31"), ("2024-03-01", None), (None, None)]
     found = values(spark, "a string, b string", rows, iso8601.is_current("a", "b", F.lit("2024-02-01")))
