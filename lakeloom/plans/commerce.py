@@ -149,6 +149,17 @@ def path_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.ancestors(nodes, "path", "id", 4).select("id", "ancestor_id")
 
 
+@query("""
+    with nodes as (select p_partkey as id, array_to_string([lpad(right(p_partkey::varchar, i), 20, '0') for i in range(1, length(p_partkey::varchar) + 1)], '') as path from part)
+    select c.id, p.id as ancestor_id from nodes c join nodes p on starts_with(c.path, p.path) and length(p.path) < length(c.path)
+""")
+def path_ancestors_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ancestors of all parts: as many steps as a key has digits, each wide enough for any 64-bit key."""
+    steps = F.expr("transform(sequence(1, length(cast(p_partkey as string))), i -> lpad(right(cast(p_partkey as string), i), 20, '0'))")
+    nodes = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.array_join(steps, "").alias("path"))
+    return joins.ancestors(nodes, "path", "id", 20).select("id", "ancestor_id")
+
+
 @query("""
     select c_custkey, c_name from customer where c_nationkey in (select s_nationkey from supplier where s_suppkey = 3)
 """)
