@@ -80,6 +80,21 @@ def flattened_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.flattened_messages(threads, "conv_id", "messages")
 
 
+@query("""
+    with twice as (select * from conversations union all select * from conversations),
+        m as (select conv_id, role, text as content, row_number() over (partition by conv_id order by turn nulls first, role, text) as place from twice where text is not null and role is not null),
+        f as (select conv_id, role, content, min(place) as place from m group by all)
+    select conv_id, (row_number() over (partition by conv_id order by place))::integer as message_number, role, content from f
+""")
+def flattened_transcripts_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole messages out of a JSON array (here: each there twice), repeats once, numbered anew."""
+    rows = table(spark, sf_dir, "conversations").where("text is not null and role is not null")
+    parts = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
+    as_json = F.to_json(F.transform(parts, lambda p: F.struct(p["role"].alias("role"), p["content"].alias("content"))))
+    threads = rows.unionByName(rows).groupBy("conv_id").agg(as_json.alias("messages"))
+    return facts.flattened_messages(threads, "conv_id", "messages")
+
+
 @query("""
     with t as (select o_orderkey, unnest([o_custkey % 7, o_custkey % 11, 9999]) as s from orders),
         f as (select o_orderkey, '{' || case when o_orderstatus <> 'O' then '"NATION_2":"' || o_orderstatus || '",' else '' end || '"NATION_3":"' || o_orderpriority || '"}' as fields from orders)

@@ -119,6 +119,18 @@ def transcript_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("conv_id", "turn", "role", F.col("message_number").cast("long").alias("message_number"))
 
 
+@query("""
+    with twice as (select * from conversations union all select * from conversations),
+        a as (select * from twice qualify row_number() over (partition by conv_id, role, text order by turn nulls first) = 1)
+    select conv_id, turn, role, text, row_number() over (partition by conv_id order by turn nulls first, text nulls first, role nulls first) as message_number from a
+""")
+def transcript_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated messages (of equal role and whole text; here each is there twice) go, the rest is numbered anew."""
+    rows = table(spark, sf_dir, "conversations")
+    kept = conversations.without_repeats(rows.unionByName(rows), "conv_id", ["turn", "text", "role"], ["role", "text"])
+    return kept.select("conv_id", "turn", "role", "text", F.col("message_number").cast("long").alias("message_number"))
+
+
 @query("""
     with t as (select conv_id, turn, lower(trim(w)) as tag from (select conv_id, turn, unnest(string_split(text, ' ')[1:3]) as w from conversations) where trim(w) <> ''),
         n as (select tag, count(*) as n from t group by tag)
