@@ -31,7 +31,10 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 _NAME = re.compile(r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|(?:access|private|client|auth|account)[_-]?key|credentials?|auth)[\w-]{0,16}[\"']?\s{0,3}$", re.I)
 _VALUE = re.compile(r"=?>?\s{0,3}[\"']?([^\s\"'<>,;|]{6,256})")
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----(?:[^-]{0,16384}-----END [A-Z ]{0,32}PRIVATE KEY-----)?")
+# Parts of a run between inner "="; those at the end of the run (padding) belong to the part before them.
+_PIECE = re.compile(r"[^=]+(?:=+(?![A-Za-z0-9+/_=-]))?")
 _PREFIX = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_\w{20,}|sk_(?:live|test)_\w{16,}|xox[abprs]-[\w-]{10,}|eyJ[\w-]{8,}|AIza[\w-]{30,}|glpat-[\w-]{20}")
+_INNER = re.compile(rf"(?<![A-Za-z0-9])(?:{_PREFIX.pattern})")
 
 # Words that speak for or against a secret beside it.
 _FOR = frozenset("token key secret password passwd pwd passphrase credential credentials auth apikey bearer authorization private".split())
@@ -204,30 +207,81 @@ def made_findings(n: int = 1500, seed: int = 7) -> list[tuple[str, str, str, int
     return [secret() if i % 2 else lookalike() for i in range(n)]
 
 
-def candidates(text: str | None) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of all candidates of a whole text, without overlaps, by start."""
-    if not text:
-        return []
-    found = [("block", *m.span()) for m in _BLOCK.finditer(text)] if "PRIVATE KEY-----" in text else []
+def _assigned(text: str) -> list[tuple[str, int, int]]:
+    """Values assigned to telling names."""
+    found = []
     for sign in "=:":
         at = text.find(sign)
         while at >= 0:
             if _NAME.search(text, max(0, at - CONTEXT), at) and (m := _VALUE.match(text, at + 1)):
                 found.append(("assigned", *m.span(1)))
             at = text.find(sign, at + 1)
+    return found
+
+
+def _pieces(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
+    """Known tokens and other runs. A run is split at each inner "=", and where a known token begins in it."""
+    known, runs = [], []
     for m in _RUN.finditer(text):
-        if _PREFIX.match(m[0]):
-            found.append(("known", *m.span()))
-        elif sum(map(str.isdigit, m[0])) > 1:
-            found.append(("run", *m.span()))
+        for p in _PIECE.finditer(text, *m.span()):
+            k = _INNER.search(text, *p.span())
+            if k:
+                known.append(("known", k.start(), p.end()))
+            runs.append(("run", p.start(), k.start() if k else p.end()))
+    return known, runs
+
+
+def _apart(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """By start, the longest first; what overlaps one before it goes."""
     out, end = [], -1
-    for kind, a, b in sorted(found, key=lambda s: (s[1], -s[2])):
+    for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
         if a >= end:
             out.append((kind, a, b))
             end = b
     return out
 
 
+def _outside(spans: list[tuple[str, int, int]], taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The parts of ``spans`` outside ``taken``; both are by start and without overlaps."""
+    out, i = [], 0
+    for kind, a, b in spans:
+        while i < len(taken) and taken[i][2] <= a:
+            i += 1
+        j = i
+        while j < len(taken) and taken[j][1] < b:
+            if a < taken[j][1]:
+                out.append((kind, a, taken[j][1]))
+            a = max(a, taken[j][2])
+            j += 1
+        if a < b:
+            out.append((kind, a, b))
+    return out
+
+
+def candidates(text: str | None) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of all candidates of a whole text, without overlaps, by start.
+
+    Key blocks come first, then assigned and known values, then what of the runs lies outside both.
+    """
+    if not text:
+        return []
+    out = _apart([("block", *m.span()) for m in _BLOCK.finditer(text)]) if "PRIVATE KEY-----" in text else []
+    known, runs = _pieces(text)
+    out = sorted([*out, *(s for s in _outside(_apart(_assigned(text) + known), out) if s[2] - s[1] >= 6)], key=lambda s: s[1])
+    rest = [s for s in _outside(runs, out) if s[2] - s[1] >= 16 and sum(map(str.isdigit, text[s[1] : s[2]])) > 1]
+    out += rest
+    # a run with inner "=" of which no part is a candidate stays one
+    whole = [("run", *m.span()) for m in _RUN.finditer(text) if sum(map(str.isdigit, m[0])) > 1]
+    taken = sorted(out, key=lambda s: s[1])
+    i = 0
+    for s in whole:
+        while i < len(taken) and taken[i][2] <= s[1]:
+            i += 1
+        if i == len(taken) or taken[i][1] >= s[2]:
+            out.append(s)
+    return sorted(out, key=lambda s: s[1])
+
+
 def judged(text: str | None, forest: Forest) -> list[tuple[str, int, int, float]]:
     spans = candidates(text)
     if not spans:
