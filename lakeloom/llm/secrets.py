@@ -29,8 +29,15 @@ CONTEXT = 48
 
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 _NAME = re.compile(r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|(?:access|private|client|auth|account)[_-]?key|credentials?|auth)[\w-]{0,16}[\"']?\s{0,3}$", re.I)
-_VALUE = re.compile(r"=?>?\s{0,3}[\"']?([^\s\"'<>,;|]{6,256})")
-_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----(?:[^-]{0,16384}-----END [A-Z ]{0,32}PRIVATE KEY-----)?")
+# What may stand between the sign and the value, and what ends a value; that of a URL's parameter ends at the next one too.
+_LEAD = re.compile(r"=?>?\s{0,3}[\"']?")
+_STOP = re.compile(r"[\s\"'<>,;|]")
+_STOP_PARAMETER = re.compile(r"[\s\"'<>,;|&]")
+_PARAMETER = re.compile(r"[?&][\w.-]{1,47}$")
+_BEGIN = re.compile(r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----")
+_END = re.compile(r"-----END [A-Z ]{0,32}PRIVATE KEY-----")
+# The lines of a key block that has no END line.
+_BODY = re.compile(r"(?:\s++[A-Za-z0-9+/=]{16,}+)*+")
 # Parts of a run between inner "="; those at the end of the run (padding) belong to the part before them.
 _PIECE = re.compile(r"[^=]+(?:=+(?![A-Za-z0-9+/_=-]))?")
 _PREFIX = re.compile(r"AKIA[0-9A-Z]{16}|gh[pousr]_\w{20,}|sk_(?:live|test)_\w{16,}|xox[abprs]-[\w-]{10,}|eyJ[\w-]{8,}|AIza[\w-]{30,}|glpat-[\w-]{20}")
@@ -207,14 +214,33 @@ def made_findings(n: int = 1500, seed: int = 7) -> list[tuple[str, str, str, int
     return [secret() if i % 2 else lookalike() for i in range(n)]
 
 
+def _blocks(text: str) -> list[tuple[str, int, int]]:
+    """Key blocks up to their END line, whatever their length; without one before the next block, the lines of the body."""
+    begins = [m.span() for m in _BEGIN.finditer(text)]
+    ends = [m.span() for m in _END.finditer(text)] if begins else []
+    found, e = [], 0
+    for i, (a, b) in enumerate(begins):
+        while e < len(ends) and ends[e][0] < b:
+            e += 1
+        closed = e < len(ends) and (i + 1 == len(begins) or ends[e][0] < begins[i + 1][0])
+        found.append(("block", a, ends[e][1] if closed else _BODY.match(text, b).end()))
+    return found
+
+
 def _assigned(text: str) -> list[tuple[str, int, int]]:
-    """Values assigned to telling names."""
+    """Values assigned to telling names, up to their delimiter, whatever their length."""
     found = []
     for sign in "=:":
-        at = text.find(sign)
+        at, ends = text.find(sign), {}
         while at >= 0:
-            if _NAME.search(text, max(0, at - CONTEXT), at) and (m := _VALUE.match(text, at + 1)):
-                found.append(("assigned", *m.span(1)))
+            if _NAME.search(text, max(0, at - CONTEXT), at):
+                a = _LEAD.match(text, at + 1).end()
+                stop = _STOP_PARAMETER if _PARAMETER.search(text, max(0, at - CONTEXT), at) else _STOP
+                # values that overlap end together, so the text is read once
+                if a > (end := ends.get(stop, -1)):
+                    end = ends[stop] = m.start() if (m := stop.search(text, a)) else len(text)
+                if end - a >= 6:
+                    found.append(("assigned", a, end))
             at = text.find(sign, at + 1)
     return found
 
@@ -265,7 +291,7 @@ def candidates(text: str | None) -> list[tuple[str, int, int]]:
     """
     if not text:
         return []
-    out = _apart([("block", *m.span()) for m in _BLOCK.finditer(text)]) if "PRIVATE KEY-----" in text else []
+    out = _blocks(text) if "PRIVATE KEY-----" in text else []
     known, runs = _pieces(text)
     out = sorted([*out, *(s for s in _outside(_apart(_assigned(text) + known), out) if s[2] - s[1] >= 6)], key=lambda s: s[1])
     rest = [s for s in _outside(runs, out) if s[2] - s[1] >= 16 and sum(map(str.isdigit, text[s[1] : s[2]])) > 1]

@@ -45,3 +45,34 @@ def test_values_assigned_without_blank_or_quote(spark):
 def test_runs_are_split_and_kept():
     text = f"commit={made('0123456789abcdef', 40)} a=1234567b=89abcdefg"
     assert [text[a:b] for _, a, b in secrets.candidates(text)] == [text[7:47], "a=1234567b=89abcdefg"]
+
+
+def test_long_values_and_blocks_go_whole(spark):
+    jwt = ".".join(["eyJ" + made(ALNUM + "-_", 200), "eyJ" + made(ALNUM + "-_", 500, 2), made(ALNUM + "-_", 90, 3)])
+    body = "\n".join(made(ALNUM + "+/", 64, i) for i in range(400))
+    plain = f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----"
+    headed = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{made('0123456789ABCDEF', 32)}\n\n{body[:640]}\n-----END RSA PRIVATE KEY-----"
+    values = [jwt, plain, headed]
+    rows = [(0, f"first token = {jwt} then more words"), (1, f"first {plain} then more words"), (2, f"first {headed} then more words")]
+    found, masked = found_and_masked(spark, rows)
+    for i, value in enumerate(values):
+        at = rows[i][1].index(value)
+        assert found.get(i) == [(at, at + len(value))]
+        assert masked[i] == rows[i][1].replace(value, "[SECRET]")
+
+
+def test_blocks_without_an_end_line_take_their_body_alone():
+    body = "\n".join(made(ALNUM + "+/", 64, i) for i in range(3))
+    closed = f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----"
+    text = f"-----BEGIN EC PRIVATE KEY-----\n{body}\n\nsome words {closed} some words"
+    assert [text[a:b] for _, a, b in secrets.candidates(text)] == [f"-----BEGIN EC PRIVATE KEY-----\n{body}", closed]
+
+
+def test_many_signs_in_one_value_are_read_once():
+    text = "token=" * 100_000
+    assert secrets.candidates(text)[0][1:] == (6, len(text))
+
+
+def test_an_ampersand_ends_parameters_alone():
+    for text, value in [("x PASSWORD=abc12&def=34gh y", "abc12&def=34gh"), ("http://h/?a=1&token=abc123def&b=2 y", "abc123def")]:
+        assert value in [text[a:b] for _, a, b in secrets.candidates(text)]
