@@ -1,8 +1,10 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
 Texts and benchmark items are compared by their letters and digits alone, lower-cased. An item is
-cut into overlapping segments; a text is contaminated by an item if some part of it is within the
-edit budget of one of the item's segments (a tenth of its length at most).
+cut into overlapping segments, long and short ones; a text is contaminated by an item if some part of it
+is within the edit budget of one of the item's segments (a tenth of its length at most). The long
+ones bear the most edits. The short ones find passages: a verbatim copy of PASSAGE letters of an item or
+more, from wherever in it, holds a whole short segment. They are asked only of items that no long one finds.
 
 A part within k edits of a segment of length m shares at least m + 1 - q * (k + 1) of its q-grams
 (q-gram lemma), all on diagonals at most k apart. Shared q-grams are counted in diagonal
@@ -26,9 +28,12 @@ from pyspark.sql import functions as F
 from .common import mix, pick
 
 Q, SEGMENT, STEP = 8, 96, 48
+#: The short segments, and the least verbatim passage that is sure to hold one of them whole.
+SHORT, SHORT_STEP = 48, 12
+PASSAGE = SHORT + SHORT_STEP - 1
 ERROR_RATE = 0.1
 #: Characters of benchmark text that are indexed and broadcast at a time.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 600_000
 FILTER_BITS = 22
 
 _LIMIT = 0x30000
@@ -97,11 +102,12 @@ def aligned(pattern: np.ndarray, text: np.ndarray, lo: int, width: int, k: int)
 
 @dataclass
 class Index:
-    """Sorted q-gram hashes of all segments with their postings."""
+    """Sorted q-gram hashes of all segments, the long ones first, with their postings."""
 
     items: np.ndarray
     segment_item: np.ndarray
     segments: list[np.ndarray]
+    n_long: int
     hashes: np.ndarray
     first: np.ndarray
     posting_segment: np.ndarray
@@ -114,15 +120,17 @@ class Index:
     @classmethod
     def of(cls, rows: list[tuple[int, str]]) -> Index:
         owner, segments = [], []
-        for i, (_, text) in enumerate(rows):
-            codes, _ = letters(text)
-            if len(codes) < Q:
-                continue
-            starts = range(0, max(1, len(codes) - SEGMENT + STEP), STEP)
-            for s in starts:
-                s = max(0, min(s, len(codes) - SEGMENT))
-                owner.append(i)
-                segments.append(codes[s : s + SEGMENT])
+        texts = [letters(text)[0] for _, text in rows]
+        n_long = 0
+        for length, step, least in ((SEGMENT, STEP, Q), (SHORT, SHORT_STEP, SHORT + 1)):
+            n_long = len(segments)
+            for i, codes in enumerate(texts):
+                if len(codes) < least:
+                    continue
+                for s in range(0, max(1, len(codes) - length + step), step):
+                    s = max(0, min(s, len(codes) - length))
+                    owner.append(i)
+                    segments.append(codes[s : s + length])
         found = [grams(s) for s in segments]
         every = np.concatenate([*found, np.empty(0, np.uint64)])
         segment = np.repeat(np.arange(len(segments)), [len(f) for f in found])
@@ -136,6 +144,7 @@ class Index:
             items=np.array([r[0] for r in rows], np.int64),
             segment_item=np.array(owner, np.int64),
             segments=segments,
+            n_long=n_long,
             hashes=hashes,
             first=np.append(first, len(every)),
             posting_segment=segment[order].astype(np.int32),
@@ -149,7 +158,7 @@ class Index:
     def matches(self, text: str | None) -> list[list[int]]:
         """[item_id, start, end, edits, segments] of each item found in a whole text, in code points.
 
-        The leftmost match of each segment counts.
+        The segments are the long ones that match, or the short ones where no long one does. The leftmost match of each segment counts.
         """
         codes, at = letters(text)
         h = grams(codes)
@@ -173,9 +182,11 @@ class Index:
         bands, n = np.unique(seen >> 7, return_counts=True)
         best: dict[int, list[int]] = {}
         done: set[int] = set()
+        by_long: set[int] = set()
         for key in bands[n >= self.bound[bands >> 40]]:
             s = int(key >> 40)
-            if s in done:
+            item = int(self.items[self.segment_item[s]])
+            if s in done or (s >= self.n_long and item in by_long):
                 continue
             k, half = int(self.allowed[s]), int(self.half[s])
             lo = (int(key & ((1 << 40) - 1)) - (1 << 32)) * half
@@ -184,7 +195,8 @@ class Index:
                 continue
             done.add(s)
             edits, start, end = spot[0], int(at[spot[1]]), int(at[spot[2] - 1]) + 1
-            item = int(self.items[self.segment_item[s]])
+            if s < self.n_long:
+                by_long.add(item)
             old = best.get(item, [item, start, end, edits, 0])
             best[item] = [item, min(start, old[1]), max(end, old[2]), min(edits, old[3]), old[4] + 1]
         return [best[i] for i in sorted(best)]

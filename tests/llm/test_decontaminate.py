@@ -64,3 +64,15 @@ def test_spans_are_of_the_source(spark):
     text = f"Né! -- {item.upper().replace(' ', '   ')} tail"
     row = d.contaminated(documents(spark, [(1, text)]), spark.createDataFrame([(9, item)], "item_id long, text string")).first()
     assert text[row["start"] : row["end"]].split() == item.upper().split() and row["edits"] == 0
+
+
+def test_a_least_passage_is_found_at_every_offset():
+    rnd = random.Random(4)
+    text = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    for length in (66, 100, 186, 326):
+        item = text(length)
+        index = d.Index.of([(1, item), (2, text(200))])
+        for at in range(length - d.PASSAGE + 1):
+            found = index.matches(text(150) + item[at : at + d.PASSAGE] + text(150))
+            assert [m[0] for m in found] == [1], (length, at)
+    assert 50 <= d.PASSAGE <= 60
