@@ -36,6 +36,11 @@ ERROR_RATE = 0.1
 SLICE_CHARS = 600_000
 FILTER_BITS = 22
 
+# A band key has the segment, the band and the place in the segment, with 24, 32 and 7 bits. Bands begin at
+# -SEGMENT at the least and do not pass the 2^31 characters of a string.
+BAND_BITS, PLACE_BITS, FIRST_BAND = 32, 7, 128
+MOST_SEGMENTS = 1 << (63 - BAND_BITS - PLACE_BITS)
+
 _LIMIT = 0x30000
 _tables: dict[str, np.ndarray] = {}
 
@@ -100,11 +105,15 @@ def aligned(pattern: np.ndarray, text: np.ndarray, lo: int, width: int, k: int)
     return (int(cost[best]), int(start[best]), m + lo + best) if cost[best] <= k else None
 
 
+def _id_order(item: int | None) -> tuple[bool, int]:
+    return item is None, item or 0
+
+
 @dataclass
 class Index:
     """Sorted q-gram hashes of all segments, the long ones first, with their postings."""
 
-    items: np.ndarray
+    items: list[int | None]
     segment_item: np.ndarray
     segments: list[np.ndarray]
     n_long: int
@@ -118,7 +127,7 @@ class Index:
     bound: np.ndarray
 
     @classmethod
-    def of(cls, rows: list[tuple[int, str]]) -> Index:
+    def of(cls, rows: list[tuple[int | None, str]]) -> Index:
         owner, segments = [], []
         texts = [letters(text)[0] for _, text in rows]
         n_long = 0
@@ -131,6 +140,8 @@ class Index:
                     s = max(0, min(s, len(codes) - length))
                     owner.append(i)
                     segments.append(codes[s : s + length])
+        if len(segments) > MOST_SEGMENTS:
+            raise ValueError(f"{len(segments)} segments in a slice; at most {MOST_SEGMENTS} can be told apart")
         found = [grams(s) for s in segments]
         every = np.concatenate([*found, np.empty(0, np.uint64)])
         segment = np.repeat(np.arange(len(segments)), [len(f) for f in found])
@@ -141,7 +152,7 @@ class Index:
         marks[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
         allowed = np.array([budget(len(s)) for s in segments], np.int64)
         return cls(
-            items=np.array([r[0] for r in rows], np.int64),
+            items=[r[0] for r in rows],
             segment_item=np.array(owner, np.int64),
             segments=segments,
             n_long=n_long,
@@ -155,7 +166,7 @@ class Index:
             bound=np.maximum(np.array([len(s) for s in segments], np.int64) + 1 - Q * (allowed + 1), 1),
         )
 
-    def matches(self, text: str | None) -> list[list[int]]:
+    def matches(self, text: str | None) -> list[list[int | None]]:
         """[item_id, start, end, edits, segments] of each item found in a whole text, in code points.
 
         The segments are the long ones that match, or the short ones where no long one does. The leftmost match of each segment counts.
@@ -177,19 +188,19 @@ class Index:
         diagonal = np.repeat(spots, counts) - place
         band = diagonal // self.half[segment]
         # a q-gram counts in the two bands that cover its diagonal, once for each place in the segment
-        keys = (segment << 40) + (1 << 32) + band
-        seen = np.unique(np.concatenate([keys << 7 | place, (keys - 1) << 7 | place]))
-        bands, n = np.unique(seen >> 7, return_counts=True)
-        best: dict[int, list[int]] = {}
+        keys = (segment << BAND_BITS) + FIRST_BAND + band
+        seen = np.unique(np.concatenate([keys << PLACE_BITS | place, (keys - 1) << PLACE_BITS | place]))
+        bands, n = np.unique(seen >> PLACE_BITS, return_counts=True)
+        best: dict[int | None, list[int | None]] = {}
         done: set[int] = set()
-        by_long: set[int] = set()
-        for key in bands[n >= self.bound[bands >> 40]]:
-            s = int(key >> 40)
-            item = int(self.items[self.segment_item[s]])
+        by_long: set[int | None] = set()
+        for key in bands[n >= self.bound[bands >> BAND_BITS]]:
+            s = int(key >> BAND_BITS)
+            item = self.items[self.segment_item[s]]
             if s in done or (s >= self.n_long and item in by_long):
                 continue
             k, half = int(self.allowed[s]), int(self.half[s])
-            lo = (int(key & ((1 << 40) - 1)) - (1 << 32)) * half
+            lo = (int(key & ((1 << BAND_BITS) - 1)) - FIRST_BAND) * half
             spot = aligned(self.segments[s], codes, lo - k, 2 * half + 2 * k, k)
             if spot is None or spot[2] <= spot[1]:
                 continue
@@ -199,7 +210,7 @@ class Index:
                 by_long.add(item)
             old = best.get(item, [item, start, end, edits, 0])
             best[item] = [item, min(start, old[1]), max(end, old[2]), min(edits, old[3]), old[4] + 1]
-        return [best[i] for i in sorted(best)]
+        return [best[i] for i in sorted(best, key=_id_order)]
 
 
 def _matcher(held):
@@ -214,13 +225,13 @@ def _matcher(held):
 def found_items(docs: DataFrame, benchmark: DataFrame) -> Column:
     """A column for ``docs``: [item_id, start, end, edits, segments] for each benchmark item in the text."""
     spark = docs.sparkSession
-    items = pick(benchmark, "item_id", "text").where("item_id is not null and text is not null")
+    items = pick(benchmark, "item_id", "text").where("text is not null")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     slices = max(1, -(-chars // SLICE_CHARS))
     columns = []
     for i in range(slices):
         rows = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i).distinct().collect()]
-        held = spark.sparkContext.broadcast(Index.of(sorted(rows)))
+        held = spark.sparkContext.broadcast(Index.of(sorted(rows, key=lambda r: (_id_order(r[0]), r[1]))))
 
         columns.append(_matcher(held)(F.col("text")))
     return columns[0] if len(columns) == 1 else F.concat(*columns)
@@ -231,7 +242,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``start`` and ``end`` cover the leftmost match of each matching segment, in code points of the text, ``edits`` is the
     fewest of any matching segment. Null and empty texts, and items with fewer than eight letters
-    or digits, match nothing; equal items each match; repeated rows give repeated rows.
+    or digits, match nothing; equal items each match; items without an id have a null item_id and count as one in each slice; repeated rows give repeated rows.
     """
     pairs = pick(docs, "doc_id", "text").select("doc_id", F.explode(found_items(docs, benchmark)).alias("m"))
     names = ["item_id", "start", "end", "edits", "segments"]

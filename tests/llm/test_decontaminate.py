@@ -76,3 +76,21 @@ def test_a_least_passage_is_found_at_every_offset():
             found = index.matches(text(150) + item[at : at + d.PASSAGE] + text(150))
             assert [m[0] for m in found] == [1], (length, at)
     assert 50 <= d.PASSAGE <= 60
+
+
+def test_more_segments_than_sixteen_bits_number():
+    rnd = random.Random(5)
+    items = [(i, "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20))) for i in range(70_000)]
+    index = d.Index.of(items)
+    assert len(index.segments) > 65_536
+    for i in (0, 40_000, 65_600, 69_999):
+        assert [m[0] for m in index.matches("1234567890" + items[i][1] + "0987654321")] == [i]
+
+
+def test_items_without_id_count(spark):
+    rnd = random.Random(6)
+    items = [(None, " ".join(prose(rnd, 25, 10_000))), (None, " ".join(prose(rnd, 25, 10_000))), (7, " ".join(prose(rnd, 25, 10_000)))]
+    docs = documents(spark, [(1, f"a {items[0][1]} b"), (2, f"a {items[1][1]} b"), (3, f"a {items[2][1]} b"), (4, "clean " * 30)])
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in d.contaminated(docs, benchmark).collect()) == [(1, None), (2, None), (3, 7)]
+    assert [r["doc_id"] for r in d.without_benchmark(docs, benchmark).collect()] == [4]
