@@ -104,6 +104,9 @@ _AT = r"(?:\s?[\[({<]\s?(?:at|@|arroba)\s?[\])}>]\s?|\s@\s?|@\s|\s(?:at|arroba)\
 _DOT = r"(?:\s?[\[({<]\s?(?:dot|\.|punto)\s?[\])}>]\s?|\s(?:dot|punto)\s|_dot_|-dot-|\s\.\s?|\.)"
 _HIDDEN_MAIL = re.compile(rf"[A-Za-z0-9._%+-]+?(?:{_DOT}[A-Za-z0-9%+-]+?)*?(?P<at>{_AT}|@)[A-Za-z0-9-]+?(?:{_DOT}[A-Za-z0-9-]+)+", re.I)
 _MAIL_HINT = re.compile(r"[\[({<]\s?(?:at|dot|arroba|punto|@|\.)\s?[\])}>]|\s(?:dot|punto)\s|_at_|-at-|_dot_|-dot-|\s@|@\s", re.I)
+# "at" before a host with plain dots, which counts if it ends in a top-level domain. The usual ones.
+_AT_HOST = re.compile(r"\s(?:at|arroba)\s(?=(?:[a-z0-9-]++\.)+(?:com|org|net|edu|gov|mil|int|info|biz|io|ai|dev|app|eu|uk|us|ca|au|de|at|ch|fr|es|it|nl|be|se|no|dk|fi|pl|pt|br|mx|ar|cl|co|in|jp|cn|kr|ru)(?![a-z0-9-]|\.[a-z0-9-]))", re.I)
+_NUMERALS_IP = re.compile(r"[0-9] ?(?:dot|point) ?[0-9]", re.I)
 _DOT_ONLY = re.compile(_DOT, re.I)
 _BOTH_DOTS = re.compile(r"[\[({<]|\s(?:dot|punto)\s|_dot_|-dot-", re.I)
 # A text without any of these, lower-cased, hides no address.
@@ -160,7 +163,8 @@ def read_digits(tape: Tape) -> Tape:
 def join_addresses(tape: Tape) -> Tape:
     """"name at host dot org" and its kin become addresses."""
     edits, done = [], 0
-    for hint in _MAIL_HINT.finditer(tape.text):
+    hints = [*_MAIL_HINT.finditer(tape.text), *_AT_HOST.finditer(tape.text)]
+    for hint in sorted(hints, key=lambda m: m.start()):
         if hint.start() < done:
             continue
         lo, hi = max(done, hint.start() - _REACH), hint.end() + _REACH
@@ -168,7 +172,7 @@ def join_addresses(tape: Tape) -> Tape:
             whole, at = m[0], m.start("at") - m.start()
             # words and bare signs count only beside a disguised dot: "at" and "@name" are everywhere
             tail = whole[m.end("at") - m.start() :]
-            if re.fullmatch(r"\s(?:at|arroba)\s|@|\s@|@\s", m["at"], re.I) and not _BOTH_DOTS.search(tail):
+            if re.fullmatch(r"\s(?:at|arroba)\s|@|\s@|@\s", m["at"], re.I) and not _BOTH_DOTS.search(tail) and not _AT_HOST.match(tape.text, m.start("at")):
                 continue
             name, host = _DOT_ONLY.sub(".", whole[:at]), _DOT_ONLY.sub(".", tail)
             edits.append((*m.span(), f"{name}@{host}"))
@@ -180,7 +184,8 @@ def disguised_spans(text: str, plain: list[Span]) -> list[Span]:
     """What the patterns find only after the transducers, in source offsets."""
     folded, low = not text.isascii() and bool(_FOLDED.search(text)), text.lower()
     spelled = sum(map(low.count, _DIGITS)) > 2 or "plus" in low or "[.]" in text or "(.)" in text
-    if not folded and not spelled and not any(map(low.__contains__, _MAIL_MARKS)):
+    spelled = spelled or (("dot" in low or "point" in low) and bool(_NUMERALS_IP.search(low)))
+    if not folded and not spelled and not any(map(low.__contains__, _MAIL_MARKS)) and not _AT_HOST.search(low):
         return []
     tape = Tape(text)
     if folded:

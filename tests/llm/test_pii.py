@@ -64,3 +64,15 @@ def test_disguises_map_back_to_the_source():
     for text, expected in cases.items():
         found = pii.disguised_spans(text, pii.plain_spans(text))
         assert [(k, text[a:b]) for k, a, b in found] == expected, text
+
+
+def test_plain_dots_and_points_are_disguises_too():
+    cases = {
+        "write to jane at example.com now": [("email", "jane at example.com")],
+        "write to jane arroba mail.example.org.": [("email", "jane arroba mail.example.org")],
+        "look at setup.py now": [],
+        "reach 10 point 20 point 30 point 40 now": [("ip", "10 point 20 point 30 point 40")],
+    }
+    for text, expected in cases.items():
+        found = pii.disguised_spans(text, pii.plain_spans(text))
+        assert [(k, text[a:b].strip()) for k, a, b in found] == expected, text
