@@ -3,7 +3,10 @@
 A text is cut into tokens, runs of at most eight characters other than white space, lower-cased. Each
 run of K tokens has a rolling hash (by doubling, modulo a Mersenne prime), and of every
 window of W such hashes the smallest is kept, the rightmost where several are equal. Two texts that
-share K + W - 1 tokens in a row share a fingerprint. Hash and position are packed into one number
+share K + W - 1 tokens in a row share a fingerprint. Tokens are cut from the start of each run, so this holds
+for passages in runs longer than eight characters (scripts without blanks, encoded lines) only where
+their places in the run are equal modulo 8: of 500 tokens of a 4,000-character run, a shift by 1 to 7
+characters leaves 0 shared, one by 8 all 500. Positions count tokens. Hash and position are packed into one number
 whose order makes the smallest hash, then the largest position, come first, so a window's
 choice is a plain minimum, taken by doubling as well.
 """
