@@ -1,24 +1,25 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
-A document's signature has 128 components of 8 bits each, taken from 128 min-wise hashes of its
-distinct word shingles. The first 32 components are cut into 8 chunks of 4. Two signatures that
-differ in at most 15 of those components differ in at most one component of some chunk
-(pigeonhole), so each chunk is filed once for every component left out of it: 32 keys find all
-pairs within that distance for certain. At a similarity of 0.75 a pair is missed with
-probability 2e-5, more similar ones less. Keys use 32 bits of each component, so unlike texts rarely meet.
+A document's signature has 64 components of 16 bits each, taken from 64 min-wise hashes of its
+distinct word shingles. It is cut into 16 chunks of 4. Two signatures that differ in at most
+DISTANCE = 31 components differ in at most one component of some chunk (pigeonhole), so each chunk
+is filed once for every component left out of it: 64 keys find all pairs within that distance for
+certain, and the same signature and distance drop the pairs that meet without being near. A pair at
+a similarity of 0.75 is farther apart than that with probability 2e-5, more similar ones less.
 
 Pairs under a key are not all written out, which one large group would make quadratic:
 
 1. documents with equal shingle sets form a class; only its smallest id goes on;
 2. each key links its members to its smallest and largest member, and components of the
-   confirmed links are found; while that joins many, keys whose members are still in several
-   components do the same with a few other members;
-3. members of keys that are still in several components gather around the component that is the
-   largest in most of their keys, and are compared there on their full sets in blocks of bounded
-   size, across components only; one link to a component is enough;
-4. what else still meets under a key, in different components and different gatherings, is
-   compared in blocks likewise, by signatures first: pairs whose 128 components differ in at
-   most 53 places (missed at 0.75: 1e-5) go on.
+   confirmed links are found, which settles most keys;
+3. members of keys that are still in several components are filed once more, under rare shingles. In
+   one order for all, rarest first, a pair similar enough has its first common shingle so early
+   that enough of both sets follows it. So each member is filed under its first quarter of shingles
+   at most, with the largest set that its place there still allows as a partner. Members that share a passage,
+   a template or an ancestor, but not enough for a link, part here, as what is their own comes
+   first. The order counts all members' shingles in a table of fixed size; collisions in it cost work,
+   never a pair;
+4. what meets under a shingle in different components and within the distance is confirmed.
 
 Every link is confirmed on the full shingle sets. Pairs left out are between members that are
 already in one component, so components are those of all links.
@@ -26,7 +27,7 @@ already in one component, so components are those of all links.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,16 +35,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, connected_components, gram_hashes, hashes_of, mix, odd_numbers, pick, words_of, written
+from .common import WordHashes, connected_components, gram_hashes, hashes_of, mix, odd_numbers, pick, remove, words_of, written
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 75
-COMPONENTS = 128
-CHUNKS, CHUNK = 8, 4
-SIGNATURE_DISTANCE = 53
-BLOCK = 256
-#: Members that each open key compares with in a round, and the most rounds of it.
-PIVOTS, ROUNDS = 4, 4
+CHUNKS, CHUNK = 16, 4
+COMPONENTS = CHUNKS * CHUNK
+#: With more differences than this, every chunk may have two.
+DISTANCE = 2 * CHUNKS - 1
+#: Characters of the texts that are signed together.
+PART_CHARS = 1 << 20
+#: Rows of a block; a cell of two blocks is what a task holds at a time.
+BLOCK = 4096
+#: Counters of the shingle table, and the slices that it is summed in.
+COUNTERS, SLICES = 1 << 21, 32
 
 _SIGNED = "doc_id long, n_shingles long, set_hi long, set_lo long, signature binary, keys array<long>"
 
@@ -53,96 +58,175 @@ def shingle_set(text: str | None, cache: WordHashes, k: int = SHINGLE_WORDS) ->
     return np.unique(gram_hashes(hashes_of(words_of(text), cache), k))
 
 
-def minima(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
-    x, low = (shingles >> np.uint64(32)).astype(np.uint32), np.full(len(factors), np.iinfo(np.uint32).max, np.uint32)
-    for i in range(0, len(x), 1024):
-        np.minimum(low, (x[None, i : i + 1024] * factors[:, None] + shifts[:, None]).min(1), out=low)
-    return low.astype(np.uint64)
-
-
-def chunk_keys(low: np.ndarray) -> np.ndarray:
-    """For each chunk and each component left out: one key of the other components."""
-    chunks = low[: CHUNKS * CHUNK].reshape(CHUNKS, CHUNK)
-    places = np.arange(CHUNKS * CHUNK, dtype=np.uint64).reshape(CHUNKS, CHUNK)
-    terms = mix(mix(chunks) + places)
-    return mix(terms.sum(1, keepdims=True) - terms + places * np.uint64(0x9E3779B97F4A7C15)).ravel()
+def shingle_sets(texts: Iterable[str | None], cache: WordHashes, k: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of :func:`shingle_set` of several texts, end to end, and their sizes."""
+    words = [words_of(t) for t in texts]
+    n = np.fromiter(map(len, words), np.int64, len(words))
+    hashes = hashes_of([w for some in words for w in some], cache)
+    # runs of k words; those that reach into the next text are left out
+    grams = gram_hashes(hashes, k) if len(hashes) >= k else np.empty(0, np.uint64)
+    begin = np.cumsum(n) - n
+    sets = [np.sort(grams[at : at + m - k + 1]) if m >= k else gram_hashes(hashes[at : at + m], k) for at, m in zip(begin.tolist(), n.tolist(), strict=True)]
+    every, owner = np.concatenate([np.empty(0, np.uint64), *sets]), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    fresh = np.ones(len(every), bool)
+    fresh[1:] = (every[1:] != every[:-1]) | (owner[1:] != owner[:-1])
+    return every[fresh], np.bincount(owner[fresh], minlength=len(sets))
+
+
+def signatures_of(sets: np.ndarray, sizes: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+    """The 16-bit components of sets that lie end to end, none of them empty: one row for each."""
+    x, begin = (sets >> np.uint64(32)).astype(np.uint32), np.cumsum(sizes) - sizes
+    low = np.full((len(sizes), len(factors)), np.iinfo(np.uint32).max, np.uint32)
+    for lo in range(0, len(x), 2048):
+        part = x[None, lo : lo + 2048] * factors[:, None] + shifts[:, None]
+        first = int(np.searchsorted(begin, lo, "right")) - 1
+        inside = np.maximum(begin[first : int(np.searchsorted(begin, lo + 2048, "left"))] - lo, 0)
+        held = low[first : first + len(inside)]
+        np.minimum(held, np.minimum.reduceat(part, inside, axis=1).T, out=held)
+    return (mix(low.astype(np.uint64)) & np.uint64(0xFFFF)).astype(np.uint16)
+
+
+def _multipliers() -> tuple[np.ndarray, np.ndarray]:
+    factors, shifts = (odd_numbers(COMPONENTS, i).astype(np.uint32) for i in (1, 2))
+    return factors, shifts
+
+
+def chunk_keys(signatures: np.ndarray) -> np.ndarray:
+    """For each signature, each chunk and each component left out: one key of the chunk's other components."""
+    places = np.arange(COMPONENTS, dtype=np.uint64).reshape(CHUNKS, CHUNK)
+    terms = mix(mix(signatures.reshape(-1, CHUNKS, CHUNK).astype(np.uint64)) + places)
+    return mix(terms.sum(2, keepdims=True) - terms + places * np.uint64(0x9E3779B97F4A7C15)).reshape(-1, COMPONENTS)
+
+
+def _parts(texts: pd.Series) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of PART_CHARS characters together, or one longer text, so that little is held at a time."""
+    begin, chars = 0, 0
+    for i, t in enumerate(texts):
+        if chars and chars + len(t or "") > PART_CHARS:
+            yield begin, i
+            begin, chars = i, 0
+        chars += len(t or "")
+    if begin < len(texts):
+        yield begin, len(texts)
 
 
 def _sign(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, (factors, shifts) = WordHashes(), (odd_numbers(COMPONENTS, i).astype(np.uint32) for i in (1, 2))
+        cache, (factors, shifts) = WordHashes(), _multipliers()
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                s = shingle_set(text, cache, k)
-                digest = xxhash.xxh3_128_digest(s.tobytes())
-                hi, lo = np.frombuffer(digest, np.int64)
-                if len(s):
-                    low = minima(s, factors, shifts)
-                    signature, keys = (mix(low) & np.uint64(255)).astype(np.uint8).tobytes(), chunk_keys(low).view(np.int64)
-                else:
-                    signature, keys = None, None
-                rows.append((None if pd.isna(doc_id) else int(doc_id), len(s), hi, lo, signature, keys))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_hi", "set_lo", "signature", "keys"])
-            yield out.astype({"doc_id": "Int64"})
+            for lo, hi in _parts(batch["text"]):
+                sets, sizes = shingle_sets(batch["text"].iloc[lo:hi], cache, k)
+                end = np.cumsum(sizes)
+                digests = [xxhash.xxh3_128_digest(sets[e - n : e].tobytes()) for e, n in zip(end.tolist(), sizes.tolist(), strict=True)]
+                hi_lo = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                full = np.flatnonzero(sizes)
+                own = signatures_of(sets, sizes[full], factors, shifts)
+                signature, keys = np.full(hi - lo, None, object), np.full(hi - lo, None, object)
+                for i, one, some in zip(full.tolist(), own, chunk_keys(own).view(np.int64), strict=True):
+                    signature[i], keys[i] = one.tobytes(), some
+                ids = batch["doc_id"].iloc[lo:hi].reset_index(drop=True).astype("Int64")
+                yield pd.DataFrame({"doc_id": ids, "n_shingles": sizes, "set_hi": hi_lo[:, 0], "set_lo": hi_lo[:, 1], "signature": signature, "keys": keys})
 
     return run
 
 
-def _by_cell(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by ``columns``; a cell has two blocks at most, so little is held at a time."""
-    held: list[pd.DataFrame] = []
+def _by_cell(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of each cell. Rows come sorted by gram and cell; a cell has two blocks at most, so little is held at a time."""
+    held: list[dict[str, np.ndarray]] = []
     for batch in batches:
-        frame = pd.concat([*held, batch], ignore_index=True)
-        cell = frame[columns].to_numpy()
-        edges = [0, *(np.flatnonzero(np.any(cell[1:] != cell[:-1], 1)) + 1), len(frame)]
-        parts = [frame.iloc[lo:hi] for lo, hi in zip(edges, edges[1:], strict=False) if hi > lo]
-        held = parts[-1:]
-        yield from parts[:-1]
+        new = {c: batch[c].to_numpy() for c in batch.columns if c != "signature"}
+        new["signature"] = np.frombuffer(b"".join(batch["signature"]), np.uint16).reshape(len(batch), COMPONENTS)
+        rows = {c: np.concatenate([*(h[c] for h in held), v]) for c, v in new.items()}
+        edges = np.flatnonzero((np.diff(rows["gram"]) != 0) | (np.diff(rows["cell"]) != 0)) + 1
+        edges = [0, *edges.tolist(), len(rows["gram"])]
+        for lo, hi in zip(edges, edges[1:-1], strict=False):
+            yield {c: v[lo:hi] for c, v in rows.items()}
+        held = [{c: v[edges[-2] :] for c, v in rows.items()}]
     yield from held
 
 
 def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of a key whose signatures are near, across components and gatherings."""
-    for cell in _by_cell(batches, ["key", "cell"]):
-        sig = np.frombuffer(b"".join(cell["signature"]), np.uint8).reshape(len(cell), -1)
-        ids, comp, home, n = (cell[c].to_numpy() for c in ("id", "component", "home", "n_shingles"))
-        found = []
-        for i in range(len(cell) - 1):
-            j = i + 1 + np.flatnonzero((comp[i + 1 :] != comp[i]) & (home[i + 1 :] != home[i]))
-            j = j[100 * np.minimum(n[j], n[i]) >= SIMILARITY_PERCENT * np.maximum(n[j], n[i])]
-            j = j[(sig[j] != sig[i]).sum(1) <= SIGNATURE_DISTANCE]
+    """Pairs of a cell whose signatures are near, across components, as sizes and ``most`` allow."""
+    for cell in _by_cell(batches):
+        if len(cell["id"]) < 2:
+            continue
+        names, place, size = np.unique(cell["component"], return_inverse=True, return_counts=True)
+        if len(names) == 1:
+            continue
+        # the largest component last: its members need no pass of their own
+        order = np.argsort(place == size.argmax(), kind="stable")
+        ids, comp, n, most, block, sig = (cell[c][order] for c in ("id", "component", "n", "most", "block", "signature"))
+        # pairs within a block have a cell of their own
+        one, found = (block == block[0]).all(), []
+        for i in range(len(ids) - int(size.max())):
+            fit = (comp[i + 1 :] != comp[i]) & (n[i + 1 :] <= most[i]) & (most[i + 1 :] >= n[i])
+            j = i + 1 + np.flatnonzero(fit if one else fit & (block[i + 1 :] != block[i]))
             if len(j):
+                j = j[(sig[j] != sig[i]).sum(1) <= DISTANCE]
                 found.append(np.stack([np.minimum(ids[j], ids[i]), np.maximum(ids[j], ids[i])], 1))
-        if found:
-            yield pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+        if found and sum(map(len, found)):
+            yield pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+
+
+def _counter(shingles: np.ndarray) -> np.ndarray:
+    return (shingles % np.uint64(COUNTERS)).astype(np.int64)
 
 
-def _gathered(k: int, percent: int):
-    """Links of a gathering's cells on full sets: for each member, one to each other component."""
+def _tally(k: int):
+    """(slice, place, n): how often the counters of each slice are hit by the texts of a task."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = WordHashes()
-        for cell in _by_cell(batches, ["home", "cell"]):
-            comp, ids = cell["component"].to_numpy(), cell["id"].to_numpy()
-            if (comp == comp[0]).all():
-                continue
-            sets = [shingle_set(t, cache, k) for t in cell["text"]]
-            n = np.array([len(s) for s in sets])
-            every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
-            order = np.argsort(every, kind="stable")
-            every, owner = every[order], owner[order]
-            found = []
-            for i in np.flatnonzero(comp != cell["home"].iloc[0]):
-                lo, hi = np.searchsorted(every, sets[i], "left"), np.searchsorted(every, sets[i], "right")
-                size = hi - lo
-                rows = np.repeat(lo - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
-                both = np.bincount(owner[rows], minlength=len(sets))
-                j = np.flatnonzero((100 * both >= percent * (n + n[i] - both)) & (comp != comp[i]))
-                j = j[np.unique(comp[j], return_index=True)[1]]
-                found += [(min(ids[i], x), max(ids[i], x)) for x in ids[j]]
-            if found:
-                yield pd.DataFrame(found, columns=["a", "b"])
+        cache, counts = WordHashes(), np.zeros(COUNTERS, np.uint32)
+        for batch in batches:
+            for text in batch["text"]:
+                np.add.at(counts, _counter(shingle_set(text, cache, k)), 1)
+        width = COUNTERS // SLICES
+        for i in range(SLICES):
+            part = counts[i * width : (i + 1) * width]
+            at = np.flatnonzero(part).astype(np.uint32)
+            if len(at):
+                yield pd.DataFrame({"slice": [i], "place": [at.tobytes()], "n": [part[at].tobytes()]})
+
+    return run
+
+
+def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The sums of each slice, which come sorted by it; a count of two or more matters, up to 2^32."""
+    now, total = None, np.zeros(0)
+    for batch in batches:
+        for i, at, n in zip(batch["slice"], batch["place"], batch["n"], strict=True):
+            if i != now:
+                if now is not None:
+                    yield pd.DataFrame({"slice": [now], "n": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+                now, total = i, np.zeros(COUNTERS // SLICES, np.uint64)
+            total[np.frombuffer(at, np.uint32)] += np.frombuffer(n, np.uint32)
+    if now is not None:
+        yield pd.DataFrame({"slice": [now], "n": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+
+
+def _filed(k: int, percent: int, held):
+    """(gram, before, id, component, n, most, signature) for the rare shingles that a set is filed under; ``before`` is the one filed before."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache, (factors, shifts) = WordHashes(), _multipliers()
+        names = ["gram", "before", "id", "component", "n", "most", "signature"]
+        for batch in batches:
+            rows: list[tuple] = []
+            for id_, component, text in zip(batch["id"], batch["component"], batch["text"], strict=True):
+                s = shingle_set(text, cache, k)
+                count, n = held.value[_counter(s)], len(s)
+                order = np.lexsort((s, count))
+                # sets of m shingles share percent / (100 + percent) of n + m at least; n - place can follow
+                most = (100 + percent) * (n - np.arange(n)) // percent - n
+                kept = (100 * most >= percent * n) & (count[order] > 1)
+                own = signatures_of(s, np.array([n]), factors, shifts).tobytes()
+                grams = s[order][kept].view(np.int64).tolist()
+                rows += [(g, b, id_, component, n, m, own) for g, b, m in zip(grams, [None, *grams], most[kept].tolist(), strict=False)]
+                if len(rows) > 20_000:
+                    yield pd.DataFrame(rows, columns=names).astype({"before": "Int64"})
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=names).astype({"before": "Int64"})
 
     return run
 
@@ -172,26 +256,69 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int, name: st
     return written(with_texts.mapInPandas(_linked(k, percent), "a long, b long"), name)
 
 
-def _in_cells(rows: DataFrame, giant: str, columns: list[str]) -> DataFrame:
-    """Deal the rows of each group to cells of at most two blocks, so that each pair shares one.
+def _in_cells(rows: DataFrame, by: str) -> DataFrame:
+    """Deal the rows of each group to cells of at most two blocks, so that each pair across components shares one.
 
-    ``n_giant`` of the group's ``total`` rows are of its largest component ``giant``; pairs within that need no cell.
+    A group within one block is one cell. Groups of one component are dropped; pairs within the largest need no cell.
     """
-    blocks = rows.withColumn("rest_blocks", F.ceil((F.col("total") - F.col("n_giant")) / F.lit(BLOCK))).withColumn(
-        "giant_blocks", F.greatest(F.ceil(F.col("n_giant") / F.lit(BLOCK)), F.lit(1))
+    counts = rows.groupBy(by, "component").agg(F.count("*").alias("n_rows"))
+    sizes = counts.groupBy(by).agg(
+        F.max("n_rows").alias("n_giant"), F.sum("n_rows").alias("total"), F.max_by("component", F.struct("n_rows", "component")).alias("giant")
     )
-    block = F.expr(f"if(component = {giant}, rest_blocks + pmod(xxhash64(id), giant_blocks), pmod(xxhash64(id), rest_blocks))")
-    cell = F.expr(f"""case when rest_blocks = 1 and giant_blocks = 1 then array(0L)
-        when component = {giant} then transform(sequence(0L, rest_blocks - 1), x -> x * 1000000000L + block)
+    placed = rows.join(sizes.where("total > n_giant"), by)
+    placed = placed.withColumn("rest_blocks", F.ceil((F.col("total") - F.col("n_giant")) / F.lit(BLOCK)))
+    placed = placed.withColumn("giant_blocks", F.ceil(F.col("n_giant") / F.lit(BLOCK)))
+    block = "if(component = giant, rest_blocks + pmod(xxhash64(id), giant_blocks), pmod(xxhash64(id), rest_blocks))"
+    placed = placed.withColumn("block", F.expr(f"if(total <= {BLOCK}, 0L, {block})"))
+    cells = F.expr(f"""case when total <= {BLOCK} then array(0L)
+        when component = giant then transform(sequence(0L, rest_blocks - 1), x -> x * 1000000000L + block)
         else transform(sequence(0L, rest_blocks + giant_blocks - 1), x -> least(block, x) * 1000000000L + greatest(block, x)) end""")
-    return blocks.withColumn("block", block).select(*columns, F.explode(cell).alias("cell"))
+    return placed.select(*rows.columns, "block", F.explode(cells).alias("cell"))
+
+
+def _compared(filed: DataFrame) -> DataFrame:
+    """(a, b) of the filings under a gram that are near by signature and in different components."""
+    cells = _in_cells(filed, "gram").repartition("gram", "cell").sortWithinPartitions("gram", "cell")
+    return cells.mapInPandas(_compare, "a long, b long").distinct()
 
 
-def _open_rows(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, id, component) of the keys whose members are in several components."""
+def rare_filings(hot: DataFrame, k: int = SHINGLE_WORDS, percent: int = SIMILARITY_PERCENT) -> DataFrame:
+    """Rows (gram, before, id, component, n, most, signature), of which those of each similar pair share a gram.
+
+    ``hot`` has (id, component, text). A text is filed under a quarter of its shingles at most, whatever
+    the size of its group, and not under those that it alone has. The counters that order
+    them are one table of COUNTERS numbers, whatever the input.
+    """
+    tallied = hot.select("text").mapInPandas(_tally(k), "slice int, place binary, n binary")
+    sums = tallied.repartition(SLICES, "slice").sortWithinPartitions("slice").mapInPandas(_summed, "slice int, n binary")
+    counts, width = np.zeros(COUNTERS, np.uint32), COUNTERS // SLICES
+    for row in sums.collect():
+        counts[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(row["n"], np.uint32)
+    held = hot.sparkSession.sparkContext.broadcast(counts)
+    return hot.mapInPandas(_filed(k, percent, held), "gram long, before long, id long, component long, n long, most long, signature binary")
+
+
+def possible(filed: DataFrame) -> DataFrame:
+    """Without the filings that no other one under the gram can be a partner of.
+
+    A gram whose members all have the same one filed before is left out too: they meet there, so a passage that
+    many share is compared under one of its shingles.
+    """
+    limits = filed.groupBy("gram").agg(
+        F.min("n").alias("least_n"),
+        F.max("most").alias("greatest"),
+        (F.min("component") != F.max("component")).alias("several"),
+        ((F.count("before") < F.count("*")) | (F.min("before") != F.max("before"))).alias("first"),
+    )
+    limits = limits.where("several and first").drop("several", "first")
+    return filed.drop("before").join(limits, "gram").where("most >= least_n and n <= greatest").drop("least_n", "greatest")
+
+
+def _open_members(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, component) of the members of keys whose members are in several components."""
     placed = buckets.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    return placed.join(several, "key", "left_semi")
+    return placed.join(several, "key", "left_semi").select("id", "component").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = SIMILARITY_PERCENT) -> DataFrame:
@@ -200,8 +327,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = SIMI
     Documents are linked where 100 * |intersection| >= percent * |union| of their shingle sets.
     Null or wordless texts have an empty set and are linked with nothing. A row without doc_id
     cannot be named by a component: its component_id is null and it is kept. Rows that repeat a
-    doc_id are one document with all their links. An empty table gives no rows.
+    doc_id are one document with all their links. An empty table gives no rows. Texts of any length
+    are read whole; a task holds one at a time, and its set. The distance is fit for similarities of
+    0.75 or more.
     """
+    spark = docs.sparkSession
     docs = pick(docs, "doc_id", "text")
     signed = written(docs.mapInPandas(_sign(k), _SIGNED), "signed")
     classes = (
@@ -219,75 +349,22 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = SIMI
     rows = leaders.select("id", F.explode("keys").alias("key"))
     groups = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
     buckets = written(rows.join(groups, "key"), "buckets")
-    involved = buckets.select("id").distinct()
-    texts = written(docs.withColumnRenamed("doc_id", "id").join(involved, "id", "left_semi"), "texts")
+    texts = written(docs.withColumnRenamed("doc_id", "id").join(buckets.select("id").distinct(), "id", "left_semi"), "texts")
     star = (
         buckets.select(F.col("low").alias("a"), F.col("id").alias("b"))
         .union(buckets.select("id", "high"))
         .where("a <> b")
         .distinct()
     )
-    signatures = leaders.select("id", "n_shingles", "signature")
+    signatures = leaders.select("id", F.col("n_shingles").alias("n"), "signature")
     links = confirmed(near_by_signature(star, signatures, percent), texts, k, percent, "links")
-    first = connected_components(links, "first")
-    placed = written(_open_rows(buckets, first), "placed")
-    for turn in range(ROUNDS):
-        seeds = np.random.default_rng(turn).integers(0, 1 << 62, PIVOTS)
-        pivots = placed.groupBy("key").agg(F.array(*[F.min(F.expr(f"id ^ {s}")).bitwiseXOR(F.lit(int(s))) for s in seeds]).alias("pivots"))
-        tried = (
-            placed.join(pivots, "key")
-            .select(F.col("id").alias("a"), "component", F.explode("pivots").alias("b"))
-            .distinct()
-            .join(first.select(F.col("id").alias("b"), F.col("component").alias("other")), "b", "left")
-            .where("component <> coalesce(other, b)")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct()
-        )
-        links = confirmed(near_by_signature(tried, signatures, percent), texts, k, percent, "links")
-        found = links.count()
-        if not found:
-            break
-        first = connected_components(links.union(first.select("id", "component")), "first")
-        rows_before = placed.count()
-        placed = written(_open_rows(placed.select("key", "id"), first), "placed")
-        if placed.count() > 0.8 * rows_before:
-            break
-    # the largest component of each open key, and of the keys of each member
-    counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    open_keys = counts.groupBy("key").agg(
-        F.max("n").alias("n_giant"), F.sum("n").alias("total"), F.max_by("component", F.struct("n", "component")).alias("giant")
-    )
-    members = placed.join(open_keys, "key")
-    homes = (
-        members.groupBy("id", "component", "giant")
-        .agg(F.count("*").alias("n"))
-        .groupBy("id", "component")
-        .agg(F.max_by("giant", F.struct("n", "giant")).alias("home"))
-    )
-    homes = written(homes, "homes")
-    sizes = homes.groupBy("home").agg(F.count_if(F.col("component") == F.col("home")).alias("n_giant"), F.count("*").alias("total"))
-    gathered = _in_cells(homes.join(sizes.where("total > n_giant"), "home"), "home", ["home", "id", "component"])
-    close = (
-        gathered.join(texts, "id")
-        .repartition("home", "cell")
-        .sortWithinPartitions("home", "cell")
-        .select("home", "cell", "id", "component", "text")
-        .mapInPandas(_gathered(k, percent), "a long, b long")
-    )
-    apart = members.join(homes.select("id", "home"), "id")
-    mixed = apart.groupBy("key").agg(F.min("home").alias("lo"), F.max("home").alias("hi")).where("lo <> hi").select("key")
-    cells = _in_cells(apart.join(mixed, "key", "left_semi"), "giant", ["key", "id", "component", "home"])
-    late = (
-        cells.join(signatures, "id")
-        .repartition("key", "cell")
-        .sortWithinPartitions("key", "cell")
-        .select("key", "cell", "id", "component", "home", "n_shingles", "signature")
-        .mapInPandas(_compare, "a long, b long")
-        .distinct()
-    )
-    close = written(close, "close-links")
-    more = confirmed(late, texts, k, percent, "more-links")
-    components = connected_components(more.union(close).union(first.select("id", "component")), "all")
+    labels = connected_components(links, "first")
+    remove(spark, links)
+    hot = written(_open_members(buckets, labels).join(texts, "id"), "hot")
+    filed = written(rare_filings(hot, k, percent), "filed")
+    more = confirmed(_compared(possible(filed)), texts, k, percent, "more-links")
+    components = connected_components(more.union(labels.select("id", "component")), "all")
+    remove(spark, leaders, buckets, texts, labels, hot, filed, more)
     by_class = classes.join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "set_hi", "set_lo", F.coalesce("component", "doc_id").alias("component")
     )
@@ -304,10 +381,10 @@ def near_by_signature(pairs: DataFrame, signatures: DataFrame, percent: int) ->
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                x, y = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(len(batch), -1) for c in ("sig_a", "sig_b"))
-                yield batch.loc[(x != y).sum(1) <= SIGNATURE_DISTANCE, ["a", "b"]]
+                x, y = (np.frombuffer(b"".join(batch[c]), np.uint16).reshape(len(batch), -1) for c in ("sig_a", "sig_b"))
+                yield batch.loc[(x != y).sum(1) <= DISTANCE, ["a", "b"]]
 
-    side = lambda c: signatures.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("signature").alias(f"sig_{c}"))
+    side = lambda c: signatures.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("signature").alias(f"sig_{c}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
     fit = joined.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     return fit.select("a", "b", "sig_a", "sig_b").mapInPandas(run, "a long, b long")
