@@ -18,24 +18,47 @@ def delete_insert(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
     return target.join(gone, same, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+#: Groups whose marks become part of the filter; with more, the marks are joined.
+MOST_MARKS = 64
+
+
 def after_watermark(source: DataFrame, target: DataFrame, column: str, inclusive: bool = False, by: list[str] | None = None, look_back: str | None = None, undated: str | None = None) -> DataFrame:
     """Rows of ``source`` newer than the newest in ``target`` (of each ``by`` group); all of them where it has none.
 
     ``look_back`` is an interval such as "7 days": rows whose ``undated`` column is null are taken again
-    if they are at most so much older than the mark. The marks are one row for each group, aggregated once.
+    if they are at most so much older than the mark. The marks are aggregated first and become literals of the filter, which
+    the scan of ``source`` can use to pass over what is old; only marks of more than MOST_MARKS groups are joined.
     """
     by = by or []
-    marks = target.groupBy(*[F.col(k).alias(f"__{k}") for k in by]).agg(F.max(column).alias("__mark"))
-    if by:
+    kinds = dict(source.dtypes)
+    marks = target.groupBy(*by).agg(F.max(column).alias("__mark"))
+
+    def newer(mark: Column) -> Column:
+        found = (F.col(column) >= mark) if inclusive else (F.col(column) > mark)
+        if look_back:
+            found = found | (F.col(undated).isNull() & (F.col(column) > mark - F.expr(f"interval {look_back}")))
+        return found
+
+    # text and back, so that a time keeps its kind whatever the session's zone
+    known = marks.select(*[F.col(c).cast("string") for c in [*by, "__mark"]]).take(MOST_MARKS + 1)
+    if len(known) > MOST_MARKS:
+        named = marks.select(*[F.col(k).alias(f"__{k}") for k in by], "__mark")
         same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by])
-        rows = source.join(marks, same, "left")
-    else:
-        # an aggregate without groups is one row
-        rows = source.join(F.broadcast(marks))
-    newer = (F.col(column) >= F.col("__mark")) if inclusive else (F.col(column) > F.col("__mark"))
-    if look_back:
-        newer = newer | (F.col(undated).isNull() & (F.col(column) > F.col("__mark") - F.expr(f"interval {look_back}")))
-    return rows.where(F.col("__mark").isNull() | newer).select(*source.columns)
+        return source.join(named, same, "left").where(F.col("__mark").isNull() | newer(F.col("__mark"))).select(*source.columns)
+    known = [r for r in known if r["__mark"] is not None]
+    if not known:
+        return source
+    tests, unknown = [], []
+    for r in known:
+        mark = newer(F.lit(r["__mark"]).cast(kinds[column]))
+        here = [F.col(k).isNull() if r[k] is None else F.col(k) == F.lit(r[k]).cast(kinds[k]) for k in by]
+        # the opposite without a negated null, in terms that a scan understands
+        elsewhere = [F.col(k).isNotNull() if r[k] is None else F.col(k).isNull() | (F.col(k) != F.lit(r[k]).cast(kinds[k])) for k in by]
+        tests.append(reduce(lambda a, b: a & b, here, mark))
+        unknown += [reduce(lambda a, b: a | b, elsewhere)] if by else []
+    if by:
+        tests.append(reduce(lambda a, b: a & b, unknown))
+    return source.where(reduce(lambda a, b: a | b, tests))
 
 
 def whole_groups_after(source: DataFrame, target: DataFrame, group: str, column: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +21,34 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
-def _swapped(spark: SparkSession, df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
-    """Write beside the old version, then put it in its place: readers of the old plan are not cut off midway."""
+def _paths(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     new, old, place = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.new", f"{path}.old", path))
-    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), new, old, place
+
+
+def settled(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at ``path``; a swap that was broken off is finished first.
+
+    Writers call it, and so may readers. Between the two renames of a swap the old version lies beside the complete new one.
+    """
+    store, new, old, place = _paths(spark, path)
+    if not store.exists(place):
+        if store.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new, "_SUCCESS")):
+            store.rename(new, place)
+        elif store.exists(old):
+            store.rename(old, place)
+    return store.exists(place)
+
+
+def _written_beside(df: DataFrame, path: str, by: tuple[str, ...]) -> None:
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*by) if by else writer).parquet(f"{path}.new")
+
+
+def _put_in_place(spark: SparkSession, path: str) -> None:
+    """The version beside the table takes its place: readers of the old plan are not cut off midway."""
+    store, new, old, place = _paths(spark, path)
     store.delete(old, True)
     if store.exists(place):
         store.rename(place, old)
@@ -33,28 +56,62 @@ def _swapped(spark: SparkSession, df: DataFrame, path: str, by: tuple[str, ...]
     store.delete(old, True)
 
 
+def _swapped(spark: SparkSession, df: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
+    _written_beside(df, path, by)
+    _put_in_place(spark, path)
+
+
 def replace(df: DataFrame, path: str, floor: float = 0.5, by: tuple[str, ...] = ()) -> int:
-    """Replace the table at ``path``; an error if the new one has less than ``floor`` of the old one's rows. Returns the rows."""
+    """Replace the table at ``path``; an error if the new one has less than ``floor`` of the old one's rows. Returns the rows.
+
+    The new version is computed once: it is written beside the old one, counted there and then kept or dropped.
+    """
     spark = df.sparkSession
-    before = spark.read.parquet(path).count() if exists(spark, path) else 0
-    n = df.count()
+    before = spark.read.parquet(path).count() if settled(spark, path) else 0
+    _written_beside(df, path, by)
+    n = spark.read.schema(df.schema).parquet(f"{path}.new").count()
     if n < floor * before:
+        store, new, _, _ = _paths(spark, path)
+        store.delete(new, True)
         raise TruncationError(f"{n} rows would replace {before}")
-    _swapped(spark, df, path, by)
+    _put_in_place(spark, path)
     return n
 
 
-def merge(df: DataFrame, path: str, keys: list[str], by: tuple[str, ...] = ()) -> None:
-    """Rows of ``df`` replace those of their keys; new columns are added, absent ones are null."""
+def _updated(df: DataFrame, path: str, keys: list[str], by: tuple[str, ...], combined) -> None:
+    """Rewrite the table with ``combined(old, df)``: only the partitions that ``df`` has rows in, if ``by`` is part of the keys.
+
+    Then no row of another partition can have one of its keys, and a dynamic overwrite leaves the others alone.
+    """
     spark = df.sparkSession
-    _swapped(spark, delete_insert(spark.read.parquet(path), df, keys) if exists(spark, path) else df, path, by)
+    if not settled(spark, path):
+        _swapped(spark, combined(None, df), path, by)
+        return
+    old = spark.read.parquet(path)
+    if by and set(by) <= set(keys):
+        touched = df.select(*by).distinct()
+        # literals, so that the scan of the table is of these partitions alone
+        values = [[F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(by, r, strict=True)] for r in touched.collect()]
+        if not values:
+            return
+        here = reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, v) for v in values])
+        rows = combined(old.where(here), df)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    else:
+        _swapped(spark, combined(old, df), path, by)
 
 
-def keep_latest(df: DataFrame, path: str, keys: list[str], recency: list[str]) -> None:
-    """The newest row of each key of the table and ``df`` together, so batches may come late or twice."""
-    spark = df.sparkSession
-    both = spark.read.parquet(path).unionByName(df, allowMissingColumns=True) if exists(spark, path) else df
-    _swapped(spark, latest_by_state(both, keys, *recency), path)
+def merge(df: DataFrame, path: str, keys: list[str], by: tuple[str, ...] = ()) -> None:
+    """Rows of ``df`` replace those of their keys; new columns are added, absent ones are null.
+
+    Give partition columns that are part of the keys as ``by``: a batch then rewrites its own partitions alone.
+    """
+    _updated(df, path, keys, by, lambda old, new: new if old is None else delete_insert(old, new, keys))
+
+
+def keep_latest(df: DataFrame, path: str, keys: list[str], recency: list[str], by: tuple[str, ...] = ()) -> None:
+    """The newest row of each key of the table and ``df`` together, so batches may come late or twice; ``by`` as for :func:`merge`."""
+    _updated(df, path, keys, by, lambda old, new: latest_by_state(new if old is None else old.unionByName(new, allowMissingColumns=True), keys, *recency))
 
 
 def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> None:
@@ -67,6 +124,17 @@ def export_csv(df: DataFrame, path: str, by: str) -> None:
     df.repartition(F.col(by), F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode("overwrite").partitionBy(by).option("header", True).csv(path)
 
 
+def export_json(df: DataFrame, path: str, by: str | None = None) -> None:
+    """JSON lines, in a folder for each value of ``by`` if it is named; fields without a value are left out."""
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).json(path)
+
+
+def analysed(spark: SparkSession, name: str) -> None:
+    """Statistics of a saved table and of all its columns, for the optimizer's choice of joins."""
+    spark.sql(f"analyze table {name} compute statistics for all columns")
+
+
 def data_version(df: DataFrame) -> str:
     """A digest of all rows, whatever their order."""
     row = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in df.columns])
@@ -74,11 +142,27 @@ def data_version(df: DataFrame) -> str:
     return facts.select(F.sha2(F.concat_ws(":", "n", "x", "s").cast("binary"), 256)).first()[0]
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns that a table's folders are named by."""
+    files = spark.read.parquet(path).inputFiles()
+    return [step.partition("=")[0] for step in files[0].split("/")[:-1] if "=" in step] if files else []
+
+
 def compact(spark: SparkSession, path: str, file_mb: int = 512) -> int:
-    """Rewrite a table's small files to about ``file_mb`` each; returns how many files it has then."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    size = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
-    files = max(1, round(size / (file_mb << 20)))
-    _swapped(spark, spark.read.parquet(path).repartition(files), path)
-    return files
+    """Rewrite a table's small files to about ``file_mb`` each, in its own partitions; returns how many files it has then."""
+    settled(spark, path)
+    store, _, _, place = _paths(spark, path)
+    files = max(1, round(store.getContentSummary(place).getLength() / (file_mb << 20)))
+    rows, by = spark.read.parquet(path), partition_columns(spark, path)
+    if by:
+        # rows of a partition go together, and a large one to several tasks
+        name, before = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.set(name, f"{file_mb}m")
+        try:
+            _written_beside(rows.hint("rebalance", *by), path, tuple(by))
+        finally:
+            spark.conf.set(name, before)
+        _put_in_place(spark, path)
+    else:
+        _swapped(spark, rows.repartition(files), path)
+    return len(spark.read.parquet(path).inputFiles())

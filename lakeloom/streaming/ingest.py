@@ -25,11 +25,14 @@ def counts_by_window(stream: DataFrame, at: str, width: str, by: list[str], late
     return rows.groupBy(F.window(at, width).alias("span"), *by).agg(F.count("*").alias("n")).select("span.start", "span.end", *by, "n")
 
 
-def merge_into(stream: DataFrame, path: str, keys: list[str], recency: list[str], checkpoint: str) -> StreamingQuery:
-    """Keep a table's newest row of each key, over what has arrived; a batch that is late or repeated does no harm."""
+def merge_into(stream: DataFrame, path: str, keys: list[str], recency: list[str], checkpoint: str, by: tuple[str, ...] = ()) -> StreamingQuery:
+    """Keep a table's newest row of each key, over what has arrived; a batch that is late or repeated does no harm.
+
+    With partition columns ``by`` that are part of the keys, a batch rewrites its own partitions alone.
+    """
 
     def put(batch: DataFrame, _: int) -> None:
-        keep_latest(batch, path, keys, recency)
+        keep_latest(batch, path, keys, recency, by)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
