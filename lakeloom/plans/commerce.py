@@ -136,17 +136,17 @@ def slowly_changing_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    with nodes as (select p_partkey as id, case when p_partkey < 10 then lpad(p_partkey::varchar, 4, '0') when p_partkey < 100 then lpad((p_partkey % 10)::varchar, 4, '0') || lpad(p_partkey::varchar, 4, '0')
-            else lpad((p_partkey % 10)::varchar, 4, '0') || lpad((p_partkey % 100)::varchar, 4, '0') || lpad(p_partkey::varchar, 4, '0') end as path from part where p_partkey < 1000)
-    select c.id, p.id as ancestor_id from nodes c join nodes p on c.path like p.path || '%' and length(p.path) < length(c.path)
+    with nodes as (select p_partkey as id, case when p_partkey < 10 then lpad(p_partkey::varchar, 20, '0') when p_partkey < 100 then lpad((p_partkey % 10)::varchar, 20, '0') || lpad(p_partkey::varchar, 20, '0')
+            else lpad((p_partkey % 10)::varchar, 20, '0') || lpad((p_partkey % 100)::varchar, 20, '0') || lpad(p_partkey::varchar, 20, '0') end as path from part)
+    select c.id, p.id as ancestor_id from nodes c join nodes p on starts_with(c.path, p.path) and length(p.path) < length(c.path)
 """)
 def path_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ancestors in a tree of materialised paths, by equality of prefixes."""
-    step = lambda c: F.lpad(c.cast("string"), 4, "0")
+    step = lambda c: F.lpad(c.cast("string"), 20, "0")
     k = F.col("p_partkey")
     path = F.when(k < 10, step(k)).when(k < 100, F.concat(step(k % 10), step(k))).otherwise(F.concat(step(k % 10), step(k % 100), step(k)))
-    nodes = table(spark, sf_dir, "part").where("p_partkey < 1000").select(k.alias("id"), path.alias("path"))
-    return joins.ancestors(nodes, "path", "id", 4).select("id", "ancestor_id")
+    nodes = table(spark, sf_dir, "part").select(k.alias("id"), path.alias("path"))
+    return joins.ancestors(nodes, "path", "id", 20).select("id", "ancestor_id")
 
 
 @query("""

@@ -68,13 +68,13 @@ def module_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    with m as (select conv_id, turn, role, left(text, 3) as content, row_number() over (partition by conv_id order by turn, role, left(text, 3)) as place from conversations where text is not null and role is not null),
+    with m as (select conv_id, turn, role, text as content, row_number() over (partition by conv_id order by turn nulls first, role, text) as place from conversations where text is not null and role is not null),
         f as (select conv_id, role, content, min(place) as place from m group by all)
     select conv_id, (row_number() over (partition by conv_id order by place))::integer as message_number, role, content from f
 """)
 def flattened_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages out of a JSON array, repeats once, numbered anew."""
-    parts = F.array_sort(F.collect_list(F.struct("turn", "role", F.left("text", F.lit(3)).alias("content"))))
+    parts = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
     as_json = F.to_json(F.transform(parts, lambda p: F.struct(p["role"].alias("role"), p["content"].alias("content"))))
     threads = table(spark, sf_dir, "conversations").where("text is not null and role is not null").groupBy("conv_id").agg(as_json.alias("messages"))
     return facts.flattened_messages(threads, "conv_id", "messages")

@@ -109,13 +109,12 @@ def opening_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    with a as (select * from conversations qualify row_number() over (partition by conv_id, role, length(text) % 7 order by turn, text) = 1)
-    select conv_id, turn, role, row_number() over (partition by conv_id order by turn, text) as message_number from a
+    with a as (select * from conversations qualify row_number() over (partition by conv_id, role, text order by turn nulls first) = 1)
+    select conv_id, turn, role, row_number() over (partition by conv_id order by turn nulls first, text nulls first, role nulls first) as message_number from a
 """)
 def transcript_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated messages (here: of equal role and length class) go, the rest is numbered anew."""
-    rows = table(spark, sf_dir, "conversations").withColumn("size", F.length("text") % 7)
-    kept = conversations.without_repeats(rows, "conv_id", ["turn", "text"], ["role", "size"])
+    """Repeated messages (of equal role and text) go, the rest is numbered anew."""
+    kept = conversations.without_repeats(table(spark, sf_dir, "conversations"), "conv_id", ["turn", "text", "role"], ["role", "text"])
     return kept.select("conv_id", "turn", "role", F.col("message_number").cast("long").alias("message_number"))
 
 
@@ -132,13 +131,13 @@ def transcript_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    with t as (select conv_id, turn, lower(trim(w)) as tag from (select conv_id, turn, unnest(string_split(text, ' ')[1:3]) as w from conversations) where trim(w) <> ''),
+    with t as (select conv_id, turn, lower(trim(w)) as tag from (select conv_id, turn, unnest(string_split(text, ' ')) as w from conversations) where trim(w) <> ''),
         n as (select tag, count(*) as n from t group by tag)
     select conv_id, tag as dominant_tag from (select distinct conv_id, tag from t) join n using (tag) qualify row_number() over (partition by conv_id order by n desc, tag) = 1
 """)
 def dominant_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of a conversation's tags (the first words of its turns), the most frequent in the corpus."""
-    tagged = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.slice(F.split("text", " "), 1, 3).alias("tags"))
+    """Of a conversation's tags (the words of its turns), the most frequent in the corpus."""
+    tagged = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.split("text", " ").alias("tags"))
     return conversations.dominant(conversations.exploded_tags(tagged, "tags", "tag"), "conv_id", "tag")
 
 
