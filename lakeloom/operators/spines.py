@@ -21,8 +21,18 @@ def fiscal_year(day: Column, first_month: int = 7) -> Column:
     return F.year(day) + F.when(F.month(day) >= first_month, 1).otherwise(0)
 
 
+def fiscal_quarter(day: Column, first_month: int = 7) -> Column:
+    """1 to 4, counted from the first month of the fiscal year."""
+    return (F.floor((F.month(day) + 12 - first_month) % 12 / 3) + 1).cast("int")
+
+
+def months_and_today(spark: SparkSession, first: str, today: str) -> DataFrame:
+    """(moment) of each month's start from ``first`` on, and of ``today`` beside them, so that reports end with the day they are run."""
+    return spark.sql(f"select explode(array_union(sequence(date'{first}', date'{today}', interval 1 month), array(date'{today}'))) as moment")
+
+
 def date_dimension(spark: SparkSession, first: str = "2010-01-01", end: str = "2031-01-01") -> DataFrame:
-    """One row a day: key, parts, ISO week and weekday, fiscal and academic year."""
+    """One row a day: key, parts, ISO week and weekday, fiscal and academic year (that in which it begins)."""
     d = F.col("date_day")
     iso_day = F.weekday(d) + 1
     term = F.when(F.month(d) >= 9, "Fall").when(F.month(d) == 1, "IAP").when(F.month(d) <= 5, "Spring").otherwise("Summer")
@@ -38,7 +48,8 @@ def date_dimension(spark: SparkSession, first: str = "2010-01-01", end: str = "2
         F.date_format(d, "EEEE").alias("day_name"),
         (iso_day >= 6).alias("is_weekend"),
         fiscal_year(d).alias("fiscal_year"),
-        F.concat((fiscal_year(d, 9) - 1).cast("string"), F.lit("-"), fiscal_year(d, 9).cast("string")).alias("academic_year"),
+        fiscal_quarter(d).alias("fiscal_quarter"),
+        (fiscal_year(d, 9) - 1).alias("academic_year"),
         term.alias("term"),
     )
 

@@ -15,7 +15,7 @@ from .tables import table
     select strftime(d, '%Y%m%d')::integer as date_key, d::date as date_day, year(d)::integer as year, quarter(d)::integer as quarter, month(d)::integer as month, day(d)::integer as day,
         weekofyear(d)::integer as iso_week, isodow(d)::integer as iso_day_of_week, dayname(d) as day_name, isodow(d) >= 6 as is_weekend,
         (year(d) + (month(d) >= 7)::integer)::integer as fiscal_year,
-        (year(d) + (month(d) >= 9)::integer - 1)::varchar || '-' || (year(d) + (month(d) >= 9)::integer)::varchar as academic_year,
+        case when month(d) >= 7 then quarter(d) - 2 else quarter(d) + 2 end::integer as fiscal_quarter, (year(d) - (month(d) < 9)::integer)::integer as academic_year,
         case when month(d) >= 9 then 'Fall' when month(d) = 1 then 'IAP' when month(d) <= 5 then 'Spring' else 'Summer' end as term
     from (select unnest(generate_series(date '2010-01-01', date '2030-12-31', interval 1 day)) as d)
 """)
