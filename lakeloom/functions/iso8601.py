@@ -57,6 +57,11 @@ def parsed_with(text: Column | str, pattern: str) -> Column:
     return F.try_to_timestamp(_c(text), F.lit(java_pattern(pattern)))
 
 
+def shown_with(moment: Column | str, pattern: str) -> Column:
+    """A date or time as text by a MySQL-style pattern such as ``%Y%m%d``."""
+    return F.date_format(_c(moment), java_pattern(pattern))
+
+
 def java_pattern(pattern: str) -> str:
     """A MySQL-style date pattern in Java's letters; other letters are quoted."""
     # The codes that models use.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +23,42 @@ def json_scalar(text: Column | str, path: str) -> Column:
     return F.when(~found.rlike(r"^\s*[\[{]"), found)
 
 
+def with_quoted_keys(path: str) -> str:
+    """A path with keys in quotes, such as ``$.a."b-c"``, in the form with brackets that Spark reads."""
+    return re.sub(r'\.?"([^"]*)"', r"['\1']", path)
+
+
+def json_typed(text: Column | str, path: str, kind: str) -> Column:
+    """What ``path`` names as a value of a type such as ``bigint``; null where it is none."""
+    return json_scalar(text, with_quoted_keys(path)).try_cast(kind)
+
+
+def json_wildcard(text: Column | str, path: str) -> Column:
+    """All matches of a path such as ``$[*].value`` or ``$.items[*].value``, always in an array, as JSON text; [] if there are none.
+
+    Null if what stands before the wildcard is no array.
+    """
+    before, _, after = with_quoted_keys(path).partition("[*]")
+    whole = _c(text) if before == "$" else F.get_json_object(_c(text), before)
+    items = F.from_json(whole, "array<variant>")
+    matches = F.transform(items, lambda v: F.try_variant_get(v, f"${after}", "variant")) if after else items
+    return F.to_json(F.filter(matches, lambda v: v.isNotNull() & ~F.is_variant_null(v)))
+
+
+def repaired(text: Column | str) -> Column:
+    """An object that was put into a string, perhaps with its quotes escaped, as an object; other text as it is.
+
+    Outer quotes go, escaped quotes and backslashes lose a level, until it parses; text that never does stays.
+    """
+    text = _c(text)
+    out = text
+    for _ in range(2):
+        bare = F.regexp_replace(out, r'^\s*"\s*(\{[\s\S]*\})\s*"\s*$', "$1")
+        plain = F.regexp_replace(bare, r'\\(["\\])', "$1")
+        out = F.when(is_json_object(out), out).when(is_json_object(bare), bare).otherwise(plain)
+    return F.when(is_json_object(out), out).otherwise(text)
+
+
 def json_string_array(text: Column | str, path: str = "$") -> Column:
     """The array at ``path`` as strings; null if there is none."""
     return F.from_json(F.get_json_object(_c(text), path), "array<string>")
@@ -33,7 +71,7 @@ def json_map(text: Column | str) -> Column:
 
 def is_json_object(text: Column | str) -> Column:
     """Whether the text is a JSON object."""
-    return F.coalesce(F.is_variant_null(F.try_parse_json(_c(text))) == F.lit(False), F.lit(False)) & F.coalesce(F.ltrim(_c(text)).startswith("{"), F.lit(False))
+    return F.try_parse_json(_c(text)).isNotNull() & F.coalesce(F.ltrim(_c(text)).startswith("{"), F.lit(False))
 
 
 def unnested_map(df, text: str, key: str = "key", value: str = "value"):

@@ -40,3 +40,24 @@ def part(text: Column | str, separator: str, place: int) -> Column:
 def joined_known(array: Column | str, separator: str, instead: str | None = None) -> Column:
     """Elements by ``separator``; nulls are left out or replaced."""
     return F.array_join(_c(array), separator) if instead is None else F.array_join(_c(array), separator, instead)
+
+
+def unless_known_false(condition: Column) -> Column:
+    """The condition, true where it is unknown."""
+    return F.coalesce(condition, F.lit(True))
+
+
+def no_doubles() -> Column:
+    """A null of type array of doubles, for columns that another system fills."""
+    return F.lit(None).cast("array<double>")
+
+
+def fixed(number: Column | str, digits: int = 2) -> Column:
+    """A number as text with so many decimals; null stays null."""
+    return F.when(_c(number).isNotNull(), F.format_string(f"%.{digits}f", _c(number).cast("double")))
+
+
+def capitalised(text: Column | str) -> Column:
+    """Each word with its first letter in upper case and the rest in lower case; other characters stay."""
+    words = F.regexp_extract_all(_c(text), F.lit(r"[A-Za-z0-9]+|[^A-Za-z0-9]+"), F.lit(0))
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.lower(F.substring(w, 2, 1_000_000)))), "")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import json_text
+from ..functions.keys import surrogate_key
 from .dedup import first_row
 
 
@@ -100,3 +101,35 @@ def cohort_sums(df: DataFrame, keys: list[str], person: str, sums: dict[str, Col
     """Sums, each beside the number of people that contribute to it, so that small cohorts can be withheld."""
     people = df.groupBy(*keys, person).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     return people.groupBy(*keys).agg(*[e for n in sums for e in (F.sum(n).alias(n), F.count_if(F.col(n) > 0).alias(f"{n}_people"))])
+
+
+def problem_events(logs: DataFrame, history: DataFrame, who: list[str], attempt: str, kind: str, check: str, at: str, tie: str) -> DataFrame:
+    """Logged events and module states of the same submissions, put together.
+
+    ``history`` has a row for each submission; its latest one of each person, problem and attempt counts as a
+    ``check``, so that few rows are ranked. Of all events of an attempt, a check stays if it is the earliest; others stay always.
+    """
+    keys = [*who, attempt]
+    states = first_row(history, keys, [F.col(at).desc_nulls_last(), F.col(tie).desc()]).withColumn(kind, F.lit(check))
+    rows = logs.unionByName(states, allowMissingColumns=True)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(at).asc_nulls_first(), F.col(tie)))
+    return rows.withColumn("__rank", rank).where((F.col("__rank") == 1) | (F.col(kind) != check)).drop("__rank")
+
+
+def certificates(rows: DataFrame, person: list[str], identifier: str, platform: str, scope: str, preferred: list[str], updated: str, created: str) -> DataFrame:
+    """Certificates of several platforms with a key, one of each.
+
+    First, one of what several platforms report of the same person, by platform in order of preference; then, as no platform is
+    sure to report an identifier once, the latest row of each key. Times are the last change, or else the creation.
+    """
+    moved = rows.withColumn("__at", F.coalesce(updated, created))
+    one = across_sources(moved, person, identifier, platform, preferred, "__at", identifier)
+    keyed = one.withColumn("certificate_key", surrogate_key(identifier, platform, scope))
+    rest = [F.col(c).desc_nulls_last() for c in person]
+    return first_row(keyed, ["certificate_key"], [F.col("__at").desc_nulls_last(), *rest]).drop("__at")
+
+
+def onboarding_list(people: DataFrame, email: str, where: Column) -> DataFrame:
+    """(email): the addresses of the people admitted, lower-cased, each once, in order."""
+    address = F.nullif(F.lower(F.trim(F.col(email))), F.lit(""))
+    return people.where(where).select(address.alias("email")).where("email is not null").distinct().orderBy("email")

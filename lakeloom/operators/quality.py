@@ -76,7 +76,7 @@ class Difference:
         return "match" if self.rows.isEmpty() else "mismatch"
 
 
-def difference(left: DataFrame, right: DataFrame, keys: list[str], most_columns: int = 25) -> Difference:
+def difference(left: DataFrame, right: DataFrame, keys: list[str]) -> Difference:
     """Columns on one side or of unlike types; rows on one side or unlike (``change``); how often each column differs."""
     a, b = dict(left.dtypes), dict(right.dtypes)
     common = [c for c in left.columns if c in b]
@@ -88,8 +88,8 @@ def difference(left: DataFrame, right: DataFrame, keys: list[str], most_columns:
     change = F.when(F.col("__y").isNull(), "removed").when(F.col("__x").isNull(), "added").when(unlike, "changed")
     rows = both.select(*keys, change.alias("change")).where("change is not null")
     matched = both.where("__x is not null and __y is not null")
-    counted = matched.agg(*[F.count_if(~F.col(f"__x.{c}").eqNullSafe(F.col(f"__y.{c}"))).alias(c) for c in values[:most_columns]], F.count("*").alias("__n"))
-    columns = counted.select(F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in values[:most_columns]]), F.array(*values[:most_columns]))).alias("column", "n_differing")) if values else None
+    counted = matched.agg(*[F.count_if(~F.col(f"__x.{c}").eqNullSafe(F.col(f"__y.{c}"))).alias(c) for c in values], F.count("*").alias("__n"))
+    columns = counted.select(F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in values]), F.array(*values))).alias("column", "n_differing")) if values else None
     return Difference([c for c in a if c not in b], [c for c in b if c not in a], [c for c in common if a[c] != b[c]], columns, rows)
 
 

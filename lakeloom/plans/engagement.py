@@ -64,7 +64,7 @@ def gaps_between_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def answer_speed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each learner is faster than the fastest tenth of all on the same kind of item."""
     gaps = reports.with_gaps(table(spark, sf_dir, "events"), ["user_id"], "ts", "event_id", 14400)
-    fast = gaps.groupBy("event_type").agg(F.percentile("gap_seconds", 0.1).alias("fast"))
+    fast = reports.quantiles(gaps, ["event_type"], "gap_seconds", {"fast": 0.1})
     n_fast = F.count_if(F.col("gap_seconds") < F.col("fast"))
     return gaps.join(fast, "event_type").groupBy("user_id").agg(
         F.count("*").alias("n_events"),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import nulls
+from ..functions import iso8601, json_text, nulls
+from ..operators import dedup, spines
 from .catalog import query
 from .tables import table
 
@@ -100,3 +101,85 @@ def json_from_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = F.array_sort(F.collect_list(F.struct("n_name", "n_nationkey")))
     rows = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.map_from_entries(pairs).alias("m"))
     return rows.select("n_regionkey", F.to_json("m").alias("object"), F.to_json(F.map_keys("m")).alias("list"), F.array_join(F.map_keys("m"), ",").alias("keys"))
+
+
+@query("""
+    select o_orderkey, printf('%.2f', o_totalprice / 7) as fixed, strftime(o_orderdate, '%Y%m%d') as day, strftime(o_orderdate, '%d.%m.%y %H:%M') as shown, coalesce(nullif(o_orderstatus, 'P') = 'F', true) as not_known_open,
+        case when o_orderpriority = '5-LOW' then '5-Low' when o_orderpriority = '1-URGENT' then '1-Urgent' when o_orderpriority = '2-HIGH' then '2-High' when o_orderpriority = '3-MEDIUM' then '3-Medium' else '4-Not Specified' end as title, null as vector
+    from orders
+""")
+def formatted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers with fixed decimals, dates by MySQL-style patterns, words capitalised, unknown conditions taken for true."""
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        nulls.fixed(F.col("o_totalprice") / 7).alias("fixed"),
+        iso8601.shown_with("o_orderdate", "%Y%m%d").alias("day"),
+        iso8601.shown_with("o_orderdate", "%d.%m.%y %H:%i").alias("shown"),
+        nulls.unless_known_false(F.nullif("o_orderstatus", F.lit("P")) == "F").alias("not_known_open"),
+        nulls.capitalised("o_orderpriority").alias("title"),
+        F.array_join(nulls.no_doubles().cast("array<string>"), ",").alias("vector"),
+    )
+
+
+@query("""
+    select n_regionkey, '{' || string_agg('"' || n_name || '":"' || n_nationkey * 10 || '"', ',' order by n_name) || '}' as tenfold, max(r_name) as region
+    from nation join region on r_regionkey = n_regionkey group by n_regionkey
+""")
+def map_values_transformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values of a map changed by a function, and any value of a group that has only one."""
+    pairs = F.array_sort(F.collect_list(F.struct("n_name", "n_nationkey")))
+    rows = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = rows.groupBy("n_regionkey").agg(F.map_from_entries(pairs).alias("m"), F.any_value("r_name").alias("region"))
+    return rows.select("n_regionkey", F.to_json(F.transform_values("m", lambda k, v: (v * 10).cast("string"))).alias("tenfold"), "region")
+
+
+@query("""
+    select event_id, '["' || event_type || '",' || case when event_id % 2 = 0 then '"x"' else '7' end || ']' as every, '["' || event_type || '"]' as one, '[]' as none, event_type as quoted, user_id as typed, null as untyped, '{"course_id":"c' || user_id || '"}' as context
+    from events
+""")
+def json_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wildcards in an array, quoted keys, typed values, and an object that was put into a string."""
+    second = F.when(F.col("event_id") % 2 == 0, '"x"').otherwise("7")
+    items = F.concat(F.lit('[{"value":"'), "event_type", F.lit('"},{"other":1},{"value":'), second, F.lit("},{\"value\":null}]"))
+    nested = F.concat(F.lit('{"items":[{"v":{"w":"'), "event_type", F.lit('"}}],"a":{"b-c":"'), "event_type", F.lit('","n":'), F.col("user_id").cast("string"), F.lit("}}"))
+    damaged = F.concat(F.lit('"{\\"course_id\\":\\"c'), F.col("user_id").cast("string"), F.lit('\\"}"'))
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", items.alias("items"), nested.alias("nested"), damaged.alias("damaged"))
+    return rows.select(
+        "event_id",
+        json_text.json_wildcard("items", "$[*].value").alias("every"),
+        json_text.json_wildcard("nested", "$.items[*].v.w").alias("one"),
+        json_text.json_wildcard("items", "$[*].missing").alias("none"),
+        json_text.json_string("nested", json_text.with_quoted_keys('$.a."b-c"')).alias("quoted"),
+        json_text.json_typed("nested", '$.a."n"', "bigint").alias("typed"),
+        json_text.json_typed("nested", '$.a."b-c"', "bigint").alias("untyped"),
+        json_text.repaired("damaged").alias("context"),
+    )
+
+
+@query("""
+    select strftime(unnest(list_distinct(list_append(generate_series(timestamp '2023-11-01', timestamp '2024-03-15', interval 1 month), timestamp '2024-03-15'))), '%Y-%m-%d') as moment
+""")
+def months_and_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months' starts, and the day itself."""
+    return spines.months_and_today(spark, "2023-11-01", "2024-03-15").select(F.date_format("moment", "yyyy-MM-dd").alias("moment"))
+
+
+@query("""
+    select user_id, event_id from events qualify dense_rank() over (partition by user_id order by ts::date desc nulls last) = 1
+""")
+def newest_batch_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events of each user's last day."""
+    rows = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    return dedup.latest_batch(rows, "day", ["user_id"]).select("user_id", "event_id")
+
+
+@query("""
+    select o_orderkey, o_totalprice, row_number() over (order by o_totalprice desc, o_orderkey) as place from orders order by o_totalprice desc, o_orderkey limit 25
+""")
+def largest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A top-k report in order: each task keeps its own largest, so nothing is sorted as a whole."""
+    from pyspark.sql import Window
+
+    top = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(25)
+    place = F.row_number().over(Window.orderBy(F.col("o_totalprice").desc(), "o_orderkey"))
+    return top.withColumn("place", place.cast("long")).orderBy("place")

@@ -13,55 +13,59 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_BLOCKS = "course_id string, block_id string, block_index int, block_parent string, block_type string, block_title string, block_start string, block_due string, block_details string, block_content_hash string, course_content_hash string"
+_BLOCKS = "course_id string, course_title string, course_start string, retrieved_at string, block_id string, block_index int, block_parent string, block_type string, block_title string, block_start string, block_due string, block_details string, block_content_hash string, course_content_hash string"
 _XML = "course string, path string, block_type string, block_id string, display_name string, content_hash string"
 #: Folders of an archive that hold no blocks.
 EXCLUDED = ("drafts", "assets", "static", "policies", "about", "info", "tabs")
 
 
 def _digest(value: object) -> str:
-    return hashlib.sha256(json.dumps(value, sort_keys=True).encode()).hexdigest()
+    return hashlib.sha256(json.dumps(value).encode()).hexdigest()
 
 
-def walked(blocks: dict[str, dict]) -> Iterator[tuple[str, str | None]]:
-    """(block, parent) in depth-first order from the course block; children that the document lacks are passed over."""
-    roots = [k for k, b in blocks.items() if b.get("category") == "course"]
-    stack: list[tuple[str, str | None]] = [(r, None) for r in reversed(roots[:1])]
-    seen = set()
+def walked(blocks: dict[str, dict], root: str | None) -> Iterator[str]:
+    """Blocks in depth-first order from the root; children that the document lacks, and blocks met before, are passed over."""
+    stack, seen = [root], set()
     while stack:
-        block, parent = stack.pop()
+        block = stack.pop()
         if block in seen or block not in blocks:
             continue
         seen.add(block)
-        yield block, parent
-        stack += [(c, block) for c in reversed(blocks[block].get("children") or [])]
+        yield block
+        stack += reversed(blocks[block].get("children") or [])
 
 
 def _unnested(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = [c.split()[0] for c in _BLOCKS.split(", ")]
     for batch in batches:
         rows = []
-        for course, text in zip(batch["course_id"], batch["structure"], strict=True):
+        for course, text, retrieved in zip(batch["course_id"], batch["structure"], batch["retrieved_at"], strict=True):
             try:
                 blocks = json.loads(text or "{}")
             except ValueError:
                 continue
             if not isinstance(blocks, dict):
                 continue
+            root = next((k for k, b in blocks.items() if b.get("category") == "course"), None)
+            top = (blocks[root].get("metadata") or {}) if root is not None else {}
+            place = {block: i for i, block in enumerate(walked(blocks, root), 1)}
+            parent = {c: k for k, b in blocks.items() for c in b.get("children") or []}
             whole = _digest(blocks)
-            for i, (block, parent) in enumerate(walked(blocks)):
-                b = blocks[block]
+            for block, b in blocks.items():
                 meta = b.get("metadata") or {}
-                rows.append((course, block, i, parent, b.get("category"), meta.get("display_name"), meta.get("start"), meta.get("due"), json.dumps(b, sort_keys=True), _digest(b), whole))
+                rows.append((course, top.get("display_name"), top.get("start"), retrieved, block, place.get(block, 0), parent.get(block), b.get("category"), meta.get("display_name"), meta.get("start"), meta.get("due"), json.dumps(b), _digest(b), whole))
         yield pd.DataFrame(rows, columns=names)
 
 
 def unnested_structures(documents: DataFrame) -> DataFrame:
-    """One row for each block of each course document (course_id, structure), with its depth-first index and parent.
+    """One row for each block of each course document (course_id, structure, and retrieved_at if there is one).
 
+    ``block_index`` counts from 1 in depth-first order from the course block; blocks that it does not lead to have 0.
     A document is one course, so rows of a task are bounded by it. Text that is no JSON object gives none.
     """
-    return documents.select("course_id", "structure").mapInPandas(_unnested, _BLOCKS)
+    if "retrieved_at" not in documents.columns:
+        documents = documents.withColumn("retrieved_at", F.lit(None).cast("string"))
+    return documents.select("course_id", "structure", F.col("retrieved_at").cast("string").alias("retrieved_at")).mapInPandas(_unnested, _BLOCKS)
 
 
 def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

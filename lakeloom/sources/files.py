@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import iso8601
+from ..functions import iso8601, json_text
 from ..functions.keys import row_hash
 
 
@@ -45,9 +45,9 @@ def read_json_lines(spark: SparkSession, path: str, columns: Sequence[str]) -> D
 
 
 def unescaped(text: Column) -> Column:
-    """JSON that was put into a JSON string a second time: quotes and backslashes lose a level."""
+    """JSON that was put into a JSON string a second time loses a level; objects in quotes or with stray escapes are repaired."""
     inner = F.get_json_object(F.concat(F.lit('{"x":'), text, F.lit("}")), "$.x")
-    return F.when(text.startswith('"') & text.endswith('"'), inner).otherwise(text)
+    return F.coalesce(F.when(text.startswith('"') & text.endswith('"'), inner), json_text.repaired(text))
 
 
 def event_time(text: Column) -> Column:

@@ -93,3 +93,46 @@ def test_severity_and_verdict(spark):
     assert quality.difference(a, a, ["k"]).verdict() == "match"
     assert quality.difference(a, a.withColumn("v", F.lit("y")), ["k"]).verdict() == "mismatch"
     assert quality.difference(a, a.withColumn("w", F.lit(1)), ["k"]).verdict() == "schema_divergence"
+
+
+def test_the_watermark_reaches_the_scan(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id) as at", "concat('k', id % 3) as k")
+    df.write.parquet(f"{tmp_path}/t")
+    source = spark.read.parquet(f"{tmp_path}/t")
+    for by in ([], ["k"]):
+        newer = incremental.after_watermark(source, source.where("id < 900"), "at", by=by)
+        plan = newer._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThan(at" in plan.split("PushedFilters: ")[1].splitlines()[0] and "Join" not in plan
+        assert newer.count() == 100
+    many = source.withColumn("k", F.col("id") % 200)
+    assert incremental.after_watermark(many, many.where("id < 900"), "at", by=["k"]).count() == 100
+
+
+def test_quantiles_are_exact(spark):
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(1)
+    rows = [(k, rnd.choice([rnd.random(), 0.5, float(rnd.randrange(5))])) for k in ("a", "b", None) for _ in range(700)] + [("one", 3.0), ("none", None), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    shares = {"p0": 0.0, "p10": 0.1, "p33": 1 / 3, "p50": 0.5, "p100": 1.0}
+    got = {r["k"]: [r[n] for n in shares] for r in reports.quantiles(df, ["k"], "v", shares, 8).collect()}
+    assert got.keys() == {"a", "b", None, "one", "none"} and got["none"] == [None] * 5
+    for k in ("a", "b", None, "one"):
+        assert np.allclose(got[k], np.quantile([v for x, v in rows if x == k and v is not None], list(shares.values())))
+    assert np.allclose(list(reports.quantiles(df, [], "v", shares, 8).first()), np.quantile([v for _, v in rows if v is not None], list(shares.values())))
+
+
+def test_a_diff_counts_every_column(spark):
+    a = spark.range(3).select("id", *[F.lit(i).alias(f"c{i}") for i in range(40)])
+    found = quality.difference(a, a.withColumn("c39", F.lit(0)), ["id"]).columns.collect()
+    assert len(found) == 40 and {r["column"]: r["n_differing"] for r in found}["c39"] == 3
+
+
+def test_a_course_under_no_requirement_stays(spark):
+    operators = spark.createDataFrame([(1, "00", "all_of", None, "t")], "operator_id int, path string, rule string, least int, title string")
+    courses = spark.createDataFrame([(7, 1, "0001"), (8, 1, "0101")], "course_id int, program_id int, path string")
+    found = {r["course_id"]: r for r in hierarchy.requirement_tree(operators, courses, 2).collect()}
+    assert (found[7]["kind"], found[7]["n_required"], found[7]["place"]) == ("Core", 1, 1)
+    assert (found[8]["kind"], found[8]["requirement_id"], found[8]["place"]) == (None, None, 2)

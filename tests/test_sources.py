@@ -7,7 +7,8 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.sources import courses, files, sinks
+from lakeloom.functions import json_text
+from lakeloom.sources import courses, feeds, files, sinks
 from lakeloom.streaming import ingest
 
 
@@ -41,7 +42,8 @@ def test_course_tree(spark):
         "stray": {"category": "problem"},
     }
     rows = courses.unnested_structures(spark.createDataFrame([("x", json.dumps(tree)), ("y", "broken"), ("z", None), ("w", "{}")], "course_id string, structure string")).orderBy("block_index").collect()
-    assert [(r["block_id"], r["block_parent"]) for r in rows] == [("c", None), ("s2", "c"), ("s1", "c"), ("p", "s1")]
+    assert [(r["block_id"], r["block_index"], r["block_parent"]) for r in rows] == [("stray", 0, None), ("c", 1, None), ("s2", 2, "c"), ("s1", 3, "c"), ("p", 4, "s1")]
+    assert {(r["course_title"], r["retrieved_at"]) for r in rows} == {("C", None)}
     flat = spark.createDataFrame([('{"a": {"b": 1, "c": "x"}}',), ("no",)], "j string").select(courses.flattened_json("j")).collect()
     assert flat[0][0] == {"a__b": "1", "a__c": "x"} and flat[1][0] is None
 
@@ -76,6 +78,62 @@ def test_sinks(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 105
 
 
+def test_a_merge_rewrites_its_own_partitions_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "day string, id long, v string")
+    sinks.merge(rows(("a", 1, "x"), ("a", 2, "x"), ("b", 1, "x")), path, ["day", "id"], by=("day",))
+    before = {f.name for f in (tmp_path / "t" / "day=b").glob("*.parquet")}
+    sinks.merge(rows(("a", 2, "y"), ("a", 3, "y")), path, ["day", "id"], by=("day",))
+    found = sorted(tuple(r) for r in spark.read.parquet(path).select("day", "id", "v").collect())
+    assert found == [("a", 1, "x"), ("a", 2, "y"), ("a", 3, "y"), ("b", 1, "x")]
+    assert {f.name for f in (tmp_path / "t" / "day=b").glob("*.parquet")} == before
+    sinks.keep_latest(rows(("b", 1, "z")), path, ["day", "id"], ["v"], by=("day",))
+    assert spark.read.parquet(path).where("day = 'b'").first()["v"] == "z" and spark.read.parquet(path).count() == 4
+    assert sinks.compact(spark, path) == 2 and sinks.partition_columns(spark, path) == ["day"]
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_a_swap_that_was_broken_off_is_finished(spark, tmp_path):
+    path = tmp_path / "t"
+    sinks.replace(spark.range(10), str(path))
+    path.rename(tmp_path / "t.old")
+    spark.range(12).write.parquet(str(tmp_path / "t.new"))
+    assert sinks.settled(spark, str(path)) and spark.read.parquet(str(path)).count() == 12
+    assert not sinks.settled(spark, str(tmp_path / "none"))
+
+
+def test_json_export_and_statistics(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", None), (2, "b", 2.5)], "id long, org string, v double")
+    sinks.export_json(df, str(tmp_path / "j"), "org")
+    assert sorted(map(tuple, spark.read.json(str(tmp_path / "j")).select("id", "v").collect())) == [(1, None), (2, 2.5)]
+    spark.sql("drop table if exists analysed_here")
+    df.write.option("path", str(tmp_path / "a")).saveAsTable("analysed_here")
+    sinks.analysed(spark, "analysed_here")
+    assert any("2 rows" in str(r[1]) for r in spark.sql("describe extended analysed_here").collect() if r[0] == "Statistics")
+    spark.sql("drop table analysed_here")
+
+
+def test_feeds(spark):
+    ns = 'xmlns:itunes="http://www.itunes.com/dtds/podcast-1.0.dtd"'
+    xml = f"""<rss {ns}><channel><title>T</title><language>en</language><itunes:image href="http://i/c.png"/>
+        <item><title>one</title><guid>g1</guid><enclosure url="http://a/1.mp3"/><itunes:duration>10:00</itunes:duration></item>
+        <item><title>no audio</title></item>
+        <item><title>two</title><link>https://l/two</link><enclosure url="http://a/2.mp3"/><itunes:image href="http://i/2.png"/></item></channel></rss>"""
+    df = spark.createDataFrame([("https://host/feed/", xml), ("https://bad", "<rss"), ("https://none", None)], "rss_url string, xml string")
+    channel = feeds.channels(df).collect()
+    assert [(r["readable_id"], r["title"], r["language"], r["image_url"]) for r in channel] == [("host/feed", "T", "en", "http://i/c.png")]
+    found = feeds.episodes(df).collect()
+    assert [(r["readable_id"], r["url"], r["duration"], r["image_url"]) for r in found] == [("g1", "http://a/1.mp3", "10:00", "http://i/c.png"), ("l/two", "https://l/two", None, "http://i/2.png")]
+    assert {r["channel_readable_id"] for r in found} == {"host/feed"}
+
+
+def test_damaged_contexts_are_repaired(spark):
+    rows = [('{"a": 1}', '{"a": 1}'), ('"{\\"a\\": 1}"', '{"a": 1}'), ('"{"a": 1}"', '{"a": 1}'), ('{\\"a\\": 1}', '{"a": 1}'), ("plain", "plain"), (None, None), ("", "")]
+    df = spark.createDataFrame(rows, "t string, expected string")
+    assert [r[0] for r in df.select(json_text.is_json_object("t")).collect()] == [True, False, False, False, False, False, False]
+    assert df.where(~json_text.repaired("t").eqNullSafe(F.col("expected"))).collect() == []
+
+
 def test_streams(spark, tmp_path, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     source, table = str(tmp_path / "in"), str(tmp_path / "table")
