@@ -11,12 +11,14 @@ A part within k edits of a segment of length m shares at least m + 1 - q * (k +
 bands of twice a power of two >= k that overlap by half, so one band holds all of them; bands
 that reach the bound are verified by banded alignment. Nothing within the budget is missed.
 
-The benchmark is the query set: it is cut into slices of bounded size, each of which is indexed
-and broadcast in turn. Texts never move: each is scanned whole where it lies.
+The benchmark is the query set: it is cut into slices of bounded size. Each is indexed, broadcast, matched against
+all texts and released before the next, so neither the driver nor a task holds more than one slice, whatever
+the benchmark's size. Texts never move: each is scanned whole where it lies.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,15 +27,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, pick
+from .common import mix, pick, written
 
 Q, SEGMENT, STEP = 8, 96, 48
 #: The short segments, and the least verbatim passage that is sure to hold one of them whole.
 SHORT, SHORT_STEP = 48, 12
 PASSAGE = SHORT + SHORT_STEP - 1
 ERROR_RATE = 0.1
-#: Characters of benchmark text that are indexed and broadcast at a time.
+#: Characters of benchmark text that are indexed and broadcast at a time, more only where one item is longer.
 SLICE_CHARS = 600_000
+#: An item with fewer letters and digits is a common phrase rather than a passage, and matches nothing.
+LEAST_ITEM = 20
 FILTER_BITS = 22
 
 # A band key has the segment, the band and the place in the segment, with 24, 32 and 7 bits. Bands begin at
@@ -41,7 +45,7 @@ FILTER_BITS = 22
 BAND_BITS, PLACE_BITS, FIRST_BAND = 32, 7, 128
 MOST_SEGMENTS = 1 << (63 - BAND_BITS - PLACE_BITS)
 
-_LIMIT = 0x30000
+_LIMIT = sys.maxunicode + 1
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -51,7 +55,6 @@ def letters(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         _tables["kept"] = np.array([chr(i).isalnum() for i in range(_LIMIT)])
         _tables["low"] = np.array([ord(chr(i).lower()[0]) if chr(i).isalnum() else 0 for i in range(_LIMIT)], np.uint32)
     codes = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.where(codes < _LIMIT, codes, 0)
     at = np.flatnonzero(_tables["kept"][codes])
     return _tables["low"][codes[at]], at
 
@@ -131,7 +134,7 @@ class Index:
         owner, segments = [], []
         texts = [letters(text)[0] for _, text in rows]
         n_long = 0
-        for length, step, least in ((SEGMENT, STEP, Q), (SHORT, SHORT_STEP, SHORT + 1)):
+        for length, step, least in ((SEGMENT, STEP, LEAST_ITEM), (SHORT, SHORT_STEP, SHORT + 1)):
             n_long = len(segments)
             for i, codes in enumerate(texts):
                 if len(codes) < least:
@@ -222,33 +225,56 @@ def _matcher(held):
     return matches
 
 
-def found_items(docs: DataFrame, benchmark: DataFrame) -> Column:
-    """A column for ``docs``: [item_id, start, end, edits, segments] for each benchmark item in the text."""
+def _slices(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Column, bool]]:
+    """For each slice of the benchmark a column for ``docs``, the matches with its items, and whether it is the only one.
+
+    What is asked of a slice has to be computed before the next is taken, which releases its index.
+    """
     spark = docs.sparkSession
     items = pick(benchmark, "item_id", "text").where("text is not null")
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     slices = max(1, -(-chars // SLICE_CHARS))
-    columns = []
     for i in range(slices):
         rows = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i).distinct().collect()]
         held = spark.sparkContext.broadcast(Index.of(sorted(rows, key=lambda r: (_id_order(r[0]), r[1]))))
-
-        columns.append(_matcher(held)(F.col("text")))
-    return columns[0] if len(columns) == 1 else F.concat(*columns)
+        yield _matcher(held)(F.col("text")), slices == 1
+        if slices > 1:
+            held.unpersist()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start, end, edits, segments): one row for each item found in a text.
 
     ``start`` and ``end`` cover the leftmost match of each matching segment, in code points of the text, ``edits`` is the
-    fewest of any matching segment. Null and empty texts, and items with fewer than eight letters
-    or digits, match nothing; equal items each match; items without an id have a null item_id and count as one in each slice; repeated rows give repeated rows.
+    fewest of any matching segment. Null and empty texts, and items with fewer than LEAST_ITEM letters
+    or digits, match nothing; equal items each match; items without an id have a null item_id and count as one in each slice;
+    repeated rows give repeated rows, a text without doc_id a null one. An empty table or benchmark gives no rows. Texts
+    of any length are read whole.
     """
-    pairs = pick(docs, "doc_id", "text").select("doc_id", F.explode(found_items(docs, benchmark)).alias("m"))
-    names = ["item_id", "start", "end", "edits", "segments"]
-    return pairs.select("doc_id", *[F.col("m")[i].alias(n) for i, n in enumerate(names)])
+    docs, found = pick(docs, "doc_id", "text"), None
+    for matches, alone in _slices(docs, benchmark):
+        names = ["item_id", "start", "end", "edits", "segments"]
+        pairs = docs.select("doc_id", F.explode(matches).alias("m"))
+        part = pairs.select("doc_id", *[F.col("m")[i].alias(n) for i, n in enumerate(names)])
+        if alone:
+            return part
+        part = written(part, "contaminated")
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text has no part of any benchmark item."""
-    return docs.withColumn("__found", found_items(docs, benchmark)).where("size(__found) = 0").drop("__found")
+    """The rows of ``docs`` whose text has no part of any benchmark item, with all their columns.
+
+    Null and empty texts stay, and so does everything if the benchmark is empty; repeated rows stay or go together. With several
+    slices, the digests of the texts found are gathered by each, and the rows that have none of them stay.
+    """
+    gone = None
+    texts = pick(docs, "text")
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    for matches, alone in _slices(docs, benchmark):
+        if alone:
+            return docs.withColumn("__found", matches).where("size(__found) = 0").drop("__found")
+        part = written(texts.where(F.size(matches) > 0).select(digest("text").alias("__digest")).distinct(), "contaminated")
+        gone = part if gone is None else gone.union(part)
+    return docs.withColumn("__digest", digest("text")).join(gone, "__digest", "left_anti").drop("__digest")

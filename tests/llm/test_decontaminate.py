@@ -55,8 +55,12 @@ def test_several_slices_find_the_same(spark, monkeypatch):
     docs = documents(spark, [(i, "Some text. " + items[i][1] + " More.") for i in range(12)])
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     whole = sorted(map(tuple, d.contaminated(docs, benchmark).collect()))
+    docs = docs.union(documents(spark, [(90, "clean words " * 20), (91, None)]))
     monkeypatch.setattr(d, "SLICE_CHARS", 400)
     assert sorted(map(tuple, d.contaminated(docs, benchmark).collect())) == whole and len(whole) == 12
+    assert sorted(r["doc_id"] for r in d.without_benchmark(docs, benchmark).collect()) == [90, 91]
+    # an index is built, broadcast and used up before the next
+    assert "ArrowEvalPython" not in d.contaminated(docs, benchmark)._jdf.queryExecution().toString()
 
 
 def test_spans_are_of_the_source(spark):
@@ -94,3 +98,47 @@ def test_items_without_id_count(spark):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     assert sorted((r["doc_id"], r["item_id"]) for r in d.contaminated(docs, benchmark).collect()) == [(1, None), (2, None), (3, 7)]
     assert [r["doc_id"] for r in d.without_benchmark(docs, benchmark).collect()] == [4]
+
+
+def edits_between(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j - 1] + (x != y), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return row[-1]
+
+
+def test_a_span_is_as_far_from_its_segment_as_it_says():
+    rnd = random.Random(7)
+    text = lambda n: "".join(rnd.choice("abcdefgh ijklmno pqrstuv, wxyz.") for _ in range(n))
+    seen = set()
+    for i in range(150):
+        item = text(100)
+        index = d.Index.of([(1, item)])
+        whole = text(80) + edited(rnd, item, rnd.randint(0, 9)) + text(80)
+        long = index.segments[: index.n_long]
+        if len(long) != 1:
+            continue
+        codes, _ = d.letters(whole)
+        within = distance_within(long[0], codes) <= index.allowed[0]
+        found = index.matches(whole)
+        assert within <= bool(found)
+        if found and within:
+            _, start, end, edits, segments = found[0]
+            part = d.letters(whole[start:end])[0]
+            assert segments == 1 and edits_between(long[0].tolist(), part.tolist()) == edits <= index.allowed[0]
+            seen.add(edits)
+    assert len(seen) > 4
+
+
+def test_letters_of_the_last_planes_count():
+    item = "".join(chr(0x30000 + 37 * i) for i in range(40))
+    assert [m[:3] for m in d.Index.of([(1, item)]).matches(f"xx{item}yy")] == [[1, 2, 42]]
+
+
+def test_short_items_match_nothing():
+    index = d.Index.of([(1, "multiple choice"), (2, "twenty letters or so here")])
+    assert index.matches("a multiple choice question") == []
+    assert [m[0] for m in index.matches("with Twenty letters, or so, here it is")] == [2]
