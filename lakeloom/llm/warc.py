@@ -2,9 +2,10 @@
 
 The dictionary is trained on a bounded sample of the records to be archived. Every file begins with a
 skippable frame that holds it, so each file can be read alone. Spark's text writer puts the frames on
-disk: a row is a frame, and the line separator is an empty skippable frame, which readers pass over. So
-the files go through Spark's output committer to any store it knows, lost tasks are written anew, and
-no task holds more than a batch of records.
+disk: a row is some frames of about ROW_BYTES, and the line separator is an empty skippable frame, which readers
+pass over. So the files go through Spark's output committer to any store it knows, lost tasks are written anew, and
+no task holds more than a batch of records. A file ends after ARCHIVE_ROWS rows, so its size is bounded, and with
+it what a task holds that reads it back.
 
 Of records with equal payloads of ``DEDUP_BYTES`` or more, that with the largest page_id is a
 response and the others are revisits of it. Only the digests of payloads that occur more than once
@@ -29,6 +30,8 @@ from .common import new_folder, pick
 DEDUP_BYTES = 1000
 #: The dictionary is trained on about so many records of at most so many bytes.
 SAMPLE_PAGES, SAMPLE_BYTES, DICTIONARY_BYTES, LEVEL = 500, 32_768, 65_536, 6
+#: Compressed bytes of a row of the writer, and rows of a file: one is about 64 MB, more by one record at most.
+ROW_BYTES, ARCHIVE_ROWS = 1 << 20, 64
 #: Records without a crawl time are dated so.
 DATE = "2000-01-01T00:00:00Z"
 
@@ -108,17 +111,43 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes, bytes]:
 
 
 def _sample(pages: DataFrame, n: int = SAMPLE_PAGES) -> list[bytes]:
-    """About ``n`` records by hash of the page, twice as many at most, in a fixed order."""
+    """About ``n`` records by hash of the page, twice as many at most, the same ones in every run."""
     step = max(1, pages.count() // n)
-    chosen = pages.where(F.pmod(F.xxhash64("page_id", "url"), F.lit(step)) == 0).where(F.octet_length("html").between(1, SAMPLE_BYTES)).limit(2 * n)
+    order = F.xxhash64("page_id", "url")
+    chosen = pages.where(F.pmod(order, F.lit(step)) == 0).where(F.octet_length("html").between(1, SAMPLE_BYTES))
+    chosen = chosen.orderBy(order, "page_id", "url", "html").limit(2 * n)
     return [record(r["page_id"], r["url"], r["html"].encode("utf-8", "surrogatepass"), None) for r in sorted(chosen.collect(), key=str)]
 
 
-def write_archives(pages: DataFrame, folder: str, dictionary: bytes | None = None) -> None:
-    """Write ``pages`` (page_id, url, html, ...) as ``*.warc.zst`` files in ``folder``, one for each partition.
+def packed(rows: Iterator[bytes], head: bytes) -> Iterator[bytes]:
+    """Frames put together to rows for the writer, which begins a file, and so a ``head``, every ARCHIVE_ROWS rows.
+
+    A row that is larger than ROW_BYTES counts as several: empty ones follow it, of which only separators are written.
+    """
+    held, size, n = [], 0, 0
+    for frame in rows:
+        if not held and n % ARCHIVE_ROWS == 0:
+            held.append(head)
+        held.append(frame)
+        size += len(frame)
+        if size >= ROW_BYTES:
+            yield b"".join(held)
+            n += 1
+            for _ in range(min(size // ROW_BYTES - 1, -n % ARCHIVE_ROWS)):
+                yield b""
+                n += 1
+            held, size = [], 0
+    if held:
+        yield b"".join(held)
+
+
+def write_archives(pages: DataFrame, folder: str, dictionary: bytes | None = None, named: bool = True) -> None:
+    """Write ``pages`` (page_id, url, html, ...) as archives of bounded size in ``folder``.
 
     A null html is an empty payload. A row without page_id is always a response, and so is each of
-    several rows with the largest page_id of a payload. An empty table makes no files.
+    several rows with the largest page_id of a payload. An empty table makes no files. A payload of any length
+    is one record, held by one task. Files are called ``*.warc.zst`` if ``named``, which renames them at the
+    end; where a store copies what it renames, leave it and read the files by the writer's names.
     """
     spark = pages.sparkSession
     pages = pick(pages, "page_id", "url", "html").select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
@@ -131,27 +160,30 @@ def write_archives(pages: DataFrame, folder: str, dictionary: bytes | None = Non
         .where("newest <> oldest")
         .select("of", "newest")
     )
-    digest = F.when((F.octet_length("html") >= DEDUP_BYTES) & F.col("page_id").isNotNull(), digest)
+    # what takes no part in the join is dealt by page, not all to one task
+    apart = F.concat_ws(":", F.lit("page"), "page_id", "url")
+    digest = F.when((F.octet_length("html") >= DEDUP_BYTES) & F.col("page_id").isNotNull(), digest).otherwise(apart)
     rows = pages.withColumn("digest", digest).join(copies, F.col("digest") == F.col("of"), "left")
     rows = rows.select("page_id", "url", F.col("html").cast("binary").alias("html"), F.when(F.col("newest") != F.col("page_id"), F.col("newest")).alias("refers_to"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        dictionary, begun = held.value, False
+        dictionary = held.value
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None)
-        for batch in batches:
-            out = []
-            if dictionary and not begun and len(batch):
-                out.append(dictionary_frame(dictionary))
-            begun = begun or bool(len(batch))
-            for page_id, url, html, refers_to in zip(*(batch[c] for c in ("page_id", "url", "html", "refers_to")), strict=True):
-                page_id, refers_to = (None if pd.isna(x) else int(x) for x in (page_id, refers_to))
-                out.append(compressor.compress(record(page_id, url, html, refers_to)))
-            yield pd.DataFrame({"frame": out})
+
+        def compressed() -> Iterator[bytes]:
+            for batch in batches:
+                for page_id, url, html, refers_to in zip(*(batch[c] for c in ("page_id", "url", "html", "refers_to")), strict=True):
+                    page_id, refers_to = (None if pd.isna(x) else int(x) for x in (page_id, refers_to))
+                    yield compressor.compress(record(page_id, url, html, refers_to))
+
+        for row in packed(compressed(), dictionary_frame(dictionary) if dictionary else b""):
+            yield pd.DataFrame({"frame": [row]})
 
     # the writer takes strings and puts their bytes down as they are
     rows = rows.mapInPandas(run, "frame binary").select(F.col("frame").cast("string").alias("value"))
-    rows.write.option("lineSep", EMPTY_FRAME.decode()).option("compression", "none").text(folder)
-    _named(spark, folder)
+    rows.write.option("lineSep", EMPTY_FRAME.decode()).option("compression", "none").option("maxRecordsPerFile", ARCHIVE_ROWS).text(folder)
+    if named:
+        _named(spark, folder)
 
 
 def _named(spark: SparkSession, folder: str) -> None:
@@ -194,7 +226,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                     yield _frame(rows)
 
     schema = ", ".join(f"{n} {t}" for n, t in _COLUMNS.items())
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{warc.zst,txt}").load(folder)
     return files.select("content").mapInPandas(run, schema)
 
 
@@ -210,5 +242,5 @@ def archived(pages: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of ``pages``, written to the shared folder and read back."""
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
-    write_archives(pages, folder)
+    write_archives(pages, folder, named=False)
     return read_archives(spark, folder).drop("url", "payload")
