@@ -10,8 +10,10 @@ systematic sampling from a seeded start.
 Highest quotients need no list of all quotients. With T tokens, H blocks and n parties, the
 divisor T / (H - n / 2) gives each party seats that it has for certain, and T / (H + n / 2) as
 many as it can have; the difference is 2n quotients at most, which are ranked. What a document gets
-is computed from where it lies, so blocks are never rows. Hot sources fall into many slots, and only
-(id, size) rows move.
+is computed from where it lies, so blocks are never rows, and only (id, size) rows move. A source has
+as many shards as the root of its blocks: both the shards of a source, ranked in one task, and the documents of a
+shard, ordered in another, grow with the root of the source only. The table of sources is one task's
+work too.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD, pick, written
 
-#: Tokens of a block, and tokens of a shard at least; a source has so many slots for its shards.
-BLOCK, SHARD, SLOTS = 32, 32_768, 4096
+#: Tokens of a block.
+BLOCK = 32
 SHARE, MOST = 1.5, 2
 WEIGHTS = (5, 2, 1)
 
@@ -103,41 +105,50 @@ def apportioned(parties: DataFrame, group: list[str], size: str, seats: Column,
     )
 
 
+def with_room(shards: DataFrame) -> DataFrame:
+    """``shards`` with ``quota`` cut at ``room``; what is cut goes to shards of the source that have room left.
+
+    Those with the highest next quotient come first. A source whose shards have less room than its quota in all, which
+    rounding to whole blocks may bring about where its target is twice its size, takes all there is.
+    """
+    spare = F.greatest(F.lit(0), F.col("room") - F.col("quota"))
+    turn = Window.partitionBy("place").orderBy((F.col("shard_size") / (2 * F.col("quota") + 1)).desc(), "shard")
+    before = F.coalesce(F.sum(spare).over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cut = F.sum(F.greatest(F.lit(0), F.col("quota") - F.col("room"))).over(Window.partitionBy("place"))
+    more = F.greatest(F.lit(0), F.least(spare, cut - before))
+    return shards.withColumn("quota", F.least("quota", "room") + more)
+
+
 def mixed(docs: DataFrame, seed: int = 1) -> DataFrame:
     """(doc_id, size, source_size, target, taken): one row per row of ``docs`` (doc_id, text, source, ...).
 
     ``taken`` is how many of the document's words the mix takes, repeats counted: never more than
     twice its size. Null texts have size 0; null is a source of its own, after all others. The order of
     documents in a shard is by seeded hash of the id, then id and size; rows alike in all of them
-    are interchangeable, so reruns agree. An empty table, or one without words, takes nothing.
+    are interchangeable, so reruns agree. An empty table, or one without words, takes nothing. Texts
+    of any length are counted whole; one longer than a block is cut between blocks.
     """
     sized = pick(docs, "doc_id", "text", "source").select("doc_id", "source", token_count().alias("size"))
-    sized = written(sized.withColumn("order", seeded(seed, "doc_id")).withColumn("slot", number(F.col("order"), 1, 3)), "sized")
-    slots = sized.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
-    sources = targets(slots.groupBy("source").agg(F.sum("slot_size").alias("source_size")))
+    sized = written(sized.withColumn("order", seeded(seed, "doc_id")), "sized")
+    sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
     goal = F.floor(F.sum("target").over(Window.partitionBy()) / BLOCK + 0.5)
     quotas = apportioned(sources.withColumn("one", F.lit(0)), ["one"], "target", goal, ["place"], "quota").drop("one")
-    quotas = quotas.withColumn("shards", F.least(F.lit(SLOTS), F.greatest(F.lit(1), F.floor(F.col("source_size") / SHARD))))
-    quotas = quotas.withColumnRenamed("source", "of_source")
-    shard = F.floor(F.col("slot") * F.col("shards") / SLOTS).alias("shard")
-    placed = slots.join(quotas, F.col("source").eqNullSafe(F.col("of_source")))
-    placed = written(placed.select("place", "of_source", "slot", "slot_size", "source_size", "target", "quota", shard), "slots")
-    shards = placed.groupBy("place", "shard").agg(F.sum("slot_size").alias("shard_size"), F.first("quota").alias("source_quota"))
+    quotas = quotas.withColumn("shards", F.greatest(F.lit(1), F.floor(F.sqrt(F.col("source_size") / BLOCK))).cast("long"))
+    quotas = written(quotas.withColumnRenamed("source", "of_source"), "quotas")
+    # eight hex digits of the order, scaled, are the shard
+    shard = F.floor(number(F.col("order"), 1, 8) * F.col("shards") / F.lit(1 << 32)).cast("long").alias("shard")
+    placed = sized.join(quotas, F.col("source").eqNullSafe(F.col("of_source")))
+    placed = placed.select("doc_id", "size", "order", "place", shard, "source_size", "target", F.col("quota").alias("source_quota"))
+    shards = placed.groupBy("place", "shard").agg(F.sum("size").alias("shard_size"), F.first("source_quota").alias("source_quota"))
     shards = apportioned(shards, ["place"], "shard_size", F.col("source_quota"), ["shard"], "quota")
-    of_slot = placed.select("place", "of_source", F.col("slot").alias("of_slot"), "source_size", "target", "shard").join(
-        shards.select("place", "shard", "shard_size", "quota"), ["place", "shard"]
-    )
-    rows = sized.join(of_slot, (F.col("slot") == F.col("of_slot")) & F.col("source").eqNullSafe(F.col("of_source"))).select(
-        "doc_id", "size", "order", "place", "shard", "source_size", "target", "shard_size", "quota"
-    )
-    lying = Window.partitionBy("place", "shard").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("from", F.coalesce(F.sum("size").over(lying), F.lit(0)))
     # a rest of less than half a block belongs to the last block
     blocks = F.greatest(F.lit(1), F.floor(F.col("shard_size") / BLOCK + 0.5)).cast("long")
+    shards = with_room(shards.withColumn("blocks", blocks).withColumn("room", F.when(F.col("shard_size") > 0, F.col("blocks") * MOST).otherwise(0)))
+    rows = placed.drop("source_quota").join(shards.select("place", "shard", "blocks", "quota"), ["place", "shard"])
+    lying = Window.partitionBy("place", "shard").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("from", F.coalesce(F.sum("size").over(lying), F.lit(0)))
     rows = (
-        rows.withColumn("blocks", blocks)
-        .withColumn("quota", F.least("quota", F.col("blocks") * MOST))
-        .withColumn("times", F.expr("quota div blocks"))
+        rows.withColumn("times", F.expr("quota div blocks"))
         .withColumn("extra", F.expr("quota % blocks"))
         .withColumn("start", number(seeded(seed + 1, "place", "shard"), 1, 12) % F.col("blocks"))
     )

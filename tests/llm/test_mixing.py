@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 from collections import defaultdict
 from fractions import Fraction
@@ -72,3 +73,45 @@ def test_mix(spark):
 def test_plan_is_native(spark):
     plan = mixing.mixed(documents(spark, [(1, "a b", "x")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_what_is_taken(spark):
+    """Against a plain version that lays out every token."""
+    rnd = random.Random(6)
+    rows = [(i, "w " * rnd.randrange(0, 90), rnd.choice(["a", "a", "a", "b", "c", None])) for i in range(300)] + [(None, "w w w", "a"), (7, None, "b")]
+    got = defaultdict(list)
+    for r in mixing.mixed(documents(spark, rows).repartition(3)).collect():
+        got[r["doc_id"]].append((r["size"], r["source_size"], r["taken"]))
+    md5 = lambda *parts: hashlib.md5(":".join("" if p is None else str(p) for p in parts).encode()).hexdigest()
+    names = sorted({s for *_, s in rows if s}) + [None]
+    docs = [(i, len((t or "").split()), s) for i, t, s in rows]
+    sizes = [sum(n for _, n, s in docs if s == name) for name in names]
+    targets = filled(sizes, [(5, 2, 1)[i % 3] for i in range(len(names))], Fraction(3 * sum(sizes), 2))
+    quotas = highest_quotients([Fraction(t) for t in targets], int(sum(targets) / mixing.BLOCK + 0.5))
+    expected = defaultdict(list)
+    for place, (name, size, quota) in enumerate(zip(names, sizes, quotas, strict=True), 1):
+        n_shards = max(1, int((size / mixing.BLOCK) ** 0.5))
+        shards = defaultdict(list)
+        for i, n, s in docs:
+            if s == name:
+                order = md5(1, i)
+                shards[int(order[:8], 16) * n_shards >> 32].append((order, i, n))
+        numbers = sorted(shards)
+        seats = dict(zip(numbers, highest_quotients([sum(n for *_, n in shards[k]) for k in numbers], quota), strict=True))
+        length = {k: sum(n for *_, n in shards[k]) for k in numbers}
+        blocks = {k: max(1, int(length[k] / mixing.BLOCK + 0.5)) for k in numbers}
+        room = {k: 2 * blocks[k] if length[k] else 0 for k in numbers}
+        cut = sum(max(0, seats[k] - room[k]) for k in numbers)
+        for k in sorted(numbers, key=lambda k: (-length[k] / (2 * seats[k] + 1), k)):
+            more = min(max(0, room[k] - seats[k]), cut)
+            cut, seats[k] = cut - more, seats[k] + more
+        for k in numbers:
+            n_blocks, q = blocks[k], min(seats[k], room[k])
+            times, extra, start = q // n_blocks, q % n_blocks, int(md5(2, place, k)[:12], 16) % n_blocks
+            chosen = [((j + 1) * extra + start) // n_blocks - (j * extra + start) // n_blocks for j in range(n_blocks)]
+            at = 0
+            for _, i, n in sorted(shards[k], key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2])):
+                blocks_of = [min(t // mixing.BLOCK, n_blocks - 1) for t in range(at, at + n)]
+                expected[i].append((n, size, sum(times + chosen[b] for b in blocks_of)))
+                at += n
+    assert {i: sorted(v) for i, v in got.items()} == {i: sorted(v) for i, v in expected.items()}
