@@ -34,10 +34,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int,
 
     The bound is on what the model is fitted to; the prior is counted over all labelled rows.
     Only texts of at most ``max_chars`` characters serve for fitting, so what reaches the driver
-    is bounded. A doc_id labelled twice counts once, with its larger label.
+    is bounded. A doc_id labelled twice counts once, with its larger label. Labels without doc_id, null labels and those
+    other than 0 and 1 count as none; extra columns of either table don't matter, and without rows the sample is empty.
     """
     known = (
-        labels.select("doc_id", F.col(label).alias("label"))
+        pick(labels, "doc_id", label)
+        .select("doc_id", F.col(label).alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~is_held_out())
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))

@@ -97,12 +97,16 @@ def _vectors(texts: list[str]) -> tuple[dict[str, int], np.ndarray]:
     named = {t: t if n >= LEAST else shape(t) for t, n in seen.items()}
     rows = {t: i for i, t in enumerate(sorted(set(named.values()) | {shape(t) for t in seen}), 1)}
     index = np.stack([np.zeros(DIMENSIONS, np.float32), *map(index_vector, rows)])
+    # one row for each text's words, cut by gaps of -1 so that windows end with their text
+    every = np.concatenate([np.array([*(rows[named[t]] for t in words), *[-1] * WINDOW], np.int64) for words in split])
+    pairs = np.concatenate([np.stack([every[gap:], every[:-gap]]) for gap in range(1, WINDOW + 1)], axis=1)
+    pairs = pairs[:, (pairs >= 0).all(0)]
+    met, times = np.unique(np.concatenate([pairs[0] * len(index) + pairs[1], pairs[1] * len(index) + pairs[0]]), return_counts=True)
     context = index.copy()
-    for words in split:
-        ids = np.array([rows[named[t]] for t in words], np.int64)
-        for gap in range(1, WINDOW + 1):
-            np.add.at(context, ids[gap:], index[ids[:-gap]])
-            np.add.at(context, ids[:-gap], index[ids[gap:]])
+    for i in range(0, len(met), 1 << 17):
+        word, near = np.divmod(met[i : i + (1 << 17)], len(index))
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        context[word[first]] += np.add.reduceat(index[near] * times[i : i + (1 << 17), None].astype(np.float32), first)
     # a word's own index keeps it apart from others in the same company
     context = context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-6) + 0.5 * index / np.sqrt(NONZERO)
     return rows, (context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-6)).astype(np.float32)
@@ -159,7 +163,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of ``docs`` (doc_id, text, ...).
 
     ``labels`` (doc_id, quality) serves for the fit alone, outside the held-out fold. Null, empty
-    and wordless texts are pooled to zeros; repeated rows get equal rows, an empty table none.
+    and wordless texts are pooled to zeros; repeated rows get equal rows, an empty table none. Texts of any length
+    are scored whole. Without labels of both classes every text gets the score 0.5.
     """
     model = fit(labelled_sample(docs, labels, "quality", SAMPLE_ROWS, SAMPLE_CHARS))
     held = docs.sparkSession.sparkContext.broadcast(model)

@@ -110,7 +110,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of ``docs`` (doc_id, text, ...).
 
     ``labels`` (doc_id, toxic) serves for the fit alone, outside the held-out fold. Null and empty
-    texts get the bias alone, repeated rows their own equal rows, an empty table none.
+    texts get the bias alone, repeated rows their own equal rows, an empty table none. Texts of any length are scored
+    whole. Without labels of both classes every text gets a score near 0.
     """
     model = fit(labelled_sample(docs, labels, "toxic", SAMPLE_ROWS, SAMPLE_CHARS))
     return scored(pick(docs, "doc_id", "text"), model).select(
