@@ -4,7 +4,8 @@ Candidates are values assigned to telling names, tokens with known prefixes, key
 long runs of mixed characters. Each is described by its length, its character transitions, how much
 of it is dictionary words, whether it is part of a path, and the words beside it. A
 random forest trained on labelled findings tells secrets from look-alikes (digests, ids, paths,
-placeholders). Scanning and scoring happen in one pass where the text lies.
+placeholders). Dictionary and transitions are those of the corpus: the DICTIONARY words that most of its texts
+have, counted over all of them. Then scanning and scoring happen in one pass where the text lies.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import pick
 
 TREES, DEPTH, THRESHOLD = 40, 8, 0.5
+#: Words of the dictionary, and texts that one of them is in at least.
+DICTIONARY, LEAST_TEXTS = 20_000, 3
 #: Characters of neighbouring text that a finding is judged by.
 CONTEXT = 48
 
@@ -49,7 +52,7 @@ _AGAINST = frozenset(
     "sha sha1 sha256 md5 commit checksum digest hash uuid guid id version revision example sample test dummy placeholder "
     "changeme fingerprint etag build trace session public path file url image isbn".split()
 )
-# Common words, for dictionary coverage and for the transitions of ordinary text.
+# Common words, which a dictionary has in any case.
 _WORDS = (
     "about account action address after again application array audio author base before begin between book branch build button "
     "cache change channel character check class client code color column command common company config connection content context "
@@ -68,31 +71,64 @@ _WORDS = (
 ).split()
 
 
+@dataclass
+class Language:
+    """The words of ordinary text, and log-probabilities of its letter pairs (26 stands for what is no letter)."""
+
+    words: list[str]
+    known: frozenset[str]
+    pairs: np.ndarray
+
+    @classmethod
+    def of(cls, counts: list[tuple[str, int]]) -> Language:
+        """From words with how often they occur; pairs count as often as 100,000 letters would have them, and once more."""
+        words = list(dict.fromkeys([*_WORDS, *(w for w, _ in counts)]))
+        weight = dict.fromkeys(_WORDS, 1) | dict(counts)
+        n, scale = np.zeros((27, 27)), 1e5 / sum(weight[w] * len(w) for w in words)
+        for w in words:
+            codes = [ord(c) - 97 for c in w]
+            for a, b in zip(codes, codes[1:], strict=False):
+                n[a, b] += weight[w] * scale
+        n += 1
+        return cls(words, frozenset(w for w in words if len(w) > 3), np.log(n / n.sum(1, keepdims=True)))
+
+    def covered(self, text: str) -> int:
+        """How many characters of a lower-cased text are words, the longest first at each place."""
+        total = 0
+        for run in _LETTERS.findall(text):
+            at = 0
+            while at + 4 <= len(run):
+                size = next((n for n in range(min(16, len(run) - at), 3, -1) if run[at : at + n] in self.known), 0)
+                total += size
+                at += size or 1
+        return total
+
+
+_LETTERS = re.compile(r"[a-z]{4,}")
+
+
 @lru_cache(maxsize=1)
-def _transitions() -> np.ndarray:
-    """Log-probabilities of letter pairs in ordinary words, with add-one smoothing."""
-    n = np.ones((27, 27))
-    for w in _WORDS:
-        codes = [ord(c) - 97 for c in w]
-        for a, b in zip(codes, codes[1:], strict=False):
-            n[a, b] += 1
-    return np.log(n / n.sum(1, keepdims=True))
+def plain_language() -> Language:
+    return Language.of([])
 
 
-def _class(c: str) -> int:
-    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+def language_of(docs: DataFrame) -> Language:
+    """The language of all ``docs`` (text, ...); without texts that of common words alone."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit("[a-z]{4,16}"), F.lit(0)))
+    counts = pick(docs, "text").where("text is not null").select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    rows = counts.where(F.col("n") >= LEAST_TEXTS).orderBy(F.col("n").desc(), "word").limit(DICTIONARY).collect()
+    return Language.of([(r["word"], r["n"]) for r in rows])
 
 
-@lru_cache(maxsize=1)
-def _dictionary() -> re.Pattern:
-    return re.compile("|".join(sorted((w for w in _WORDS if len(w) > 3), key=len, reverse=True)))
+def _class(c: str) -> int:
+    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
 
 
-def features(left: str, value: str, right: str) -> list[float]:
+def features(left: str, value: str, right: str, language: Language) -> list[float]:
     """What the forest judges a finding by; left and right are its neighbouring text."""
     n, low = len(value), value.lower()
     codes = [ord(c) - 97 if "a" <= c <= "z" else 26 for c in low]
-    table, pairs = _transitions(), list(zip(codes, codes[1:], strict=False))
+    table, pairs = language.pairs, list(zip(codes, codes[1:], strict=False))
     kinds = [_class(c) for c in value]
     counts = Counter(value)
     entropy = -sum(v / n * np.log2(v / n) for v in counts.values())
@@ -107,7 +143,7 @@ def features(left: str, value: str, right: str) -> list[float]:
         kinds.count(2) / n,
         kinds.count(1) / n,
         float(all(c in string.hexdigits for c in value)),
-        sum(len(m) for m in _dictionary().findall(low)) / n,
+        language.covered(low) / n,
         value.count("/") + value.count("."),
         float(bool(re.search(r"[/\\.]$", left)) or bool(re.match(r"[/\\]|\.[a-z]{2,4}\b", right))),
         float(any(w in _FOR for w in near)),
@@ -123,6 +159,7 @@ class Forest:
     """Trees in arrays: the feature of each node (-1: leaf), its limit, its two children, its share of secrets."""
 
     trees: list[tuple[np.ndarray, ...]]
+    language: Language
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         total, rows = np.zeros(len(x)), np.arange(len(x))
@@ -166,20 +203,22 @@ def _grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> tuple[np.nd
     return feature.astype(np.int64), limit.astype(float), left.astype(np.int64), right.astype(np.int64), share.astype(float)
 
 
-def train(findings: list[tuple[str, str, str, int]], trees: int = TREES, seed: int = 11) -> Forest:
+def train(findings: list[tuple[str, str, str, int]], language: Language | None = None, trees: int = TREES, seed: int = 11) -> Forest:
     """A forest from labelled findings (left, value, right, 1 if secret)."""
-    x = np.array([features(a, v, b) for a, v, b, _ in findings])
+    language = language or plain_language()
+    x = np.array([features(a, v, b, language) for a, v, b, _ in findings])
     y = np.array([label for *_, label in findings], float)
     rng = np.random.default_rng(seed)
-    return Forest([_grow(x, y, rng) for _ in range(trees)])
+    return Forest([_grow(x, y, rng) for _ in range(trees)], language)
 
 
-def made_findings(n: int = 1500, seed: int = 7) -> list[tuple[str, str, str, int]]:
-    """Labelled findings made from templates: the training set where no reviewed one is at hand."""
+def made_findings(n: int = 1500, seed: int = 7, language: Language | None = None) -> list[tuple[str, str, str, int]]:
+    """Labelled findings made from templates, in words of the language: the training set where no reviewed one is at hand."""
+    vocabulary = (language or plain_language()).words
     rng = np.random.default_rng(seed)
     pick_one = lambda xs: xs[int(rng.integers(len(xs)))]
     chars = lambda alphabet, k: "".join(alphabet[int(i)] for i in rng.integers(0, len(alphabet), k))
-    words = lambda k, sep=" ": sep.join(pick_one(_WORDS) for _ in range(k))
+    words = lambda k, sep=" ": sep.join(pick_one(vocabulary) for _ in range(k))
     hexes, alnum = "0123456789abcdef", string.ascii_letters + string.digits
     name = lambda: pick_one(["token", "api_key", "secret", "password", "access_key", "auth_token", "client_secret", "pwd", "private_key"])
     benign = lambda: pick_one(["commit", "sha256", "md5", "checksum", "digest", "uuid", "build id", "etag", "revision", "fingerprint", "trace id", "hash"])
@@ -312,16 +351,23 @@ def judged(text: str | None, forest: Forest) -> list[tuple[str, int, int, float]
     spans = candidates(text)
     if not spans:
         return []
-    x = np.array([features(text[max(0, a - CONTEXT) : a], text[a:b], text[b : b + CONTEXT]) for _, a, b in spans])
+    x = np.array([features(text[max(0, a - CONTEXT) : a], text[a:b], text[b : b + CONTEXT], forest.language) for _, a, b in spans])
     return [(*s, float(p)) for s, p in zip(spans, forest.scores(x), strict=True)]
 
 
+def trained_on(docs: DataFrame) -> Forest:
+    """A forest for these texts: of their language, trained on made findings in it."""
+    language = language_of(docs)
+    return train(made_findings(language=language), language)
+
+
 def findings(docs: DataFrame, forest: Forest | None = None) -> DataFrame:
     """(doc_id, kind, start, end, score, is_secret): one row per candidate, rejected ones too.
 
-    Offsets are in code points. Null, empty and clean texts give no rows; repeated rows repeat theirs.
+    Offsets are in code points. Null, empty and clean texts give no rows, nor does an empty table; repeated rows repeat
+    theirs, and those of a row without doc_id have a null one. Texts and values of any length are read whole.
     """
-    held = docs.sparkSession.sparkContext.broadcast(forest or train(made_findings()))
+    held = docs.sparkSession.sparkContext.broadcast(forest or trained_on(docs))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -351,7 +397,10 @@ def redacted(text: Column, held, mark: str = "[SECRET]") -> Column:
 
 
 def without_secrets(docs: DataFrame, forest: Forest | None = None) -> DataFrame:
-    """``docs`` with secrets masked in ``text`` and ``n_chars`` counted anew; every row stays."""
-    held = docs.sparkSession.sparkContext.broadcast(forest or train(made_findings()))
+    """``docs`` with secrets masked in ``text`` and ``n_chars`` counted anew; every row stays.
+
+    Null and empty texts stay as they are, with their length; rows alike stay alike, an empty table stays empty. Texts of any length are masked whole.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(forest or trained_on(docs))
     masked = docs.withColumn("text", redacted(F.col("text"), held))
     return masked.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes).get("n_chars", "bigint")))

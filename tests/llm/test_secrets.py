@@ -76,3 +76,40 @@ def test_many_signs_in_one_value_are_read_once():
 def test_an_ampersand_ends_parameters_alone():
     for text, value in [("x PASSWORD=abc12&def=34gh y", "abc12&def=34gh"), ("http://h/?a=1&token=abc123def&b=2 y", "abc123def")]:
         assert value in [text[a:b] for _, a, b in secrets.candidates(text)]
+
+
+def test_all_that_is_assigned_or_mixed_is_a_candidate():
+    """Against a plain search at each place, on texts put together at random."""
+    import re
+
+    rnd = random.Random(9)
+    pieces = ["api_key", "password", "TOKEN", "secret", "name", "=", "=", ": ", " = ", ":", '"', "'", " ", " ", "\n", ",", ";", "&", "?", "ab12cd34ef56ab78", "sk_live_abcdefghijklmnop1234", "A" * 20, "9f8e7d6c5b4a39281706", "x!y#z1$2", "/path/to/file1/file2/x", "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----", "é"]
+    for _ in range(4000):
+        text = "".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 18)))
+        spans = secrets.candidates(text)
+        assert all(a < b for _, a, b in spans) and all(x[2] <= y[1] for x, y in zip(spans, spans[1:], strict=False)), text
+        held = set().union(*(range(a, b) for _, a, b in spans)) if spans else set()
+        for at, sign in enumerate(text):
+            name = re.search(r"(?:pass(?:word)?|secret|token|api_key)[\"']?\s{0,3}$", text[:at], re.I)
+            if sign not in "=:" or not name:
+                continue
+            lead = re.match(r"=?>?\s{0,3}[\"']?", text[at + 1 :]).end()
+            start = end = at + 1 + lead
+            stops = "\"'<>,;| \n\t" + ("&" if re.search(r"[?&][\w.-]{1,47}$", text[:at]) else "")
+            while end < len(text) and text[end] not in stops:
+                end += 1
+            if end - start >= 6 and not any(k == "block" and a < end and start < b for k, a, b in spans):
+                assert set(range(start, end)) <= held, (text, text[start:end])
+        for m in re.finditer(r"-----BEGIN PRIVATE KEY-----", text):
+            assert set(range(*m.span())) <= held, text
+        for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}(?![A-Za-z0-9+/_=-])", text):
+            if sum(map(str.isdigit, m[0])) > 1:
+                assert held & set(range(*m.span())), (text, m[0])
+
+
+def test_words_of_the_corpus_are_its_dictionary(spark):
+    rows = [(i, f"zyxwa lorem qwrtz{i} " + ("rare1word" if i < 2 else "")) for i in range(5)] + [(9, None), (10, "")]
+    language = secrets.language_of(documents(spark, rows))
+    assert {"zyxwa", "lorem", "password"} <= language.known and "rare" not in language.known
+    assert language.covered("zyxwalorem12zzzz") == 10
+    assert secrets.language_of(documents(spark, [(1, None)])).words == secrets.plain_language().words
