@@ -27,7 +27,9 @@ from .labelled import Sample, is_held_out, labelled_sample
 DIMENSIONS, NONZERO, WINDOW, HIDDEN = 128, 8, 2, 32
 POOLED = 2 * DIMENSIONS + 2
 #: A word with fewer occurrences in the sample goes by its shape.
-LEAST = 5
+LEAST = 3
+#: Least deviation that a pooled dimension is divided by, and the weight of the numbers on the whole text beside it.
+STD_FLOOR, WHOLE_WEIGHT = 0.03, 4
 SAMPLE_ROWS, SAMPLE_CHARS = 2500, 20_000
 THRESHOLD = 0.3
 
@@ -127,7 +129,9 @@ def fit(sample: Sample, epochs: int = 30, rate: float = 0.005, decay: float = 8.
     aside = rng.random(len(y)) < 0.2
     share = y[~aside].mean()
     weight = np.where(y == 1, sample.prior / max(y.mean(), 1e-9), (1 - sample.prior) / max(1 - y.mean(), 1e-9))
-    mean, std = x[~aside].mean(0), x[~aside].std(0) + 1e-4
+    # the floor keeps directions that hardly vary from being blown up; the two numbers on the whole text weigh more than one of many dimensions
+    mean, std = x[~aside].mean(0), x[~aside].std(0) + STD_FLOOR
+    std[-2:] /= WHOLE_WEIGHT
     w1 = rng.normal(0, 1 / np.sqrt(POOLED), (POOLED, HIDDEN))
     params = [w1, np.zeros(HIDDEN), rng.normal(0, 1 / np.sqrt(HIDDEN), HIDDEN), np.array([np.log((share + 1e-3) / (1 - share + 1e-3))])]
     m, v, step, l2 = [0 * p for p in params], [0 * p for p in params], 0, decay / len(y)
