@@ -76,3 +76,75 @@ def test_plain_dots_and_points_are_disguises_too():
     for text, expected in cases.items():
         found = pii.disguised_spans(text, pii.plain_spans(text))
         assert [(k, text[a:b].strip()) for k, a, b in found] == expected, text
+
+
+def disguised(rnd, kind):
+    """(disguise, how it was made, its text) of a made identifier."""
+    words = ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
+    looks = {"a": "а", "e": "е", "o": "о", "c": "с", "p": "р", "x": "х", "i": "і", "0": "０", "1": "１", "2": "２", "5": "５", "7": "𝟕"}
+    spelled = lambda digits: " ".join(words[int(d)] if rnd.random() < 0.8 else d for d in digits)
+    if kind.startswith("mail"):
+        name, host = rnd.choice(["jane", "bob.smith", "x_y", "k9-a"]), rnd.choice(["example.com", "mail.host.org", "a-b.co.uk"])
+        if kind == "mail-homoglyphs":
+            return "".join(looks.get(c, c) for c in f"{name}@{host}")
+        at, dot = {"mail-brackets": (rnd.choice([" [at] ", "(at)", " {AT} ", "<at>"]), rnd.choice([" [dot] ", "(dot)", "[.]"])), "mail-words": (" at ", " dot "), "mail-plain-dots": (rnd.choice([" at ", " arroba "]), "."), "mail-joined": ("_at_", "_dot_")}[kind]
+        return name.replace(".", dot) + at + host.replace(".", dot)
+    if kind == "phone-spelled":
+        return rnd.choice(["plus ", "+"]) + spelled("".join(str(rnd.randrange(10)) for _ in range(rnd.randint(10, 15))))
+    if kind == "phone-homoglyphs":
+        return "".join(looks.get(c, c) for c in f"+1 617 {rnd.randrange(200, 999)} {rnd.randrange(1000, 9999)}")
+    if kind.startswith("card"):
+        digits = [rnd.randrange(10) for _ in range(15)]
+        last = next(d for d in range(10) if luhn("".join(map(str, [*digits, d]))))
+        text = "".join(map(str, [*digits, last]))
+        return spelled(text) if kind == "card-spelled" else "".join(looks.get(c, c) for c in text)
+    octets = [str(rnd.randrange(256)) for _ in range(4)]
+    if kind == "ip-spelled":
+        return " dot ".join(spelled(o) for o in octets)
+    return rnd.choice([" dot ", "[.]", "(.)", " point "]).join(octets)
+
+
+KIND = {"mail": "email", "phone": "phone", "card": "card", "ip": "ip"}
+
+
+def test_recall_of_disguises():
+    """The least share of made disguises, in prose, that are found as their kind over their whole length."""
+    rnd = random.Random(3)
+    recall = {}
+    for how in ["mail-brackets", "mail-words", "mail-plain-dots", "mail-joined", "mail-homoglyphs", "phone-spelled", "phone-homoglyphs", "card-spelled", "card-homoglyphs", "ip-spelled", "ip-points"]:
+        n = 0
+        for _ in range(200):
+            before, after = "Nous avons écrit: ", rnd.choice([" and so on", ", then left", "\nnext line"])
+            hidden = disguised(rnd, how)
+            text = before + hidden + after
+            spans = [*(p := pii.plain_spans(text)), *pii.disguised_spans(text, p)]
+            n += any(k == KIND[how.split("-")[0]] and a <= len(before) and b >= len(before) + len(hidden) for k, a, b in spans)
+        recall[how] = n / 200
+    assert min(recall.values()) >= 0.95, recall
+
+
+def test_gates_lose_nothing(monkeypatch):
+    rnd = random.Random(4)
+    pieces = ["one", "two", "oh", "4", "12", "250", "7946", " ", " ", "-", ".", ",", " dot ", " point ", "[.]", "(.)", "[dot]", "plus ", "+", "@", " at ", "(at)", "_at_", " arroba ", "jane", "host", ".com", ".org ", "<at>", " @ ", "é", "\n", " dot com", "{at}"]
+    texts = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(3, 24))) for _ in range(30_000)]
+    gated = [pii.disguised_spans(t, pii.plain_spans(t)) for t in texts]
+    monkeypatch.setattr(pii, "_BESIDE", re.compile(""))
+    monkeypatch.setattr(pii, "_may_hide_addresses", lambda text, low: True)
+    assert sum(map(bool, gated)) > 500
+    for text, found in zip(texts, gated, strict=True):
+        assert pii.disguised_spans(text, pii.plain_spans(text)) == found, text
+
+
+def test_time_grows_with_length():
+    import time
+
+    for text in ["one two three four " + "1" * 1_000_000, "one " * 250_000, "a at " * 200_000, "1 dot " * 150_000, "x" * 1_000_000 + " at y dot com", "a@" * 400_000, " dot " * 200_000 + "@b.c", "+1-" * 300_000, "n@h" + ".a" * 400_000]:
+        begun = time.process_time()
+        pii.disguised_spans(text, pii.plain_spans(text))
+        assert time.process_time() - begun < 10
+
+
+def test_long_disguised_addresses_are_found_whole():
+    name, host = "n" * 3000, "h" * 2000
+    text = f"write to {name} [at] {host} [dot] org now"
+    assert [text[a:b] for _, a, b in pii.disguised_spans(text, [])] == [f"{name} [at] {host} [dot] org"]
