@@ -1,12 +1,11 @@
 """Document fingerprints by winnowing, in DataFrame operations alone.
 
-A text is cut into tokens, runs of at most eight characters other than white space, lower-cased. Each
+A text is cut into tokens, lower-cased: words of at most LONG characters; single characters of scripts that
+are written without blanks; and pieces of longer runs (encoded lines), which end where the text itself says so,
+at certain letters and digits, so that equal passages have equal tokens wherever they stand in a run. Each
 run of K tokens has a rolling hash (by doubling, modulo a Mersenne prime), and of every
 window of W such hashes the smallest is kept, the rightmost where several are equal. Two texts that
-share K + W - 1 tokens in a row share a fingerprint. Tokens are cut from the start of each run, so this holds
-for passages in runs longer than eight characters (scripts without blanks, encoded lines) only where
-their places in the run are equal modulo 8: of 500 tokens of a 4,000-character run, a shift by 1 to 7
-characters leaves 0 shared, one by 8 all 500. Positions count tokens. Hash and position are packed into one number
+share K + W - 1 tokens in a row share a fingerprint. Positions count tokens. Hash and position are packed into one number
 whose order makes the smallest hash, then the largest position, come first, so a window's
 choice is a plain minimum, taken by doubling as well.
 """
@@ -18,7 +17,14 @@ from pyspark.sql import functions as F
 
 from .common import pick, written
 
-TOKEN = r"[^\x20\x09-\x0D]{1,8}"
+LONG = 24
+_BLANK = r"\x20\x09-\x0D"
+# Thai to Tibetan, Burmese, Khmer, kana and Chinese, as ranges: classes by script are several times slower
+_UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORDLY = f"[^{_BLANK}{_UNSPACED}]"
+#: In a longer run a piece ends at one of these; where none comes, after so many characters as a word may have.
+_ENDS = "[aeiouy13579+/]"
+TOKEN = f"(?<!{_WORDLY}){_WORDLY}{{1,{LONG}}}(?!{_WORDLY})|[{_UNSPACED}]|{_WORDLY}{{0,{LONG - 1}}}?{_ENDS}|{_WORDLY}{{1,{LONG}}}"
 #: Tokens of a gram and grams of a window, powers of two.
 K, W = 4, 8
 PRIME = (1 << 31) - 1
@@ -82,43 +88,47 @@ def likeness(a: str, b: str, both: str) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(F.col(both) / (F.size(a) + F.size(b) - F.col(both))).cast("double")
 
 
-def followers(ids: DataFrame) -> DataFrame:
-    """``ids`` (id, ...) with ``next_id``: the next in ascending order; the first follows the last.
+def followers(keys: DataFrame) -> DataFrame:
+    """``keys`` (id, text_hash, ...) with ``next``, the next key in ascending order; the first follows the last.
 
-    Ids, unique and not null, are dealt by range, so that each partition looks up its next ids by
-    itself; the first id of each partition is passed to the partition before.
+    Keys, unique and not null, are dealt by range, so that each partition looks up its next keys by
+    itself; the first key of each partition is passed to the partition before.
     """
-    parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = written(ids.repartitionByRange(parts, "id").withColumn("part", F.spark_partition_id()), "ranges")
+    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct("id", "text_hash")
+    dealt = written(keys.repartitionByRange(parts, "id", "text_hash").withColumn("part", F.spark_partition_id()), "ranges")
     # one row for each partition: a number set by the session
-    first = dealt.groupBy("part").agg(F.min("id").alias("first"))
+    first = dealt.groupBy("part").agg(F.min(key).alias("first"))
     whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = first.select("part", F.coalesce(F.lead("first").over(Window.orderBy("part")), F.first("first").over(whole)).alias("then"))
-    near = F.lead("id").over(Window.partitionBy("part").orderBy("id"))
-    return dealt.withColumn("near", near).join(F.broadcast(ends), "part").withColumn("next_id", F.coalesce("near", "then")).drop("part", "near", "then")
+    near = F.lead(key).over(Window.partitionBy("part").orderBy("id", "text_hash"))
+    return dealt.withColumn("near", near).join(F.broadcast(ends), "part").withColumn("next", F.coalesce("near", "then")).drop("part", "near", "then")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """One row per doc_id of ``docs`` (doc_id, text, ...): its fingerprint and its edited text's.
+    """One row per row of ``docs`` (doc_id, text, ...): its text's fingerprint and its edited text's.
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first ones of the
-    next document. Rows that repeat a doc_id are one document, whose text is the least of theirs; a
-    null text counts as empty, a null doc_id as the least id. A single document follows itself.
+    next document. Documents follow each other by doc_id, those with the same one by a hash of their texts; rows alike
+    in both are one document, whose row is repeated. A null text counts as empty, a null doc_id as the
+    least id. A single document follows itself. An empty table gives no rows; texts of any length are read whole.
     """
     docs = pick(docs, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    docs, key = docs.select("id", F.xxhash64("text").alias("text_hash"), "text"), ["id", "text_hash"]
     # the one shuffle of whole texts, with their fingerprints; both joins below read it
-    texts = with_fingerprint(docs, "text", "own").groupBy("id").agg(F.min(F.struct("text", "own")).alias("least")).select("id", "least.text", "least.own")
-    asked = followers(docs.groupBy("id").agg(F.max(F.length("text")).alias("n")))
-    asked = asked.select(F.col("id").alias("for_id"), F.col("next_id").alias("id"), F.expr("n div 4").cast("int").alias("most"))
-    lent = texts.join(asked, "id").select(F.col("for_id").alias("id"), F.expr("left(text, most)").alias("lent"), hash_set(F.col("own")).alias("next"))
-    rows = texts.join(lent, "id").withColumn("n_chars", F.length("text").cast("long"))
+    texts = with_fingerprint(docs, "text", "own").groupBy(*key).agg(F.min(F.struct("text", "own")).alias("least")).select(*key, "least.text", "least.own")
+    asked = followers(docs.groupBy(*key).agg(F.max(F.length("text")).alias("n"), F.count("*").alias("times")))
+    asked = asked.select(F.struct(*key).alias("for"), "times", F.col("next.id").alias("id"), F.col("next.text_hash").alias("text_hash"), F.expr("n div 4").cast("int").alias("most"))
+    lent = texts.join(asked, key).select("for.*", "times", F.expr("left(text, most)").alias("lent"), hash_set(F.col("own")).alias("next"))
+    rows = texts.join(lent, key).withColumn("n_chars", F.length("text").cast("long"))
     tail = F.expr("cast(n_chars div 4 as int)")
     rows = rows.withColumn("edited", F.concat(F.expr("left(text, cast(n_chars as int) - cast(n_chars div 4 as int))"), F.left(F.col("lent"), tail)))
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
     rows = with_fingerprint(rows, "edited", "changed")
     rows = rows.withColumn("own_set", hash_set(F.col("own"))).withColumn("changed_set", hash_set(F.col("changed")))
     rows = rows.withColumn("both_edited", F.size(F.array_intersect("own_set", "changed_set"))).withColumn("both_next", F.size(F.array_intersect("own_set", "next")))
-    return rows.select(
+    out = rows.select(
+        "times",
         F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"),
         "n_chars",
         "edited_sha256",
@@ -127,3 +137,4 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         likeness("own_set", "changed_set", "both_edited").alias("near_edited"),
         likeness("own_set", "next", "both_next").alias("near_next"),
     )
+    return out.withColumn("times", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("times")

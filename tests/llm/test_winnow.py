@@ -2,9 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import random
-import re
 import zlib
 
+import regex
 from helpers import documents, prose
 
 from lakeloom.llm import winnow
@@ -13,7 +13,7 @@ from lakeloom.llm.winnow import BASE, PRIME, K, W
 
 def fingerprint(text):
     """Plain winnowing: the rightmost smallest hash of each window of grams."""
-    h = [zlib.crc32(t.encode()) % PRIME for t in re.findall(winnow.TOKEN, text.lower())]
+    h = [zlib.crc32(t.encode()) % PRIME for t in regex.findall(winnow.TOKEN, text.lower())]
     if not h:
         return []
     if len(h) < K:
@@ -49,7 +49,7 @@ def likeness(a, b):
 
 def test_against_plain_winnowing(spark):
     rnd = random.Random(1)
-    rows = [(i * 3, " ".join(prose(rnd, rnd.choice([0, 1, 3, 4, 9, 12, 60, 200]), rnd.choice([2, 50])))) for i in range(40)] + [(500, None), (501, "z" * 50), (502, "é ß 𝔘 x y z w")]
+    rows = [(i * 3, " ".join(prose(rnd, rnd.choice([0, 1, 3, 4, 9, 12, 60, 200]), rnd.choice([2, 50])))) for i in range(40)] + [(500, None), (501, "z" * 50), (502, "é ß 𝔘 x y z w"), (503, "".join(rnd.choice("0123456789abcdef") for _ in range(300))), (504, "日本語のテキスト、句読点。漢字abc仮名" * 3)]
     ordered = sorted(rows)
     got = {r["doc_id"]: r for r in winnow.fingerprints(documents(spark, rows).repartition(3)).collect()}
     assert len(got) == len(rows)
@@ -68,3 +68,26 @@ def test_against_plain_winnowing(spark):
 def test_plan_is_native(spark):
     plan = winnow.fingerprints(documents(spark, [(1, "a b")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def shared(a, b):
+    x, y = ({h for h, _ in fingerprint(t)} for t in (a, b))
+    return len(x & y) / len(x)
+
+
+def test_passages_without_blanks_are_found_wherever_they_stand():
+    rnd = random.Random(2)
+    han = "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(1000))
+    line = "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(4000))
+    for text in (han, line):
+        for shift in range(1, 9):
+            assert shared(text, text[:shift] * 2 + text) > 0.98
+            assert shared(text[500:], text) > 0.95
+
+
+def test_rows_that_repeat_an_id(spark):
+    rows = [(1, "one two three four five"), (1, "six seven eight"), (1, "six seven eight"), (2, "nine ten"), (None, "a b c d"), (None, None)]
+    out = winnow.fingerprints(documents(spark, rows)).collect()
+    assert sorted(str(r["doc_id"]) for r in out) == ["1", "1", "1", "2", "None", "None"]
+    twice = [r for r in out if r["n_chars"] == 15]
+    assert len(twice) == 2 and twice[0] == twice[1]
