@@ -278,7 +278,9 @@ def _in_cells(rows: DataFrame, by: str) -> DataFrame:
 
 def _compared(filed: DataFrame) -> DataFrame:
     """(a, b) of the filings under a gram that are near by signature and in different components."""
-    cells = _in_cells(filed, "gram").repartition("gram", "cell").sortWithinPartitions("gram", "cell")
+    # a number of its own, since few bytes can mean much work
+    parts = int(filed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = _in_cells(filed, "gram").repartition(parts, "gram", "cell").sortWithinPartitions("gram", "cell")
     return cells.mapInPandas(_compare, "a long, b long").distinct()
 
 
