@@ -127,6 +127,19 @@ def cumulative_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select("o_orderpriority", F.date_format("month_end", "yyyy-MM-dd").alias("month_end"), "n_orders", F.round("revenue", 2).alias("revenue"))
 
 
+@query("""
+    with clicks as (select user_id, ts, event_id, value from events where event_type = 'click'),
+        errors as (select user_id, ts, max(event_id) as error_id from events where event_type = 'error' group by user_id, ts)
+    select clicks.user_id, clicks.event_id, errors.error_id from clicks asof left join errors on clicks.user_id = errors.user_id and clicks.ts >= errors.ts
+""")
+def as_of_join_by_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with windows of a day, for keys that hold a large share of all rows."""
+    events = table(spark, sf_dir, "events")
+    clicks = events.where("event_type = 'click'").select("user_id", "ts", "event_id", "value")
+    errors = events.where("event_type = 'error'").groupBy("user_id", "ts").agg(F.max("event_id").alias("error_id")).withColumnRenamed("ts", "error_at")
+    return joins.as_of(clicks, errors, ["user_id"], "ts", "error_at", ["error_id"], spans="day").select("user_id", "event_id", "error_id")
+
+
 @query("""
     select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_totalprice > 250000)
 """)

@@ -5,16 +5,23 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import mimetypes
+import re
 import tarfile
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _BLOCKS = "course_id string, course_title string, course_start string, retrieved_at string, block_id string, block_index int, block_parent string, block_type string, block_title string, block_start string, block_due string, block_details string, block_content_hash string, course_content_hash string"
-_XML = "course string, path string, block_type string, block_id string, display_name string, content_hash string"
+_XML = "course string, path string, block_type string, block_id string, display_name string, content_hash string, xml_path string, attributes map<string,string>, raw_xml string, edx_video_id string, duration string, max_attempts string, weight string, markdown string"
+_COURSE = "course string, course_number string, run string, org string, title string, start string, end string, enrollment_start string, enrollment_end string, instructor_info string, self_paced boolean"
+_POLICY = "course string, advanced_modules string, discussions_settings string, display_coursenumber string, self_paced boolean, tabs string, tags string"
+_SIGNATORY = "course string, certificate_id string, fields map<string,string>"
+_BUNDLE = "course string, data_version string, file_count int, files array<struct<path:string,mime_type:string,size_bytes:bigint>>"
 #: Folders of an archive that hold no blocks.
 EXCLUDED = ("drafts", "assets", "static", "policies", "about", "info", "tabs")
 
@@ -68,33 +75,122 @@ def unnested_structures(documents: DataFrame) -> DataFrame:
     return documents.select("course_id", "structure", F.col("retrieved_at").cast("string").alias("retrieved_at")).mapInPandas(_unnested, _BLOCKS)
 
 
-def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"], strict=True):
-            rows = []
-            with tarfile.open(fileobj=io.BytesIO(content)) as archive:
-                members = {m.name.partition("/")[2]: m for m in archive.getmembers() if m.isfile()}
-                if "course.xml" not in members:
-                    raise ValueError(f"{path} has no course.xml")
-                root = ET.fromstring(archive.extractfile(members["course.xml"]).read())
-                course = f"course-v1:{root.get('org')}+{root.get('course')}+{root.get('url_name')}"
-                for name, member in sorted(members.items()):
-                    folder, _, file = name.partition("/")
-                    if not file.endswith(".xml") or "/" in file or folder in EXCLUDED:
-                        continue
-                    data = archive.extractfile(member).read()
-                    try:
-                        block = ET.fromstring(data)
-                    except ET.ParseError:
-                        continue
-                    rows.append((course, path, block.tag, file[:-4], block.get("display_name"), hashlib.sha256(data).hexdigest()))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _XML.split(", ")])
+@dataclass
+class Archive:
+    """An opened archive: its course and its files by their path below the root."""
+
+    tar: tarfile.TarFile
+    members: dict[str, tarfile.TarInfo]
+    root: ET.Element
+
+    @property
+    def course(self) -> str:
+        return f"course-v1:{self.root.get('org')}+{self.root.get('course')}+{self.root.get('url_name')}"
+
+    def read(self, name: str) -> bytes:
+        return self.tar.extractfile(self.members[name]).read()
+
+
+def _read(spark: SparkSession, path: str, schema: str, rows: Callable[[str, Archive], Iterable[tuple]]) -> DataFrame:
+    """What ``rows`` finds in each archive at ``path``, one archive a task at a time."""
+    names = [c.split()[0] for c in re.sub(r"<.*>", "", schema).split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for where, content in zip(batch["path"], batch["content"], strict=True):
+                with tarfile.open(fileobj=io.BytesIO(content)) as tar:
+                    members = {m.name.partition("/")[2]: m for m in tar.getmembers() if m.isfile()}
+                    if "course.xml" not in members:
+                        raise ValueError(f"{where} has no course.xml")
+                    archive = Archive(tar, members, ET.fromstring(tar.extractfile(members["course.xml"]).read()))
+                    yield pd.DataFrame(list(rows(where, archive)), columns=names)
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema)
+
+
+def _blocks(path: str, archive: Archive) -> Iterator[tuple]:
+    for name in sorted(archive.members):
+        folder, _, file = name.partition("/")
+        if not file.endswith(".xml") or "/" in file or folder in EXCLUDED:
+            continue
+        data = archive.read(name)
+        try:
+            block = ET.fromstring(data)
+        except ET.ParseError:
+            continue
+        asset = block.find("video_asset")
+        duration = None if folder != "video" else "0.0" if asset is None else asset.get("duration")
+        own = [block.get(a) for a in ("edx_video_id",)] if folder == "video" else [None]
+        problem = [block.get(a) for a in ("max_attempts", "weight", "markdown")] if folder == "problem" else [None] * 3
+        yield archive.course, path, folder, block.get("url_name") or file[:-4], block.get("display_name"), hashlib.sha256(data).hexdigest(), name, dict(block.attrib), data.decode("utf-8", "replace"), *own, duration, *problem
 
 
 def read_course_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The blocks of course archives (tar of XML), one file a task at a time; an archive without course.xml is an error."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(_extracted, _XML)
+    """The blocks of course archives (tar of XML): one row for each file of a block folder; an archive without course.xml is an error.
+
+    A block is of its folder's type, named by its url_name or else by its file. All attributes and the text are kept beside
+    the fields of videos and problems. Files that are no XML are passed over.
+    """
+    return _read(spark, path, _XML, _blocks)
+
+
+def read_course_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each archive: its course, and what the file of its run says of it, if there is one."""
+
+    def rows(_: str, archive: Archive) -> Iterator[tuple]:
+        run = archive.root.get("url_name")
+        name = f"course/{run}.xml"
+        told = ET.fromstring(archive.read(name)) if name in archive.members else ET.Element("course")
+        fields = [told.get(a) for a in ("display_name", "start", "end", "enrollment_start", "enrollment_end", "instructor_info")]
+        yield archive.course, archive.root.get("course"), run, archive.root.get("org"), *fields, bool(told.get("self_paced"))
+
+    return _read(spark, path, _COURSE, rows)
+
+
+def _policies(archive: Archive) -> Iterator[dict]:
+    """The course entries of the policy files of the archive's run."""
+    for name in sorted(archive.members):
+        if name.startswith(f"policies/{archive.root.get('url_name')}/"):
+            found = json.loads(archive.read(name))
+            yield from (v for k, v in found.items() if k.startswith("course/"))
+
+
+def read_policies(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each course policy of the archives' runs; lists and objects as JSON text."""
+
+    def rows(_: str, archive: Archive) -> Iterator[tuple]:
+        for p in _policies(archive):
+            as_json = lambda key, default, p=p: json.dumps(p.get(key, default))
+            yield archive.course, as_json("advanced_modules", []), as_json("discussions_settings", {}), p.get("display_coursenumber", ""), p.get("self_paced"), as_json("tabs", []), as_json("tags", [])
+
+    return _read(spark, path, _POLICY, rows)
+
+
+def read_signatories(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each signatory of each certificate in the policies; its fields as text."""
+
+    def rows(_: str, archive: Archive) -> Iterator[tuple]:
+        for p in _policies(archive):
+            for certificate in p.get("certificates", {}).get("certificates", []):
+                for signatory in certificate.get("signatories", []):
+                    yield archive.course, str(certificate.get("id")), {k: v if isinstance(v, str) else json.dumps(v) for k, v in signatory.items()}
+
+    return _read(spark, path, _SIGNATORY, rows)
+
+
+def read_asset_bundles(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each archive: a digest of its static files' contents in order of path, and a list of them."""
+
+    def rows(_: str, archive: Archive) -> Iterator[tuple]:
+        names = [n for n in sorted(archive.members) if n.startswith("static/") and not n.endswith(".xml")]
+        whole, files = hashlib.sha256(), []
+        for name in names:
+            data = archive.read(name)
+            whole.update(data)
+            files.append({"path": name, "mime_type": mimetypes.guess_type(name)[0] or "application/octet-stream", "size_bytes": len(data)})
+        yield archive.course, whole.hexdigest(), len(files), files
+
+    return _read(spark, path, _BUNDLE, rows)
 
 
 def flattened_json(text: str, separator: str = "__"):

@@ -36,6 +36,12 @@ def with_origin(df: DataFrame, **literals: str) -> DataFrame:
     return df.withColumns({f"extracted_{k}": F.lit(v) for k, v in literals.items()}).withColumn("row_hash", row_hash(*own))
 
 
+def rewritten_tsv(spark: SparkSession, path: str, columns: Sequence[str], out: str, **literals: str) -> int:
+    """Tab-separated files as CSV with their origin and row hash; returns the rows. Files of a header alone leave none."""
+    with_origin(read_tsv(spark, path, columns), **literals).write.mode("overwrite").option("header", True).option("escape", '"').csv(out)
+    return spark.read.option("header", True).option("escape", '"').csv(out).count()
+
+
 def read_json_lines(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """One JSON object a line, its first level as strings (nested values as JSON text), and the file's name; lines that are none go."""
     lines = spark.read.text(path).withColumn("file_name", F.input_file_name())

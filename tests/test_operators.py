@@ -136,3 +136,15 @@ def test_a_course_under_no_requirement_stays(spark):
     found = {r["course_id"]: r for r in hierarchy.requirement_tree(operators, courses, 2).collect()}
     assert (found[7]["kind"], found[7]["n_required"], found[7]["place"]) == ("Core", 1, 1)
     assert (found[8]["kind"], found[8]["requirement_id"], found[8]["place"]) == (None, None, 2)
+
+
+def test_as_of_by_spans_is_the_same(spark):
+    import random
+
+    rnd = random.Random(3)
+    moment = lambda: f"2024-01-{rnd.randrange(1, 20):02d} {rnd.randrange(24):02d}:00:00"
+    key = lambda: rnd.choice(["hot", "hot", "hot", "b", None])
+    events = spark.createDataFrame([(i, key(), moment()) for i in range(400)], "i int, k string, t string").selectExpr("i", "k", "cast(t as timestamp_ntz) as at")
+    states = spark.createDataFrame(list({(k, t): (k, t, i) for i, (k, t) in enumerate((key(), moment()) for _ in range(60))}.values()), "k string, t string, v int").selectExpr("k", "cast(t as timestamp_ntz) as since", "v")
+    plain, spans = (joins.as_of(events, states, ["k"], "at", "since", ["v"], spans=s) for s in (None, "day"))
+    assert got(plain) == got(spans) and sum(r["v"] is not None for r in plain.collect()) > 200

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import io
 import json
 import tarfile
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.functions import json_text
-from lakeloom.sources import courses, feeds, files, sinks
+from lakeloom.sources import courses, extracts, feeds, files, sinks
 from lakeloom.streaming import ingest
 
 
@@ -59,6 +60,27 @@ def test_course_archive(spark, tmp_path):
     tar("good.tar", {"r/course.xml": '<course url_name="run" org="o" course="k"/>', "r/video/v.xml": '<video display_name="V"/>', "r/static/s.xml": "<x/>", "r/video/n.txt": "", "r/problem/bad.xml": "<"})
     rows = courses.read_course_archives(spark, str(tmp_path / "good.tar")).collect()
     assert [(r["course"], r["block_type"], r["block_id"], r["display_name"]) for r in rows] == [("course-v1:o+k+run", "video", "v", "V")]
+    policy = {"course/run": {"tags": ["x"], "self_paced": True, "certificates": {"certificates": [{"id": 7, "signatories": [{"name": "N", "n": 1}]}]}}, "chapter/c": {}}
+    tar("full.tar", {
+        "r/course.xml": '<course url_name="run" org="o" course="k"/>',
+        "r/course/run.xml": '<course display_name="Title" start="2024-01-01" self_paced="true"/>',
+        "r/policies/run/policy.json": json.dumps(policy),
+        "r/policies/other/policy.json": json.dumps(policy),
+        "r/video/v.xml": '<video url_name="vv" edx_video_id="e1"><video_asset duration="12.5"/></video>',
+        "r/problem/p.xml": '<problem max_attempts="3" weight="2"/>',
+        "r/static/b.png": "bb",
+        "r/static/a.txt": "a",
+    })
+    full = str(tmp_path / "full.tar")
+    blocks = {r["block_id"]: r for r in courses.read_course_archives(spark, full).where("block_type <> 'course'").collect()}
+    assert (blocks["vv"]["edx_video_id"], blocks["vv"]["duration"], blocks["vv"]["xml_path"], blocks["vv"]["attributes"]["url_name"]) == ("e1", "12.5", "video/v.xml", "vv")
+    assert (blocks["p"]["max_attempts"], blocks["p"]["weight"], blocks["p"]["duration"]) == ("3", "2", None)
+    about = courses.read_course_metadata(spark, full).first()
+    assert (about["course"], about["org"], about["title"], about["start"], about["end"], about["self_paced"]) == ("course-v1:o+k+run", "o", "Title", "2024-01-01", None, True)
+    assert [(r["tags"], r["tabs"], r["self_paced"]) for r in courses.read_policies(spark, full).collect()] == [('["x"]', "[]", True)]
+    assert [(r["certificate_id"], r["fields"]) for r in courses.read_signatories(spark, full).collect()] == [("7", {"name": "N", "n": "1"})]
+    bundle = courses.read_asset_bundles(spark, full).first()
+    assert bundle["data_version"] == hashlib.sha256(b"abb").hexdigest() and [(f["path"], f["size_bytes"]) for f in bundle["files"]] == [("static/a.txt", 1), ("static/b.png", 2)]
     tar("bad.tar", {"r/video/v.xml": "<video/>"})
     with pytest.raises(Exception, match=r"course\.xml"):
         courses.read_course_archives(spark, str(tmp_path / "bad.tar")).collect()
@@ -147,3 +169,39 @@ def test_streams(spark, tmp_path, sf_dir):
     once = ingest.without_repeats(stream(), ["event_id"], "ts", "60 days")
     ingest.append_to(once, str(tmp_path / "once"), str(tmp_path / "c2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "once")).count() == events.count()
+
+
+def test_tsv_files_are_rewritten(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.tsv").write_text('id\tbio\n1\t"say ""hi"", you"\n')
+    (tmp_path / "in" / "b.tsv").write_text("id\tbio\n")
+    assert files.rewritten_tsv(spark, str(tmp_path / "in"), ["id", "bio"], str(tmp_path / "out"), course="c") == 1
+    row = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "out")).first()
+    assert (row["bio"], row["extracted_course"], row["row_hash"]) == ('say "hi", you', "c", hashlib.sha256(b'1say "hi", you').hexdigest())
+
+
+def test_a_database_is_read_in_parts(spark):
+    url = "jdbc:derby:memory:lakeloom;create=true"
+    rows = spark.range(100).selectExpr("id", "concat('n', id) as name", "'secret' as password")
+    rows.write.format("jdbc").options(url=url, dbtable="people", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver").mode("overwrite").save()
+    found = files.read_database(spark, url, "people", key="id", cursor="id", since=89, excluded=["password"], partitions=4, bounds=(0, 100), driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    assert found.columns == ["id", "name"] and found.rdd.getNumPartitions() == 4 and found.count() == 10
+    assert "GreaterThan(id,89)" in found._jdf.queryExecution().executedPlan().toString().replace("ID", "id")
+
+
+def test_buckets_save_a_shuffle(spark, tmp_path):
+    spark.sql("drop table if exists bucketed_here")
+    sinks.bucketed(spark.range(100).selectExpr("id", "id % 7 as k"), "bucketed_here", ["k"], 4)
+    plan = spark.table("bucketed_here").groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    spark.sql("drop table bucketed_here")
+
+
+def test_extracts(spark):
+    users = spark.createDataFrame([(1, "u1"), (2, "u2")], "id int, username string").selectExpr("*", *[f"'x' as {c}" for c in ("first_name", "last_name", "email", "password")], *[f"true as {c}" for c in ("is_staff", "is_active", "is_superuser")], *[f"date'2024-01-01' as {c}" for c in ("last_login", "date_joined")])
+    enrolments = spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (3, 1, "b")], "id int, user_id int, course_id string").selectExpr("*", "date'2024-01-01' as created", "true as is_active", "'audit' as mode")
+    found = extracts.enrolled_users(users, enrolments, ["b"])
+    assert sorted((r["id"], r["course_id"]) for r in found.collect()) == [(1, "b"), (2, "b")] and "password" not in found.columns
+    assert extracts.enrolments_of(enrolments, ["a", "b"]).count() == 3
+    access = spark.createDataFrame([(1, 1, "o", "a", "staff")], "id int, user_id int, org string, course_id string, role string")
+    assert extracts.roles(access, ["a"]).count() == 1 and extracts.roles(access, ["b"]).count() == 0
