@@ -33,7 +33,8 @@ COMPANY_SIZE = {
     0: "Other (N/A or Don't know)",
 }
 YEARS_EXPERIENCE = {2: "Less than 2 years", 5: "2-5 years", 10: "6 - 10 years", 15: "11 - 15 years", 20: "16 - 20 years", 21: "More than 20 years", 0: "Prefer not to say"}
-DEPARTMENT = {
+# Departments in the catalogue of open courses.
+OPEN_DEPARTMENT = {
     "1": "Civil and Environmental Engineering",
     "2": "Mechanical Engineering",
     "3": "Materials Science and Engineering",
@@ -47,11 +48,13 @@ DEPARTMENT = {
     "11": "Urban Studies and Planning",
     "12": "Earth, Atmospheric, and Planetary Sciences",
     "14": "Economics",
+    "15": "Sloan School of Management",
     "16": "Aeronautics and Astronautics",
     "17": "Political Science",
     "18": "Mathematics",
     "20": "Biological Engineering",
     "21A": "Anthropology",
+    "21G": "Global Studies and Languages",
     "21H": "History",
     "21L": "Literature",
     "21M": "Music and Theater Arts",
@@ -62,25 +65,53 @@ DEPARTMENT = {
     "EC": "Edgerton Center",
     "ES": "Experimental Study Group",
     "ESD": "Engineering Systems Division",
+    "HST": "Health Sciences and Technology",
+    "IDS": "Institute for Data, Systems, and Society",
     "MAS": "Media Arts and Sciences",
     "PE": "Athletics, Physical Education and Recreation",
+    "RES": "Supplemental Resources",
     "STS": "Science, Technology, and Society",
     "WGS": "Women's and Gender Studies",
 }
-#: What the two catalogues call differently, or only one of them has.
-OPEN_DEPARTMENT = DEPARTMENT | {
-    "15": "Sloan School of Management",
-    "21G": "Global Studies and Languages",
-    "HST": "Health Sciences and Technology",
-    "IDS": "Institute for Data, Systems, and Society",
-    "RES": "Supplemental Resources",
-}
-COURSE_DEPARTMENT = DEPARTMENT | {
+# Departments in the catalogue of courses for credit.
+COURSE_DEPARTMENT = {
+    "1": "Civil and Environmental Engineering",
+    "2": "Mechanical Engineering",
+    "3": "Materials Science and Engineering",
+    "4": "Architecture",
+    "5": "Chemistry",
+    "6": "Electrical Engineering and Computer Science",
+    "7": "Biology",
+    "8": "Physics",
+    "9": "Brain and Cognitive Sciences",
+    "10": "Chemical Engineering",
+    "11": "Urban Studies and Planning",
+    "12": "Earth, Atmospheric, and Planetary Sciences",
+    "14": "Economics",
     "15": "Management",
+    "16": "Aeronautics and Astronautics",
+    "17": "Political Science",
+    "18": "Mathematics",
+    "20": "Biological Engineering",
+    "21A": "Anthropology",
     "21G": "Global Languages",
+    "21H": "History",
+    "21L": "Literature",
+    "21M": "Music and Theater Arts",
+    "22": "Nuclear Science and Engineering",
+    "24": "Linguistics and Philosophy",
+    "CC": "Concourse",
+    "CMS-W": "Comparative Media Studies/Writing",
+    "EC": "Edgerton Center",
+    "ES": "Experimental Study Group",
+    "ESD": "Engineering Systems Division",
     "HST": "Medical Engineering and Science",
     "IDS": "Data, Systems, and Society",
+    "MAS": "Media Arts and Sciences",
+    "PE": "Athletics, Physical Education and Recreation",
     "SP": "Special Programs",
+    "STS": "Science, Technology, and Society",
+    "WGS": "Women's and Gender Studies",
 }
 RESOURCE_TYPES = {"Document": "pdf|docx|doc|txt|rtf", "Video": "mp4|mov|avi|webm|m4v", "Image": "jpg|jpeg|png|gif|svg", "Archive": "zip|tar|gz"}
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import json_text
-from ..functions.keys import surrogate_key
+from ..functions.keys import slugify, surrogate_key
 from .dedup import first_row
 
 
@@ -133,3 +133,29 @@ def onboarding_list(people: DataFrame, email: str, where: Column) -> DataFrame:
     """(email): the addresses of the people admitted, lower-cased, each once, in order."""
     address = F.nullif(F.lower(F.trim(F.col(email))), F.lit(""))
     return people.where(where).select(address.alias("email")).where("email is not null").distinct().orderBy("email")
+
+
+def module_history(modules: DataFrame, history: DataFrame) -> DataFrame:
+    """The states of learners' modules with whom and what they are of: (person, course, block, at, attempt, grade, max_grade, is_correct).
+
+    ``modules`` (module, person, course, block) has a row for each learner and block, ``history`` (module, state, grade,
+    max_grade, at) one for each submission. States without an attempt go, and so do those of unknown modules.
+    """
+    number = json_text.json_scalar("state", "$.attempts").try_cast("int")
+    rows = history.withColumn("attempt", number).where("attempt is not null").join(modules, "module")
+    correct = F.coalesce(F.col("grade") == F.col("max_grade"), F.lit(False))
+    return rows.select("person", "course", "block", "at", "attempt", "grade", "max_grade", correct.alias("is_correct"))
+
+
+def newest_retrieval(blocks: DataFrame, course: str, retrieved: str) -> DataFrame:
+    """``blocks`` with ``is_latest``: whether they are of their course's newest retrieval, found by one aggregation."""
+    newest = blocks.groupBy(F.col(course).alias("__course")).agg(F.max(retrieved).alias("__newest"))
+    rows = blocks.join(newest, F.col(course).eqNullSafe(F.col("__course")))
+    return rows.withColumn("is_latest", F.coalesce(F.col(retrieved) == F.col("__newest"), F.lit(False))).drop("__course", "__newest")
+
+
+def tag_dimension(tags: DataFrame, tag: str) -> DataFrame:
+    """(tag_key, slug, tag, n): one row for each slug of the tags, by its most frequent spelling, the least among equals."""
+    spelled = tags.where(F.col(tag).isNotNull()).groupBy(slugify(tag).alias("slug"), F.col(tag).alias("tag")).agg(F.count("*").alias("n")).where("slug <> ''")
+    best = F.min(F.struct((-F.col("n")).alias("order"), "tag")).alias("best")
+    return spelled.groupBy("slug").agg(best, F.sum("n").alias("n")).select(surrogate_key("slug").alias("tag_key"), "slug", "best.tag", "n")

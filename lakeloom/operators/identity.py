@@ -35,6 +35,15 @@ def survivors(accounts: DataFrame, key: str, recency: str, tie: str, latest: lis
     return rows.select(key, *[F.col(f"__newest.v_{c}").alias(c) for c in latest], *any_of)
 
 
+def key_of_first(spaces: dict[str, Column]) -> Column:
+    """A person's key from the first id that is known, in order of the id spaces; null if none is.
+
+    The space is part of the key, so equal numbers of different systems are different people.
+    """
+    ids = [F.when(c.isNotNull(), surrogate_key(F.lit(name), c)) for name, c in spaces.items()]
+    return F.coalesce(*ids)
+
+
 def redirects(merges: DataFrame, old: str, new: str, at: str, tie: str) -> DataFrame:
     """Account merges, of which the last of each unordered pair counts, whichever its direction."""
     newest = F.max(F.struct(at, tie, old, new)).alias("__last")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import facts, hierarchy, identity, incremental, reports
+from ..operators import facts, hierarchy, identity, incremental, joins, reports
 from ..sources import courses
 from .catalog import query
 from .tables import table
@@ -290,3 +290,65 @@ def survivorship_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_custkey") % 2 == 0, F.col("c_nationkey")).alias("country"),
     )
     return identity.filled_in(rows, "k", "joined", "tie", ["name", "country"])
+
+
+@query("""
+    with modules as (select distinct user_id * 100 + floor(value)::bigint % 24 as module, user_id as person, user_id % 3 as course, 'p' || floor(value)::bigint % 24 as block from events where event_id % 10 <> 0)
+    select person, course, block, strftime(ts, '%Y-%m-%d %H:%M:%S') as at, (event_id % 4 + 1)::integer as attempt, (event_id % 3) / 2.0::double as grade, 1.0::double as max_grade, event_id % 3 = 2 as is_correct
+    from events join modules on module = user_id * 100 + floor(value)::bigint % 24 where event_id % 5 <> 0
+""")
+def module_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histories of states joined to the modules that they are of."""
+    rows = table(spark, sf_dir, "events").withColumn("b", F.floor("value") % 24).withColumn("module", F.col("user_id") * 100 + F.col("b"))
+    modules = rows.where("event_id % 10 <> 0").select("module", F.col("user_id").alias("person"), (F.col("user_id") % 3).alias("course"), F.concat(F.lit("p"), F.col("b").cast("string")).alias("block")).distinct()
+    state = F.when(F.col("event_id") % 5 != 0, F.to_json(F.struct((F.col("event_id") % 4 + 1).alias("attempts")))).otherwise(F.lit("{}"))
+    history = rows.select("module", state.alias("state"), ((F.col("event_id") % 3) / 2.0).cast("double").alias("grade"), F.lit(1.0).alias("max_grade"), F.col("ts").alias("at"))
+    return facts.module_history(modules, history).withColumn("at", F.date_format("at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("""
+    select event_id, user_id, ts::date = max(ts::date) over (partition by user_id) as is_latest from events
+""")
+def newest_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a course's (here: user's) newest retrieval (here: day) marked."""
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", F.to_date("ts").alias("day"))
+    return facts.newest_retrieval(rows, "user_id", "day").select("event_id", "user_id", "is_latest")
+
+
+@query("""
+    with t as (select case when p_partkey % 3 = 0 then upper(p_type) when p_partkey % 3 = 1 then p_type || '!' else p_type end as tag from part),
+        n as (select trim(regexp_replace(lower(tag), '[^a-z0-9]+', '_', 'g'), '_') as slug, tag, count(*) as n from t group by all)
+    select md5(slug) as tag_key, slug, arg_min(tag, (-n, tag)) as tag, sum(n)::bigint as n from n group by slug
+""")
+def tag_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags by slug, with a key and their usual spelling."""
+    tag = F.when(F.col("p_partkey") % 3 == 0, F.upper("p_type")).when(F.col("p_partkey") % 3 == 1, F.concat("p_type", F.lit("!"))).otherwise(F.col("p_type"))
+    return facts.tag_dimension(table(spark, sf_dir, "part").select(tag.alias("tag")), "tag")
+
+
+@query("""
+    select c_custkey, case when c_custkey % 4 = 0 then md5('learn-' || c_custkey) when c_custkey % 4 = 1 then md5('shop-' || c_nationkey) when c_custkey % 4 = 2 then md5('mail-' || c_name) end as user_key from customer
+""")
+def keys_of_several_id_spaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A person's key by the first id that is known."""
+    n = F.col("c_custkey")
+    spaces = {"learn": F.when(n % 4 == 0, n), "shop": F.when(n % 4 <= 1, F.col("c_nationkey")), "mail": F.when(n % 4 <= 2, F.col("c_name"))}
+    return table(spark, sf_dir, "customer").select("c_custkey", identity.key_of_first(spaces).alias("user_key"))
+
+
+@query("""
+    with m as (select unnest(generate_series(timestamp '1996-01-01', timestamp '1998-12-01', interval 3 month)) as until),
+        g as (select distinct o_orderpriority as program from orders),
+        c as (select program, until, count(o_orderkey) as n_orders, count(distinct o_custkey) as people from g cross join m left join orders on o_orderpriority = program and o_orderdate < until group by all),
+        t as (select 'all' as program, until, count(o_orderkey) as n_orders, count(distinct o_custkey) as people from m left join orders on o_orderdate < until group by all)
+    select program, strftime(until, '%Y-%m-%d') as until, n_orders, people from (select * from c union all select * from t)
+""")
+def cumulative_people_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and people up to each date, by program (here: priority) and in all: a person counts from their first day on."""
+    spine = spark.sql("select explode(sequence(timestamp_ntz'1996-01-01', timestamp_ntz'1998-12-01', interval 3 month)) as until")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", F.col("o_orderpriority").alias("program"))
+    both = orders.unionByName(orders.withColumn("program", F.lit("all")))
+    first = both.groupBy("program", "o_custkey").agg(F.min("o_orderdate").alias("o_orderdate"), F.count("*").alias("n"))
+    counted = both.select("program", "o_orderdate", F.lit(1).alias("orders"), F.lit(0).alias("new")).unionByName(first.select("program", "o_orderdate", F.lit(0).alias("orders"), F.lit(1).alias("new")))
+    sums = joins.cumulative(counted, spine, "o_orderdate", "until", ["program"], {"n_orders": F.col("orders").cast("long"), "people": F.col("new").cast("long")})
+    return sums.withColumn("until", F.date_format("until", "yyyy-MM-dd"))

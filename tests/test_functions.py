@@ -79,3 +79,11 @@ def test_is_current(spark):
     rows = [("2024-01-01", None), ("2024-01-01", "2024-01-31"), ("2024-03-01", None), (None, None)]
     found = values(spark, "a string, b string", rows, iso8601.is_current("a", "b", F.lit("2024-02-01")))
     assert found == [True, False, False, False]
+
+
+def test_every_code_has_its_label(spark):
+    for name in ("GENDER", "EDUCATION", "COMPANY_SIZE", "YEARS_EXPERIENCE", "OPEN_DEPARTMENT", "COURSE_DEPARTMENT"):
+        table = getattr(codes, name)
+        rows = [(k,) for k in table]
+        kind = "int" if isinstance(next(iter(table)), int) else "string"
+        assert values(spark, f"c {kind}", rows, codes.label("c", table)) == list(table.values()), name
