@@ -82,6 +82,13 @@ def aligned(pattern: np.ndarray, text: np.ndarray, lo: int, width: int, k: int)
     any of the first row and the end any of the last. None if it takes more than k edits.
     """
     m, big = len(pattern), 1 << 20
+    # a verbatim copy needs no table; the leftmost one is what the table would give
+    first, held = max(0, lo), text[max(0, lo) : max(0, lo + width + m)]
+    if len(held) >= m:
+        begins = np.flatnonzero(held[: len(held) - m + 1] == pattern[0])
+        for i in begins:
+            if np.array_equal(held[i : i + m], pattern):
+                return 0, first + int(i), first + int(i) + m
     diagonals = np.arange(width + 1)
     at = lo + diagonals
     cost = np.where((at >= 0) & (at <= len(text)), 0, big)
@@ -187,8 +194,13 @@ class Index:
         counts = self.first[found + 1] - self.first[found]
         rows = np.repeat(self.first[found] - np.append(0, np.cumsum(counts)[:-1]), counts) + np.arange(counts.sum())
         segment = self.posting_segment[rows].astype(np.int64)
-        place = self.posting_place[rows].astype(np.int64)
-        diagonal = np.repeat(spots, counts) - place
+        # a segment with fewer hits in the whole text reaches its bound in no band
+        enough = np.bincount(segment, minlength=len(self.segments)) >= self.bound
+        kept = enough[segment]
+        if not kept.any():
+            return []
+        segment, place = segment[kept], self.posting_place[rows[kept]].astype(np.int64)
+        diagonal = np.repeat(spots, counts)[kept] - place
         band = diagonal // self.half[segment]
         # a q-gram counts in the two bands that cover its diagonal, once for each place in the segment
         keys = (segment << BAND_BITS) + FIRST_BAND + band
