@@ -116,8 +116,10 @@ def language_of(docs: DataFrame) -> Language:
     """The language of all ``docs`` (text, ...); without texts that of common words alone."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit("[a-z]{4,16}"), F.lit(0)))
     counts = pick(docs, "text").where("text is not null").select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    rows = counts.where(F.col("n") >= LEAST_TEXTS).orderBy(F.col("n").desc(), "word").limit(DICTIONARY).collect()
-    return Language.of([(r["word"], r["n"]) for r in rows])
+    top = counts.where(F.col("n") >= LEAST_TEXTS).orderBy(F.col("n").desc(), "word").limit(DICTIONARY)
+    # gathered by a task: as the last step, the limit would send as many rows of every task to the driver
+    rows = top.agg(F.collect_list(F.struct("n", "word")).alias("words")).first()["words"]
+    return Language.of([(r["word"], r["n"]) for r in sorted(rows, key=lambda r: (-r["n"], r["word"]))])
 
 
 def _class(c: str) -> int:
