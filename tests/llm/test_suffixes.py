@@ -49,6 +49,18 @@ def test_finds_exactly_what_is_repeated(spark, seed, words):
     assert every == expected
     # what goes always has an earlier copy
     assert all(later[i] <= removable[i] for i in later)
+    # the other document named does hold one of the passage's windows, in another place
+    words = {i: text.encode().lower().split() for i, text in rows}
+    held = defaultdict(set)
+    for i, w in words.items():
+        for k in range(len(w) - 11):
+            held[tuple(w[k : k + 12])].add((i, k))
+    for r in got:
+        own = words[r["doc_id"]]
+        others = {(i, k) for s in range(r["start"], r["end"] - 11) for i, k in held[tuple(own[s : s + 12])] if (i, k) != (r["doc_id"], s)}
+        assert r["other_doc_id"] in {i for i, _ in others}
+        if {i for i, _ in others} == {r["doc_id"]}:
+            assert r["other_doc_id"] == r["doc_id"]
 
 
 def test_one_copy_of_a_passage_stays(spark):
