@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 
 def first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key. Give an order without ties, with nulls placed explicitly."""
+    """The first row of each key. Give an order without ties, with nulls placed explicitly.
+
+    Spark limits the rows of a key before the shuffle too, so each task passes on one of them.
+    """
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
 

@@ -148,3 +148,10 @@ def test_as_of_by_spans_is_the_same(spark):
     states = spark.createDataFrame(list({(k, t): (k, t, i) for i, (k, t) in enumerate((key(), moment()) for _ in range(60))}.values()), "k string, t string, v int").selectExpr("k", "cast(t as timestamp_ntz) as since", "v")
     plain, spans = (joins.as_of(events, states, ["k"], "at", "since", ["v"], spans=s) for s in (None, "day"))
     assert got(plain) == got(spans) and sum(r["v"] is not None for r in plain.collect()) > 200
+
+
+def test_first_rows_are_chosen_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 3 as k", "id")
+    plan = dedup.first_row(df, ["k"], [F.col("id").desc()])._jdf.queryExecution().executedPlan().toString()
+    # each task passes on one row of a key, so a hot key is no large group
+    assert "WindowGroupLimit" in plan and "Partial" in plan
