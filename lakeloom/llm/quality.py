@@ -93,22 +93,27 @@ def _forward(layers: list[np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _vectors(texts: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    """Context vectors of the sample's words and shapes, of unit length."""
-    split = [tokens(t) for t in texts]
-    seen = Counter(t for words in split for t in words)
+    """Context vectors of the sample's words and shapes, of unit length.
+
+    Texts are cut into words twice rather than all kept as words, and neighbours are counted gap by gap: the driver holds little.
+    """
+    seen = Counter(t for text in texts for t in tokens(text))
     named = {t: t if n >= LEAST else shape(t) for t, n in seen.items()}
     rows = {t: i for i, t in enumerate(sorted(set(named.values()) | {shape(t) for t in seen}), 1)}
+    place = {t: rows[name] for t, name in named.items()}
+    del seen, named
     index = np.stack([np.zeros(DIMENSIONS, np.float32), *map(index_vector, rows)])
-    # one row for each text's words, cut by gaps of -1 so that windows end with their text
-    every = np.concatenate([np.array([*(rows[named[t]] for t in words), *[-1] * WINDOW], np.int64) for words in split])
-    pairs = np.concatenate([np.stack([every[gap:], every[:-gap]]) for gap in range(1, WINDOW + 1)], axis=1)
-    pairs = pairs[:, (pairs >= 0).all(0)]
-    met, times = np.unique(np.concatenate([pairs[0] * len(index) + pairs[1], pairs[1] * len(index) + pairs[0]]), return_counts=True)
+    # the words of all texts, with as many gaps (-1) after each as a window is wide
+    every = np.concatenate([np.array([*map(place.__getitem__, tokens(t)), *[-1] * WINDOW], np.int32) for t in texts])
     context = index.copy()
-    for i in range(0, len(met), 1 << 17):
-        word, near = np.divmod(met[i : i + (1 << 17)], len(index))
-        first = np.flatnonzero(np.diff(word, prepend=-1))
-        context[word[first]] += np.add.reduceat(index[near] * times[i : i + (1 << 17), None].astype(np.float32), first)
+    for gap in range(1, WINDOW + 1):
+        for a, b in ((every[gap:], every[:-gap]), (every[:-gap], every[gap:])):
+            both = (a >= 0) & (b >= 0)
+            met, times = np.unique(a[both].astype(np.int64) * len(index) + b[both], return_counts=True)
+            for i in range(0, len(met), 1 << 15):
+                word, near = np.divmod(met[i : i + (1 << 15)], len(index))
+                first = np.flatnonzero(np.diff(word, prepend=-1))
+                context[word[first]] += np.add.reduceat(index[near] * times[i : i + (1 << 15), None].astype(np.float32), first)
     # a word's own index keeps it apart from others in the same company
     context = context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-6) + 0.5 * index / np.sqrt(NONZERO)
     return rows, (context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-6)).astype(np.float32)
