@@ -65,10 +65,11 @@ def fit(sample: Sample, features: int = FEATURES, alpha: float = 0.5, l2: float
     if not sample.usable:
         return Toxicity(place, np.zeros(1), -50.0)
     y, n = sample.labels, len(sample.labels)
-    seen = [np.unique(np.concatenate(b)) if (b := buckets(t)) else np.empty(0, np.uint32) for t in sample.texts]
+    # n-grams are made twice, for the counts and for the features, rather than kept for all texts
+    present = lambda t: np.unique(np.concatenate(b)) if (b := buckets(t)) else np.empty(0, np.uint32)
     p, q = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    for b, label in zip(seen, y, strict=True):
-        (p if label else q)[b] += 1
+    for t, label in zip(sample.texts, y, strict=True):
+        (p if label else q)[present(t)] += 1
     positives = y.sum()
     ratio = np.log((p + alpha) / (positives + 2 * alpha)) - np.log((q + alpha) / (n - positives + 2 * alpha))
     strength = np.where(p + q >= 3, np.abs(ratio) / np.sqrt(1 / (p + alpha) + 1 / (q + alpha)), 0)
@@ -76,8 +77,8 @@ def fit(sample: Sample, features: int = FEATURES, alpha: float = 0.5, l2: float
     best = best[strength[best] > 0]
     place[best] = np.arange(1, len(best) + 1)
     x = np.zeros((n, len(best) + 1), np.float32)
-    for i, b in enumerate(seen):
-        x[i, place[b]] = 1
+    for i, t in enumerate(sample.texts):
+        x[i, place[present(t)]] = 1
     x[:, 0] = 0
     scale = np.concatenate([[0], ratio[best]]).astype(np.float32)
     x *= scale
