@@ -38,6 +38,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     docs = pick(docs, *COLUMNS)
     gone = written(neardup.near_duplicates(docs).where("not kept").select("doc_id"), "gone")
     again = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    again = written(again, "again")
+    if again.isEmpty():
+        return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
     once = docs.join(gone.union(again), "doc_id", "left_anti").select(*COLUMNS)
     repeated = docs.join(again.join(gone, "doc_id", "left_anti"), "doc_id", "left_semi")
     rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
