@@ -5,7 +5,7 @@ distinct word shingles. It is cut into 16 chunks of 4. Two signatures that diffe
 DISTANCE = 31 components differ in at most one component of some chunk (pigeonhole), so each chunk
 is filed once for every component left out of it: 64 keys find all pairs within that distance for
 certain, and the same signature and distance drop the pairs that meet without being near. A pair at
-a similarity of 0.75 is farther apart than that with probability 2e-5, more similar ones less.
+a similarity of 0.75 is farther apart than that with probability 1.5e-5, more similar ones less.
 
 Pairs under a key are not all written out, which one large group would make quadratic:
 
