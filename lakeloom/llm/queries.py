@@ -12,7 +12,9 @@ from .neardup import near_duplicates
 from .pii import personal_data
 from .quality import quality_scores
 from .secrets import findings
+from .simhash import simhash_duplicates
 from .suffixes import repeated_passages
+from .tokens import aligned
 from .toxicity import toxicity_scores
 from .warc import archived
 from .winnow import fingerprints
@@ -62,6 +64,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,6 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_winnowing,
         op9_minhash_neardup,
         op10_decontamination,
+        op11_simhash_neardup,
+        op13_tokenizer_alignment,
     )
 }
 
