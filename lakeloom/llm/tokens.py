@@ -4,9 +4,9 @@ Token ends are byte offsets. The tokens of B are an interval index, which is bui
 that it overlaps are found by bisection. Where neither a token of A nor one of B spans the gap between two tokens, a group
 ends. All pairs of an A and a B token of a group are linked.
 
-Neither tokenizer here has a token in which a blank follows anything but white space, so a text falls into segments at its
-single blanks, at each of which both end a token. Segments recur, so what has been found for one is kept in a bounded cache. Where a
-tokenizer's vocabulary does not allow it, whole texts are encoded.
+No piece of B has a blank after something that is no white space, so between single blanks B encodes each word for itself. Words
+recur, so B's ids of short words are kept in a bounded store; texts with other white space, or with long words, are encoded
+as a whole, and so are all if the vocabulary of B has such pieces.
 
 Counts of linked id pairs over the corpus are joined back without moving each document's pairs: tasks pack documents to shards and
 ask for each distinct pair of a shard once; the answers are gathered by shard and read beside it.
@@ -17,10 +17,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,28 +34,43 @@ FOLDER = "/opt/tokenizers"
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Documents and characters of a shard; a longer text is a shard of its own.
 SHARD_DOCS, SHARD_CHARS = 4096, 1 << 23
-#: Segments that a task remembers, and the characters that one may have.
-REMEMBERED, SHORT = 1 << 17, 64
+#: Characters of the texts that are encoded together.
+PART_CHARS = 1 << 20
+#: Words that a worker remembers, and the characters that one may have.
+REMEMBERED, SHORT = 1 << 19, 64
+#: Links of a group that are made one by one.
+MANY = 1 << 12
 
 #: Fixed: how the byte-level tokenizer cuts a text before it merges bytes.
 _CUT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: A blank between two characters that are no white space.
-_SINGLE = re.compile(r"(?<=\S) (?=\S)")
-#: White space that such a blank could touch.
-_WIDE = re.compile(r"\s\s|^\s|\s$")
+
+class Spellings:
+    """Byte strings end to end, of which those of many ids are put together at once."""
+
+    def __init__(self, each: list[bytes]) -> None:
+        self.flat = np.frombuffer(b"".join(each), np.uint8)
+        self.lengths = np.array([len(x) for x in each], np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        n = self.lengths[ids]
+        at = np.repeat(self.begins[ids] - (np.cumsum(n) - n), n)
+        at += np.arange(len(at))
+        return self.flat[at].tobytes()
 
 
 @dataclass
 class Tokenizer:
-    """``encode`` a text to ids; ``lengths`` and ``spelled`` of each id; whether a blank always begins a token."""
+    """``encode`` a text that begins with a blank to an array of ids; what each id spells; whether words are encoded each for itself."""
 
-    encode: Callable[[str], list[int]]
-    spelled: list[bytes]
-    cuts: bool
-    lengths: np.ndarray = field(init=False)
+    encode: Callable[[str], np.ndarray]
+    encode_all: Callable[[list[str]], list[list[int]]]
+    spelled: Spellings
+    by_word: bool
 
-    def __post_init__(self) -> None:
-        self.lengths = np.array([len(s) for s in self.spelled], np.int64)
+    @property
+    def size(self) -> int:
+        return len(self.spelled.lengths)
 
 
 def _joins(spelled: bytes) -> bool:
@@ -90,23 +105,25 @@ def byte_level(path: str) -> Tokenizer:
     cut = json.dumps(stated["pre_tokenizer"])
     if ids == list(range(256, 256 + len(ids))) and first == list(range(256)) and '"ByteLevel"' in cut and stated.get("normalizer") is None:
         ranks = {spelled[i]: i for i in vocabulary.values()}
-        encode = tiktoken.Encoding("ranks", pat_str=_CUT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        ranked = tiktoken.Encoding("ranks", pat_str=_CUT, mergeable_ranks=ranks, special_tokens={})
+        encode = lambda text: ranked.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
     else:
         own = tokenizers.Tokenizer.from_file(path)
         own.encode_special_tokens = True
-        encode = lambda text: own.encode(text, add_special_tokens=False).ids
-    return Tokenizer(encode, spelled, not any(map(_joins, spelled)))
+        encode = lambda text: np.array(own.encode(text, add_special_tokens=False).ids, np.int64)
+    return Tokenizer(encode, lambda texts: [encode(t).tolist() for t in texts], Spellings(spelled), False)
 
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Tokenizer:
-    """A piece model with byte fallback; it puts the blank before a text itself, so ``encode`` takes texts that begin with it."""
+    """A piece model with byte fallback; it puts the blank before a text, or a word, itself."""
     import sentencepiece
 
     own = sentencepiece.SentencePieceProcessor(model_file=path)
     names = [own.id_to_piece(i) for i in range(own.get_piece_size())]
     spelled = [bytes([int(n[3:5], 16)]) if own.is_byte(i) else b"" if own.is_control(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
-    return Tokenizer(lambda text: own.encode(text[1:]), spelled, not any(map(_joins, spelled)))
+    encode = lambda text: np.array(own.encode(text[1:]), np.int64)
+    return Tokenizer(encode, lambda words: own.encode(words, num_threads=1), Spellings(spelled), not any(map(_joins, spelled)))
 
 
 class Intervals:
@@ -134,88 +151,120 @@ def group_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Aligned:
-    """What is known of one text or segment: counts, the groups as text, and its linked id pairs with how many links each."""
+    """What is known of a text: counts, the groups as text, and its linked id pairs with how many links each."""
 
     n_a: int
     n_b: int
     n_groups: int
     n_links: int
-    groups: str
+    groups: bytes
     pairs: np.ndarray
     times: np.ndarray
 
 
-_NOTHING = Aligned(0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64))
+_NOTHING = Aligned(0, 0, 0, 0, b"", np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+@lru_cache(maxsize=2)
+def _numbers(n: int) -> Spellings:
+    """Each id as text, three times: followed by a comma, by a bar, by a semicolon."""
+    return Spellings([f"{i}{mark}".encode() for mark in ",|;" for i in range(n)])
+
+
+def _as_text(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, n: int) -> bytes:
+    """The ids of A of a group, a bar, those of B, and a semicolon before the next; ids are below ``n``."""
+    left, right = a.copy(), b.copy()
+    left[ends_a - 1] += n
+    right[ends_b - 1] += 2 * n
+    n_a, n_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+    both = np.empty(len(a) + len(b), np.int64)
+    both[np.arange(len(a)) + np.repeat(ends_b - n_b, n_a)] = left
+    both[np.arange(len(b)) + np.repeat(ends_a, n_b)] = right
+    return _numbers(n).joined(both)[:-1]
+
 
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    codes = np.sort(codes)
+    begin = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.empty(0, np.int64)
+    return codes[begin], np.diff(begin, append=len(codes))
 
-def aligned_ids(a: list[int], b: list[int], left: Tokenizer, right: Tokenizer) -> Aligned:
-    """The groups and links of two lists of ids whose bytes are the same."""
-    a_of, b_of = np.array(a, np.int64), np.array(b, np.int64)
-    ends_a, ends_b = group_ends(left.lengths[a_of], right.lengths[b_of])
+
+def aligned_ids(a: np.ndarray, b: np.ndarray, left: Tokenizer, right: Tokenizer) -> Aligned:
+    """The groups and links of two arrays of ids whose bytes are the same."""
+    ends_a, ends_b = group_ends(left.spelled.lengths[a], right.spelled.lengths[b])
     n_a, n_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
-    text = []
-    for i, j, k, m in zip([0, *ends_a.tolist()], ends_a.tolist(), [0, *ends_b.tolist()], ends_b.tolist(), strict=False):
-        text.append(f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}")
-    wide = len(right.spelled)
-    one = (n_a == 1) & (n_b == 1)
-    codes, times = [a_of[ends_a[one] - 1] * wide + b_of[ends_b[one] - 1]], [np.ones(int(one.sum()), np.int64)]
-    for g in np.flatnonzero(~one).tolist():
-        # equal ids of a group are taken together, so a long group costs its distinct ids
-        x, nx = np.unique(a_of[ends_a[g] - n_a[g] : ends_a[g]], return_counts=True)
-        y, ny = np.unique(b_of[ends_b[g] - n_b[g] : ends_b[g]], return_counts=True)
-        codes.append((x[:, None] * wide + y[None, :]).ravel())
-        times.append((nx[:, None] * ny[None, :]).ravel())
-    pairs, of = np.unique(np.concatenate(codes), return_inverse=True)
-    total = np.zeros(len(pairs), np.int64)
-    np.add.at(total, of, np.concatenate(times))
-    return Aligned(len(a), len(b), len(ends_a), int((n_a * n_b).sum()), ";".join(text), pairs, total)
+    links = n_a * n_b
+    small = links <= MANY
+    # each token of A of a small group as often as the group has tokens of B, which follow one another from the group's first
+    times_a = np.repeat(np.where(small, n_b, 0), n_a)
+    first = np.repeat(np.repeat(ends_b - n_b, n_a) - (np.cumsum(times_a) - times_a), times_a)
+    pairs, times = _counted(np.repeat(a, times_a) * right.size + b[first + np.arange(len(first))])
+    for g in np.flatnonzero(~small).tolist():
+        # equal ids of a large group are taken together, so it costs its distinct ids
+        x, nx = np.unique(a[ends_a[g] - n_a[g] : ends_a[g]], return_counts=True)
+        y, ny = np.unique(b[ends_b[g] - n_b[g] : ends_b[g]], return_counts=True)
+        pairs, of = np.unique(np.concatenate([pairs, (x[:, None] * right.size + y[None, :]).ravel()]), return_inverse=True)
+        more = np.concatenate([times, (nx[:, None] * ny[None, :]).ravel()])
+        times = np.zeros(len(pairs), np.int64)
+        np.add.at(times, of, more)
+    text = _as_text(a, b, ends_a, ends_b, max(left.size, right.size))
+    return Aligned(len(a), len(b), len(ends_a), int(links.sum()), text, pairs, times)
+
+
+class Words(dict):
+    """A place for each word that can be encoded for itself, -1 for others; new ones wait in ``fresh``."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        if not word or len(word) > SHORT or word[0].isspace() or word[-1].isspace():
+            return -1
+        place = self[word] = len(self)
+        self.fresh.append(word)
+        return place
 
 
 class Aligner:
-    """Alignments of texts; those of short segments are kept."""
+    """Alignments of texts; what B makes of short words is kept."""
 
     def __init__(self, left: Tokenizer, right: Tokenizer) -> None:
-        self.left, self.right, self.cuts = left, right, left.cuts and right.cuts
-        self.known: dict[str, Aligned | None] = {}
-
-    def encoded(self, text: str) -> Aligned | None:
-        """Of a text that begins with a blank, encoded as a whole; None if the bytes of either side differ from it."""
-        a, b, whole = self.left.encode(text), self.right.encode(text), text.encode("utf-8", "surrogatepass")
-        for ids, side in ((a, self.left), (b, self.right)):
-            if b"".join(map(side.spelled.__getitem__, ids)) != whole:
-                return None
-        return aligned_ids(a, b, self.left, self.right)
-
-    def segment(self, text: str) -> Aligned | None:
-        if text in self.known:
-            return self.known[text]
-        found = self.encoded(" " + text)
-        if len(text) <= SHORT:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[text] = found
-        return found
-
-    def text(self, text: str | None) -> Aligned:
-        """Of a whole text behind a blank; nothing without text, or if the bytes of either side differ."""
-        if not text:
-            return _NOTHING
-        if not self.cuts:
-            return self.encoded(" " + text) or _NOTHING
-        parts = _SINGLE.split(text) if _WIDE.search(text) else text.split(" ")
-        found = {p: self.segment(p) for p in dict.fromkeys(parts)}
-        if None in found.values():
-            # a segment of other bytes; the whole text has the last word
-            return self.encoded(" " + text) or _NOTHING
-        of, times = list(found.values()), Counter(parts)
-        n = np.array([times[p] for p in found], np.int64)
-        codes = np.concatenate([x.pairs for x in of])
-        held = np.concatenate([x.times for x in of]) * np.repeat(n, [len(x.pairs) for x in of])
-        pairs, place = np.unique(codes, return_inverse=True)
-        total = np.zeros(len(pairs), np.int64)
-        np.add.at(total, place, held)
-        sums = (np.array([(x.n_a, x.n_b, x.n_groups, x.n_links) for x in of], np.int64) * n[:, None]).sum(0).tolist()
-        return Aligned(*sums, ";".join([found[p].groups for p in parts]), pairs, total)
+        self.left, self.right = left, right
+        self.words, self.ids, self.ends = Words(), np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def _learn(self) -> None:
+        """Encode the words that are new."""
+        found = self.right.encode_all(self.words.fresh) if self.words.fresh else []
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(n.sum()))])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(n)])
+        self.words.fresh = []
+
+    def _of_words(self, places: np.ndarray) -> np.ndarray:
+        begins = self.ends[places]
+        n = self.ends[places + 1] - begins
+        at = np.repeat(begins - (np.cumsum(n) - n), n)
+        return self.ids[at + np.arange(len(at))].astype(np.int64)
+
+    def texts(self, texts: list[str | None]) -> Iterator[Aligned]:
+        """Of whole texts behind a blank; nothing without text, or if the bytes of either side differ from it."""
+        if len(self.words) >= REMEMBERED:
+            self.words, self.ids, self.ends = Words(), np.empty(0, np.int32), np.zeros(1, np.int64)
+        places: list[np.ndarray | None] = []
+        for t in texts:
+            words = t.split(" ") if t and self.right.by_word else []
+            of = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+            places.append(of if len(of) and of.min() >= 0 else None)
+        self._learn()
+        for t, of in zip(texts, places, strict=True):
+            if not t:
+                yield _NOTHING
+                continue
+            text = " " + t
+            a, b = self.left.encode(text), self.right.encode(text) if of is None else self._of_words(of)
+            whole = text.encode("utf-8", "surrogatepass")
+            same = self.left.spelled.joined(a) == whole and self.right.spelled.joined(b) == whole
+            yield aligned_ids(a, b, self.left, self.right) if same else _NOTHING
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -232,22 +281,41 @@ def unpacked(data: bytes) -> np.ndarray:
 _SHARD = "docs array<struct<doc_id: long, n_a: long, n_b: long, n_groups: long, n_links: long, groups_sha256: string, n_pairs: long>>, pairs binary, times binary"
 
 
+@lru_cache(maxsize=2)
+def aligner(folder: str) -> Aligner:
+    """One for each worker, so that its words serve all its tasks."""
+    return Aligner(byte_level(f"{folder}/{BYTE_LEVEL}"), pieces(f"{folder}/{PIECES}"))
+
+
+def _parts(texts: pd.Series) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of PART_CHARS characters together, or of one longer text."""
+    begin, chars = 0, 0
+    for i, t in enumerate(texts):
+        if chars and chars + len(t or "") > PART_CHARS:
+            yield begin, i
+            begin, chars = i, 0
+        chars += len(t or "")
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
 def _shards(folder: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        aligner = Aligner(byte_level(f"{folder}/{BYTE_LEVEL}"), pieces(f"{folder}/{PIECES}"))
-        docs, codes, times, chars = [], [], [], 0
+        of, docs, codes, times, chars = aligner(folder), [], [], [], 0
 
         def shard() -> pd.DataFrame:
             return pd.DataFrame({"docs": [list(docs)], "pairs": [packed(np.concatenate(codes))], "times": [packed(np.concatenate(times))]})
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
-                x = aligner.text(text)
-                digest = hashlib.sha256(x.groups.encode()).hexdigest() if x.n_groups else ""
-                docs.append({"doc_id": None if doc_id is pd.NA else doc_id, "n_a": x.n_a, "n_b": x.n_b, "n_groups": x.n_groups, "n_links": x.n_links, "groups_sha256": digest, "n_pairs": len(x.pairs)})
-                codes.append(x.pairs)
-                times.append(x.times)
-                chars += len(text or "")
+            ids = batch["doc_id"].astype("Int64")
+            for lo, hi in _parts(batch["text"]):
+                texts = batch["text"].iloc[lo:hi].tolist()
+                for doc_id, text, x in zip(ids.iloc[lo:hi], texts, of.texts(texts), strict=True):
+                    digest = hashlib.sha256(x.groups).hexdigest() if x.n_groups else ""
+                    docs.append({"doc_id": None if doc_id is pd.NA else doc_id, "n_a": x.n_a, "n_b": x.n_b, "n_groups": x.n_groups, "n_links": x.n_links, "groups_sha256": digest, "n_pairs": len(x.pairs)})
+                    codes.append(x.pairs)
+                    times.append(x.times)
+                    chars += len(text or "")
                 if len(docs) >= SHARD_DOCS or chars >= SHARD_CHARS:
                     yield shard()
                     docs, codes, times, chars = [], [], [], 0
@@ -309,7 +377,7 @@ def aligned(docs: DataFrame, folder: str = FOLDER) -> DataFrame:
     texts = pick(docs, "doc_id", "text")
     shards = written(texts.mapInPandas(_shards(folder), _SHARD).withColumn("shard", F.monotonically_increasing_id()), "aligned")
     asked = written(shards.select("shard", "pairs").mapInPandas(_asked, "shard long, pair long, n long"), "asked")
-    known = pair_counts(asked, len(pieces(f"{folder}/{PIECES}").spelled))
+    known = pair_counts(asked, pieces(f"{folder}/{PIECES}").size)
     answers = asked.select("shard", "pair").join(known, "pair").groupBy("shard").agg(F.collect_list(F.struct("pair", "n", "best")).alias("answers"))
     both = shards.join(answers, "shard", "left").select("docs", "pairs", "times", "answers.pair", "answers.n", "answers.best")
     out = written(both.mapInPandas(_answered, _ROWS), "alignments")

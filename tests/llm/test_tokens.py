@@ -7,6 +7,7 @@ import json
 import os
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import awkward, documents, with_clashes
 
@@ -106,15 +107,20 @@ AWKWARD = [
 ]
 
 
-def test_segments_are_what_whole_texts_are(libraries):
-    aligner = tokens.Aligner(tokens.byte_level(f"{FOLDER}/{tokens.BYTE_LEVEL}"), tokens.pieces(f"{FOLDER}/{tokens.PIECES}"))
-    assert aligner.cuts
-    for text in [*AWKWARD, " ".join(AWKWARD)]:
-        found, groups = aligner.text(text), plain_groups(text, libraries)
-        assert found.groups == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups), text
+def pair():
+    return tokens.byte_level(f"{FOLDER}/{tokens.BYTE_LEVEL}"), tokens.pieces(f"{FOLDER}/{tokens.PIECES}")
+
+
+def test_words_are_what_whole_texts_are(libraries):
+    aligner = tokens.Aligner(*pair())
+    assert aligner.right.by_word
+    texts = [*AWKWARD, " ".join(AWKWARD), *[" ".join(t.split()) for t in AWKWARD]]
+    for text, found in zip(texts, aligner.texts(texts), strict=True):
+        groups = plain_groups(text, libraries)
+        assert found.groups.decode() == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups), text
         assert found.n_links == sum(len(a) * len(b) for a, b in groups)
         links = Counter((x, y) for a, b in groups for x in a for y in b)
-        wide = len(aligner.right.spelled)
+        wide = aligner.right.size
         assert dict(zip(found.pairs.tolist(), found.times.tolist(), strict=True)) == {x * wide + y: n for (x, y), n in links.items()}
 
 
@@ -123,13 +129,29 @@ def test_the_mark_of_a_blank_leaves_a_text_without_tokens(spark, libraries):
     assert found[1]["n_a"] == 0 and found[1]["groups_sha256"] == "" and found[2]["n_groups"] > 0
 
 
-def test_a_forgetful_cache_changes_nothing(monkeypatch, libraries):
-    pair = tokens.byte_level(f"{FOLDER}/{tokens.BYTE_LEVEL}"), tokens.pieces(f"{FOLDER}/{tokens.PIECES}")
-    text = " ".join(f"word{i % 40} and" for i in range(400))
-    expected = tokens.Aligner(*pair).text(text)
+def test_a_forgetful_store_changes_nothing(monkeypatch, libraries):
+    texts = [f"word{i} and {i % 3} others" for i in range(400)]
+    expected = [x.groups for x in tokens.Aligner(*pair()).texts(texts)]
     monkeypatch.setattr(tokens, "REMEMBERED", 3)
-    found = tokens.Aligner(*pair).text(text)
-    assert found.groups == expected.groups and found.pairs.tolist() == expected.pairs.tolist()
+    aligner = tokens.Aligner(*pair())
+    assert [x.groups for i in range(0, 400, 7) for x in aligner.texts(texts[i : i + 7])] == expected
+
+
+def test_a_large_group_costs_its_distinct_ids(monkeypatch):
+    left, right = pair()
+    rnd = np.random.default_rng(1)
+    # letters that the sides cut at other places all along
+    a = np.array([i for i, n in enumerate(left.spelled.lengths.tolist()) if n == 2])[rnd.integers(0, 50, 300)]
+    b = np.array([i for i, n in enumerate(right.spelled.lengths.tolist()) if n == 1])[rnd.integers(0, 50, 2)]
+    two = np.array([i for i, n in enumerate(right.spelled.lengths.tolist()) if n == 2])[rnd.integers(0, 50, 299)]
+    b = np.concatenate([b[:1], two, b[1:]])
+    expected = tokens.aligned_ids(a, b, left, right)
+    assert (expected.n_groups, expected.n_links) == (1, 300 * 301)
+    links = Counter((x, y) for x in a.tolist() for y in b.tolist())
+    for many in (1 << 30, 1):
+        monkeypatch.setattr(tokens, "MANY", many)
+        found = tokens.aligned_ids(a, b, left, right)
+        assert dict(zip(found.pairs.tolist(), found.times.tolist(), strict=True)) == {x * right.size + y: n for (x, y), n in links.items()}
 
 
 def test_other_vocabularies_are_encoded_by_their_own_library(tmp_path):
@@ -142,13 +164,10 @@ def test_other_vocabularies_are_encoded_by_their_own_library(tmp_path):
     with open(path, "w", encoding="utf-8") as f:
         json.dump(stated, f)
     own = tokens.byte_level.__wrapped__(path)
-    ids = own.encode(" some words <|endoftext|>")
-    assert b"".join(own.spelled[i] for i in ids) == b" some words <|endoftext|>"
+    assert own.spelled.joined(own.encode(" some words <|endoftext|>")) == b" some words <|endoftext|>"
 
 
 def test_group_ends():
-    import numpy as np
-
     a, b = tokens.group_ends(np.array([1, 2, 3, 2]), np.array([3, 1, 1, 1, 2]))
     assert a.tolist() == [2, 3, 4] and b.tolist() == [1, 4, 5]
     a, b = tokens.group_ends(np.array([2, 2]), np.array([1, 2, 1]))
