@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .collocations import collocations
 from .decontaminate import contaminated
 from .mixing import mixed
 from .neardup import near_duplicates
@@ -68,6 +69,10 @@ def op11_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned(table(spark, sf_dir, "documents"))
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_minhash_neardup,
         op10_decontamination,
         op11_simhash_neardup,
+        op12_phrase_collocations,
         op13_tokenizer_alignment,
     )
 }
@@ -103,4 +109,45 @@ ORACLE_SQL: dict[str, str] = {
             case when newest <> page_id then newest end as refers_to
         from named
     """,
+    "op12_phrase_collocations": """
+        with pieces as (
+            select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+            from documents
+        ),
+        worded as (
+            select lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda w: w <> '') as words from pieces
+        ),
+        grams as (
+            select lang, k, array_to_string(words[i : i + k - 1], ' ') as phrase
+            from (select lang, words, k, unnest(range(1, len(words) - k + 2)) as i from worded, (select unnest([1, 2, 3, 4]) as k) where len(words) >= k)
+        ),
+        totals as (select lang, count(*) as n from grams where k = 1 group by lang),
+        counts as (select lang, k, phrase, count(*) as a from grams group by all having count(*) >= 30),
+        cuts as (
+            select lang, phrase, a, k, unnest(range(1, k)) as cut_after, string_split(phrase, ' ') as words from counts where k > 1
+        ),
+        scored as (
+            select c.lang, c.phrase, c.a, c.k, c.cut_after, x.a as l, y.a as r, (2000000::hugeint * c.a) // (x.a + y.a) as score
+            from cuts c
+            join counts x on x.lang = c.lang and x.phrase = array_to_string(c.words[1 : c.cut_after], ' ')
+            join counts y on y.lang = c.lang and y.phrase = array_to_string(c.words[c.cut_after + 1 : c.k], ' ')
+        ),
+        lowest as (
+            select * from scored qualify row_number() over (partition by lang, phrase order by score, cut_after) = 1
+        ),
+        inside as (
+            select lang, array_to_string(words[i : i + m - 1], ' ') as phrase, max(a) as cover
+            from (select lang, words, a, m, unnest(range(1, k - m + 2)) as i
+                  from (select lang, string_split(phrase, ' ') as words, a, k, unnest(range(2, k)) as m from counts where k > 2))
+            group by all
+        ),
+        kept as (
+            select s.* from lowest s left join inside i on i.lang = s.lang and i.phrase = s.phrase
+            where i.cover is null or 100::hugeint * i.cover < 80::hugeint * s.a
+        ),
+        numbered as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+        select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+        from numbered join totals using (lang) where rank <= 2000
+    """,
 }
