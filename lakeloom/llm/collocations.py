@@ -7,7 +7,7 @@
    shards that contributed to them, and to no others.
 3. What a shard holds of phrases whose counters reach the bound are its candidates. They are compiled into an automaton, with a
    blank on either side so that matches are whole words, and the shard is scanned, overlapping matches counted. Summed over
-   the shards, these are exact counts, and the bound is applied to them. Single words are counted likewise.
+   the shards, these are exact counts, and the bound is applied to them. Single words are counted as they are.
 4. Scores, containment in longer phrases and ranks are joins and windows over the phrases that are left.
 
 Collisions in the sketch cost a candidate in an automaton, never a phrase. What a task holds is one shard, or one slice
@@ -19,13 +19,17 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, hashes_of, mix, odd_numbers, pick, remove, written
+from .common import mix, odd_numbers, pick, remove, written
 
 #: Fixed: what ends a piece, and the letters that are lower-cased.
 _PIECE_END = b".,;:!?\n\x0b\x0c\r"
@@ -80,26 +84,52 @@ def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield shard(lang)
 
 
-def words_and_room(lines: bytes) -> tuple[list[bytes], np.ndarray]:
-    """The words of a shard, and how many each piece has from each word on."""
-    words = lines.replace(b"\n", b" ").split(b" ")
-    text = np.frombuffer(lines, np.uint8)
-    gaps = text[(text == 32) | (text == 10)] == 10
-    ends = np.append(np.flatnonzero(gaps), len(words) - 1)
-    n = np.diff(ends, prepend=-1)
-    return words, np.repeat(ends + 1, n) - np.arange(len(words))
+@dataclass
+class Lines:
+    """Where the words of a shard begin and end, and how many its piece has from each word on."""
 
+    text: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+    room: np.ndarray
 
-def phrase_hashes(lang: str, words: list[bytes], room: np.ndarray, cache: WordHashes, longest: int = LONGEST) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    @staticmethod
+    def of(lines: bytes) -> Lines:
+        text = np.frombuffer(lines, np.uint8)
+        gaps = np.flatnonzero((text == 32) | (text == 10))
+        begins, ends = np.append(0, gaps + 1), np.append(gaps, len(text))
+        last = np.append(np.flatnonzero(text[gaps] == 10), len(gaps))
+        room = np.repeat(last + 1, np.diff(last, prepend=-1)) - np.arange(len(begins))
+        return Lines(text, begins, ends, room)
+
+
+#: An odd number and its inverse modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+@lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def word_hashes(of: Lines) -> np.ndarray:
+    """A 64-bit hash of each word: differences of running sums of powers, so no word is looked at by itself."""
+    # few lengths, so that the powers are kept
+    n = 1 << max(len(of.text) + 1, SHARD_BYTES).bit_length()
+    sums = np.append(np.uint64(0), np.cumsum((of.text.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n)[: len(of.text)], dtype=np.uint64))
+    return mix((sums[of.ends] - sums[of.begins]) * _powers(_INVERSE, n)[of.begins])
+
+
+def phrase_hashes(lang: str, of: Lines, longest: int = LONGEST) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(k, first words, hashes) of the phrases of each length."""
-    hashes, factors = hashes_of(words, cache), odd_numbers(longest, 23)
-    salt = cache[b"\n" + lang.encode()]
-    total = np.full(len(words), salt, np.uint64)
+    hashes, factors = word_hashes(of), odd_numbers(longest, 23)
+    total = np.full(len(hashes), xxhash.xxh3_64_intdigest(lang), np.uint64)
     for k in range(1, longest + 1):
-        total = total[: len(words) - k + 1] + mix(hashes[k - 1 :] + np.uint64(k)) * factors[k - 1]
-        if not len(total):
-            return
-        at = np.flatnonzero(room[: len(total)] >= k)
+        total = total[: len(hashes) - k + 1] + mix(hashes[k - 1 :] + np.uint64(k)) * factors[k - 1]
+        at = np.flatnonzero(of.room[: len(total)] >= k)
         yield k, at, mix(total[at])
 
 
@@ -107,11 +137,9 @@ def _contributed(bits: int, longest: int):
     """(slice, shard, blocks, places, counts): how often a shard hits the counters of each slice; counts end at 255."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = WordHashes()
         for batch in batches:
             for shard, lang, lines in zip(batch["shard"], batch["lang"], batch["lines"], strict=True):
-                words, room = words_and_room(lines)
-                counters = np.concatenate([h >> np.uint64(64 - bits) for _, _, h in phrase_hashes(lang, words, room, cache, longest)])
+                counters = np.concatenate([h >> np.uint64(64 - bits) for _, _, h in phrase_hashes(lang, Lines.of(lines), longest)])
                 counters.sort()
                 begin = np.flatnonzero(np.append(True, counters[1:] != counters[:-1]))
                 n = np.minimum(np.diff(begin, append=len(counters)), 255).astype(np.uint8)
@@ -162,12 +190,14 @@ def scanned(lines: bytes, phrases: list[bytes]) -> Counter:
     """How often each phrase occurs within pieces, overlaps counted: one pass of an automaton of the phrases between blanks."""
     import ahocorasick
 
+    if not phrases:
+        return Counter()
     automaton, names = ahocorasick.Automaton(), [p.decode("utf-8", "surrogatepass") for p in phrases]
     for i, name in enumerate(names):
         automaton.add_word(f" {name} ", i)
     automaton.make_automaton()
     text = f" {lines.decode('utf-8', 'surrogatepass')} ".replace("\n", " \n ")
-    n = Counter(i for _, i in automaton.iter(text))
+    n = Counter(map(itemgetter(1), automaton.iter(text)))
     return Counter({names[i]: c for i, c in n.items()})
 
 
@@ -175,24 +205,27 @@ def _counted(bits: int, longest: int):
     """(lang, phrase, a) of a shard's candidates, from the counters that were told to it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = WordHashes()
         for batch in batches:
             for lang, lines, slices, places in zip(*[batch[c] for c in ("lang", "lines", "slices", "places")], strict=True):
                 told = np.sort(np.concatenate([np.frombuffer(p, np.uint32).astype(np.uint64) + np.uint64(SLICE * int(s)) for s, p in zip(slices, places, strict=True)]))
                 # most phrases are no candidates; a small table says so of them
                 few = np.zeros(BLOCK * 16, bool)
                 few[told % np.uint64(len(few))] = True
-                words, room = words_and_room(lines)
-                found: set[bytes] = set()
-                for k, at, hashes in phrase_hashes(lang, words, room, cache, longest):
+                of, phrases, n = Lines.of(lines), [], {}
+                for k, at, hashes in phrase_hashes(lang, of, longest):
                     counters = hashes >> np.uint64(64 - bits)
                     maybe = np.flatnonzero(few[counters % np.uint64(len(few))])
                     place = np.minimum(np.searchsorted(told, counters[maybe]), len(told) - 1)
                     hit = maybe[told[place] == counters[maybe]]
                     _, first = np.unique(hashes[hit], return_index=True)
-                    starts = at[hit[first]].tolist()
-                    found.update(words[i] if k == 1 else b" ".join(words[i : i + k]) for i in starts)
-                n = scanned(lines, list(found)) if found else {}
+                    starts = at[hit[first]]
+                    spelled = [lines[i:j] for i, j in zip(of.begins[starts].tolist(), of.ends[starts + k - 1].tolist(), strict=True)]
+                    if k == 1:
+                        every = Counter(lines.replace(b"\n", b" ").split(b" "))
+                        n = {w.decode("utf-8", "surrogatepass"): every[w] for w in spelled}
+                    else:
+                        phrases += spelled
+                n |= scanned(lines, phrases)
                 rows = list(n.items())
                 for lo in range(0, len(rows), 50_000):
                     part = rows[lo : lo + 50_000]
