@@ -35,7 +35,7 @@ from .common import mix, odd_numbers, pick, remove, written
 _PIECE_END = b".,;:!?\n\x0b\x0c\r"
 LONGEST, LEAST, TOP = 4, 30, 2000
 #: Bytes of a shard; a longer piece is a shard of its own.
-SHARD_BYTES = 1 << 22
+SHARD_BYTES = 1 << 21
 #: Counters of a slice of the sketch, and of a block, whose places take two bytes.
 SLICE, BLOCK = 1 << 22, 1 << 16
 
@@ -118,7 +118,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 def word_hashes(of: Lines) -> np.ndarray:
     """A 64-bit hash of each word: differences of running sums of powers, so no word is looked at by itself."""
     # few lengths, so that the powers are kept
-    n = 1 << max(len(of.text) + 1, SHARD_BYTES).bit_length()
+    n = SHARD_BYTES + 1 if len(of.text) <= SHARD_BYTES else 1 << (len(of.text) + 1).bit_length()
     sums = np.append(np.uint64(0), np.cumsum((of.text.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n)[: len(of.text)], dtype=np.uint64))
     return mix((sums[of.ends] - sums[of.begins]) * _powers(_INVERSE, n)[of.begins])
 
