@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .catalog import ORACLE_SQL, QUERIES, query
-from . import commerce, dimensions, engagement, expressions, facts, identities, learning, primitives, qualities, texts  # noqa: F401  they register their queries
+from . import commerce, dimensions, engagement, expressions, facts, identities, learning, primitives, qualities, stores, texts  # noqa: F401  they register their queries
 
 __all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES", "query"]
 

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..operators.dedup import latest_by_state
 from ..operators.incremental import delete_insert
@@ -78,6 +79,25 @@ def replace(df: DataFrame, path: str, floor: float = 0.5, by: tuple[str, ...] =
     return n
 
 
+def _read(spark: SparkSession, path: str, like: StructType | None = None) -> DataFrame:
+    """The table at ``path``; columns that its folders are named by have the type that they have in ``like``, or are text.
+
+    Spark would take '0012' in a folder's name for the number 12.
+    """
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        rows = spark.read.parquet(path)
+        files = rows.inputFiles()
+        folders = {step.partition("=")[0] for step in files[0].split("/")[:-1] if "=" in step} if files else set()
+    finally:
+        spark.conf.set(name, before)
+    known = {f.name: f.dataType for f in like or []}
+    schema = StructType([StructField(f.name, known.get(f.name, f.dataType) if f.name in folders else f.dataType) for f in rows.schema])
+    return spark.read.schema(schema).parquet(path)
+
+
 def _updated(df: DataFrame, path: str, keys: list[str], by: tuple[str, ...], combined) -> None:
     """Rewrite the table with ``combined(old, df)``: only the partitions that ``df`` has rows in, if ``by`` is part of the keys.
 
@@ -87,7 +107,7 @@ def _updated(df: DataFrame, path: str, keys: list[str], by: tuple[str, ...], com
     if not settled(spark, path):
         _swapped(spark, combined(None, df), path, by)
         return
-    old = spark.read.parquet(path)
+    old = _read(spark, path, df.schema)
     if by and set(by) <= set(keys):
         touched = df.select(*by).distinct()
         # literals, so that the scan of the table is of these partitions alone
@@ -104,9 +124,10 @@ def _updated(df: DataFrame, path: str, keys: list[str], by: tuple[str, ...], com
 def merge(df: DataFrame, path: str, keys: list[str], by: tuple[str, ...] = ()) -> None:
     """Rows of ``df`` replace those of their keys; new columns are added, absent ones are null.
 
-    Give partition columns that are part of the keys as ``by``: a batch then rewrites its own partitions alone.
+    Of rows of ``df`` that repeat a key, the one whose other columns are greatest stays. A stop while partitions are
+    overwritten can lose them; :class:`lakeloom.sources.versioned.VersionedTable` has no such moment. Give partition columns that are part of the keys as ``by``: a batch then rewrites its own partitions alone.
     """
-    _updated(df, path, keys, by, lambda old, new: new if old is None else delete_insert(old, new, keys))
+    _updated(df, path, keys, by, lambda old, new: latest_by_state(new, keys) if old is None else delete_insert(old, latest_by_state(new, keys), keys))
 
 
 def keep_latest(df: DataFrame, path: str, keys: list[str], recency: list[str], by: tuple[str, ...] = ()) -> None:
@@ -153,7 +174,7 @@ def compact(spark: SparkSession, path: str, file_mb: int = 512) -> int:
     settled(spark, path)
     store, _, _, place = _paths(spark, path)
     files = max(1, round(store.getContentSummary(place).getLength() / (file_mb << 20)))
-    rows, by = spark.read.parquet(path), partition_columns(spark, path)
+    rows, by = _read(spark, path), partition_columns(spark, path)
     if by:
         # rows of a partition go together, and a large one to several tasks
         name, before = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -96,8 +96,8 @@ class VersionedTable:
 
     # how it changes
 
-    def _commit(self, base: Version | None, schema: str, files: dict[str, int], operation: str, batch: tuple[str, int] | None) -> Version:
-        ledger = dict(base.ledger) if base else {}
+    def _commit(self, base: Version | None, schema: str, files: dict[str, int], operation: str, batch: tuple[str, int] | None, noted: dict[str, int] | None = None) -> Version:
+        ledger = (dict(base.ledger) if base else {}) | (noted or {})
         if batch:
             ledger[batch[0]] = batch[1]
         new = Version(base.number + 1 if base else 0, schema, files, ledger, operation)
@@ -111,7 +111,7 @@ class VersionedTable:
         df.write.parquet(f"{self.path}/data/{folder}")
         return {f"{folder}/{n}": size for n, size in stores.names_in(self.spark, f"{self.path}/data/{folder}").items() if n.endswith(".parquet")}
 
-    def _changed(self, operation: str, change: Callable[[Version | None], tuple[str, dict[str, int]] | None], batch: tuple[str, int] | None) -> Version | None:
+    def _changed(self, operation: str, change: Callable[[Version | None], tuple[str, dict[str, int]] | None], batch: tuple[str, int] | None, noted: dict[str, int] | None = None) -> Version | None:
         """Apply ``change`` to the newest version; again to the version after it if another writer was first."""
         for left in reversed(range(self.tries)):
             base = self.version()
@@ -121,7 +121,7 @@ class VersionedTable:
             if made is None:
                 return base
             try:
-                return self._commit(base, *made, operation, batch)
+                return self._commit(base, *made, operation, batch, noted)
             except ConflictError:
                 if not left:
                     raise
@@ -140,8 +140,11 @@ class VersionedTable:
         """Add rows. ``batch`` is (query, number): a number that the query has committed, or one before it, does nothing."""
         return self._changed("append", lambda base: (self._schema(base, df), (base.files if base else {}) | self._written(df)), batch)
 
-    def replace(self, df: DataFrame, floor: float = 0.5, batch: tuple[str, int] | None = None) -> Version:
-        """All rows anew; an error, and the old version stays, if there are fewer than ``floor`` of its number."""
+    def replace(self, df: DataFrame, floor: float = 0.5, batch: tuple[str, int] | None = None, ledger: dict[str, int] | None = None) -> Version:
+        """All rows anew; an error, and the old version stays, if there are fewer than ``floor`` of its number.
+
+        ``ledger`` is set whatever it held before, so that a table may be made anew at the same batch.
+        """
 
         def change(base: Version | None):
             files = self._written(df)
@@ -151,7 +154,7 @@ class VersionedTable:
                     raise TruncationError(f"{now} rows would replace {before}")
             return self._schema(None, df), files
 
-        return self._changed("replace", change, batch)
+        return self._changed("replace", change, batch, ledger)
 
     def _holding(self, base: Version, keys: list[str], of: DataFrame) -> list[str]:
         """The files that hold any of the keys of ``of``: a scan of the key columns, of which as many rows come back as there are files."""
@@ -165,14 +168,15 @@ class VersionedTable:
         kept = {f: n for f, n in base.files.items() if f not in set(touched)}
         return schema, kept | self._written(rows(old))
 
-    def upsert(self, df: DataFrame, keys: list[str], recency: tuple[str, ...] = (), batch: tuple[str, int] | None = None) -> Version:
+    def upsert(self, df: DataFrame, keys: list[str], recency: tuple[str, ...] = (), batch: tuple[str, int] | None = None, keep: Column | None = None) -> Version:
         """Rows of ``df`` take the place of those of their keys; null keys equal each other.
 
         Repeats of a key within ``df`` are folded first: the newest by ``recency`` stays, nulls oldest, and of rows that tie on it the one
         whose other columns are greatest, so the outcome is the same in every run. Columns that the table lacks are added, those that
-        ``df`` lacks are null. Files without any of the keys stay as they are.
+        ``df`` lacks are null. Files without any of the keys stay as they are. Keys whose row does not meet ``keep`` are only taken out.
         """
         folded = latest_by_state(df, keys, *recency)
+        folded = folded if keep is None else folded.where(keep)
 
         def change(base: Version | None):
             schema = self._schema(base, df)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.sinks import keep_latest
+from ..sources.versioned import VersionedTable
 
 
 def file_stream(spark: SparkSession, path: str, schema, kind: str = "parquet", files_per_trigger: int = 1000) -> DataFrame:
@@ -40,3 +41,25 @@ def merge_into(stream: DataFrame, path: str, keys: list[str], recency: list[str]
 def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append what has arrived to a table of Parquet files, each row once."""
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def append_once(stream: DataFrame, table: VersionedTable, name: str, checkpoint: str) -> StreamingQuery:
+    """Append what has arrived, each batch once: its number is noted in the same commit as its rows.
+
+    ``name`` stands for this query in the table's ledger. A batch that runs again, after a stop at any
+    place or with an old checkpoint, is passed over if the table has it; rows written and not committed belong to no version.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        table.append(batch, batch=(name, number))
+
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def merge_once(stream: DataFrame, table: VersionedTable, keys: list[str], recency: tuple[str, ...], name: str, checkpoint: str) -> StreamingQuery:
+    """Like :func:`append_once`, keeping the newest row of each key; only files that hold keys of a batch are written anew."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        table.keep_latest(batch, keys, recency, batch=(name, number))
+
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
