@@ -48,7 +48,7 @@ def redirects(merges: DataFrame, old: str, new: str, at: str, tie: str) -> DataF
     """Account merges, of which the last of each unordered pair counts, whichever its direction."""
     newest = F.max(F.struct(at, tie, old, new)).alias("__last")
     pair = [F.least(old, new).alias("__a"), F.greatest(old, new).alias("__b")]
-    return merges.groupBy(*pair).agg(newest).select(f"__last.{old}", f"__last.{new}", f"__last.{at}")
+    return merges.groupBy(*pair).agg(newest).select(f"__last.{old}", f"__last.{new}", f"__last.{at}", f"__last.{tie}")
 
 
 def attributed(candidates: DataFrame, keys: list[str], priority: str, order: list[Column]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import iso8601, json_text, nulls
-from ..operators import dedup, spines
+from ..operators import dedup, joins, spines
 from .catalog import query
 from .tables import table
 
@@ -157,11 +157,18 @@ def json_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    select strftime(unnest(list_distinct(list_append(generate_series(timestamp '2023-11-01', timestamp '2024-03-15', interval 1 month), timestamp '2024-03-15'))), '%Y-%m-%d') as moment
+    with bounds as (select date_trunc('month', min(o_orderdate))::timestamp as lo, max(o_orderdate)::timestamp as hi from orders),
+        moments as (select unnest(list_distinct(list_append(generate_series(lo, hi, interval 1 month), hi))) as m from bounds)
+    select strftime(m, '%Y-%m-%d') as moment, (select count(*) from orders where o_orderdate < m) as n_before from moments
 """)
 def months_and_today(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Months' starts, and the day itself."""
-    return spines.months_and_today(spark, "2023-11-01", "2024-03-15").select(F.date_format("moment", "yyyy-MM-dd").alias("moment"))
+    """Months' starts and the last day itself, with the orders before each."""
+    orders = table(spark, sf_dir, "orders")
+    first, today = orders.agg(F.trunc(F.min("o_orderdate"), "month").cast("string"), F.to_date(F.max("o_orderdate")).cast("string")).first()
+    moments = spines.months_and_today(spark, first, today)
+    days = orders.select(F.to_date("o_orderdate").alias("day"), F.lit("all").alias("of"))
+    counted = joins.cumulative(days, moments, "day", "moment", ["of"], {"n_before": F.lit(1)})
+    return moments.join(counted, "moment", "left").select(F.date_format("moment", "yyyy-MM-dd").alias("moment"), F.coalesce("n_before", F.lit(0)).alias("n_before"))
 
 
 @query("""

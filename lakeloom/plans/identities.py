@@ -51,7 +51,4 @@ def survivorship(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last direction of each pair of merged accounts."""
     merges = table(spark, sf_dir, "events").select(F.col("user_id").alias("old"), ((F.col("event_id") * 7) % 150).alias("new"), "ts", "event_id").where("old <> new")
-    last = F.max(F.struct("ts", "event_id", "old", "new")).alias("l")
-    pairs = merges.groupBy(F.least("old", "new").alias("a"), F.greatest("old", "new").alias("b")).agg(last)
-    assert identity.redirects(merges, "old", "new", "ts", "event_id").columns == ["old", "new", "ts"]
-    return pairs.select("l.old", "l.new", "l.event_id")
+    return identity.redirects(merges, "old", "new", "ts", "event_id").select("old", "new", "event_id")

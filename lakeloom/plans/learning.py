@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import facts, hierarchy, identity, incremental, joins, reports
-from ..sources import courses
+from ..operators import facts, hierarchy, identity, incremental, joins, reports, trees
 from .catalog import query
 from .tables import table
 
@@ -252,18 +251,39 @@ def engagement_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def course_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The blocks of a course document (here: regions as chapters, nations as sequentials) in the order of learners, from 1."""
-    block = lambda kind, title, children: F.struct(F.lit(kind).alias("category"), children.alias("children"), F.struct(title.alias("display_name")).alias("metadata"))
-    nations = table(spark, sf_dir, "nation").select((F.col("n_regionkey") * 1000 + 500).alias("o"), F.concat(F.lit("n"), "n_nationkey").alias("id"), F.col("n_nationkey").alias("p"), "n_regionkey", "n_name")
-    below = nations.groupBy("n_regionkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "id"))), lambda x: x["id"]).alias("children"))
-    regions = table(spark, sf_dir, "region").join(below, F.col("r_regionkey") == F.col("n_regionkey"), "left")
-    chapters = regions.select(F.col("r_regionkey").alias("p"), F.concat(F.lit("r"), "r_regionkey").alias("id"), block("chapter", F.col("r_name"), F.col("children")).alias("b"))
-    leaves = nations.select(F.col("p"), "id", block("sequential", F.col("n_name"), F.array().cast("array<string>")).alias("b"))
-    top = chapters.agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "id"))), lambda x: x["id"]).alias("c"))
-    top = top.select(F.lit(0).alias("p"), F.lit("course").alias("id"), block("course", F.lit("The world"), F.concat("c", F.array(F.lit("gone")))).alias("b"))
-    stray = spark.range(1).select(F.lit(0).alias("p"), F.lit("stray").alias("id"), block("problem", F.lit("Left over"), F.array().cast("array<string>")).alias("b"))
-    whole = top.union(chapters).union(leaves).union(stray).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("id", "b")))).alias("structure"))
-    found = courses.unnested_structures(whole.withColumn("course_id", F.lit("course-v1:World+T+1")))
-    return found.select("course_id", "course_title", "block_id", "block_index", "block_parent", "block_type", "block_title")
+    course, region, nation = F.lit("course"), table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
+    block = lambda id_, kind, title: [id_.alias("node"), F.lit(kind).alias("block_type"), title.alias("block_title")]
+    one = spark.range(1)
+    chapters = region.select(*block(F.concat(F.lit("r"), "r_regionkey"), "chapter", F.col("r_name")))
+    leaves = nation.select(*block(F.concat(F.lit("n"), "n_nationkey"), "sequential", F.col("n_name")))
+    blocks = one.select(*block(course, "course", F.lit("The world"))).union(one.select(*block(F.lit("stray"), "problem", F.lit("Left over")))).union(chapters).union(leaves)
+    below = region.select(course.alias("node"), F.concat(F.lit("r"), "r_regionkey").alias("child"), F.col("r_regionkey").alias("place"))
+    below = below.union(nation.select(F.concat(F.lit("r"), "n_regionkey"), F.concat(F.lit("n"), "n_nationkey"), "n_nationkey"))
+    below = below.union(one.select(course, F.lit("gone"), F.lit(1 << 30)))
+    of = lambda df: df.withColumn("tree", F.lit("course-v1:World+T+1"))
+    found = trees.depth_first(of(blocks).withColumn("is_root", F.col("block_type") == "course"), of(below))
+    named = found.withColumnRenamed("tree", "course_id").join(blocks, "node")
+    return named.select("course_id", F.lit("The world").alias("course_title"), F.col("node").alias("block_id"), F.col("index").cast("int").alias("block_index"), F.col("parent").alias("block_parent"), "block_type", "block_title")
+
+
+@query("""
+    with n as (
+        select r_regionkey as t, null::bigint as c, null::bigint as o, 'r' || r_regionkey as node, null as parent from region
+        union all select n_regionkey, c_custkey, null, 'c' || c_custkey, 'r' || n_regionkey from customer join nation on n_nationkey = c_nationkey
+        union all select n_regionkey, c_custkey, o_orderkey, 'o' || o_orderkey, 'c' || c_custkey from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey
+    )
+    select t as tree, node, parent, row_number() over (partition by t order by c nulls first, o nulls first) as index from n
+""")
+def nested_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depth-first places of customers and orders below their region: a tree for each, none held by one task."""
+    customers = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    node = lambda mark, c: F.concat(F.lit(mark), F.col(c).cast("string"))
+    nodes = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("tree"), node("r", "r_regionkey").alias("node"), F.lit(True).alias("is_root"))
+    nodes = nodes.union(customers.select("n_regionkey", node("c", "c_custkey"), F.lit(False))).union(orders.select("n_regionkey", node("o", "o_orderkey"), F.lit(False)))
+    below = customers.select(F.col("n_regionkey").alias("tree"), node("r", "n_regionkey").alias("node"), node("c", "c_custkey").alias("child"), F.col("c_custkey").alias("place"))
+    below = below.union(orders.select("n_regionkey", node("c", "c_custkey"), node("o", "o_orderkey"), "o_orderkey"))
+    return trees.depth_first(nodes, below)
 
 
 @query("""

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import joins, mergeable, quality
 from ..operators.views import AggregateView
 from ..sources import json_lines
+from ..sources.digests import DigestStore
 from ..sources.stores import scratch
 from ..sources.versioned import VersionedTable, net_changes
+from ..streaming.ingest import append_once, file_stream
 from .catalog import query
 from .tables import table
 
@@ -120,3 +123,76 @@ def refreshed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     source.delete(orders.where("status = 'P'").select("id"), ["id"])
     view.refresh()
     return view.read()
+
+
+@query("""
+    with twice as (select event_type as kind, user_id as who from events union all select event_type, user_id from events),
+        runs as (select distinct o_orderpriority as kind, o_custkey as who, 1 as run from orders)
+    select kind, who, 0 as run from twice group by all
+    union all select kind, who, run from runs where (kind, who) not in (select kind, who from twice)
+""")
+def seen_between_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of three runs, of which each lets through what no earlier run had; the last repeats what both had."""
+    store = DigestStore(spark, scratch(spark, "digests"))
+    events = table(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), F.col("user_id").alias("who"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("kind"), F.col("o_custkey").alias("who"))
+    batches = [events.union(events), orders, orders.union(events)]
+    runs = [store.unseen(batch, ["kind", "who"], i).withColumn("run", F.lit(i)) for i, batch in enumerate(batches)]
+    return runs[0].union(runs[1]).union(runs[2])
+
+
+@query("select event_type, count(*) as n, count(distinct event_id) as n_ids, sum(value::decimal(18, 2))::decimal(38, 2) as total from events group by 1")
+def appended_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of all events into a versioned table, run twice from its beginning: the batches of the second run are known."""
+    folder, events = scratch(spark, "once"), table(spark, sf_dir, "events")
+    events.repartition(6).write.parquet(f"{folder}/in")
+    held = VersionedTable(spark, f"{folder}/table")
+    for i in range(2):
+        stream = file_stream(spark, f"{folder}/in", events.schema, files_per_trigger=2)
+        append_once(stream, held, "events", f"{folder}/checkpoint{i}").awaitTermination()
+    return held.read().groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("n_ids"), F.sum(F.col("value").cast("decimal(18, 2)")).cast("decimal(38, 2)").alias("total"))
+
+
+@query("""
+    with days as (select distinct ts::date as until from events)
+    select until, event_type, count(distinct user_id) as people from days join events on ts::date between until - 6 and until group by all
+""")
+def weekly_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct people of the seven days up to each day, from one bitmap a day and kind: exact, and no event is read twice."""
+    by_day = mergeable.bitmaps(table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), ["day", "event_type"], "user_id")
+    return mergeable.distinct_counts(mergeable.in_spans(by_day, "day", 7), ["until", "event_type"], "people")
+
+
+@query("select event_type, share, true as within from (select distinct event_type from events), (select unnest([0.1, 0.5, 0.9, 0.99]) as share)")
+def merged_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of each kind of event from sketches by day, held against the ranks of all events: within the stated error."""
+    events = table(spark, sf_dir, "events")
+    by_day = mergeable.sketches(events.withColumn("day", F.to_date("ts")), ["day", "event_type"], "value")
+    shares = F.explode(F.array(*[F.struct(F.lit(s).alias("share"), mergeable.quantile("sketch", s).alias("bound")) for s in (0.1, 0.5, 0.9, 0.99)])).alias("q")
+    bounds = mergeable.merged(by_day, ["event_type"]).select("event_type", shares).select("event_type", "q.share", "q.bound")
+    found = mergeable.ranks(events.join(F.broadcast(bounds), "event_type"), ["event_type", "share"], "value", "bound")
+    within = (F.col("below") <= F.col("share") + mergeable.RANK_ERROR) & (F.col("up_to") >= F.col("share") - mergeable.RANK_ERROR)
+    return found.select("event_type", F.col("share").cast("decimal(3, 2)").alias("share"), within.alias("within"))
+
+
+@query("""
+    select c_custkey, n_nationkey from customer join nation
+        on (c_mktsegment || c_custkey) like left(n_name, 1) || '%' or (c_mktsegment || c_custkey) like '%' || n_nationkey
+""")
+def like_at_either_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text that begins with one column or ends with another, at any place: lookups by equality, no nested loop over rows."""
+    people = table(spark, sf_dir, "customer").select("c_custkey", F.concat("c_mktsegment", F.col("c_custkey").cast("string")).alias("title"))
+    ends = table(spark, sf_dir, "nation").select("n_nationkey", F.left("n_name", F.lit(1)).alias("first"), F.col("n_nationkey").cast("string").alias("rest"))
+    return joins.like_either(people, ends, "title", "first", "rest", ["c_custkey"], ["n_nationkey"]).select("c_custkey", "n_nationkey")
+
+
+@query("""
+    with keyed as (select case when c_custkey % 5 = 0 then null else c_nationkey end as k, c_mktsegment as v from customer)
+    select k, 'changed' as change, count(*) as n from keyed where k is null and v = 'BUILDING' group by 1
+""")
+def null_key_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A relation with null and repeated keys against itself and against a version with other values under the null key."""
+    keyed = table(spark, sf_dir, "customer").select(F.when(F.col("c_custkey") % 5 != 0, F.col("c_nationkey")).alias("k"), F.col("c_mktsegment").alias("v"))
+    other = keyed.withColumn("v", F.when(F.col("k").isNull() & (F.col("v") == "BUILDING"), "OTHER").otherwise(F.col("v")))
+    same, unlike = quality.difference(keyed, keyed, ["k"]), quality.difference(keyed, other, ["k"])
+    return same.rows.union(unlike.rows).groupBy("k", "change").agg(F.count("*").alias("n"))
