@@ -38,6 +38,8 @@ LONGEST, LEAST, TOP = 4, 30, 2000
 SHARD_BYTES = 1 << 21
 #: Counters of a slice of the sketch, and of a block, whose places take two bytes.
 SLICE, BLOCK = 1 << 22, 1 << 16
+#: Phrases whose counts a task holds before it passes them on.
+HELD = 200_000
 
 _ENDS = bytes.maketrans(_PIECE_END + b"\t", b"\n" * len(_PIECE_END) + b" ")
 _BETWEEN = re.compile(rb" *\n[ \n]*")
@@ -162,8 +164,8 @@ def _reached(least: int):
     def told(at: int, held: list[tuple]) -> Iterator[pd.DataFrame]:
         sums = np.zeros(SLICE, np.uint32)
         for _, places, counts in held:
-            sums[places] += np.minimum(counts, least)
-            np.minimum(sums, least, out=sums)
+            # a shard has a place once, and adds 255 at most, so no sum of fewer than 2^24 shards runs over
+            sums[places] += counts
         hot = sums >= least
         for shard, places, _ in held:
             found = places[hot[places]]
@@ -202,9 +204,18 @@ def scanned(lines: bytes, phrases: list[bytes]) -> Counter:
 
 
 def _counted(bits: int, longest: int):
-    """(lang, phrase, a) of a shard's candidates, from the counters that were told to it."""
+    """(lang, phrase, a) of the candidates of a task's shards, from the counters that were told to each."""
+
+    def rows_of(held: dict[str, Counter]) -> Iterator[pd.DataFrame]:
+        for lang, n in held.items():
+            rows = list(n.items())
+            for lo in range(0, len(rows), 50_000):
+                part = rows[lo : lo + 50_000]
+                yield pd.DataFrame({"lang": lang, "phrase": [p for p, _ in part], "a": np.array([c for _, c in part], np.int64)})
+        held.clear()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, Counter] = {}
         for batch in batches:
             for lang, lines, slices, places in zip(*[batch[c] for c in ("lang", "lines", "slices", "places")], strict=True):
                 told = np.sort(np.concatenate([np.frombuffer(p, np.uint32).astype(np.uint64) + np.uint64(SLICE * int(s)) for s, p in zip(slices, places, strict=True)]))
@@ -226,10 +237,11 @@ def _counted(bits: int, longest: int):
                     else:
                         phrases += spelled
                 n |= scanned(lines, phrases)
-                rows = list(n.items())
-                for lo in range(0, len(rows), 50_000):
-                    part = rows[lo : lo + 50_000]
-                    yield pd.DataFrame({"lang": lang, "phrase": [p for p, _ in part], "a": np.array([c for _, c in part], np.int64)})
+                # what shards of a task share is passed on once
+                held.setdefault(lang, Counter()).update(n)
+                if sum(map(len, held.values())) > HELD:
+                    yield from rows_of(held)
+        yield from rows_of(held)
 
     return run
 
