@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Fixed: runs of anything but ASCII white space are words.
@@ -56,6 +57,19 @@ def pick(df: DataFrame, *columns: str) -> DataFrame:
     return by_place.select(*[F.col(f"c{df.columns.index(c)}").alias(c) for c in columns])
 
 
+def replaced(df: DataFrame, name: str, value: Callable[[Column], Column]) -> DataFrame:
+    """``df`` with another value for one column, also where others' names differ from it in case alone."""
+    by_place = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    at = f"c{df.columns.index(name)}"
+    return by_place.withColumn(at, value(F.col(at))).toDF(*df.columns)
+
+
+def kept_by(df: DataFrame, name: str, test: Callable[[Column], Column]) -> DataFrame:
+    """The rows of ``df`` that meet a test of one column, also where others' names differ from it in case alone."""
+    by_place = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return by_place.where(test(F.col(f"c{df.columns.index(name)}"))).toDF(*df.columns)
+
+
 class WordHashes(dict):
     """A bounded cache of 64-bit word hashes."""
 

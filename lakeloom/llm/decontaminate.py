@@ -18,16 +18,18 @@ the benchmark's size. Texts never move: each is scanned whole where it lies.
 
 from __future__ import annotations
 
+import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, pick, written
+from .common import kept_by, mix, pick, written
 
 Q, SEGMENT, STEP = 8, 96, 48
 #: The short segments, and the least verbatim passage that is sure to hold one of them whole.
@@ -36,8 +38,9 @@ PASSAGE = SHORT + SHORT_STEP - 1
 ERROR_RATE = 0.1
 #: Characters of benchmark text that are indexed and broadcast at a time, more only where one item is longer.
 SLICE_CHARS = 600_000
-#: An item with fewer letters and digits is a common phrase rather than a passage, and matches nothing.
-LEAST_ITEM = 20
+#: An item with fewer letters and digits is matched as it is, from the beginning of a word to the end of one; one that has fewer words
+#: besides is a name or an answer rather than a passage, and matches nothing.
+LEAST_ITEM, LEAST_WORDS = 20, 4
 FILTER_BITS = 22
 
 # A band key has the segment, the band and the place in the segment, with 24, 32 and 7 bits. Bands begin at
@@ -45,6 +48,7 @@ FILTER_BITS = 22
 BAND_BITS, PLACE_BITS, FIRST_BAND = 32, 7, 128
 MOST_SEGMENTS = 1 << (63 - BAND_BITS - PLACE_BITS)
 
+_WORDS = re.compile(r"\w+")
 _LIMIT = sys.maxunicode + 1
 _tables: dict[str, np.ndarray] = {}
 
@@ -115,6 +119,31 @@ def aligned(pattern: np.ndarray, text: np.ndarray, lo: int, width: int, k: int)
     return (int(cost[best]), int(start[best]), m + lo + best) if cost[best] <= k else None
 
 
+class Shorts:
+    """Short items, each found where its letters stand between word ends; an automaton is made where it is used."""
+
+    def __init__(self, items: list[tuple[str, int | None]]) -> None:
+        self.items, self.automaton = items, None
+
+    def found(self, codes: np.ndarray, at: np.ndarray) -> Iterator[tuple[int | None, int, int]]:
+        """(item, start, end) in code points of the text, of the leftmost match of each."""
+        if not self.items or not len(codes):
+            return
+        if self.automaton is None:
+            self.automaton = ahocorasick.Automaton()
+            for letters_, item in self.items:
+                self.automaton.add_word(letters_, (len(letters_), [*self.automaton.get(letters_, (0, []))[1], item]))
+            self.automaton.make_automaton()
+        # whether a word begins at a letter; past the last one, too
+        begins = np.append(np.diff(at, prepend=-2) > 1, True)
+        seen: set[int | None] = set()
+        for last, (n, items) in self.automaton.iter(codes.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")):
+            if begins[last - n + 1] and begins[last + 1]:
+                for item in set(items) - seen:
+                    seen.add(item)
+                    yield item, int(at[last - n + 1]), int(at[last]) + 1
+
+
 def _id_order(item: int | None) -> tuple[bool, int]:
     return item is None, item or 0
 
@@ -135,6 +164,7 @@ class Index:
     allowed: np.ndarray
     half: np.ndarray
     bound: np.ndarray
+    short: Shorts
 
     @classmethod
     def of(cls, rows: list[tuple[int | None, str]]) -> Index:
@@ -150,6 +180,7 @@ class Index:
                     s = max(0, min(s, len(codes) - length))
                     owner.append(i)
                     segments.append(codes[s : s + length])
+        few = [(c.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass"), r[0]) for c, r in zip(texts, rows, strict=True) if 0 < len(c) < LEAST_ITEM and len(_WORDS.findall(r[1])) >= LEAST_WORDS]
         if len(segments) > MOST_SEGMENTS:
             raise ValueError(f"{len(segments)} segments in a slice; at most {MOST_SEGMENTS} can be told apart")
         found = [grams(s) for s in segments]
@@ -174,23 +205,31 @@ class Index:
             allowed=allowed,
             half=1 << np.ceil(np.log2(np.maximum(allowed, 1))).astype(np.int64),
             bound=np.maximum(np.array([len(s) for s in segments], np.int64) + 1 - Q * (allowed + 1), 1),
+            short=Shorts(few),
         )
 
     def matches(self, text: str | None) -> list[list[int | None]]:
         """[item_id, start, end, edits, segments] of each item found in a whole text, in code points.
 
-        The segments are the long ones that match, or the short ones where no long one does. The leftmost match of each segment counts.
+        The segments are the long ones that match, or the short ones where no long one does. The leftmost match of each segment counts. A
+        short item is one segment without edits.
         """
         codes, at = letters(text)
+        best: dict[int | None, list[int | None]] = {item: [item, start, end, 0, 1] for item, start, end in self.short.found(codes, at)}
+        self._by_grams(codes, at, best)
+        return [best[i] for i in sorted(best, key=_id_order)]
+
+    def _by_grams(self, codes: np.ndarray, at: np.ndarray, best: dict[int | None, list[int | None]]) -> None:
+        """Add the items that segments find to ``best``."""
         h = grams(codes)
         if not len(h) or not len(self.hashes):
-            return []
+            return
         spots = np.flatnonzero(self.filter[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
         found = np.minimum(np.searchsorted(self.hashes, h[spots]), len(self.hashes) - 1)
         hit = self.hashes[found] == h[spots]
         spots, found = spots[hit], found[hit]
         if not len(spots):
-            return []
+            return
         counts = self.first[found + 1] - self.first[found]
         rows = np.repeat(self.first[found] - np.append(0, np.cumsum(counts)[:-1]), counts) + np.arange(counts.sum())
         segment = self.posting_segment[rows].astype(np.int64)
@@ -198,7 +237,7 @@ class Index:
         enough = np.bincount(segment, minlength=len(self.segments)) >= self.bound
         kept = enough[segment]
         if not kept.any():
-            return []
+            return
         segment, place = segment[kept], self.posting_place[rows[kept]].astype(np.int64)
         diagonal = np.repeat(spots, counts)[kept] - place
         band = diagonal // self.half[segment]
@@ -206,7 +245,6 @@ class Index:
         keys = (segment << BAND_BITS) + FIRST_BAND + band
         seen = np.unique(np.concatenate([keys << PLACE_BITS | place, (keys - 1) << PLACE_BITS | place]))
         bands, n = np.unique(seen >> PLACE_BITS, return_counts=True)
-        best: dict[int | None, list[int | None]] = {}
         done: set[int] = set()
         by_long: set[int | None] = set()
         for key in bands[n >= self.bound[bands >> BAND_BITS]]:
@@ -225,7 +263,6 @@ class Index:
                 by_long.add(item)
             old = best.get(item, [item, start, end, edits, 0])
             best[item] = [item, min(start, old[1]), max(end, old[2]), min(edits, old[3]), old[4] + 1]
-        return [best[i] for i in sorted(best, key=_id_order)]
 
 
 def _matcher(held):
@@ -237,8 +274,8 @@ def _matcher(held):
     return matches
 
 
-def _slices(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Column, bool]]:
-    """For each slice of the benchmark a column for ``docs``, the matches with its items, and whether it is the only one.
+def _slices(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Callable[[Column], Column], bool]]:
+    """For each slice of the benchmark a function of a text column, the matches with its items, and whether it is the only one.
 
     What is asked of a slice has to be computed before the next is taken, which releases its index.
     """
@@ -249,7 +286,7 @@ def _slices(docs: DataFrame, benchmark: DataFrame) -> Iterator[tuple[Column, boo
     for i in range(slices):
         rows = [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i).distinct().collect()]
         held = spark.sparkContext.broadcast(Index.of(sorted(rows, key=lambda r: (_id_order(r[0]), r[1]))))
-        yield _matcher(held)(F.col("text")), slices == 1
+        yield _matcher(held), slices == 1
         if slices > 1:
             held.unpersist()
 
@@ -258,15 +295,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start, end, edits, segments): one row for each item found in a text.
 
     ``start`` and ``end`` cover the leftmost match of each matching segment, in code points of the text, ``edits`` is the
-    fewest of any matching segment. Null and empty texts, and items with fewer than LEAST_ITEM letters
-    or digits, match nothing; equal items each match; items without an id have a null item_id and count as one in each slice;
+    fewest of any matching segment. Null and empty texts match nothing. An item with fewer than LEAST_ITEM letters and digits
+    is found where it stands letter by letter between word ends, if it has LEAST_WORDS words; equal items each match; items without an id have a null item_id and count as one in each slice;
     repeated rows give repeated rows, a text without doc_id a null one. An empty table or benchmark gives no rows. Texts
     of any length are read whole.
     """
     docs, found = pick(docs, "doc_id", "text"), None
     for matches, alone in _slices(docs, benchmark):
         names = ["item_id", "start", "end", "edits", "segments"]
-        pairs = docs.select("doc_id", F.explode(matches).alias("m"))
+        pairs = docs.select("doc_id", F.explode(matches(F.col("text"))).alias("m"))
         part = pairs.select("doc_id", *[F.col("m")[i].alias(n) for i, n in enumerate(names)])
         if alone:
             return part
@@ -276,7 +313,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text has no part of any benchmark item, with all their columns.
+    """The rows of ``docs`` whose text has no part of any benchmark item, with all their columns, whatever their names.
 
     Null and empty texts stay, and so does everything if the benchmark is empty; repeated rows stay or go together. With several
     slices, the digests of the texts found are gathered by each, and the rows that have none of them stay.
@@ -286,7 +323,8 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
     for matches, alone in _slices(docs, benchmark):
         if alone:
-            return docs.withColumn("__found", matches).where("size(__found) = 0").drop("__found")
-        part = written(texts.where(F.size(matches) > 0).select(digest("text").alias("__digest")).distinct(), "contaminated")
+            return kept_by(docs, "text", lambda text: F.size(matches(text)) == 0)
+        part = written(texts.where(F.size(matches(F.col("text"))) > 0).select(digest("text").alias("__digest")).distinct(), "contaminated")
         gone = part if gone is None else gone.union(part)
-    return docs.withColumn("__digest", digest("text")).join(gone, "__digest", "left_anti").drop("__digest")
+    rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return rows.withColumn("__digest", digest(f"c{docs.columns.index('text')}")).join(gone, "__digest", "left_anti").drop("__digest").toDF(*docs.columns)

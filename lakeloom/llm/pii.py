@@ -101,8 +101,8 @@ _DIGIT_TOKEN = re.compile(rf"(?<![A-Za-z])(?:(?P<word>{'|'.join(_DIGITS)})|(?P<p
 # What may stand between spelled digits.
 _BETWEEN = re.compile(r"[ ,.()-]{1,3}")
 _PLUS = re.compile(r"(?<![A-Za-z])plus ?(?=[0-9])", re.I)
-# Numerals of this many digits at most are read beside spelled ones; so many digits in all are worth it.
-_NUMERAL, _FEWEST = 4, 10
+# So many digits in a row are worth reading.
+_FEWEST = 10
 _AT = re.compile(r"\s?[\[({<]\s?(?:at|@|arroba)\s?[\])}>]\s?|\s?@\s?|\s(?:at|arroba)\s|_at_|-at-", re.I)
 _DOT = re.compile(r"\s?[\[({<]\s?(?:dot|\.|punto)\s?[\])}>]\s?|\s(?:dot|punto)\s|_dot_|-dot-|\s\.\s?", re.I)
 _HOST_LABEL, _NAME_CHAR = re.compile(r"[A-Za-z0-9-]+"), re.compile(r"[A-Za-z0-9._%+-]")
@@ -236,7 +236,7 @@ def _spelled(text: str, tokens: list[Token], taken: list[tuple[int, int, str]])
     for token in tokens:
         while t < len(taken) and taken[t][1] <= token[0]:
             t += 1
-        usable = token[2] is not None and len(token[2]) <= _NUMERAL and not (t < len(taken) and taken[t][0] < token[1])
+        usable = token[2] is not None and not (t < len(taken) and taken[t][0] < token[1])
         if row and not (usable and token[0] - row[-1][1] <= 3 and _BETWEEN.fullmatch(text, row[-1][1], token[0])):
             finish()
             row = []

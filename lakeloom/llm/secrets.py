@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import pick, replaced
 
 TREES, DEPTH, THRESHOLD = 40, 8, 0.5
 #: Words of the dictionary, and texts that one of them is in at least.
@@ -402,7 +402,12 @@ def without_secrets(docs: DataFrame, forest: Forest | None = None) -> DataFrame:
     """``docs`` with secrets masked in ``text`` and ``n_chars`` counted anew; every row stays.
 
     Null and empty texts stay as they are, with their length; rows alike stay alike, an empty table stays empty. Texts of any length are masked whole.
+    Other columns stay, whatever their names; without ``n_chars`` there is none to count.
     """
     held = docs.sparkSession.sparkContext.broadcast(forest or trained_on(docs))
-    masked = docs.withColumn("text", redacted(F.col("text"), held))
-    return masked.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes).get("n_chars", "bigint")))
+    masked = replaced(docs, "text", lambda text: redacted(text, held))
+    if "n_chars" not in docs.columns:
+        return masked
+    places = masked.toDF(*[f"c{i}" for i in range(len(masked.columns))])
+    length = F.length(f"c{docs.columns.index('text')}").cast(dict(docs.dtypes)["n_chars"])
+    return places.withColumn(f"c{docs.columns.index('n_chars')}", length).toDF(*docs.columns)

@@ -260,7 +260,7 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, gram: int = GRAM) ->
 
 
 def without_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> DataFrame:
-    """``docs`` without the words of passages that have an earlier copy; each row stays, its other columns too."""
+    """``docs`` without the words of passages that have an earlier copy; each row stays, its other columns too, whatever their names."""
     spans = _merged(repeated_ranges(docs, least, gram)).where("removable")
     spans = spans.groupBy(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
     word = re.compile(WORD)
@@ -276,5 +276,8 @@ def without_repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> Da
             out.append(text)
         return pd.Series(out, dtype="object")
 
-    same = (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64(F.col("doc_id").cast("long"), "text") == F.col("__row"))
-    return docs.join(spans, same, "left").withColumn("text", cut("text", "__spans")).drop("__id", "__row", "__spans")
+    # columns by place, as others' names may differ from these in case alone
+    id_, text = (f"c{docs.columns.index(c)}" for c in ("doc_id", "text"))
+    rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    same = (F.col(id_).cast("long") == F.col("__id")) & (F.xxhash64(F.col(id_).cast("long"), text) == F.col("__row"))
+    return rows.join(spans, same, "left").withColumn(text, cut(text, "__spans")).drop("__id", "__row", "__spans").toDF(*docs.columns)
