@@ -5,8 +5,8 @@
    as the corpus has phrases; it lies in slices, each summed in one task. A counter is no less than
    the count of any phrase that it stands for. The counters that reach the bound are told to the
    shards that contributed to them, and to no others.
-3. What a shard holds of phrases whose counters reach the bound are its candidates. They are compiled into an automaton, with a
-   blank on either side so that matches are whole words, and the shard is scanned, overlapping matches counted. Summed over
+3. What a shard holds of phrases whose counters reach the bound are its candidates. They are compiled into an automaton, each word
+   as two characters of two alphabets so that matches are whole words, and the shard is scanned, overlapping matches counted. Summed over
    the shards, these are exact counts, and the bound is applied to them. Single words are counted as they are.
 4. Scores, containment in longer phrases and ranks are joins and windows over the phrases that are left.
 
@@ -16,11 +16,13 @@ with its contributions; what moves between tasks are two to three bytes for each
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice
 from operator import itemgetter
 
 import numpy as np
@@ -41,6 +43,9 @@ SLICE, BLOCK = 1 << 22, 1 << 16
 #: Phrases whose counts a task holds before it passes them on.
 HELD = 200_000
 
+#: Where the alphabets of spelled words begin, and what ends a piece there.
+_SECOND, _FIRST, _PIECE_MARK = 0x100, 0x10000, 10
+
 _ENDS = bytes.maketrans(_PIECE_END + b"\t", b"\n" * len(_PIECE_END) + b" ")
 _BETWEEN = re.compile(rb" *\n[ \n]*")
 _BLANKS = re.compile(rb"  +")
@@ -188,19 +193,36 @@ def _reached(least: int):
     return run
 
 
-def scanned(lines: bytes, phrases: list[bytes]) -> Counter:
-    """How often each phrase occurs within pieces, overlaps counted: one pass of an automaton of the phrases between blanks."""
+def spelled(of: Lines) -> tuple[str, np.ndarray, int]:
+    """(text, places, n): a shard with each word as two characters, where words begin in it, and the number of unlike words.
+
+    First and second characters are of two alphabets, each as large as the root of the number of words, so a match begins and
+    ends with a word; what ends a piece is of neither. The automaton has a node or two a word, and each node few successors.
+    """
+    unlike, ids = np.unique(word_hashes(of), return_inverse=True)
+    width = max(math.isqrt(len(unlike) - 1) + 1, 1)
+    places = np.arange(len(ids)) * 2 + np.cumsum(np.append(0, of.room[:-1] == 1))
+    text = np.full(places[-1] + 2, _PIECE_MARK, np.uint32)
+    text[places], text[places + 1] = _FIRST + ids // width, _SECOND + ids % width
+    return text.tobytes().decode("utf-32-le"), places, len(unlike)
+
+
+def scanned(text: str, phrases: list[str]) -> np.ndarray:
+    """How often each phrase occurs in a spelled shard, overlaps counted: one pass of an automaton of the phrases."""
     import ahocorasick
 
     if not phrases:
-        return Counter()
-    automaton, names = ahocorasick.Automaton(), [p.decode("utf-8", "surrogatepass") for p in phrases]
-    for i, name in enumerate(names):
-        automaton.add_word(f" {name} ", i)
+        return np.zeros(0, np.int64)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for i, phrase in enumerate(phrases):
+        automaton.add_word(phrase, i)
     automaton.make_automaton()
-    text = f" {lines.decode('utf-8', 'surrogatepass')} ".replace("\n", " \n ")
-    n = Counter(map(itemgetter(1), automaton.iter(text)))
-    return Counter({names[i]: c for i, c in n.items()})
+    n = np.zeros(len(phrases), np.int64)
+    found = map(itemgetter(1), automaton.iter(text))
+    # matches are counted as they come, a block at a time
+    while len(block := np.fromiter(islice(found, 1 << 20), np.int64)):
+        n += np.bincount(block, minlength=len(phrases))
+    return n
 
 
 def _counted(bits: int, longest: int):
@@ -222,21 +244,27 @@ def _counted(bits: int, longest: int):
                 # most phrases are no candidates; a small table says so of them
                 few = np.zeros(BLOCK * 16, bool)
                 few[told % np.uint64(len(few))] = True
-                of, phrases, n = Lines.of(lines), [], {}
+                of, n, starts, ends = Lines.of(lines), {}, [], []
                 for k, at, hashes in phrase_hashes(lang, of, longest):
                     counters = hashes >> np.uint64(64 - bits)
                     maybe = np.flatnonzero(few[counters % np.uint64(len(few))])
                     place = np.minimum(np.searchsorted(told, counters[maybe]), len(told) - 1)
                     hit = maybe[told[place] == counters[maybe]]
                     _, first = np.unique(hashes[hit], return_index=True)
-                    starts = at[hit[first]]
-                    spelled = [lines[i:j] for i, j in zip(of.begins[starts].tolist(), of.ends[starts + k - 1].tolist(), strict=True)]
+                    begin = at[hit[first]]
                     if k == 1:
                         every = Counter(lines.replace(b"\n", b" ").split(b" "))
-                        n = {w.decode("utf-8", "surrogatepass"): every[w] for w in spelled}
+                        words = [lines[i:j] for i, j in zip(of.begins[begin].tolist(), of.ends[begin].tolist(), strict=True)]
+                        n = {w.decode("utf-8", "surrogatepass"): every[w] for w in words}
                     else:
-                        phrases += spelled
-                n |= scanned(lines, phrases)
+                        starts.append(begin)
+                        ends.append(begin + k - 1)
+                if starts:
+                    text, places, _ = spelled(of)
+                    first, last = np.concatenate(starts), np.concatenate(ends)
+                    a = scanned(text, [text[i:j] for i, j in zip(places[first].tolist(), (places[last] + 2).tolist(), strict=True)])
+                    names = zip(of.begins[first].tolist(), of.ends[last].tolist(), a.tolist(), strict=True)
+                    n |= {lines[i:j].decode("utf-8", "surrogatepass"): c for i, j, c in names}
                 # what shards of a task share is passed on once
                 held.setdefault(lang, Counter()).update(n)
                 if sum(map(len, held.values())) > HELD:
