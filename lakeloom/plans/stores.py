@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import joins, mergeable, quality
+from ..operators import conversations, joins, mergeable, quality
 from ..operators.views import AggregateView
 from ..sources import json_lines
+from ..sources.database import load
 from ..sources.digests import DigestStore
 from ..sources.stores import scratch
 from ..sources.versioned import VersionedTable, net_changes
-from ..streaming.ingest import append_once, file_stream
+from ..streaming.ingest import append_once, file_stream, whole_groups_once
 from .catalog import query
 from .tables import table
 
@@ -196,3 +197,33 @@ def null_key_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = keyed.withColumn("v", F.when(F.col("k").isNull() & (F.col("v") == "BUILDING"), "OTHER").otherwise(F.col("v")))
     same, unlike = quality.difference(keyed, keyed, ["k"]), quality.difference(keyed, other, ["k"])
     return same.rows.union(unlike.rows).groupBy("k", "change").agg(F.count("*").alias("n"))
+
+
+@query("""
+    with mark as (select max(o_orderdate) as newest from orders where o_orderdate < timestamp '1998-01-01')
+    select o_orderkey, o_custkey, o_orderdate, case when o_orderdate >= (select newest from mark) then o_totalprice + 1 else o_totalprice end as price from orders
+""")
+def loaded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load by cursor: older orders first, then a source with all of them, whose later ones have changed and of which only those due are read."""
+    held = VersionedTable(spark, scratch(spark, "loaded"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", F.col("o_totalprice").alias("price"))
+    load(orders.where("o_orderdate < timestamp '1998-01-01'"), held, ["o_orderkey"], "o_orderdate")
+    load(orders.withColumn("price", F.col("price") + 1), held, ["o_orderkey"], "o_orderdate")
+    return held.read()
+
+
+@query("""
+    select conv_id, string_agg(coalesce(text, ''), chr(10) order by turn, role, coalesce(text, '')) as conversation_text, count(*) as n_turns
+    from (select conv_id, turn, role, max(text) as text from conversations group by all) group by conv_id
+""")
+def streamed_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations whose first turns arrive before the others: each is rendered again, whole, when its later turns come."""
+    folder = scratch(spark, "turns")
+    turns, whole = VersionedTable(spark, f"{folder}/turns"), VersionedTable(spark, f"{folder}/whole")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    for part in (rows.where("turn < 2"), rows.where("not turn < 2 or turn is null")):
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = file_stream(spark, f"{folder}/in", rows.schema)
+        render = lambda of: conversations.assembled(of, "conv_id", ["turn", "role"], F.col("text"))
+        whole_groups_once(stream, turns, whole, ["conv_id"], ["conv_id", "turn", "role"], render, "conversations", f"{folder}/checkpoint").awaitTermination()
+    return whole.read()

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -63,3 +67,21 @@ def merge_once(stream: DataFrame, table: VersionedTable, keys: list[str], recenc
         table.keep_latest(batch, keys, recency, batch=(name, number))
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def whole_groups_once(stream: DataFrame, rows: VersionedTable, groups: VersionedTable, group: list[str], keys: list[str], render: Callable[[DataFrame], DataFrame], name: str, checkpoint: str) -> StreamingQuery:
+    """Rows of groups that may come late, and each group rendered again, whole, whenever rows of it arrive.
+
+    ``rows`` keeps what has arrived, one row of each of ``keys``; ``render`` makes the rows of ``groups`` from all rows of the groups that
+    a batch touches, read from there, so no state is held for groups that wait and none is lost to a time limit. Groups
+    without news stay as they are. Each table notes the batch in its own commit: after a stop between the two, the batch
+    runs again, passes over the first and makes good the second. Rows whose group is null are a group.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        rows.upsert(batch, keys, batch=(name, number))
+        touched = batch.select(*[F.col(c).alias(f"__{c}") for c in group]).distinct()
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in group])
+        groups.upsert(render(rows.read().join(touched, same, "left_semi")), group, batch=(name, number))
+
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
