@@ -85,3 +85,31 @@ def filled_in(accounts: DataFrame, key: str, recency: str, tie: str, columns: li
     """One row for each ``key``: of each column the newest value that is not null, so that a gap in the newest row is filled from older ones."""
     order = F.struct(F.col(recency).isNotNull(), recency, tie)
     return accounts.groupBy(key).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns])
+
+
+def elected(accounts: DataFrame, by: str, source: str, account: str, ranks: dict[str, int], global_id: str, text_ids: tuple[str, ...] = ()) -> DataFrame:
+    """Accounts of many systems with the identity of their group: ``identity_source``, ``identity_id`` and ``user_key`` made of both.
+
+    Accounts that share the address ``by`` are one person. Of a group, accounts with an id come first, then those with a global id, then
+    systems by ``ranks`` (unknown ones last); ties go to the greatest global id, the greatest number, the greatest id as text. Ids of the
+    systems in ``text_ids`` are no numbers even where they look like some. The identity is the elected account's global id, of the space
+    ``global``, else its own id, of its system, else the address, of the space ``email``. Without an address an account is by
+    itself; without any of the three its identity is null.
+    """
+    own, everywhere = F.col(account).cast("string"), F.col(global_id)
+    rank = F.when(everywhere.isNotNull(), 0)
+    for name, place in ranks.items():
+        rank = rank.when(F.col(source) == name, place)
+    number = F.when(~F.coalesce(F.col(source).isin(list(text_ids)), F.lit(False)), own.try_cast("long"))
+    best = F.struct(
+        own.isNotNull().alias("known"), (-rank.otherwise(max(ranks.values(), default=0) + 1)).alias("rank"), everywhere.alias("everywhere"),
+        number.alias("number"), own.alias("own"), F.col(source).alias("source"), F.col(by).alias("address"),
+    )
+    # a map-side combined maximum, so an address that many accounts share needs no large window
+    alone = F.when(F.col(by).isNull(), F.struct(F.coalesce(everywhere, F.lit("")).alias("everywhere"), F.col(source).alias("source"), own.alias("own")))
+    rows = accounts.withColumn("__group", F.struct(F.col(by).alias("by"), alone.alias("alone")))
+    first = rows.groupBy("__group").agg(F.max(best).alias("b"))
+    space = F.when(F.expr("b.everywhere is not null"), "global").when(F.expr("b.own is not null"), F.col("b.source")).when(F.expr("b.address is not null"), "email")
+    first = first.select(F.col("__group").alias("__of"), space.alias("identity_source"), F.expr("coalesce(b.everywhere, b.own, b.address)").alias("identity_id"))
+    first = first.withColumn("user_key", F.when(F.col("identity_id").isNotNull(), surrogate_key("identity_source", "identity_id")))
+    return rows.join(first, F.col("__group").eqNullSafe(F.col("__of"))).drop("__group", "__of")

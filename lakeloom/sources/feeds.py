@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Fixed value of the format: the namespace of durations and images.
 _ITUNES = "{http://www.itunes.com/dtds/podcast-1.0.dtd}"
@@ -77,3 +78,21 @@ def channels(feeds: DataFrame) -> DataFrame:
 def episodes(feeds: DataFrame) -> DataFrame:
     """One row for each item with audio, named by its guid or else by its link; an item without image has its channel's."""
     return _read(feeds, _EPISODE, _episodes)
+
+
+#: Fixed values of the records: what is configured for a feed beside its address.
+CONFIGURED = ("website", "offered_by", "topics", "apple_podcasts_url", "google_podcasts_url")
+
+
+def configured(channels: DataFrame, settings: DataFrame) -> DataFrame:
+    """Channels with what is configured for their feeds: the columns CONFIGURED, null where not given, and the title from ``podcast_title`` if any.
+
+    ``settings`` has rss_url and any of those columns; rows without a rss_url or a website configure nothing. Of several rows
+    for one feed the greatest counts, so a channel stays one row. Channels without settings keep their own title.
+    """
+    names = [*CONFIGURED, "podcast_title"]
+    given = settings.select("rss_url", *[F.col(c) if c in settings.columns else F.lit(None).cast("string").alias(c) for c in names])
+    given = given.where("rss_url is not null and website is not null").groupBy("rss_url").agg(F.max(F.struct(*names)).alias("__given"))
+    title = F.coalesce(F.nullif(F.col("__given.podcast_title"), F.lit("")), F.col("title"))
+    rows = channels.join(given, "rss_url", "left").withColumn("title", title)
+    return rows.select(*channels.columns, *[F.col(f"__given.{c}").alias(c) for c in CONFIGURED])
