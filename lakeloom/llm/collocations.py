@@ -16,6 +16,7 @@ with its contributions; what moves between tasks are two to three bytes for each
 
 from __future__ import annotations
 
+import ctypes
 import math
 import re
 from collections import Counter
@@ -27,6 +28,7 @@ from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,6 +61,14 @@ def pieces_of(text: str | None) -> bytes:
     return _BLANKS.sub(b" ", _BETWEEN.sub(b"\n", lines).strip(b" \n"))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker that waits for its next task keeps none of the last one's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(lang, lines, n_words): pieces of one language, SHARD_BYTES of them at most or one longer one."""
     held: dict[str | None, list[bytes]] = {}
@@ -87,6 +97,7 @@ def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     sizes[lang] += len(part) + 1
                 if lines or sizes[lang] >= SHARD_BYTES:
                     yield shard(lang)
+        give_back()
     for lang in list(held):
         yield shard(lang)
 
@@ -269,7 +280,9 @@ def _counted(bits: int, longest: int):
                 held.setdefault(lang, Counter()).update(n)
                 if sum(map(len, held.values())) > HELD:
                     yield from rows_of(held)
+            give_back()
         yield from rows_of(held)
+        give_back()
 
     return run
 
