@@ -45,6 +45,17 @@ def test_disjunctive_outer(spark):
     assert [r["i"] for r in found.where("j is null").collect()] == [3]
 
 
+def test_disjunctive_keeps_repeated_rows_and_does_not_move_what_it_found(spark):
+    a = spark.createDataFrame([(1, "x", "y"), (1, "x", "y"), (2, None, None)], "i int, p string, r string")
+    b = spark.createDataFrame([(7, "x", "y"), (8, "z", "y")], "j int, s string, t string")
+    pairs = [("p", "s"), ("r", "t")]
+    found = joins.disjunctive(a, b, pairs, outer=True)
+    assert sorted((r["i"], r["j"] or 0) for r in found.collect()) == [(1, 7), (1, 7), (1, 8), (1, 8), (2, 0)]
+    plan = joins.disjunctive(a, b.hint("broadcast"), pairs)._jdf.queryExecution().executedPlan().toString()
+    # the join's output goes on to no shuffle and no aggregate
+    assert "Aggregate" not in plan and plan.index("Union") < plan.index("Exchange")
+
+
 def test_not_in_with_null(spark):
     a, b = spark.createDataFrame([(1,), (2,), (None,)], "x int"), spark.createDataFrame([(1,), (None,)], "y int")
     assert joins.nulls_first_anti(a, b, "x", "y").isEmpty()
