@@ -70,6 +70,25 @@ def test_a_long_chain(spark):
     assert places(spark, {"t": ("n0", blocks)}) == {("t", f"n{i}"): i + 1 for i in range(1000)}
 
 
+def test_bushes_need_no_walk_and_chains_below_them_do(spark, monkeypatch):
+    walks, walk = [], trees._toured
+    monkeypatch.setattr(trees, "_toured", lambda *a: walks.append(1) or walk(*a))
+    rnd = random.Random(5)
+    bush = {"r": [f"c{i}" for i in range(20)]} | {f"c{i}": [f"o{i}-{j}" for j in range(i % 5)] for i in range(20)}
+    bush |= {o: [] for below in list(bush.values()) for o in below if o not in bush}
+    assert places(spark, {"t": ("r", bush)}) == expected({"t": ("r", bush)}) and not walks
+    # chains of bushes, and what lies beside them, before and after
+    mixed = {k: list(v) for k, v in bush.items()}
+    for i in range(300):
+        mixed[f"k{i}"] = [f"k{i + 1}"] if i < 299 else []
+        if i % 7 == 0:
+            mixed |= {f"k{i}a": [], f"k{i}b": [f"k{i}c"], f"k{i}c": []}
+            mixed[f"k{i}"] += [f"k{i}a", f"k{i}b"]
+            rnd.shuffle(mixed[f"k{i}"])
+    mixed["c3"].insert(1, "k0")
+    assert places(spark, {"t": ("r", mixed), "u": ("r", bush)}) == expected({"t": ("r", mixed), "u": ("r", bush)}) and walks
+
+
 def test_no_nodes(spark):
     assert trees.depth_first(spark.createDataFrame([], NODES), spark.createDataFrame([], CHILDREN)).collect() == []
 
