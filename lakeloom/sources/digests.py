@@ -22,6 +22,9 @@ BUCKETS, BITS, HASHES = 256, 16, 8
 
 _DIGEST = "bucket int, hi long, lo long"
 
+#: Types whose values differ if and only if their texts do.
+_PLAIN = {"string", "bigint", "int", "smallint", "tinyint", "boolean", "date"}
+
 
 def digested(df: DataFrame, columns: list[str], buckets: int = BUCKETS) -> DataFrame:
     """``df`` with ``__bucket``, ``__hi`` and ``__lo`` of its columns' digest; null and the empty text differ, missing columns are an error."""
@@ -60,16 +63,20 @@ def _filters(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The digests that any of their bucket's filters knows."""
+    """The digests that any of their bucket's filters knows; rows come sorted by bucket, its filters (n > 0) before its digests."""
+    now, filters = None, []
     for batch in batches:
-        keep = np.zeros(len(batch), bool)
-        for _, part in batch.groupby("bucket", sort=False):
-            at = batch.index.get_indexer(part.index)
-            hi, lo = part["hi"].to_numpy(np.int64), part["lo"].to_numpy(np.int64)
-            for n, data in zip(part["ns"].iloc[0], part["filters"].iloc[0], strict=True):
-                bits = np.unpackbits(np.frombuffer(data, np.uint8))
-                keep[at] |= bits[_places(hi, lo, int(n)).astype(np.int64)].all(1)
-        yield batch.loc[keep, ["bucket", "hi", "lo"]]
+        for bucket, part in batch.groupby("bucket", sort=False):
+            if bucket != now:
+                now, filters = bucket, []
+            own = part["n"].to_numpy() > 0
+            filters += [(n, np.frombuffer(bits, np.uint8)) for n, bits in zip(part["n"][own], part["bits"][own], strict=True)]
+            rows = part.loc[~own, ["bucket", "hi", "lo"]]
+            hi, lo, keep = rows["hi"].to_numpy(np.int64), rows["lo"].to_numpy(np.int64), np.zeros(len(rows), bool)
+            for n, data in filters:
+                places = _places(hi, lo, int(n)).astype(np.int64)
+                keep |= ((data[places >> 3] >> (7 - (places & 7))) & 1).all(1)
+            yield rows[keep]
 
 
 class DigestStore:
@@ -90,8 +97,11 @@ class DigestStore:
         ``run`` numbers the calls: one that is repeated gives rows of the same digests and adds nothing. The rows that stay
         are written before they are noted, so a stop between leaves them unseen. Of rows that share a digest any one stays.
         """
-        rows = digested(df, columns)
-        fresh = rows.dropDuplicates(["__hi", "__lo"])
+        if set(df.columns) == set(columns) and {kind for _, kind in df.dtypes} <= _PLAIN:
+            # equal rows have equal digests and others don't, so repeats go before any digest is made
+            fresh = digested(df.distinct(), columns)
+        else:
+            fresh = digested(df, columns).dropDuplicates(["__hi", "__lo"])
         known = self._known(fresh.select(F.col("__bucket").alias("bucket"), F.col("__hi").alias("hi"), F.col("__lo").alias("lo")), run)
         if known is not None:
             fresh = fresh.join(known, (F.col("__hi") == known.hi) & (F.col("__lo") == known.lo), "left_anti")
@@ -109,9 +119,12 @@ class DigestStore:
         self.buckets_read = []
         if self.filters.version() is None or self.digests.version() is None:
             return None
-        held = self.filters.read().groupBy("bucket").agg(F.collect_list(F.struct("n", "bits")).alias("f")).select("bucket", F.col("f.n").alias("ns"), F.col("f.bits").alias("filters"))
+        # filters come once for each bucket, before the digests that ask, and not beside every one of them
+        held = self.filters.read().select("bucket", F.lit(0).cast("long").alias("hi"), F.lit(0).cast("long").alias("lo"), "n", "bits")
+        both = held.unionByName(asked.withColumns({"n": F.lit(0).cast("long"), "bits": F.lit(None).cast("binary")}))
         path = scratch(self.spark, "asked")
-        asked.join(held, "bucket").mapInPandas(_asked, _DIGEST).write.parquet(path)
+        dealt = both.repartition("bucket").sortWithinPartitions("bucket", F.desc("n"))
+        dealt.mapInPandas(_asked, _DIGEST).write.parquet(path)
         maybe = self.spark.read.schema(_DIGEST).parquet(path)
         # as many rows as there are buckets, and literals, so that the scan of the store passes over the others
         self.buckets_read = sorted(r["bucket"] for r in maybe.select("bucket").distinct().collect())

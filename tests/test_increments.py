@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators import joins, quality
-from lakeloom.sources import sinks, versioned
+from lakeloom.sources import digests, sinks, versioned
 from lakeloom.sources.digests import DigestStore
 from lakeloom.sources.versioned import VersionedTable
 from lakeloom.streaming import ingest
@@ -97,6 +98,29 @@ def test_only_hit_buckets_are_read(spark, tmp_path):
     assert store.unseen(new, ["k"], 3).count() == 0
 
 
+def test_filters_do_not_travel_with_every_digest(spark, tmp_path, monkeypatch):
+    """Of two runs, the larger one moved each bucket's filter beside each of its rows: bytes that grew as the square of the rows."""
+    seen, asked = f"{tmp_path}/seen", digests._asked
+
+    def counting(batches):
+        def counted():
+            for batch in batches:
+                with open(seen, "a") as f:
+                    f.write(f"{sum(len(b) for c in batch.columns for b in batch[c] if isinstance(b, bytes))} {sum(len(x) for c in batch.columns for b in batch[c] if isinstance(b, np.ndarray) for x in b)}\n")
+                yield batch
+
+        return asked(counted())
+
+    monkeypatch.setattr(digests, "_asked", counting)
+    store = DigestStore(spark, f"{tmp_path}/store")
+    rows_ = spark.range(30_000).selectExpr("cast(id as string) as k", "id % 3 as v")
+    assert store.unseen(rows_.union(rows_), ["k", "v"], 0).count() == 30_000
+    again = spark.range(20_000, 50_000).selectExpr("cast(id as string) as k", "id % 3 as v")
+    assert store.unseen(again.union(again), ["k", "v"], 1).count() == 20_000
+    moved = sum(int(x) for line in open(seen) for x in line.split())
+    assert 0 < moved < 30_000 * digests.BITS // 8 + 256 * 8
+
+
 # sinks
 
 
