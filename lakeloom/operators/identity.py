@@ -63,20 +63,23 @@ def enrolment_orders(enrolments: DataFrame, lines: DataFrame, products: DataFram
     ``enrolments`` (enrolment, platform, person, run, program, order_id), ``lines`` (order_id, line_id, platform, person,
     product, updated), ``products`` (product, platform, run, program). An enrolment's own order comes first: its line for the
     run, for the program, then any. Where that finds nothing, a line of the same person for the run, then the program,
-    is inferred; not so on a ``direct`` platform without an order, where none means none. The person comes first in that
-    join, so the choice of run or program is a filter on a few rows.
+    is inferred; not so on a ``direct`` platform without an order, where none means none. Lines of other orders, and of other
+    people, go before any join moves them; goods meet the lines before enrolments multiply them.
     """
     ours = lines.withColumnRenamed("order_id", "__order").withColumnRenamed("platform", "__platform").withColumnRenamed("person", "__person")
     goods = products.select(F.col("product").alias("__product"), F.col("platform").alias("__sold"), F.col("run").alias("__run"), F.col("program").alias("__program"))
     for_run, for_program = F.col("__run") == F.col("run"), F.col("__program") == F.col("program")
+    of = lambda rows, column, name: ours.join(rows.select(F.col(column).alias("__of")).distinct(), F.col(name) == F.col("__of"), "left_semi")
     found = ["enrolment", F.col("__order").alias("order_id"), "line_id", "updated"]
-    own = enrolments.join(ours, (F.col("order_id") == F.col("__order")) & (F.col("platform") == F.col("__platform")))
+    own = enrolments.join(of(enrolments, "order_id", "__order"), (F.col("order_id") == F.col("__order")) & (F.col("platform") == F.col("__platform")))
     own = own.join(goods, F.col("product") == F.col("__product"), "left")
     own = own.select(*found, F.when(for_run, 1).when(for_program, 2).otherwise(3).alias("priority"), F.lit(False).alias("inferred"))
-    rest = enrolments.join(own.select("enrolment").distinct(), "enrolment", "left_anti").where(~F.col("platform").isin(direct) | F.col("order_id").isNotNull())
-    guess = rest.join(ours, (F.col("person") == F.col("__person")) & (F.col("platform") == F.col("__platform")))
-    guess = guess.join(goods, (F.col("product") == F.col("__product")) & (F.col("platform") == F.col("__sold"))).where(for_run | for_program)
-    guess = guess.select(*found, F.when(for_run, 1).otherwise(2).alias("priority"), F.lit(True).alias("inferred"))
+    # what is inferred ranks behind all that is an enrolment's own, so that own lines are looked for once
+    behind = F.when(F.col("enrolment").isNull(), 0).otherwise(3)
+    rest = enrolments.where(~F.col("platform").isin(direct) | F.col("order_id").isNotNull())
+    sold = of(rest, "person", "__person").join(goods, (F.col("product") == F.col("__product")) & (F.col("__platform") == F.col("__sold")))
+    guess = rest.join(sold, (F.col("person") == F.col("__person")) & (F.col("platform") == F.col("__platform")) & (for_run | for_program))
+    guess = guess.select(*found, (F.when(for_run, 1).otherwise(2) + behind).alias("priority"), F.lit(True).alias("inferred"))
     order = [F.col("updated").desc_nulls_last(), F.col("order_id").desc_nulls_last(), F.col("line_id").desc_nulls_last()]
     return attributed(own.unionByName(guess), ["enrolment"], "priority", order).select("enrolment", "order_id", "line_id", "inferred")
 

@@ -47,6 +47,21 @@ def test_repeats_and_empty_tables(spark):
     assert identity.elected(df, "email", "source", "account", RANKS, "global_id").collect() == []
 
 
+def test_lines_of_others_go_before_they_are_joined_and_own_ones_are_looked_for_once(spark):
+    enrolments = spark.createDataFrame(
+        [(1, 0, 5, 1, 1, 10), (2, 1, 5, 1, 1, None), (3, 0, 5, 1, 1, None), (4, 1, 6, 2, 1, 99), (None, 1, 5, 1, 1, None)],
+        "enrolment long, platform long, person long, run long, program long, order_id long",
+    )
+    items = spark.createDataFrame([(10, 1, 0, 7), (11, 1, 1, 8), (12, 1, 1, 9), (13, 1, 1, 8)], "order_id long, line_id int, platform long, product long")
+    orders = spark.createDataFrame([(10, 5, 1), (11, 5, 1), (12, 5, 2), (13, 4, 9)], "id long, person long, updated int")
+    lines = items.join(orders, items.order_id == orders.id).drop("id")
+    products = spark.createDataFrame([(7, 0, 3, 3), (8, 1, 1, None), (9, 1, None, 1)], "product long, platform long, run long, program long")
+    found = identity.enrolment_orders(enrolments, lines, products, [0])
+    assert sorted(map(tuple, found.collect()), key=repr) == [(1, 10, 1, False), (2, 11, 1, True), (None, 11, 1, True)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and plan.count("LeftSemi") == 2
+
+
 def test_configured_feeds(spark):
     xml = "<rss><channel><title>T</title></channel></rss>"
     urls = ["https://a", "https://b", "https://c", "https://d"]
