@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, odd_numbers, pick, remove, written
+from .common import batches_of, mix, odd_numbers, pick, remove, written
 
 #: Fixed: what ends a piece, and the letters that are lower-cased.
 _PIECE_END = b".,;:!?\n\x0b\x0c\r"
@@ -42,6 +42,8 @@ LONGEST, LEAST, TOP = 4, 30, 2000
 SHARD_BYTES = 1 << 21
 #: Counters of a slice of the sketch, and of a block, whose places take two bytes.
 SLICE, BLOCK = 1 << 22, 1 << 16
+#: Bytes of a shard whose words are hashed at once.
+STRETCH = 1 << 17
 #: Phrases whose counts a task holds before it passes them on.
 HELD = 200_000
 
@@ -134,11 +136,20 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def word_hashes(of: Lines) -> np.ndarray:
-    """A 64-bit hash of each word: differences of running sums of powers, so no word is looked at by itself."""
-    # few lengths, so that the powers are kept
-    n = SHARD_BYTES + 1 if len(of.text) <= SHARD_BYTES else 1 << (len(of.text) + 1).bit_length()
-    sums = np.append(np.uint64(0), np.cumsum((of.text.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n)[: len(of.text)], dtype=np.uint64))
-    return mix((sums[of.ends] - sums[of.begins]) * _powers(_INVERSE, n)[of.begins])
+    """A 64-bit hash of each word: differences of running sums of powers, so no word is looked at by itself.
+
+    The sums are taken over about STRETCH bytes at a time, from a word's beginning on; where they begin leaves the hashes as they are.
+    """
+    out = np.empty(len(of.begins), np.uint64)
+    edges = np.append(np.flatnonzero(np.diff(of.begins // STRETCH, prepend=-1)), len(out))
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        start = of.begins[lo]
+        text = of.text[start : of.ends[hi - 1]]
+        # few lengths, so that the powers are kept
+        n = 2 * STRETCH if len(text) < 2 * STRETCH else 1 << (len(text) + 1).bit_length()
+        sums = np.append(np.uint64(0), np.cumsum((text.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n)[: len(text)], dtype=np.uint64))
+        out[lo:hi] = (sums[of.ends[lo:hi] - start] - sums[of.begins[lo:hi] - start]) * _powers(_INVERSE, n)[of.begins[lo:hi] - start]
+    return mix(out)
 
 
 def phrase_hashes(lang: str, of: Lines, longest: int = LONGEST) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -321,7 +332,8 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, longest: i
     texts = pick(docs, "lang", "text").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
     packed = texts.mapInPandas(_packed, "lang string, lines binary, n_words long")
     shards = written(packed.withColumn("shard", F.monotonically_increasing_id()), "shards")
-    counts = written(frequent_phrases(shards, least, longest), "phrases")
+    with batches_of(docs.sparkSession, SHARD_BYTES):
+        counts = written(frequent_phrases(shards, least, longest), "phrases")
     totals = shards.groupBy("lang").agg(F.sum("n_words").alias("n"))
     out = written(ranked(counts, totals, top), "collocations")
     remove(docs.sparkSession, shards, counts)

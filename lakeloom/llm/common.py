@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -42,6 +43,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, n_bytes: int) -> Iterator[None]:
+    """While it lasts, what goes to Python at once is about ``n_bytes``, or one row: for rows of megabytes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, n_bytes)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remove(spark: SparkSession, *tables: DataFrame) -> None:
     """Delete the files of tables made by :func:`written` that nothing reads any more."""
     jvm = spark.sparkContext._jvm

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -92,6 +93,18 @@ def test_a_long_piece_is_cut_nowhere(monkeypatch):
     assert all(len(x) <= 20 or b"\n" not in x for x in shards["lines"])
 
 
+def test_hashing_a_shard_takes_little_beside_it():
+    lines = b"ab cde f\n" * (collocations.SHARD_BYTES // 9) + b"x" * 300_000 + b" ab cde"
+    of = collocations.Lines.of(lines)
+    collocations._powers.cache_clear()
+    tracemalloc.start()
+    hashes = collocations.word_hashes(of)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * hashes.nbytes + (16 << 20)
+    assert hashes[0] == hashes[3] == hashes[-2] and hashes[1] == hashes[-1] and len(set(hashes.tolist())) == 4
+
+
 def test_scores_past_64_bits(spark):
     big = 4_000_000_000_000_000_000
     counts = spark.createDataFrame([("en", "a", big), ("en", "b", big), ("en", "a b", big - 1)], "lang string, phrase string, a long")
