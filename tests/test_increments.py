@@ -106,7 +106,7 @@ def test_filters_do_not_travel_with_every_digest(spark, tmp_path, monkeypatch):
         def counted():
             for batch in batches:
                 with open(seen, "a") as f:
-                    f.write(f"{sum(len(b) for c in batch.columns for b in batch[c] if isinstance(b, bytes))} {sum(len(x) for c in batch.columns for b in batch[c] if isinstance(b, np.ndarray) for x in b)}\n")
+                    f.write(f"{sum(len(b) for c in batch.columns for b in batch[c] if isinstance(b, bytes))} {sum(len(x) for c in batch.columns for b in batch[c] if isinstance(b, np.ndarray) for x in b if isinstance(x, bytes))}\n")
                 yield batch
 
         return asked(counted())
