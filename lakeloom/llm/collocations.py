@@ -6,12 +6,14 @@
    the count of any phrase that it stands for. The counters that reach the bound are told to the
    shards that contributed to them, and to no others.
 3. What a shard holds of phrases whose counters reach the bound are its candidates. They are compiled into an automaton, each word
-   as two characters of two alphabets so that matches are whole words, and the shard is scanned, overlapping matches counted. Summed over
-   the shards, these are exact counts, and the bound is applied to them. Single words are counted as they are.
+   as two characters of two alphabets so that matches are whole words, and the shard is scanned, overlapping matches counted. Single words
+   are counted as they are. Counts move in blocks by phrase, a row each, not in a row for each phrase and task. Summed over the shards,
+   these are exact counts, and the bound is applied to them: a phrase becomes a row once, when it is frequent.
 4. Scores, containment in longer phrases and ranks are joins and windows over the phrases that are left.
 
 Collisions in the sketch cost a candidate in an automaton, never a phrase. What a task holds is one shard, or one slice
-with its contributions; what moves between tasks are two to three bytes for each distinct phrase of a shard.
+with its contributions, or one block of phrases; what moves between tasks are two to three bytes for each distinct phrase of a shard,
+and the candidates with their counts.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 from itertools import islice
 from operator import itemgetter
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -247,19 +250,27 @@ def scanned(text: str, phrases: list[str]) -> np.ndarray:
     return n
 
 
-def _counted(bits: int, longest: int):
-    """(lang, phrase, a) of the candidates of a task's shards, from the counters that were told to each."""
+def _counted(bits: int, longest: int, parts: int):
+    """(part, lang, phrases, counts): the candidates of a task's shards in blocks, from the counters that were told to each shard."""
 
-    def rows_of(held: dict[str, Counter]) -> Iterator[pd.DataFrame]:
+    def blocks_of(held: dict[str, dict[bytes, int]]) -> Iterator[pd.DataFrame]:
+        rows = []
         for lang, n in held.items():
-            rows = list(n.items())
-            for lo in range(0, len(rows), 50_000):
-                part = rows[lo : lo + 50_000]
-                yield pd.DataFrame({"lang": lang, "phrase": [p for p, _ in part], "a": np.array([c for _, c in part], np.int64)})
+            # in order, since neighbours that begin alike are packed well
+            names = sorted(n)
+            part = np.fromiter(map(crc32, names), np.int64, len(names)) % parts
+            order = np.argsort(part, kind="stable")
+            part, counts = part[order], np.fromiter(map(n.__getitem__, names), np.uint64, len(names))[order]
+            edges = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                phrases = b"\n".join([names[i] for i in order[lo:hi].tolist()])
+                # as narrow as the block's greatest count lets them be
+                rows.append((int(part[lo]), lang, phrases, counts[lo:hi].astype(np.min_scalar_type(counts[lo:hi].max())).tobytes()))
         held.clear()
+        yield pd.DataFrame(rows, columns=["part", "lang", "phrases", "counts"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, Counter] = {}
+        held: dict[str, dict[bytes, int]] = {}
         for batch in batches:
             for lang, lines, slices, places in zip(*[batch[c] for c in ("lang", "lines", "slices", "places")], strict=True):
                 told = np.sort(np.concatenate([np.frombuffer(p, np.uint32).astype(np.uint64) + np.uint64(SLICE * int(s)) for s, p in zip(slices, places, strict=True)]))
@@ -277,7 +288,7 @@ def _counted(bits: int, longest: int):
                     if k == 1:
                         every = Counter(lines.replace(b"\n", b" ").split(b" "))
                         words = [lines[i:j] for i, j in zip(of.begins[begin].tolist(), of.ends[begin].tolist(), strict=True)]
-                        n = {w.decode("utf-8", "surrogatepass"): every[w] for w in words}
+                        n = {w: every[w] for w in words}
                     else:
                         starts.append(begin)
                         ends.append(begin + k - 1)
@@ -286,13 +297,43 @@ def _counted(bits: int, longest: int):
                     first, last = np.concatenate(starts), np.concatenate(ends)
                     a = scanned(text, [text[i:j] for i, j in zip(places[first].tolist(), (places[last] + 2).tolist(), strict=True)])
                     names = zip(of.begins[first].tolist(), of.ends[last].tolist(), a.tolist(), strict=True)
-                    n |= {lines[i:j].decode("utf-8", "surrogatepass"): c for i, j, c in names}
+                    n |= {lines[i:j]: c for i, j, c in names}
                 # what shards of a task share is passed on once
-                held.setdefault(lang, Counter()).update(n)
+                own = held.setdefault(lang, {})
+                for phrase, c in n.items():
+                    own[phrase] = own.get(phrase, 0) + c
                 if sum(map(len, held.values())) > HELD:
-                    yield from rows_of(held)
+                    yield from blocks_of(held)
             give_back()
-        yield from rows_of(held)
+        if held:
+            yield from blocks_of(held)
+        give_back()
+
+    return run
+
+
+def _summed(least: int):
+    """(lang, phrase, a): the sums of the counts that reach the bound. Blocks come sorted by part and language."""
+
+    def rows_of(lang: str, n: dict[bytes, int]) -> Iterator[pd.DataFrame]:
+        rows = [(p.decode("utf-8", "surrogatepass"), c) for p, c in n.items() if c >= least]
+        for lo in range(0, len(rows), 50_000):
+            part = rows[lo : lo + 50_000]
+            yield pd.DataFrame({"lang": lang, "phrase": [p for p, _ in part], "a": np.array([c for _, c in part], np.int64)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, n = None, {}
+        for batch in batches:
+            for part, lang, phrases, counts in zip(*[batch[c] for c in ("part", "lang", "phrases", "counts")], strict=True):
+                if (part, lang) != now:
+                    if now:
+                        yield from rows_of(now[1], n)
+                    now, n = (part, lang), {}
+                names = phrases.split(b"\n")
+                for phrase, c in zip(names, np.frombuffer(counts, f"u{len(counts) // len(names)}").tolist(), strict=True):
+                    n[phrase] = n.get(phrase, 0) + c
+        if now:
+            yield from rows_of(now[1], n)
         give_back()
 
     return run
@@ -316,8 +357,11 @@ def frequent_phrases(shards: DataFrame, least: int = LEAST, longest: int = LONGE
     told = by_slice.mapInPandas(_reached(least), "shard long, slice long, places binary")
     gathered = told.groupBy("shard").agg(F.collect_list(F.struct("slice", "places")).alias("told")).select("shard", "told.slice", "told.places").withColumnRenamed("slice", "slices")
     candidates = shards.select("shard", "lang", "lines").join(gathered, "shard").select("lang", "lines", "slices", "places")
-    counts = candidates.mapInPandas(_counted(bits, longest), "lang string, phrase string, a long")
-    return counts.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+    # at most 8 slices' phrases meet in a part, of which one in ``least`` can be frequent
+    parts = max(parts, slices // 8)
+    counts = candidates.mapInPandas(_counted(bits, longest, parts), "part int, lang string, phrases binary, counts binary")
+    by_part = counts.repartitionById(parts, "part").sortWithinPartitions("part", "lang")
+    return by_part.mapInPandas(_summed(least), "lang string, phrase string, a long")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, longest: int = LONGEST) -> DataFrame:

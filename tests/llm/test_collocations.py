@@ -75,6 +75,50 @@ def test_agrees_with_its_sql(spark, sf_dir):
     assert_agrees(queries.QUERIES[name](spark, sf_dir), connection(sf_dir), queries.ORACLE_SQL[name])
 
 
+def test_phrases_are_not_rows_of_each_task_that_has_them(spark, monkeypatch):
+    # forty shards, each passed on by itself, have the same phrases
+    monkeypatch.setattr(collocations, "HELD", 0)
+    rnd, made = random.Random(8), {}
+    text = " ".join(f"w{rnd.randrange(150)}" for _ in range(300))
+    table = spark.createDataFrame([(i, text, "en") for i in range(40)], SCHEMA).repartition(40, "doc_id")
+    plain_map = type(table).mapInPandas
+
+    def counting(self, step, schema):
+        rows = made[step.__qualname__] = spark.sparkContext.accumulator(0)
+
+        def run(batches):
+            for out in step(batches):
+                rows.add(len(out))
+                yield out
+
+        return plain_map(self, run, schema)
+
+    shards = table.selectExpr("doc_id as shard", "lang", "encode(text, 'UTF-8') as lines", "300L as n_words")
+    monkeypatch.setattr(type(table), "mapInPandas", counting)
+    found = {(r["phrase"], r["a"]) for r in collocations.frequent_phrases(shards, 30).collect()}
+    words = text.split()
+    assert found == set(Counter(" ".join(words[i : i + k]) for k in range(1, 5) for i in range(len(words) - k + 1) for _ in range(40)).items())
+    # 40 rows a phrase before
+    assert max(rows.value for rows in made.values()) < 2 * len(found)
+
+
+def test_counts_of_any_size_and_order_are_summed():
+    import pandas as pd
+
+    # the second task has a count past two bytes
+    told = pd.DataFrame({"slices": [[0]], "places": [[bytes(4)]], "lang": ["en"]})
+    blocks = []
+    for lines in (b"a b\na b", b"\n".join([b"a b"] * 70_000)):
+        hashes = [h >> 40 for _, _, h in collocations.phrase_hashes("en", collocations.Lines.of(lines), 2)]
+        places = sorted({int(x) for h in hashes for x in h})
+        batch = told.assign(lines=[lines], places=[[collocations.np.array(places, "u4").tobytes()]])
+        blocks.append(pd.concat(collocations._counted(24, 2, 3)(iter([batch]))))
+    blocks = pd.concat(blocks).sort_values(["part", "lang"])
+    sums = pd.concat(collocations._summed(70_002)(iter([blocks.iloc[:2], blocks.iloc[2:]])))
+    assert sorted(map(tuple, sums.to_numpy())) == [("en", "a", 70_002), ("en", "a b", 70_002), ("en", "b", 70_002)]
+    assert not list(collocations._summed(70_003)(iter([blocks])))
+
+
 def test_overlapping_matches_and_piece_ends(spark):
     rows = [(i, "a a a. a a b", "en") for i in range(10)]
     found = collocations.collocations(spark.createDataFrame(rows, SCHEMA), 10, 10)
