@@ -48,7 +48,7 @@ SLICE, BLOCK = 1 << 22, 1 << 16
 #: Bytes of a shard whose words are hashed at once.
 STRETCH = 1 << 17
 #: Phrases whose counts a task holds before it passes them on.
-HELD = 200_000
+HELD = 500_000
 
 #: Where the alphabets of spelled words begin, and what ends a piece there.
 _SECOND, _FIRST, _PIECE_MARK = 0x100, 0x10000, 10
