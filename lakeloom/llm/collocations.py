@@ -4,15 +4,16 @@
 2. Each shard counts its phrases in the counters that their hashes name. The sketch has about as many counters
    as the corpus has phrases; it lies in slices, each summed in one task. A counter is no less than
    the count of any phrase that it stands for. The counters that reach the bound are told to the
-   shards that contributed to them, and to no others.
-3. What a shard holds of phrases whose counters reach the bound are its candidates. They are compiled into an automaton, each word
-   as two characters of two alphabets so that matches are whole words, and the shard is scanned, overlapping matches counted. Single words
+   shards that contributed to them, and to no others. Some shards of a task share a row for each slice.
+3. What a shard holds of phrases whose counters reach the bound are its candidates. Those whose hash occurs there again are compiled
+   into an automaton, each word as two characters of two alphabets so that matches are whole words, and what they may cover of the
+   shard is scanned, overlapping matches counted; a candidate whose hash occurs once occurs once. Single words
    are counted as they are. Counts move in blocks by phrase, a row each, not in a row for each phrase and task. Summed over the shards,
    these are exact counts, and the bound is applied to them: a phrase becomes a row once, when it is frequent.
 4. Scores, containment in longer phrases and ranks are joins and windows over the phrases that are left.
 
-Collisions in the sketch cost a candidate in an automaton, never a phrase. What a task holds is one shard, or one slice
-with its contributions, or one block of phrases; what moves between tasks are two to three bytes for each distinct phrase of a shard,
+Collisions in the sketch cost a candidate, never a phrase. What a task holds is one shard and the contributions of
+TOGETHER, or one slice with its contributions, or one block of phrases; what moves between tasks are two to three bytes for each distinct phrase of a shard,
 and the candidates with their counts.
 """
 
@@ -27,7 +28,6 @@ from dataclasses import dataclass
 from functools import lru_cache
 from itertools import islice
 from operator import itemgetter
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -47,8 +47,10 @@ SHARD_BYTES = 1 << 21
 SLICE, BLOCK = 1 << 22, 1 << 16
 #: Bytes of a shard whose words are hashed at once.
 STRETCH = 1 << 17
-#: Phrases whose counts a task holds before it passes them on.
-HELD = 500_000
+#: Phrases whose counts a task holds before it passes them on, and bytes of what it holds.
+HELD, HELD_BYTES = 500_000, 1 << 26
+#: Shards of a task that share a row for each slice.
+TOGETHER = 8
 
 #: Where the alphabets of spelled words begin, and what ends a piece there.
 _SECOND, _FIRST, _PIECE_MARK = 0x100, 0x10000, 10
@@ -166,9 +168,25 @@ def phrase_hashes(lang: str, of: Lines, longest: int = LONGEST) -> Iterator[tupl
 
 
 def _contributed(bits: int, longest: int):
-    """(slice, shard, blocks, places, counts): how often a shard hits the counters of each slice; counts end at 255."""
+    """(slice, shards, sizes, high, low, counts): how often shards hit the counters of each slice; counts end at 255.
+
+    TOGETHER shards of a task share a row for each slice, one after another, so rows stay thick where slices are many.
+    """
+    slices = max((1 << bits) // SLICE, 1)
+
+    def rows_of(held: list[tuple]) -> Iterator[pd.DataFrame]:
+        shards = np.array([shard for shard, *_ in held], np.int64).tobytes()
+        sizes = np.diff(np.stack([edges for _, edges, *_ in held]))
+        for lo in range(0, slices, 64):
+            rows = []
+            for at in (lo + np.flatnonzero(sizes[:, lo : lo + 64].any(axis=0))).tolist():
+                own = [(edges[at], edges[at + 1], planes) for _, edges, *planes in held]
+                rows.append((at, shards, sizes[:, at].astype(np.uint32).tobytes(), *[b"".join([planes[i][x:y] for x, y, planes in own]) for i in range(3)]))
+            yield pd.DataFrame(rows, columns=["slice", "shards", "sizes", "high", "low", "counts"])
+        held.clear()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
         for batch in batches:
             for shard, lang, lines in zip(batch["shard"], batch["lang"], batch["lines"], strict=True):
                 counters = np.concatenate([h >> np.uint64(64 - bits) for _, _, h in phrase_hashes(lang, Lines.of(lines), longest)])
@@ -176,60 +194,86 @@ def _contributed(bits: int, longest: int):
                 begin = np.flatnonzero(np.append(True, counters[1:] != counters[:-1]))
                 n = np.minimum(np.diff(begin, append=len(counters)), 255).astype(np.uint8)
                 counters = counters[begin]
-                slices = (counters // np.uint64(SLICE)).astype(np.int64)
-                edges = np.append(np.flatnonzero(np.diff(slices, prepend=-1)), len(slices))
-                rows = []
-                for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                    place = (counters[lo:hi] % np.uint64(SLICE)).astype(np.int64)
-                    blocks = np.bincount(place // BLOCK, minlength=SLICE // BLOCK).astype(np.uint32)
-                    rows.append((int(slices[lo]), shard, blocks.tobytes(), (place % BLOCK).astype(np.uint16).tobytes(), n[lo:hi].tobytes()))
-                yield pd.DataFrame(rows, columns=["slice", "shard", "blocks", "places", "counts"])
+                edges = np.searchsorted(counters, np.arange(slices + 1, dtype=np.uint64) * np.uint64(SLICE))
+                place = (counters % np.uint64(SLICE)).astype(np.uint32)
+                held.append((shard, edges, memoryview((place // BLOCK).astype(np.uint8)), memoryview((place % BLOCK).astype(np.uint16)), memoryview(n)))
+                if len(held) >= TOGETHER:
+                    yield from rows_of(held)
+        if held:
+            yield from rows_of(held)
 
     return run
 
 
-def _reached(least: int):
-    """(shard, slice, places): the places of a slice that reach the bound in sum, for each shard that has any. Rows come sorted by slice."""
+def _reached(least: int, together: int = 1):
+    """(shard, slice, places): the places of a slice that reach the bound in sum, for each shard that has any. Rows come sorted by slice.
 
-    def told(at: int, held: list[tuple]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros(SLICE, np.uint32)
-        for _, places, counts in held:
-            # a shard has a place once, and adds 255 at most, so no sum of fewer than 2^24 shards runs over
-            sums[places] += counts
-        hot = sums >= least
-        for shard, places, _ in held:
-            found = places[hot[places]]
-            if len(found):
-                yield pd.DataFrame({"shard": [shard], "slice": [at], "places": [found.astype(np.uint32).tobytes()]})
+    What ``together`` slices from a multiple of it on tell a shard is one row, its places counted from the first of them.
+    """
+
+    def told(at: int, rows: list[tuple], found: dict[int, list[np.ndarray]]) -> None:
+        shards, sizes, high, low, counts = [np.frombuffer(b"".join(x), t) for x, t in zip(zip(*rows, strict=True), (np.int64, np.uint32, np.uint8, np.uint16, np.uint8), strict=True)]
+        places = high.astype(np.uint32) * np.uint32(BLOCK) + low
+        # sums of less than 2^53 are exact
+        hot = np.bincount(places, counts, SLICE) >= least
+        hits = hot[places]
+        hit_ends = np.append(0, np.cumsum(hits))[np.append(0, np.cumsum(sizes, dtype=np.int64))]
+        places = places[hits] + np.uint32(at % together * SLICE)
+        for i in np.flatnonzero(np.diff(hit_ends)).tolist():
+            found.setdefault(int(shards[i]), []).append(places[hit_ends[i] : hit_ends[i + 1]])
+
+    def rows_of(at: int, found: dict[int, list[np.ndarray]]) -> Iterator[pd.DataFrame]:
+        if found:
+            yield pd.DataFrame({"shard": list(found), "slice": at // together * together, "places": [b"".join(x) for x in found.values()]})
+            found.clear()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, held = None, []
+        now, held, found = None, [], {}
         for batch in batches:
-            for at, shard, blocks, low, counts in zip(*[batch[c] for c in ("slice", "shard", "blocks", "places", "counts")], strict=True):
+            for at, *row in zip(*[batch[c] for c in ("slice", "shards", "sizes", "high", "low", "counts")], strict=True):
                 if at != now:
                     if held:
-                        yield from told(now, held)
+                        told(now, held, found)
+                        if at // together != now // together:
+                            yield from rows_of(now, found)
                     now, held = at, []
-                high = np.repeat(np.arange(SLICE // BLOCK) * BLOCK, np.frombuffer(blocks, np.uint32))
-                held.append((shard, (high + np.frombuffer(low, np.uint16)).astype(np.uint32), np.frombuffer(counts, np.uint8)))
+                held.append(row)
         if held:
-            yield from told(now, held)
+            told(now, held, found)
+            yield from rows_of(now, found)
+        give_back()
 
     return run
 
 
-def spelled(of: Lines) -> tuple[str, np.ndarray, int]:
-    """(text, places, n): a shard with each word as two characters, where words begin in it, and the number of unlike words.
+def lines_array(data: np.ndarray | bytes, ends: np.ndarray) -> pa.Array:
+    """The stretches of some bytes that end at ``ends``."""
+    offsets = np.append(0, ends).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def word_ids(lines: bytes) -> tuple[np.ndarray, int]:
+    """(ids, n): a number for each word of a shard, equal words alike, and how many are unlike."""
+    text = np.frombuffer(lines + b" ", np.uint8)
+    words = lines_array(lines.replace(b"\n", b" ") + b" ", np.flatnonzero((text == 32) | (text == 10)) + 1).dictionary_encode()
+    return words.indices.to_numpy(), len(words.dictionary)
+
+
+def spelled(ids: np.ndarray, n: int, room: np.ndarray, kept: np.ndarray) -> tuple[str, np.ndarray]:
+    """(text, places): the words of a shard that are kept, each as two characters, and where each word begins in it.
 
     First and second characters are of two alphabets, each as large as the root of the number of words, so a match begins and
-    ends with a word; what ends a piece is of neither. The automaton has a node or two a word, and each node few successors.
+    ends with a word; what ends a piece, or stands for words left out, is of neither. The automaton has a node or two a word, and
+    each node few successors.
     """
-    unlike, ids = np.unique(word_hashes(of), return_inverse=True)
-    width = max(math.isqrt(len(unlike) - 1) + 1, 1)
-    places = np.arange(len(ids)) * 2 + np.cumsum(np.append(0, of.room[:-1] == 1))
-    text = np.full(places[-1] + 2, _PIECE_MARK, np.uint32)
-    text[places], text[places + 1] = _FIRST + ids // width, _SECOND + ids % width
-    return text.tobytes().decode("utf-32-le"), places, len(unlike)
+    width = max(math.isqrt(max(n - 1, 0)) + 1, 1)
+    ends = kept & ((room == 1) | ~np.append(kept[1:], False))
+    # a word that is kept takes two characters, and one more if a mark follows
+    lengths = kept * 2 + ends
+    places = np.cumsum(lengths) - lengths
+    text = np.full(int(lengths.sum()), _PIECE_MARK, np.uint32)
+    text[places[kept]], text[places[kept] + 1] = _FIRST + ids[kept] // width, _SECOND + ids[kept] % width
+    return text.tobytes().decode("utf-32-le"), places
 
 
 def scanned(text: str, phrases: list[str]) -> np.ndarray:
@@ -250,63 +294,103 @@ def scanned(text: str, phrases: list[str]) -> np.ndarray:
     return n
 
 
+def candidates_of(lang: str, lines: bytes, told: np.ndarray, bits: int, longest: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(phrases, hashes, counts): a shard's phrases whose counters were told to it, each a line, and how often it has them."""
+    # most phrases are no candidates; a small table says so of them
+    few = np.zeros(BLOCK * 16, bool)
+    few[told % np.uint64(len(few))] = True
+    of, (ids, n_unlike) = Lines.of(lines), word_ids(lines)
+    words, kept = np.bincount(ids), np.zeros(len(ids) + 1, np.int32)
+    hashes, firsts, lasts, counts = [], [], [], []
+    for k, at, hashed in phrase_hashes(lang, of, longest):
+        maybe = np.flatnonzero(few[(hashed >> np.uint64(64 - bits)) % np.uint64(len(few))])
+        maybe = maybe[np.argsort(hashed[maybe])]
+        own = hashed[maybe]
+        begin = np.flatnonzero(np.append(len(own) > 0, own[1:] != own[:-1]))
+        n, own = np.diff(begin, append=len(own)), own[begin]
+        counters = own >> np.uint64(64 - bits)
+        hit = told[np.minimum(np.searchsorted(told, counters), len(told) - 1)] == counters
+        first = at[maybe[begin[hit]]]
+        if k == 1:
+            counts.append(words[ids[first]])
+        else:
+            # a hash that occurs once is of a phrase that does; the others are counted below
+            counts.append(n[hit])
+            again = at[maybe[np.repeat(hit & (n > 1), n)]]
+            kept += np.bincount(again, minlength=len(kept)) - np.bincount(again + k, minlength=len(kept))
+        hashes.append(own[hit])
+        firsts.append(first)
+        lasts.append(first + k - 1)
+    hashes, first, last, counts = map(np.concatenate, (hashes, firsts, lasts, counts))
+    again = np.flatnonzero((last > first) & (counts > 1))
+    text, places = spelled(ids, n_unlike, of.room, np.cumsum(kept[:-1]) > 0)
+    counts[again] = scanned(text, [text[i:j] for i, j in zip(places[first[again]].tolist(), (places[last[again]] + 2).tolist(), strict=True)])
+    sizes = of.ends[last] - of.begins[first] + 1
+    ends = np.cumsum(sizes)
+    data = np.append(of.text, 10).astype(np.uint8)[np.repeat(of.begins[first] - ends + sizes, sizes) + np.arange(sizes.sum())]
+    data[ends - 1] = 10
+    return lines_array(data, ends), hashes, counts
+
+
+def merged(tables: list[pa.Table]) -> pa.Table:
+    """Tables of (phrase, part, n), each phrase once with its sum."""
+    out = pa.concat_tables(tables).group_by("phrase", use_threads=False).aggregate([("part", "min"), ("n", "sum")])
+    return out.select(["phrase", "part_min", "n_sum"]).rename_columns(["phrase", "part", "n"])
+
+
+class Held:
+    """Counts of phrases by language, merged when as many more have come as the last merging left, ``most`` phrases or ``size`` bytes at least."""
+
+    def __init__(self, most: int, size: int) -> None:
+        self.most = np.array([most, size])
+        self.tables: dict[str, list[pa.Table]] = {}
+        self.now = self.left = np.zeros(2, np.int64)
+
+    def add(self, lang: str, table: pa.Table) -> bool:
+        """Whether more phrases or bytes than may be held are left after merging."""
+        self.tables.setdefault(lang, []).append(table)
+        self.now = self.now + (len(table), table.nbytes)
+        if (self.now <= self.left + np.maximum(self.left, self.most)).all():
+            return False
+        self.tables = {lang: [merged(tables)] for lang, tables in self.tables.items()}
+        self.now = self.left = np.array([(len(t), t.nbytes) for t, in self.tables.values()]).sum(axis=0)
+        return bool((self.left > self.most).any())
+
+    def take(self) -> Iterator[tuple[str, pa.Table]]:
+        """What is held, language by language; then nothing is."""
+        for lang in list(self.tables):
+            yield lang, merged(self.tables.pop(lang))
+        self.now = self.left = np.zeros(2, np.int64)
+
+
 def _counted(bits: int, longest: int, parts: int):
     """(part, lang, phrases, counts): the candidates of a task's shards in blocks, from the counters that were told to each shard."""
 
-    def blocks_of(held: dict[str, dict[bytes, int]]) -> Iterator[pd.DataFrame]:
-        rows = []
-        for lang, n in held.items():
-            # in order, since neighbours that begin alike are packed well
-            names = sorted(n)
-            part = np.fromiter(map(crc32, names), np.int64, len(names)) % parts
-            order = np.argsort(part, kind="stable")
-            part, counts = part[order], np.fromiter(map(n.__getitem__, names), np.uint64, len(names))[order]
-            edges = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
-            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                phrases = b"\n".join([names[i] for i in order[lo:hi].tolist()])
-                # as narrow as the block's greatest count lets them be
-                rows.append((int(part[lo]), lang, phrases, counts[lo:hi].astype(np.min_scalar_type(counts[lo:hi].max())).tobytes()))
-        held.clear()
+    def blocks_of(lang: str, whole: pa.Table) -> Iterator[pd.DataFrame]:
+        # in order, since neighbours that begin alike are packed well
+        whole = whole.sort_by([("part", "ascending"), ("phrase", "ascending")]).combine_chunks()
+        names, part, counts = whole["phrase"].combine_chunks(), whole["part"].to_numpy(), whole["n"].to_numpy()
+        offsets, data, rows = np.frombuffer(names.buffers()[1], np.int64)[names.offset :], names.buffers()[2], []
+        edges = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            # as narrow as the block's greatest count lets them be
+            rows.append((int(part[lo]), lang, data[offsets[lo] : offsets[hi]].to_pybytes(), counts[lo:hi].astype(np.min_scalar_type(counts[lo:hi].max())).tobytes()))
         yield pd.DataFrame(rows, columns=["part", "lang", "phrases", "counts"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, dict[bytes, int]] = {}
+        held = Held(HELD, HELD_BYTES)
         for batch in batches:
             for lang, lines, slices, places in zip(*[batch[c] for c in ("lang", "lines", "slices", "places")], strict=True):
                 told = np.sort(np.concatenate([np.frombuffer(p, np.uint32).astype(np.uint64) + np.uint64(SLICE * int(s)) for s, p in zip(slices, places, strict=True)]))
-                # most phrases are no candidates; a small table says so of them
-                few = np.zeros(BLOCK * 16, bool)
-                few[told % np.uint64(len(few))] = True
-                of, n, starts, ends = Lines.of(lines), {}, [], []
-                for k, at, hashes in phrase_hashes(lang, of, longest):
-                    counters = hashes >> np.uint64(64 - bits)
-                    maybe = np.flatnonzero(few[counters % np.uint64(len(few))])
-                    place = np.minimum(np.searchsorted(told, counters[maybe]), len(told) - 1)
-                    hit = maybe[told[place] == counters[maybe]]
-                    _, first = np.unique(hashes[hit], return_index=True)
-                    begin = at[hit[first]]
-                    if k == 1:
-                        every = Counter(lines.replace(b"\n", b" ").split(b" "))
-                        words = [lines[i:j] for i, j in zip(of.begins[begin].tolist(), of.ends[begin].tolist(), strict=True)]
-                        n = {w: every[w] for w in words}
-                    else:
-                        starts.append(begin)
-                        ends.append(begin + k - 1)
-                if starts:
-                    text, places, _ = spelled(of)
-                    first, last = np.concatenate(starts), np.concatenate(ends)
-                    a = scanned(text, [text[i:j] for i, j in zip(places[first].tolist(), (places[last] + 2).tolist(), strict=True)])
-                    names = zip(of.begins[first].tolist(), of.ends[last].tolist(), a.tolist(), strict=True)
-                    n |= {lines[i:j]: c for i, j, c in names}
+                phrases, hashes, counts = candidates_of(lang, lines, told, bits, longest)
+                table = pa.table({"phrase": phrases, "part": (hashes % np.uint64(parts)).astype(np.int32), "n": counts.astype(np.uint64)})
                 # what shards of a task share is passed on once
-                own = held.setdefault(lang, {})
-                for phrase, c in n.items():
-                    own[phrase] = own.get(phrase, 0) + c
-                if sum(map(len, held.values())) > HELD:
-                    yield from blocks_of(held)
+                if held.add(lang, table):
+                    for of in held.take():
+                        yield from blocks_of(*of)
             give_back()
-        if held:
-            yield from blocks_of(held)
+        for of in held.take():
+            yield from blocks_of(*of)
         give_back()
 
     return run
@@ -315,25 +399,25 @@ def _counted(bits: int, longest: int, parts: int):
 def _summed(least: int):
     """(lang, phrase, a): the sums of the counts that reach the bound. Blocks come sorted by part and language."""
 
-    def rows_of(lang: str, n: dict[bytes, int]) -> Iterator[pd.DataFrame]:
-        rows = [(p.decode("utf-8", "surrogatepass"), c) for p, c in n.items() if c >= least]
-        for lo in range(0, len(rows), 50_000):
-            part = rows[lo : lo + 50_000]
-            yield pd.DataFrame({"lang": lang, "phrase": [p for p, _ in part], "a": np.array([c for _, c in part], np.int64)})
+    def rows_of(lang: str, whole: pa.Table) -> Iterator[pd.DataFrame]:
+        whole = whole.filter(pa.array(whole["n"].to_numpy() >= least))
+        for lo in range(0, len(whole), 50_000):
+            part = whole.slice(lo, 50_000)
+            yield pd.DataFrame({"lang": lang, "phrase": [p[:-1].decode("utf-8", "surrogatepass") for p in part["phrase"].to_pylist()], "a": part["n"].to_numpy().astype(np.int64)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, n = None, {}
+        now, held = None, Held(HELD, HELD_BYTES)
         for batch in batches:
             for part, lang, phrases, counts in zip(*[batch[c] for c in ("part", "lang", "phrases", "counts")], strict=True):
                 if (part, lang) != now:
-                    if now:
-                        yield from rows_of(now[1], n)
-                    now, n = (part, lang), {}
-                names = phrases.split(b"\n")
-                for phrase, c in zip(names, np.frombuffer(counts, f"u{len(counts) // len(names)}").tolist(), strict=True):
-                    n[phrase] = n.get(phrase, 0) + c
-        if now:
-            yield from rows_of(now[1], n)
+                    for of in held.take():
+                        yield from rows_of(*of)
+                    now = (part, lang)
+                names = lines_array(phrases, np.flatnonzero(np.frombuffer(phrases, np.uint8) == 10) + 1)
+                n = np.frombuffer(counts, f"u{len(counts) // len(names)}").astype(np.uint64)
+                held.add(lang, pa.table({"phrase": names, "part": np.full(len(n), part, np.int32), "n": n}))
+        for of in held.take():
+            yield from rows_of(*of)
         give_back()
 
     return run
@@ -352,9 +436,11 @@ def frequent_phrases(shards: DataFrame, least: int = LEAST, longest: int = LONGE
     n = shards.agg(F.sum("n_words")).first()[0] or 0
     bits = sketch_bits(n, longest)
     slices, parts = (1 << bits) // SLICE, int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own = shards.select("shard", "lang", "lines").mapInPandas(_contributed(bits, longest), "slice long, shard long, blocks binary, places binary, counts binary")
-    by_slice = own.repartition(max(slices, parts), "slice").sortWithinPartitions("slice")
-    told = by_slice.mapInPandas(_reached(least), "shard long, slice long, places binary")
+    own = shards.select("shard", "lang", "lines").mapInPandas(_contributed(bits, longest), "slice long, shards binary, sizes binary, high binary, low binary, counts binary")
+    # beyond 1,024 slices, up to 64 of them are summed one after another in a task and told together
+    together = min(max(slices // 1024, 1), 64)
+    by_slice = own.repartition(max(slices // together, parts), F.floor(F.col("slice") / together)).sortWithinPartitions("slice")
+    told = by_slice.mapInPandas(_reached(least, together), "shard long, slice long, places binary")
     gathered = told.groupBy("shard").agg(F.collect_list(F.struct("slice", "places")).alias("told")).select("shard", "told.slice", "told.places").withColumnRenamed("slice", "slices")
     candidates = shards.select("shard", "lang", "lines").join(gathered, "shard").select("lang", "lines", "slices", "places")
     # at most 8 slices' phrases meet in a part, of which one in ``least`` can be frequent

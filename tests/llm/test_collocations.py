@@ -119,6 +119,43 @@ def test_counts_of_any_size_and_order_are_summed():
     assert not list(collocations._summed(70_003)(iter([blocks])))
 
 
+@pytest.mark.parametrize("together", [1, 4])
+def test_shards_share_rows_of_the_sketch(monkeypatch, together):
+    import numpy as np
+    import pandas as pd
+
+    for name, value in (("SLICE", 1 << 8), ("BLOCK", 1 << 6), ("TOGETHER", 4)):
+        monkeypatch.setattr(collocations, name, value)
+    rnd, bits, least = random.Random(5), 13, 9
+    lines = [" ".join(f"w{rnd.randrange(40)}" for _ in range(200)).encode() for _ in range(10)]
+    own = [np.concatenate([h >> np.uint64(64 - bits) for *_, h in collocations.phrase_hashes("en", collocations.Lines.of(x))]).tolist() for x in lines]
+    sums = sum(map(Counter, own), Counter())
+    batch = pd.DataFrame({"shard": [7 * i for i in range(10)], "lang": "en", "lines": lines})
+    rows = pd.concat(collocations._contributed(bits, 4)(iter([batch[:3], batch[3:]]))).sort_values("slice", kind="stable")
+    # 32 slices, and 320 rows before
+    assert len(rows) == 3 * 32
+    frames = list(collocations._reached(least, together)(iter([rows[:50], rows[50:]])))
+    # a frame for each shard and slice before
+    assert len(frames) <= 32 // together
+    found = sorted((s, at * 256 + p) for f in frames for s, at, b in f[["shard", "slice", "places"]].itertuples(index=False) for p in np.frombuffer(b, np.uint32).tolist())
+    assert found == sorted((7 * i, c) for i, x in enumerate(own) for c in set(x) if sums[c] >= least)
+
+
+def test_only_what_repeats_in_a_shard_is_scanned(monkeypatch):
+    import numpy as np
+
+    scans, scanned = [], collocations.scanned
+    monkeypatch.setattr(collocations, "scanned", lambda text, phrases: scans.append((len(text), len(phrases))) or scanned(text, phrases))
+    for lines, n in ((" ".join(f"w{i}" for i in range(500)).encode(), 0), (b"u v w x\na a a b\ny z a a a", 3)):
+        told = np.unique(np.concatenate([h >> np.uint64(40) for *_, h in collocations.phrase_hashes("en", collocations.Lines.of(lines))]))
+        phrases, _, counts = collocations.candidates_of("en", lines, told, 24, 4)
+        pieces = [x.split(b" ") for x in lines.split(b"\n")]
+        expected = Counter(b" ".join(x[i : i + k]) + b"\n" for x in pieces for k in range(1, 5) for i in range(len(x) - k + 1))
+        assert dict(zip(phrases.to_pylist(), counts.tolist(), strict=True)) == expected
+        # every candidate of two words or more before, over the whole shard
+        assert scans[-1][1] <= n and scans[-1][0] <= 2 * 6 + 3
+
+
 def test_overlapping_matches_and_piece_ends(spark):
     rows = [(i, "a a a. a a b", "en") for i in range(10)]
     found = collocations.collocations(spark.createDataFrame(rows, SCHEMA), 10, 10)
