@@ -333,7 +333,9 @@ def candidates_of(lang: str, lines: bytes, told: np.ndarray, bits: int, longest:
 
 
 def merged(tables: list[pa.Table]) -> pa.Table:
-    """Tables of (phrase, part, n), each phrase once with its sum."""
+    """Tables of (phrase, part, n), each of which has a phrase once, as one that does, with the sums."""
+    if len(tables) == 1:
+        return tables[0]
     out = pa.concat_tables(tables).group_by("phrase", use_threads=False).aggregate([("part", "min"), ("n", "sum")])
     return out.select(["phrase", "part_min", "n_sum"]).rename_columns(["phrase", "part", "n"])
 
