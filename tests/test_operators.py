@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators import conversations, dedup, hierarchy, identity, incremental, joins, quality, reports
+from lakeloom.plans import registry
 
 
 def got(df):
@@ -56,6 +58,32 @@ def test_disjunctive_keeps_repeated_rows_and_does_not_move_what_it_found(spark):
     assert "Aggregate" not in plan and plan.index("Union") < plan.index("Exchange")
 
 
+@pytest.mark.parametrize("together", [1, 5, 4096])
+def test_disjunctive_in_blocks_finds_what_the_join_finds(spark, monkeypatch, together):
+    for name, rows in (("TOGETHER", together), ("CELL", 2), ("BLOCK", 3)):
+        monkeypatch.setattr(joins, name, rows)
+    keys = [0.0, -0.0, float("nan"), None, 1.0]
+    a = spark.createDataFrame([(i % 30, keys[i % 5] if i % 3 else 2.0) for i in range(40)], "i int, p double")
+    b = spark.createDataFrame([(j % 17, [2.0, *keys][j % 6]) for j in range(25)], "j int, q double")
+    pairs = [("i", "j"), ("p", "q")]
+    for left, right in ((a, b), (a.limit(0), b), (a, b.where("q is null")), (a.where("p is null"), b)):
+        plain, blocked = (got(joins.disjunctive(left, right, pairs, outer=True, coarse=coarse).selectExpr("i", "cast(p as string)", "j", "cast(q as string)")) for coarse in ([], pairs[1:]))
+        assert plain == blocked
+    with pytest.raises(ValueError):
+        joins.disjunctive(a, b.withColumn("q", F.col("q").cast("string")), pairs, coarse=pairs[1:])
+
+
+def test_disjunctive_join_writes_small_files(spark, tmp_path):
+    """200 of many customers and 20,000 suppliers of one nation: over a byte a row if suppliers come round once in 20,000 rows."""
+    customers = spark.range(60_000).selectExpr("id as c_custkey", "format_string('Customer#%09d', id) as c_name", "if(id < 200, 7, 8) as c_nationkey")
+    customers.write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(100, 20_100).selectExpr("id as s_suppkey", "7 as s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    registry.QUERIES["disjunctive_join"](spark, str(tmp_path)).write.parquet(f"{tmp_path}/out")
+    found, rows = spark.read.parquet(f"{tmp_path}/out"), 200 * 20_000 + 19_900
+    assert found.count() == found.distinct().count() == rows
+    assert sum(f.stat().st_size for f in (tmp_path / "out").glob("*.parquet")) < rows / 2
+
+
 def test_not_in_with_null(spark):
     a, b = spark.createDataFrame([(1,), (2,), (None,)], "x int"), spark.createDataFrame([(1,), (None,)], "y int")
     assert joins.nulls_first_anti(a, b, "x", "y").isEmpty()
